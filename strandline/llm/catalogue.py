@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from strandline.llm import suffix_dedup
+from strandline.llm import simhash, suffix_dedup
 
 
 def queries() -> dict:
-    return {"op1_suffix_dedup": suffix_dedup.op1_suffix_dedup}
+    return {"op1_suffix_dedup": suffix_dedup.op1_suffix_dedup, "op10_simhash": simhash.op10_simhash}
 
 
 def oracle_sql() -> dict:
