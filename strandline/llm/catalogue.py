@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from strandline.llm import line_rules, secrets, simhash, suffix_dedup
+from strandline.llm import language_id, line_rules, secrets, simhash, suffix_dedup
 
 
 def queries() -> dict:
     return {
         "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
         "op3_secrets": secrets.op3_secrets,
+        "op6_language_id": language_id.op6_language_id,
         "op7_line_rules": line_rules.op7_line_rules,
         "op10_simhash": simhash.op10_simhash,
     }
