@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
-from strandline.llm import language_id, line_rules, secrets, simhash, suffix_dedup
+from strandline.llm import language_id, line_rules, mixing, quality, secrets, simhash, suffix_dedup, toxicity, warc
 
 
 def queries() -> dict:
     return {
         "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
+        "op2_quality": quality.op2_quality,
         "op3_secrets": secrets.op3_secrets,
+        "op5_warc": warc.op5_warc,
         "op6_language_id": language_id.op6_language_id,
         "op7_line_rules": line_rules.op7_line_rules,
+        "op8_mixing": mixing.op8_mixing,
+        "op9_toxicity": toxicity.op9_toxicity,
         "op10_simhash": simhash.op10_simhash,
     }
 
 
 def oracle_sql() -> dict:
-    return {}
+    return {"op8_mixing": mixing.OP8_SQL}
