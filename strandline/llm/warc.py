@@ -173,11 +173,11 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         cols = [c.to_pylist() for c in batch.columns]
         for archive, seq, key, captured, uid, offset, length in zip(*cols, strict=True):
-            runs.setdefault(archive, []).append((seq, key, captured, uid, offset, length))
+            runs.setdefault(archive, []).append((seq, key, captured, uid, archive, offset, length))
     for r in runs.values():
         r.sort()  # rows of a run can come in any order of blocks; seq is the run's own order
     part = TaskContext.get().partitionId()
-    tree = LoserTree([((key, captured, uid, archive, offset, length) for _, key, captured, uid, offset, length in r) for archive, r in sorted(runs.items())])
+    tree = LoserTree([(row[1:] for row in runs[archive]) for archive in sorted(runs)])
     held: list[tuple] = []
     position = 0
 
