@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from strandline.llm import language_id, line_rules, mixing, quality, secrets, simhash, suffix_dedup, toxicity, warc
+from strandline.llm import decontaminate, language_id, line_rules, mixing, quality, secrets, simhash, suffix_dedup, toxicity, warc
 
 
 def queries() -> dict:
@@ -10,6 +10,7 @@ def queries() -> dict:
         "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
         "op2_quality": quality.op2_quality,
         "op3_secrets": secrets.op3_secrets,
+        "op4_decontaminate": decontaminate.op4_decontaminate,
         "op5_warc": warc.op5_warc,
         "op6_language_id": language_id.op6_language_id,
         "op7_line_rules": line_rules.op7_line_rules,
