@@ -13,6 +13,13 @@
    found by alternating star steps.
 
 Nulls and empty texts have fingerprint zero; rows with equal ids are rows of their own.
+
+`similar_groups` does the same for a similarity of shingle sets instead of a number of bits: shingles of SIMILAR_SHINGLE
+words, fingerprints of several 64-bit words, and a radius that stands for SIMILARITY (sets with Jaccard similarity J have
+the cosine 2J / (1 + J), and each bit differs with the probability acos(cosine) / pi; SLACK standard deviations are
+added). A radius so large leaves no blocks that must be equal, so buckets are bands of bits: width and number of words
+follow from the number of documents, so that buckets stay small and a pair at the similarity shares a band with
+probability RECALL or more.
 """
 
 from __future__ import annotations
@@ -27,12 +34,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import as_binary, partitions, stored, table, with_order
+from strandline.llm.common import as_binary, byte_view, partitions, stored, table, with_order
 from strandline.llm.components import components
 
 SHINGLE, RADIUS = 3, 3
 #: Fingerprints a bucket should hold, and the most of one tile.
 BUCKET, TILE = 512, 2048
+#: For similar_groups: shingle size, similarity, standard deviations of slack, and the least chance to share a band.
+SIMILAR_SHINGLE, SIMILARITY, SLACK, RECALL = 5, 0.8, 1.0, 0.95
 
 _FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -58,15 +67,28 @@ def _shingle_hashes(text: bytes, size: int, block: int = 1 << 17) -> Iterator[li
         yield [h(joined[a:b], 42) for a, b in zip(starts[k : k + block], stops[k : k + block], strict=False)]
 
 
-def fingerprints(texts: list[bytes], size: int = SHINGLE) -> np.ndarray:
-    counts, total = np.zeros((len(texts), 64), np.int64), np.zeros(len(texts), np.int64)
+def _remix(h: np.ndarray, k: int) -> np.ndarray:
+    """The k-th hash of a shingle, made from its first."""
+    if not k:
+        return h
+    z = h + np.uint64(k * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
+    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return z ^ (z >> np.uint64(31))
+
+
+def fingerprints(texts: list[bytes], size: int = SHINGLE, words: int = 1) -> np.ndarray:
+    """A row of 64-bit words for each text."""
+    counts, total = np.zeros((len(texts), 64 * words), np.int64), np.zeros(len(texts), np.int64)
     held: list[list[int]] = []
     of: list[int] = []
 
     def flush():
         if held:
             starts = np.cumsum([0] + [len(x) for x in held[:-1]])
-            np.add.at(counts, of, _count_bits(np.array([y for x in held for y in x], np.uint64), starts))
+            hashes, rows = np.array([y for x in held for y in x], np.uint64), np.array(of)
+            for k in range(words):
+                np.add.at(counts, (rows[:, None], np.arange(64 * k, 64 * k + 64)[None, :]), _count_bits(_remix(hashes, k), starts))
             held.clear()
             of.clear()
 
@@ -82,16 +104,19 @@ def fingerprints(texts: list[bytes], size: int = SHINGLE) -> np.ndarray:
                 waiting = 0
     flush()
     bits = (2 * counts > total[:, None]).astype(np.uint8)
-    return np.packbits(bits, axis=1, bitorder="little").view(np.uint64).ravel()
+    return np.packbits(bits, axis=1, bitorder="little").view(np.uint64)
+
 
+def _fingerprint_batches(size: int, words: int = 0):
+    """words 0: one word as a bigint; otherwise that many as binary."""
 
-def _fingerprint_batches(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for s in range(0, batch.num_rows, 512):
                 part = batch.slice(s, 512)
-                fp = fingerprints(as_binary(part.column(part.num_columns - 1)).to_pylist(), size)
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(fp.view(np.int64))], names=[*part.schema.names[:-1], "fp"])
+                fp = fingerprints(as_binary(part.column(part.num_columns - 1)).to_pylist(), size, words or 1)
+                col = pa.array([r.tobytes() for r in fp], pa.binary()) if words else pa.array(fp.ravel().view(np.int64))
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], col], names=[*part.schema.names[:-1], "fp"])
 
     return run
 
@@ -116,16 +141,19 @@ def block_scheme(n: int, radius: int, bucket: int = BUCKET) -> list[list[tuple[i
 
 
 def _planes(fp: np.ndarray) -> np.ndarray:
-    """Bit plane k, lane i: bit k of value i; 64 lanes a word."""
+    """Bit plane k, lane i: bit k of row i; 64 lanes a word."""
     lanes = -(-len(fp) // 64) * 64
-    bits = np.zeros((lanes, 64), np.uint8)
-    bits[: len(fp)] = np.unpackbits(fp.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    bits = np.zeros((lanes, 64 * fp.shape[1]), np.uint8)
+    bits[: len(fp)] = np.unpackbits(np.ascontiguousarray(fp).view(np.uint8).reshape(len(fp), -1), axis=1, bitorder="little")
     return np.packbits(bits.T.copy(), axis=1, bitorder="little").view(np.uint64)
 
 
 def close_pairs(left: np.ndarray, right: np.ndarray, radius: int, same: bool, rows: int = 256) -> Iterator[tuple[int, np.ndarray]]:
-    """(row of left, rows of right within the radius); `same`: left is right, and only later rows are returned."""
+    """(row of left, rows of right within the radius); `same`: left is right, and only later rows are returned.
+
+    Counters begin at 2**c - 1 - radius, so that a lane overflows as soon as its distance exceeds the radius."""
     planes, counters = _planes(right), max(1, int(radius).bit_length())
+    begin = (1 << counters) - 1 - radius
     spare = np.zeros(planes.shape[1] * 64, np.uint8)
     spare[len(right) :] = 1
     blank = np.packbits(spare, bitorder="little").view(np.uint64)
@@ -136,15 +164,15 @@ def close_pairs(left: np.ndarray, right: np.ndarray, radius: int, same: bool, ro
         if same:
             done = np.arange(planes.shape[1] * 64)[None, :] <= index[:, None]
             over |= np.packbits(done, axis=1, bitorder="little").view(np.uint64)
-        count = [np.zeros_like(over) for _ in range(counters)]
-        for k in range(64):
-            carry = planes[k][None, :] ^ (np.uint64(0) - ((q >> np.uint64(k)) & np.uint64(1)))[:, None]
+        count = [np.full_like(over, _FULL if begin >> c & 1 else 0) for c in range(counters)]
+        for k in range(len(planes)):
+            carry = planes[k][None, :] ^ (np.uint64(0) - ((q[:, k // 64] >> np.uint64(k % 64)) & np.uint64(1)))[:, None]
             for c in range(counters):
                 spill = count[c] & carry
                 count[c] ^= carry
                 carry = spill
             over |= carry
-            if k % 8 == 7 and k >= 15:
+            if k % 8 == 7 and k >= 2 * radius:
                 alive = (over != _FULL).any(axis=1)
                 if not alive.any():
                     index = index[:0]
@@ -153,18 +181,13 @@ def close_pairs(left: np.ndarray, right: np.ndarray, radius: int, same: bool, ro
                     q, index, over, count = q[alive], index[alive], over[alive], [x[alive] for x in count]
         if not len(index):
             continue
-        beyond = over
-        if radius != (1 << counters) - 1:  # counts from radius + 1 up to the counters' end
-            bits = np.stack([np.unpackbits(x.view(np.uint8), axis=1, bitorder="little") for x in count]).astype(np.int64)
-            high = sum(bits[c] << c for c in range(counters)) > radius
-            beyond = over | np.packbits(high, axis=1, bitorder="little").view(np.uint64)
-        hit = np.unpackbits((~beyond).view(np.uint8), axis=1, bitorder="little")
+        hit = np.unpackbits((~over).view(np.uint8), axis=1, bitorder="little")
         for r in np.flatnonzero(hit.any(axis=1)):
             yield int(index[r]), np.flatnonzero(hit[r])
 
 
 def _forest(left: np.ndarray, right: np.ndarray, radius: int, same: bool) -> tuple[list[int], list[int]]:
-    """A spanning forest of the links of one cell."""
+    """A spanning forest of the links of one cell: rows of left and of right."""
     label = np.arange(len(left)) if same else np.arange(len(left) + len(right))
     shift = 0 if same else len(left)
     u: list[int] = []
@@ -175,61 +198,81 @@ def _forest(left: np.ndarray, right: np.ndarray, radius: int, same: bool) -> tup
         new = labels != own
         if new.any():
             for k in hits[first[new]]:
-                u.append(int(left[i]))
-                v.append(int(right[k]))
+                u.append(i)
+                v.append(int(k))
             label[np.isin(label, labels[new])] = own
     return u, v
 
 
-def _compare_cells(radius: int):
+def _compare_cells(radius: int, wide: bool):
     """Rows (bucket, a, b, tile, fp) sorted by cell; a cell can go over several batches."""
 
-    def solve(rows: np.ndarray):
-        one, tile, a, b = rows["fp"].copy(), rows["tile"], rows["a"][0], rows["b"][0]
+    def read(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        cell = np.stack([batch.column(k).to_numpy().astype(np.int64) for k in range(4)], axis=1)
+        if wide:
+            data, _ = byte_view(as_binary(batch.column(4)))
+            return cell, data.view(np.uint64).reshape(batch.num_rows, -1) if data.ctypes.data % 8 == 0 else np.frombuffer(data.tobytes(), np.uint64).reshape(batch.num_rows, -1)
+        return cell, batch.column(4).to_numpy().view(np.uint64).reshape(-1, 1)
+
+    def solve(cell: np.ndarray, fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        a, b = cell[0, 1], cell[0, 2]
         if a == b:
-            u, v = _forest(one, one, radius, True)
-        else:
-            u, v = _forest(one[tile == a], one[tile == b], radius, False)
-        return u, v
+            u, v = _forest(fp, fp, radius, True)
+            return fp[u], fp[v]
+        left, right = fp[cell[:, 3] == a], fp[cell[:, 3] == b]
+        u, v = _forest(left, right, radius, False)
+        return left[u], right[v]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None
-        kind = np.dtype([("bucket", np.int64), ("a", np.int32), ("b", np.int32), ("tile", np.int32), ("fp", np.uint64)])
-
-        def cells(rows, last):
-            new = np.append(True, (rows["bucket"][1:] != rows["bucket"][:-1]) | (rows["a"][1:] != rows["a"][:-1]) | (rows["b"][1:] != rows["b"][:-1]))
-            cut = np.append(np.flatnonzero(new), len(rows))
-            u: list[int] = []
-            v: list[int] = []
-            for s, e in itertools.pairwise(cut if last else cut[:-1]):
-                if e - s > 1:
-                    x, y = solve(rows[s:e])
-                    u += x
-                    v += y
-            return np.array(u, np.uint64), np.array(v, np.uint64), None if last else rows[cut[-2] :]
+    def column(rows: list[np.ndarray]) -> pa.Array:
+        all_rows = np.ascontiguousarray(np.concatenate(rows))
+        return pa.array([r.tobytes() for r in all_rows], pa.binary()) if wide else pa.array(all_rows.ravel().view(np.int64))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: tuple[np.ndarray, np.ndarray] | None = None
         for batch in itertools.chain(batches, [None]):
+            if batch is not None and not batch.num_rows:
+                continue
             if batch is None:
-                rows = rest
-            elif batch.num_rows:
-                rows = np.empty(batch.num_rows, kind)
-                for k, name in enumerate(kind.names):
-                    rows[name] = batch.column(k).to_numpy().view(np.uint64) if name == "fp" else batch.column(k).to_numpy()
-                rows = rows if rest is None else np.concatenate([rest, rows])
+                if rest is None:
+                    return
+                cell, fp = rest
             else:
-                continue
-            if rows is None:
-                return
-            u, v, rest = cells(rows, batch is None)
-            if len(u):
-                yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(v.view(np.int64))], names=["u", "v"])
+                cell, fp = read(batch)
+                if rest is not None:
+                    cell, fp = np.concatenate([rest[0], cell]), np.concatenate([rest[1], fp])
+            new = np.append(True, (cell[1:, :3] != cell[:-1, :3]).any(axis=1))
+            cut = np.append(np.flatnonzero(new), len(cell))
+            rest = None if batch is None else (cell[cut[-2] :], fp[cut[-2] :])
+            us, vs = [], []
+            for s, e in itertools.pairwise(cut if batch is None else cut[:-1]):
+                if e - s > 1:
+                    u, v = solve(cell[s:e], fp[s:e])
+                    if len(u):
+                        us.append(u)
+                        vs.append(v)
+            if us:
+                yield pa.RecordBatch.from_arrays([column(us), column(vs)], names=["u", "v"])
 
     return run
 
 
+def _compared(rows: DataFrame, radius: int, tile: int, wide: bool) -> DataFrame:
+    """Links of rows (bucket, fp) that share a bucket."""
+    sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket", F.ceil(F.col("n") / tile).cast("int").alias("tiles"))
+    cells = (
+        rows.join(sizes, "bucket").withColumn("tile", F.pmod(F.xxhash64("fp", F.lit(7)), F.col("tiles")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+        .select("bucket", F.least("tile", "other").alias("a"), F.greatest("tile", "other").alias("b"), "tile", "fp")
+    )
+    kind = "binary" if wide else "long"
+    return (
+        cells.repartition(partitions(rows.sparkSession), "bucket", "a", "b").sortWithinPartitions("bucket", "a", "b")
+        .mapInArrow(_compare_cells(radius, wide), f"u {kind}, v {kind}").distinct()
+    )
+
+
 def links(classes: DataFrame, radius: int = RADIUS, bucket: int = BUCKET, tile: int = TILE) -> DataFrame:
     """Links (u, v) that connect all distinct fingerprints `fp` that a chain of links within the radius connects."""
-    spark = classes.sparkSession
     tables = block_scheme(classes.count(), radius, bucket)
     keys = []
     for t, pieces in enumerate(tables):
@@ -238,16 +281,53 @@ def links(classes: DataFrame, radius: int = RADIUS, bucket: int = BUCKET, tile:
             key = F.shiftleft(key, width).bitwiseOR(F.shiftrightunsigned("fp", at).bitwiseAND((1 << width) - 1))
         keys.append(F.struct(F.lit(t).alias("t"), key.alias("key")))
     rows = classes.select("fp", F.explode(F.array(*keys)).alias("k")).select(F.xxhash64("k.t", "k.key").alias("bucket"), "fp")
-    sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket", F.ceil(F.col("n") / tile).cast("int").alias("tiles"))
-    cells = (
-        rows.join(sizes, "bucket").withColumn("tile", F.pmod(F.xxhash64("fp", F.lit(7)), F.col("tiles")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-        .select("bucket", F.least("tile", "other").alias("a"), F.greatest("tile", "other").alias("b"), "tile", "fp")
-    )
-    return (
-        cells.repartition(partitions(spark), "bucket", "a", "b").sortWithinPartitions("bucket", "a", "b")
-        .mapInArrow(_compare_cells(radius), "u long, v long").distinct()
-    )
+    return _compared(rows, radius, tile, False)
+
+
+def band_scheme(n: int, differ: float, bucket: int = BUCKET // 2, recall: float = RECALL) -> tuple[int, int, int]:
+    """(words, band width, bands) for n fingerprints whose bits differ with the given probability."""
+    width = max(6, math.ceil(math.log2(max(1, n) / bucket)))
+    words = 4
+    while 1 - (1 - (1 - differ) ** width) ** (64 * words // width) < recall:
+        words += 1
+    return words, width, 64 * words // width
+
+
+def _bands(width: int, bands: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights = (1 << np.arange(width, dtype=np.int64))[None, :]
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            data, _ = byte_view(as_binary(batch.column(0)))
+            bits = np.unpackbits(data.reshape(batch.num_rows, -1), axis=1, bitorder="little")
+            for t in range(bands):
+                key = (bits[:, t * width : (t + 1) * width] * weights).sum(axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(key * 4096 + t), batch.column(0)], names=["bucket", "fp"])
+
+    return run
+
+
+def _named(kept: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
+    roots = components(found, "simhash").withColumnRenamed("node", "fp")
+    rooted = classes.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    return kept.join(rooted.join(ids, "root").select("fp", "component_id"), "fp").select("id", "fp", "component_id")
+
+
+def similar_groups(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", similarity: float = SIMILARITY, size: int = SIMILAR_SHINGLE) -> DataFrame:
+    """One row per row of docs: id, fp (binary) and component_id, the least id of its group of similar texts."""
+    differ = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    words, width, bands = band_scheme(docs.count(), differ)
+    bits = 64 * words
+    radius = round(bits * differ + SLACK * math.sqrt(bits * differ * (1 - differ)))
+    kept = stored(
+        docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(_fingerprint_batches(size, words), f"id {docs.schema[id_col].dataType.simpleString()}, fp binary"),
+        "fingerprints",
+    )
+    classes = stored(kept.groupBy("fp").agg(F.min("id").alias("least")), "classes")
+    rows = classes.select("fp").mapInArrow(_bands(width, bands), "bucket long, fp binary")
+    return _named(kept, classes, _compared(rows, radius, TILE, True))
 
 
 def near_groups(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", radius: int = RADIUS, size: int = SHINGLE) -> DataFrame:
@@ -257,17 +337,13 @@ def near_groups(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
         "fingerprints",
     )
     classes = stored(kept.groupBy("fp").agg(F.min("id").alias("least")), "classes")
-    roots = components(links(classes.select("fp"), radius), "simhash").withColumnRenamed("node", "fp")
-    rooted = classes.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(ids, "root").select("fp", "component_id")
-    return kept.join(named, "fp").select("id", "fp", "component_id")
+    return _named(kept, classes, links(classes.select("fp"), radius))
 
 
 def keep_one(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """The rows of docs that are the first of their group, by id (nulls last) and, among equal ids, by content."""
+    """The rows of docs that are the first of their group of similar texts, by id (nulls last) and, among equal ids, by content."""
     base = with_order(docs, id_col, "__uid")
-    first = near_groups(base, text_col, "__uid").filter("id = component_id").select(F.col("id").alias("__uid"))
+    first = similar_groups(base, text_col, "__uid").filter("id = component_id").select(F.col("id").alias("__uid"))
     return base.join(first, "__uid", "left_semi").select(*[f"`{c}`" for c in docs.columns])
 
 

@@ -61,21 +61,20 @@ def test_matches_brute_force(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     got = {r["id"]: (f"{r['fp'] & (2**64 - 1):016x}", r["component_id"]) for r in sh.near_groups(df).collect()}
     assert got == brute_groups(rows)
-    kept = {r["doc_id"] for r in sh.keep_one(df).collect()}
-    assert kept == {c for _, c in brute_groups(rows).values()}
 
 
 def test_close_pairs_match_popcount():
     r = np.random.default_rng(0)
     centre = r.integers(0, 2**63, 8, dtype=np.uint64)
     x = np.array([centre[i % 8] ^ np.uint64(sum(1 << int(b) for b in r.choice(64, r.integers(0, 5), replace=False))) for i in range(300)], np.uint64)
+    x = x.reshape(-1, 1)
     for radius in (1, 2, 3, 5):
         got = {(i, int(j)) for i, js in sh.close_pairs(x, x, radius, True, rows=64) for j in js}
-        want = {(i, j) for i in range(300) for j in range(i + 1, 300) if bin(int(x[i] ^ x[j])).count("1") <= radius}
+        want = {(i, j) for i in range(300) for j in range(i + 1, 300) if bin(int(x[i, 0] ^ x[j, 0])).count("1") <= radius}
         assert got == want
         a, b = x[:100], x[100:]
         got = {(i, int(j)) for i, js in sh.close_pairs(a, b, radius, False) for j in js}
-        assert got == {(i, j) for i in range(100) for j in range(200) if bin(int(a[i] ^ b[j])).count("1") <= radius}
+        assert got == {(i, j) for i in range(100) for j in range(200) if bin(int(a[i, 0] ^ b[j, 0])).count("1") <= radius}
 
 
 def test_schemes_and_tiles_keep_all_groups(spark):
@@ -112,3 +111,41 @@ def test_odd_rows(spark):
     df = spark.createDataFrame([(None, None, 1), (7, "", 2), (7, "", 2), (9, "a b c d", 3)], "doc_id long, text string, fp long")
     assert sorted((r["id"] or 0, r["component_id"]) for r in sh.near_groups(df).collect()) == [(0, 7), (7, 7), (7, 7), (9, 9)]
     assert sorted(r["doc_id"] for r in sh.keep_one(df).collect()) == [7, 9]
+
+
+def similar_corpus():
+    r = random.Random(9)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(r.randint(3, 7)))
+    rows = []
+    for g in range(30):
+        base = [word() for _ in range(r.randint(150, 400))]
+        rows.append((len(rows), " ".join(base)))
+        for k in range(g % 4):
+            w = list(base)
+            for _ in range(round(len(w) * r.choice([0, 0.003, 0.01, 0.015]))):
+                w[r.randrange(len(w))] = word()
+            rows.append((len(rows), " ".join(w)))
+    return rows
+
+
+def jaccard(a, b):
+    s = lambda t: {tuple(t.split()[i : i + 5]) for i in range(max(1, len(t.split()) - 4))}
+    return len(s(a) & s(b)) / len(s(a) | s(b))
+
+
+def test_similar_groups(spark):
+    rows = similar_corpus()
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r["id"]: r["component_id"] for r in sh.similar_groups(df).collect()}
+    pairs = [(a, b, jaccard(x, y)) for a, x in rows for b, y in rows if a < b]
+    near = [got[a] == got[b] for a, b, j in pairs if j >= 0.85]
+    assert len(near) > 20 and sum(near) / len(near) >= 0.95
+    assert not any(got[a] == got[b] for a, b, j in pairs if j < 0.3)
+    assert {r["doc_id"] for r in sh.keep_one(df).collect()} == set(got.values())
+
+
+def test_band_scheme_keeps_recall():
+    for n in (1, 10**5, 10**7, 10**10):
+        words, width, bands = sh.band_scheme(n, 0.15)
+        assert 1 - (1 - 0.85**width) ** bands >= sh.RECALL
+        assert bands * width <= 64 * words and bands <= 4096 and n / 2**width <= 512
