@@ -21,4 +21,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict:
-    return {"op8_mixing": mixing.OP8_SQL}
+    return {"op1_suffix_dedup": suffix_dedup.OP1_SQL, "op5_warc": warc.OP5_SQL, "op7_line_rules": line_rules.OP7_SQL, "op8_mixing": mixing.OP8_SQL}

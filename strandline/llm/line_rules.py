@@ -111,3 +111,20 @@ def judge(
 
 def op7_line_rules(spark, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+OP7_SQL = r"""
+with d as (select doc_id, coalesce(source, '') as host, coalesce(text, '') as t from documents), k as (select *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') as w from d),
+wins as (select doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] as x from (select doc_id, w, unnest(range(1, len(w) - 1)) as i from k where len(w) >= 3)),
+again as (select doc_id, i from (select doc_id, i, count(*) over (partition by doc_id, x) as n from wins) where n > 1),
+rep as (select doc_id, count(distinct i + o) as n_repeat_words from again, (select unnest([0, 1, 2]) as o) group by doc_id),
+l as (select doc_id, host, line from (select doc_id, host, unnest(string_split(t, chr(10))) as line from d) where regexp_matches(line, '[^\x20\x09-\x0D]')),
+dup as (select doc_id, count(*) - count(distinct line) as n_dup_lines from l group by doc_id),
+norm as (select doc_id, host, array_to_string(regexp_extract_all(regexp_replace(lower(line), '[0-9]', '0', 'g'), '[^\x20\x09-\x0D]+'), ' ') as x, sum(len(regexp_extract_all(line, '[^\x20\x09-\x0D]+'))) as words from l group by all),
+held as (select host, x, count(*) as n from norm group by host, x), hosts as (select host, count(*) as docs from d group by host),
+lost as (select doc_id, sum(words) as removed_words from norm join held using (host, x) join hosts using (host) where n > greatest(100, 0.02 * docs) group by doc_id),
+s as (select k.doc_id, len(w)::bigint as n_words, length(array_to_string(w, ''))::bigint as word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::bigint as n_symbols, coalesce(n_dup_lines, 0)::bigint as n_dup_lines,
+  coalesce(n_repeat_words, 0)::bigint as n_repeat_words, coalesce(removed_words, 0)::bigint as removed_words from k left join dup using (doc_id) left join rep using (doc_id) left join lost using (doc_id)),
+f as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from s)
+select *, not base_failed and (removed_words = 0 or (n_words - removed_words >= 50 and n_words - removed_words >= 0.5 * n_words)) as kept from f
+"""

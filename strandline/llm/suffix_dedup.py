@@ -401,3 +401,19 @@ def op1_suffix_dedup(spark, sf_dir: str) -> DataFrame:
     from strandline.llm.common import table
 
     return repeated_substrings(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+#: Windows are first thinned by a hash of their bytes, then compared as strings.
+OP1_SQL = r"""
+with d as (select doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+a as (select doc_id, p, hash(substr(h, 2 * p + 1, 200)) as k from (select doc_id, h, unnest(range(0, len(h) // 2 - 99)) as p from d where len(h) >= 200)),
+w as (select a.doc_id, p, substr(h, 2 * p + 1, 200) as s from a join (select k from a group by k having count(*) > 1) using (k) join d on d.doc_id = a.doc_id),
+r as (select doc_id, p from (select doc_id, p, row_number() over (partition by s order by doc_id, p) as n from w) where n > 1),
+g as (select *, sum(case when prev is null or p > prev + 100 then 1 else 0 end) over (partition by doc_id order by p) as g from (select *, lag(p) over (partition by doc_id order by p) as prev from r)),
+spans as (select doc_id, g, min(p) as s, max(p) + 100 as e from g group by doc_id, g),
+cut as (select *, coalesce(lag(e) over (partition by doc_id order by s), 0) as before from spans),
+kept as (select doc_id, count(*) as n_spans, sum(e - s) as n_removed, max(e) as last_e, string_agg(substr(any_h, 2 * before + 1, 2 * (s - before)), '' order by s) as head
+  from (select cut.*, d.h as any_h from cut join d using (doc_id)) group by doc_id)
+select d.doc_id, (len(h) // 2)::bigint as n_bytes, coalesce(n_removed, 0)::bigint as n_removed, coalesce(n_spans, 0)::bigint as n_spans,
+  sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last_e, 0) + 1))) as kept_sha256 from d left join kept using (doc_id)
+"""

@@ -250,9 +250,20 @@ def read_archives(spark, folder: str) -> DataFrame:
     return files.mapInArrow(_read, "archive string, offset long, page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
 
 
+def captures(spark, folder: str, history: DataFrame) -> DataFrame:
+    """The records that the history points to, with their place in it."""
+    return read_archives(spark, folder).join(history, ["archive", "offset"])
+
+
 def op5_warc(spark, sf_dir: str) -> DataFrame:
     folder, index = write_archives(table(spark, sf_dir, "pages"))
     if not index.take(1):
-        return spark.createDataFrame([], "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url_key string, bucket int, position long")
-    history = merge_index(index).select("bucket", "position", "url_key", "archive", "offset")
-    return read_archives(spark, folder).join(history, ["archive", "offset"]).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "bucket", "position")
+        return spark.createDataFrame([], "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
+    return captures(spark, folder, merge_index(index)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP5_SQL = r"""
+with p as (select page_id, coalesce(html, '') as html from pages), b as (select html, max(page_id) as best from p where strlen(html) >= 1000 group by html)
+select page_id, strlen(html)::bigint as payload_bytes, sha1(html) as payload_digest, case when best is null or best = page_id then 'response' else 'revisit' end as record_type,
+  case when best <> page_id then best end as refers_to from p left join b using (html)
+"""
