@@ -53,7 +53,7 @@ def guard(ledger: DataFrame, config: dict, column: str = "config_sha256") -> Non
 def write_verified(df: DataFrame, path: str) -> DataFrame:
     """Write, read back, and compare row count and checksum; the committer makes the write atomic."""
     spark: SparkSession = df.sparkSession
-    digest = lambda d: d.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*[f"`{c}`" for c in sorted(d.columns)]).bitwiseAND(2**31 - 1)).alias("h")).first()
+    digest = lambda d: d.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(F.to_json(F.struct(*[f"`{c}`" for c in sorted(d.columns)]))).bitwiseAND(2**31 - 1)).alias("h")).first()
     df.write.mode("overwrite").parquet(path)
     back = spark.read.parquet(path)
     if digest(back) != digest(df):
