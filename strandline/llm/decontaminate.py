@@ -28,6 +28,8 @@ from strandline.llm.common import as_binary, byte_view, chunks, table
 
 Q, RATE = 10, 0.08
 BLOCK, PIECE = 1 << 19, 1 << 23
+#: Hits that are expanded at once.
+SLICE = 1 << 20
 
 _U = np.uint64
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -91,6 +93,14 @@ def align(item: np.ndarray, text: np.ndarray, low: int, width: int, most: int) -
     return int(row[k]), low + len(item) + k
 
 
+def _starts(*columns: np.ndarray) -> np.ndarray:
+    """Where a sorted table's key changes."""
+    new = np.zeros(max(0, len(columns[0]) - 1), bool)
+    for c in columns:
+        new |= c[1:] != c[:-1]
+    return np.flatnonzero(np.append(True, new))
+
+
 class Items:
     """The q-gram index of one block of items."""
 
@@ -126,22 +136,35 @@ class Items:
         inside = at + Q <= off[doc + 1]
         at, k, doc = at[inside], k[inside], doc[inside]
         n = self.first[k + 1] - self.first[k]
-        if not n.sum():
+        ends = np.cumsum(n)
+        parts, s = [], 0
+        while s < len(at):  # hits are expanded and counted in slices, so a repetitive text and item stay in memory
+            base = ends[s - 1] if s else 0
+            e = max(s + 1, int(np.searchsorted(ends, base + SLICE, "right")))
+            parts.append(self._count(at[s:e], k[s:e], doc[s:e], n[s:e], off))
+            s = e
+        if not parts:
             return []
+        doc, item, band, count, low, high = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.lexsort((band, item, doc))
+        doc, item, band, count, low, high = (x[order] for x in (doc, item, band, count, low, high))
+        cut = _starts(doc, item, band)
+        count, low, high = np.add.reduceat(count, cut), np.minimum.reduceat(low, cut), np.maximum.reduceat(high, cut)
+        good = count >= self.bound[item[cut]]
+        cut, low, high = cut[good], low[good], high[good]
+        return list(zip(doc[cut].tolist(), item[cut].tolist(), (band[cut] * (self.edits[item[cut]] + 1)).tolist(), low.tolist(), high.tolist(), strict=True))
+
+    def _count(self, at, k, doc, n, off):
+        """Hits of some positions by (text, item, band): count, first and last position in the text."""
         row = np.repeat(np.arange(len(at)), n)
         e = np.arange(len(row)) + np.repeat(self.first[k] - (np.cumsum(n) - n), n)
         item, pos, doc = self.owner[e].astype(np.int64), at[row] - off[doc[row]], doc[row]
-        step = self.edits[item] + 1
-        band = (pos - self.offset[e]) // step  # and the band before it
+        band = (pos - self.offset[e]) // (self.edits[item] + 1)  # and the band before it
         doc, item, band, pos = (np.concatenate(x) for x in ((doc, doc), (item, item), (band, band - 1), (pos, pos)))
         order = np.lexsort((band, item, doc))
         doc, item, band, pos = doc[order], item[order], band[order], pos[order]
-        cut = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (band[1:] != band[:-1])))
-        count = np.diff(np.append(cut, len(doc)))
-        low, high = np.minimum.reduceat(pos, cut), np.maximum.reduceat(pos, cut)
-        good = count >= self.bound[item[cut]]
-        cut, low, high = cut[good], low[good], high[good]
-        return list(zip(doc[cut].tolist(), item[cut].tolist(), (band[cut] * (self.edits[item[cut]] + 1)).tolist(), low.tolist(), high.tolist(), strict=True))
+        cut = _starts(doc, item, band)
+        return doc[cut], item[cut], band[cut], np.diff(np.append(cut, len(doc))), np.minimum.reduceat(pos, cut), np.maximum.reduceat(pos, cut)
 
     def leaks(self, data: np.ndarray, off: np.ndarray) -> dict[int, dict[int, tuple[int, int, int]]]:
         """For each text, the verified items: edits and the range of their shared q-grams."""

@@ -102,3 +102,13 @@ def test_empty_tables(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert dc.with_leaks(d, none).first()["leaks"] == []
     assert dc.with_leaks(d.limit(0), none).count() == 0
+
+
+def test_repetitive_texts_in_slices(monkeypatch):
+    items = dc.Items([(1, b"ab" * 60), (2, b"x" * 90)])
+    text = np.frombuffer(b"ab" * 300 + b" " + b"x" * 400, np.uint8)
+    off = np.array([0, len(text)])
+    whole = items.leaks(text, off)
+    monkeypatch.setattr(dc, "SLICE", 500)
+    assert items.leaks(text, off) == whole
+    assert set(whole[0]) == {0, 1} and all(x[0] == 0 for x in whole[0].values())
