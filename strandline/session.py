@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 
@@ -19,3 +23,20 @@ def build_session(app: str = "strandline", master: str | None = None, **conf: st
     if master:
         builder = builder.master(master)
     return builder.config(map=settings).getOrCreate()
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the package to the executors' Python, once an application: they need not find it on a path of their own."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parent
+    bundle = Path(tempfile.mkdtemp(prefix="strandline-")) / "strandline_bundle.zip"
+    with zipfile.ZipFile(bundle, "w", zipfile.ZIP_DEFLATED) as out:
+        for p in sorted(root.rglob("*.py")):
+            out.write(p, p.relative_to(root.parent))
+    context.addPyFile(str(bundle))
+    _SHIPPED.add(context.applicationId)
