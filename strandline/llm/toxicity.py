@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strandline.llm.common import as_binary, table
+from strandline.llm.common import as_binary, stored, table
 
 LABELLED, FEATURES, FOLDS = 20_000, 1500, 3
 LEAST_DOCS, RIDGE = 4, 1.0
@@ -54,7 +54,7 @@ def _count(n_labels: int):
                 part = items[s : s + 50_000]
                 flat = np.concatenate([v for _, v in part])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([k[0] for k, _ in part], pa.int32()), pa.array([k[1] for k, _ in part], pa.string()), pa.ListArray.from_arrays(np.arange(len(part) + 1, dtype=np.int32) * FOLDS * (n_labels + 1), pa.array(flat))],
+                    [pa.array([k[0] for k, _ in part], pa.int32()), pa.array([k[1] for k, _ in part], pa.string()), pa.ListArray.from_arrays(np.arange(len(part) + 1, dtype=np.int64) * FOLDS * (n_labels + 1), pa.array(flat))],
                     names=["kind", "word", "n"],
                 )
 
@@ -185,18 +185,20 @@ class Chain:
         return np.stack(out, axis=1) if out else np.zeros((len(size), 0))
 
 
-def _strongest(n: np.ndarray, k: int, total: np.ndarray, most: int) -> np.ndarray:
-    """Indices of the features that tell label k best, by the z of the two shares; n: rows (all, label ...)."""
-    docs, pos = n[:, 0], n[:, k + 1]
-    all_docs, all_pos = total[0], total[k + 1]
-    if not all_pos or all_pos == all_docs:
-        return np.zeros(0, np.int64)
-    neg, all_neg = docs - pos, all_docs - all_pos
-    share = docs / all_docs
-    z = np.abs(pos / all_pos - neg / all_neg) / np.sqrt(np.maximum(share * (1 - share), 1e-9) * (1 / all_pos + 1 / all_neg))
-    z[docs < LEAST_DOCS] = 0
-    order = np.lexsort((np.arange(len(z)), -z))[:most]
-    return order[z[order] > 2.0]
+def _strongest(counts: DataFrame, names: list[str], n: np.ndarray, k: int, f: int, most: int) -> list[tuple[int, str]]:
+    """The (kind, word) of the `most` features that tell label k best without fold f (FOLDS: with all folds), by the z
+    of the two shares; n: documents and labels by fold. Ranked on the executors; at most `most` rows come back."""
+    width = n.shape[1]
+    of = lambda j: sum((F.col(names[g * width + j]) for g in range(FOLDS) if g != f), F.lit(0).cast("long"))
+    total = n.sum(axis=0) - (n[f] if f < FOLDS else 0)
+    every, marked = float(total[0]), float(total[k + 1])
+    if not marked or marked == every:
+        return []
+    docs, pos = of(0), of(k + 1)
+    share = docs / every
+    z = F.abs(pos / marked - (docs - pos) / (every - marked)) / F.sqrt(F.greatest(share * (1 - share), F.lit(1e-9)) * (1 / marked + 1 / (every - marked)))
+    best = counts.filter(docs >= LEAST_DOCS).select("kind", "word", z.alias("z")).filter("z > 2").orderBy(F.desc("z"), "kind", "word").limit(most)
+    return [(r["kind"], r["word"]) for r in best.select("kind", "word").collect()]
 
 
 def learn(docs: DataFrame, labelled: DataFrame, categories: tuple[str, ...] = CATEGORIES, text_col: str = "text", id_col: str = "doc_id", most: int = LABELLED) -> Chain:
@@ -217,16 +219,14 @@ def learn(docs: DataFrame, labelled: DataFrame, categories: tuple[str, ...] = CA
     totals = np.zeros((FOLDS, n + 1), np.int64)
     for r in own.groupBy("fold").agg(F.count(F.lit(1)).alias("docs"), *[F.sum(c).alias(c) for c in categories]).collect():
         totals[r["fold"]] = [r["docs"], *[r[c] for c in categories]]
-    # a feature that is strong in no fold complement and no category stays on the executors
-    got = counts.toPandas().sort_values(["kind", "word"], ignore_index=True)
-    by = got[[f"n{k}" for k in range(width)]].to_numpy(np.int64).reshape(len(got), FOLDS, n + 1)
-    allowed: list[list[np.ndarray]] = []  # category, fold left out (FOLDS: none)
-    for k in range(n):
-        allowed.append([_strongest(by.sum(1) - (by[:, f] if f < FOLDS else 0), k, totals.sum(0) - (totals[f] if f < FOLDS else 0), FEATURES) for f in range(FOLDS + 1)])
-    used = np.unique(np.concatenate([a for x in allowed for a in x])) if n else np.zeros(0, np.int64)
+    counts = stored(counts, "features")
+    names = [f"n{k}" for k in range(width)]
+    chosen_of = [[_strongest(counts, names, totals, k, f, FEATURES) for f in range(FOLDS + 1)] for k in range(n)]
+    used = sorted({key for x in chosen_of for y in x for key in y})
+    place = {key: at for at, key in enumerate(used)}
     known: list[dict[str, int]] = [{}, {}, {}]
-    for at, u in enumerate(used):
-        known[got["kind"].iat[u]][got["word"].iat[u]] = at
+    for (kind, word), at in place.items():
+        known[kind][word] = at
     rows = own.mapInArrow(_extract(known, n), "__id long, fold int, " + "".join(f"`{c}` int, " for c in categories) + "has array<int>, size long").toPandas().sort_values(["__id", *categories, "size"], ignore_index=True)
     ptr = np.concatenate([[0], np.cumsum(rows["has"].map(len).to_numpy(np.int64))]) if len(rows) else np.zeros(1, np.int64)
     idx = np.concatenate(rows["has"].to_list()).astype(np.int64) if len(rows) and ptr[-1] else np.zeros(0, np.int64)
@@ -240,9 +240,9 @@ def learn(docs: DataFrame, labelled: DataFrame, categories: tuple[str, ...] = CA
     for k, c in enumerate(categories):
         y = rows[c].to_numpy(float)
         flags = []
-        for a in allowed[k]:
+        for keys in chosen_of[k]:
             m = np.zeros(len(used), bool)
-            m[np.searchsorted(used, a)] = True
+            m[[place[key] for key in keys]] = True
             flags.append(m)
         apart = np.full(len(y), y.mean() if len(y) else 0.0)
         if len(y):
