@@ -6,8 +6,9 @@ its siblings by weight (water filling), so a shortage reaches the next ancestor
 A leaf repeats its documents in whole epochs and takes the rest as a prefix of one more epoch: documents in the order
 of md5(seed, epoch, id), as long as the tokens before them are less than what is left. (The last one may go beyond.)
 
-A prefix is found without sorting a leaf in one task: tokens are summed by (leaf, first 3 hexadecimal digits of the
-order), running sums over at most 4096 such buckets give the bucket of the cut, and only that bucket is sorted.
+A prefix is found without sorting a leaf in one task: tokens are summed by (leaf, first 2 hexadecimal digits of the
+order), running sums over at most 256 such buckets give the bucket of the cut; that bucket is split by the next 2
+digits in the same way, and only the last bucket, one of 65536, is sorted.
 
 Nulls in lang and source are nodes of their own with the name ''; a null text has no tokens. Rows with equal ids have
 equal order and are taken together. Weights are whole numbers; 0 takes nothing; nodes without one have weight 1.
@@ -24,6 +25,8 @@ from strandline.llm.common import stored, table
 LEVELS = ("domain", "lang", "source")
 WORDS = r"[^\x20\x09-\x0D]+"
 MAX_EPOCHS, SEED, SHARE = 3, 17, 0.6
+#: Hexadecimal digits of the order that make the buckets of each step.
+PREFIXES = (2, 4)
 #: Leaves up to this number are broadcast.
 LEAVES = 100_000
 DOMAIN_WEIGHTS = {"d0": 4, "d1": 3, "d2": 2, "d3": 1}
@@ -92,11 +95,14 @@ def plan(rows: DataFrame, weights: dict[str, dict[str, int]], share: float = SHA
     )
     few = leaf.count() <= LEAVES
     some = leaf.filter("rest > 0").select(*LEVELS, "epochs", "rest")
-    ordered = rows.join(F.broadcast(some) if few else some, list(LEVELS)).withColumn("o", order_of(F.col("epochs"), seed)).select(*LEVELS, "rest", "o", "id", "n_tokens").withColumn("bucket", F.substring("o", 1, 3))
-    sums = ordered.groupBy(*LEVELS, "bucket").agg(F.sum("n_tokens").alias("n"), F.first("rest").alias("rest"))
-    sums = sums.withColumn("before", F.coalesce(F.sum("n").over(W.partitionBy(*LEVELS).orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)), F.lit(0).cast("long")))
-    cut = sums.filter("before < rest and rest <= before + n").select(*LEVELS, "bucket", "before")
-    inside = ordered.join(F.broadcast(cut) if few else cut, [*LEVELS, "bucket"])
+    inside = rows.join(F.broadcast(some) if few else some, list(LEVELS)).withColumn("o", order_of(F.col("epochs"), seed)).select(*LEVELS, "rest", "o", "id", "n_tokens").withColumn("before", F.lit(0).cast("long"))
+    for digits in PREFIXES:
+        inside = inside.withColumn("bucket", F.substring("o", 1, digits))
+        sums = inside.groupBy(*LEVELS, "bucket").agg(F.sum("n_tokens").alias("n"), F.first("rest").alias("rest"), F.first("before").alias("base"))
+        run = F.sum("n").over(W.partitionBy(*LEVELS).orderBy("bucket").rowsBetween(W.unboundedPreceding, -1))
+        sums = sums.withColumn("before", F.col("base") + F.coalesce(run, F.lit(0).cast("long")))
+        cut = stored(sums.filter("before < rest and rest <= before + n").select(*LEVELS, "bucket", "before"), "cut")  # at most one row a leaf
+        inside = inside.drop("before").join(F.broadcast(cut) if few else cut, [*LEVELS, "bucket"])
     inside = inside.withColumn("run", F.col("before") + F.coalesce(F.sum("n_tokens").over(W.partitionBy(*LEVELS).orderBy("o", "id").rowsBetween(W.unboundedPreceding, -1)), F.lit(0).cast("long")))
     last = inside.filter("run < rest").groupBy(*LEVELS).agg(F.max(F.struct("o", "id")).alias("last"))
     return leaf.select(*LEVELS, "epochs").join(last, list(LEVELS), "left").select(*LEVELS, "epochs", F.col("last.o").alias("last_o"), F.col("last.id").alias("last_id"))
