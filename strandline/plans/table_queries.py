@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import itertools
-
 from pyspark.sql import Column
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -452,10 +450,10 @@ def coarse_to_fine(spark, sf_dir):
     """A coarse grid, its best two nodes, a fine grid around those, the best; the grids are arrays in the row."""
     part = table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_retailprice")
     node = lambda x, y: F.struct(_cost(x, y).alias("c"), x.cast("long").alias("x"), y.cast("long").alias("y"))
-    coarse = F.array(*[node(F.lit(8 * x), F.lit(8 * y)) for x, y in itertools.product(range(8), range(8))])
-    held = part.withColumn("top", F.slice(F.array_sort(coarse), 1, 2)).withColumn("n", F.explode("top"))
-    steps = F.array(*[F.struct(F.lit(x).alias("dx"), F.lit(y).alias("dy")) for x, y in itertools.product(range(-4, 5), range(-4, 5))])
-    fine = held.select("p_partkey", "p_size", "p_retailprice", F.array_min(F.transform(steps, lambda s: node(F.col("n.x") + s["dx"], F.col("n.y") + s["dy"]))).alias("b"))
+    coarse = F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: node(F.floor(i / 8) * 8, (i % 8) * 8))
+    held = part.withColumn("top", F.slice(F.sort_array(coarse), 1, 2)).withColumn("n", F.explode("top"))
+    steps = F.sequence(F.lit(0), F.lit(80))
+    fine = held.select("p_partkey", F.array_min(F.transform(steps, lambda s: node(F.col("n.x") + F.floor(s / 9) - 4, F.col("n.y") + s % 9 - 4))).alias("b"))
     return fine.groupBy("p_partkey").agg(F.min("b").alias("b")).select("p_partkey", "b.x", "b.y")
 
 
