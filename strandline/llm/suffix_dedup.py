@@ -7,8 +7,9 @@ A window is a string of `WINDOW` bytes at one start; a window is a repeat if the
    The anchor depends on the window's bytes alone, so equal windows have equal anchors at equal offsets. Neighbouring
    windows share anchors, so a document of n bytes has about n / 35 runs (windows in a row with one anchor).
 2. Runs meet by anchor hash. Runs alone with their anchor hold no repeats. Equal runs (128 bits of hash over all their
-   bytes) are collapsed to the earliest, the others are repeats whole. Earliest runs whose anchor has other variants
-   are the suffixes that have to be sorted.
+   bytes) are collapsed to the earliest, first inside each batch of documents and then across them; the others are
+   repeats whole and no longer travel to their anchor's partition, so a text in a third of all documents is a few rows
+   there. Earliest runs whose anchor has other variants are the suffixes that have to be sorted.
 3. Those suffixes are range-partitioned by their leading tokens (the first 8 bytes of the anchor) with sampled
    splitters; a token sequence that fills several buckets is dealt over all of them.
 4. Each bucket expands its runs into windows and sorts them by multikey quicksort: 8-byte words from the left, where
@@ -117,21 +118,38 @@ def _pieces(col: pa.LargeBinaryArray, window: int, limit: int = 1 << 20, most: i
             yield i, s, data[off[i] + s : off[i] + e], np.array([0, e - s])
 
 
+def _collapse(h: np.ndarray, dig: np.ndarray, uid: np.ndarray, loc: np.ndarray) -> np.ndarray:
+    """True for rows that equal an earlier one (by uid and loc) in h and dig."""
+    order = np.lexsort((loc, uid, dig, h))
+    again = np.zeros(len(h), bool)
+    again[order[1:]] = (h[order[1:]] == h[order[:-1]]) & (dig[order[1:]] == dig[order[:-1]])
+    return again
+
+
 def _emit_runs(window: int):
+    """All runs of a batch of documents; copies within the batch are marked and spread evenly by their place."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             uid = batch.column(0).to_numpy(zero_copy_only=False)
+            held: list[tuple[np.ndarray, ...]] = []
             for i, start, data, off in _pieces(as_binary(batch.column(1)), window):
                 r = anchor_runs(data, off, window)
                 if len(r["doc"]):
-                    loc = ((r["q0"] + start) << 16) | (r["n"] << 8) | r["ao"]
-                    yield pa.RecordBatch.from_arrays([pa.array(r["h"]), pa.array(r["dig"]), pa.array(uid[i + r["doc"]]), pa.array(loc)], names=["h", "dig", "uid", "loc"])
+                    held.append((r["h"], r["dig"], uid[i + r["doc"]], ((r["q0"] + start) << 16) | (r["n"] << 8) | r["ao"]))
+            if held:
+                h, dig, u, loc = (np.concatenate(x) for x in zip(*held, strict=True))
+                copy = _collapse(h, dig, u, loc)
+                key = np.where(copy, _mix((u ^ (loc << 20)).view(np.uint64)).view(np.int64), h)
+                for s in range(0, len(h), 100_000):
+                    e = s + 100_000
+                    yield pa.RecordBatch.from_arrays([pa.array(x[s:e]) for x in (key, dig, u, loc, copy.astype(np.int8))], names=["h", "dig", "uid", "loc", "copy"])
 
     return run
 
 
 def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From runs sorted by (h, dig, uid, loc): kind 0 for copies of an earlier equal run, 1 for suffixes to be sorted.
+    """From runs sorted by (copy, h, dig, uid, loc): kind 0 for copies of an earlier equal run, 1 for suffixes to be sorted.
 
     The first variant of an anchor is held until a second one turns up, so one row is carried between batches."""
     carry_h = carry_dig = None
@@ -139,8 +157,14 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
-        h, dig, uid, loc = (batch.column(k).to_numpy() for k in range(4))
+        h, dig, uid, loc, known = (batch.column(k).to_numpy() for k in range(5))
+        done = int(np.searchsorted(known, 1))  # known copies come last
+        if done < len(h):
+            yield pa.RecordBatch.from_arrays([pa.array(uid[done:]), pa.array(loc[done:]), pa.array(np.zeros(len(h) - done, np.int8))], names=["uid", "loc", "kind"])
+            h, dig, uid, loc = h[:done], dig[:done], uid[:done], loc[:done]
         n = len(h)
+        if not n:
+            continue
         same_h = np.zeros(n, bool)
         same_h[1:] = h[1:] == h[:-1]
         same_h[0] = carry_h is not None and h[0] == carry_h
@@ -375,8 +399,8 @@ def repeated_substrings(docs: DataFrame, text_col: str = "text", id_col: str = "
         raise ValueError("window must be from 64 to 120 bytes")
     spark, n = docs.sparkSession, partitions(docs.sparkSession)
     base = with_order(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")))
-    runs = base.select("uid", "text").mapInArrow(_emit_runs(window), "h long, dig long, uid long, loc long")
-    settled = stored(runs.repartition(n, "h").sortWithinPartitions("h", "dig", "uid", "loc").mapInArrow(_settle, "uid long, loc long, kind byte"), "settled")
+    runs = base.select("uid", "text").mapInArrow(_emit_runs(window), "h long, dig long, uid long, loc long, copy byte")
+    settled = stored(runs.repartition(n, "h").sortWithinPartitions("copy", "h", "dig", "uid", "loc").mapInArrow(_settle, "uid long, loc long, kind byte"), "settled")
 
     splitters = _splitters(base, n, window)
     wanted = settled.filter("kind = 1").groupBy("uid").agg(F.collect_list("loc").alias("locs"))
