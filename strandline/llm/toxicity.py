@@ -29,6 +29,8 @@ from strandline.llm.common import as_binary, stored, table
 
 LABELLED, FEATURES, FOLDS = 20_000, 1500, 3
 LEAST_DOCS, RIDGE = 4, 1.0
+#: Distinct features that a task holds before it passes their counts on.
+HELD = 250_000
 CATEGORIES = ("junk", "toxic")
 
 _SPACES = bytes(32 if chr(c) in ".,;:!?\"'()[]{}<>|*#$%&/\\=+~^`_" or c < 33 else c for c in range(256))
@@ -54,7 +56,7 @@ def _count(n_labels: int):
                 part = items[s : s + 50_000]
                 flat = np.concatenate([v for _, v in part])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([k[0] for k, _ in part], pa.int32()), pa.array([k[1] for k, _ in part], pa.string()), pa.ListArray.from_arrays(np.arange(len(part) + 1, dtype=np.int64) * FOLDS * (n_labels + 1), pa.array(flat))],
+                    [pa.array([k[0] for k, _ in part], pa.int32()), pa.array([k[1] for k, _ in part], pa.string()), pa.ListArray.from_arrays(np.arange(len(part) + 1, dtype=np.int32) * FOLDS * (n_labels + 1), pa.array(flat))],
                     names=["kind", "word", "n"],
                 )
 
@@ -70,7 +72,7 @@ def _count(n_labels: int):
                         at = fold[i] * (n_labels + 1)
                         n[at] += 1
                         n[at + 1 : at + 1 + n_labels] += y[i]
-                if len(sums) > 1_000_000:
+                if len(sums) > HELD:
                     yield from passed_on()
         yield from passed_on()
 
@@ -98,24 +100,42 @@ class Linear:
         self.w, self.d, self.b = np.zeros(width), np.zeros(dense), 0.0
 
     @staticmethod
-    def _row_sums(values: np.ndarray, ptr: np.ndarray) -> np.ndarray:
-        total = np.concatenate([[0.0], np.cumsum(values)])
-        return total[ptr[1:]] - total[ptr[:-1]]
+    def _blocks(ptr: np.ndarray, most: int = 1 << 19) -> Iterator[tuple[int, int]]:
+        """Row ranges of about `most` entries, so that no temporary is as long as all entries."""
+        at, n = 0, len(ptr) - 1
+        while at < n:
+            end = min(n, max(at + 1, int(np.searchsorted(ptr, ptr[at] + most, "right")) - 1))
+            yield at, end
+            at = end
+
+    @classmethod
+    def _row_sums(cls, w: np.ndarray, idx: np.ndarray, ptr: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(ptr) - 1)
+        for a, b in cls._blocks(ptr):
+            total = np.concatenate([[0.0], np.cumsum(w[idx[ptr[a] : ptr[b]]])])
+            out[a:b] = total[ptr[a + 1 : b + 1] - ptr[a]] - total[ptr[a:b] - ptr[a]]
+        return out
+
+    @classmethod
+    def _column_sums(cls, r: np.ndarray, idx: np.ndarray, ptr: np.ndarray, width: int) -> np.ndarray:
+        out = np.zeros(width)
+        for a, b in cls._blocks(ptr):
+            out += np.bincount(idx[ptr[a] : ptr[b]], np.repeat(r[a:b], np.diff(ptr[a : b + 1])), width)
+        return out
 
     def margin(self, idx, ptr, dense):
-        return self._row_sums(self.w[idx], ptr) + dense @ self.d + self.b
+        return self._row_sums(self.w, idx, ptr) + dense @ self.d + self.b
 
     def fit(self, idx, ptr, dense, y, allowed=None, ridge=RIDGE, steps=120):
         nw, nd = len(self.w), len(self.d)
-        rows = np.repeat(np.arange(len(y)), np.diff(ptr))
         mask = np.ones(nw) if allowed is None else allowed.astype(float)
 
         def value(theta):
             w, d, b = theta[:nw] * mask, theta[nw : nw + nd], theta[-1]
-            m = self._row_sums(w[idx], ptr) + dense @ d + b
+            m = self._row_sums(w, idx, ptr) + dense @ d + b
             loss = np.logaddexp(0, m).sum() - (y * m).sum() + 0.5 * ridge * (w @ w + 0.1 * d @ d)
             r = 1 / (1 + np.exp(-np.clip(m, -35, 35))) - y
-            grad = np.concatenate([(np.bincount(idx, r[rows], nw) + ridge * w) * mask, dense.T @ r + 0.1 * ridge * d, [r.sum()]])
+            grad = np.concatenate([(self._column_sums(r, idx, ptr, nw) + ridge * w) * mask, dense.T @ r + 0.1 * ridge * d, [r.sum()]])
             return loss, grad
 
         theta = np.zeros(nw + nd + 1)
@@ -229,7 +249,7 @@ def learn(docs: DataFrame, labelled: DataFrame, categories: tuple[str, ...] = CA
         known[kind][word] = at
     rows = own.mapInArrow(_extract(known, n), "__id long, fold int, " + "".join(f"`{c}` int, " for c in categories) + "has array<int>, size long").toPandas().sort_values(["__id", *categories, "size"], ignore_index=True)
     ptr = np.concatenate([[0], np.cumsum(rows["has"].map(len).to_numpy(np.int64))]) if len(rows) else np.zeros(1, np.int64)
-    idx = np.concatenate(rows["has"].to_list()).astype(np.int64) if len(rows) and ptr[-1] else np.zeros(0, np.int64)
+    idx = np.concatenate(rows["has"].to_list()).astype(np.int32) if len(rows) and ptr[-1] else np.zeros(0, np.int32)
     fold, dense = rows["fold"].to_numpy(), np.log1p(rows["size"].to_numpy(float))[:, None] / 10
 
     def part(mask):
