@@ -11,12 +11,17 @@ second, fitted on a bounded set of documents that the counts leave out; `rejecte
 beyond what that set shows for the language (mean and REJECT standard deviations).
 
 Null texts and texts without a letter are `und` with score 0. Texts beyond PIECE characters are scored in pieces that
-each begin with spaces. The model is bounded: of each language, the strings of the lowest counts go once there are
-more than MAX_GRAMS; that bounds the broadcast and is the only bound on what is counted.
+each begin with spaces.
+
+No string is left out. The model is cut into blocks by the two characters before the last one: a string, its contexts
+and what it backs off to lie in one block down to order 3, pairs of characters are in each block that needs them, and
+single characters in all. The number of blocks grows with the number of strings, CELLS bounds the size of one.
+Executors build the blocks; each is a broadcast of its own, and whoever scores holds one of them at a time.
 """
 
 from __future__ import annotations
 
+import pickle
 import unicodedata
 from collections.abc import Iterator
 
@@ -26,11 +31,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strandline.llm.common import as_binary, stored, table
+from strandline.llm.common import as_binary, byte_view, chunks, stored, table
 
 ORDER = 5
-#: Strings kept for each language; documents for calibration; distinct strings held in a task before they are passed on.
-MAX_GRAMS, CALIBRATION, HELD = 400_000, 4000, 2_000_000
+#: Documents for calibration; distinct strings held in a task before they are passed on.
+CALIBRATION, HELD = 4000, 2_000_000
+#: Cells (strings of a language times columns) of one block of the model, and bytes of one row of its stored form.
+CELLS, SLICE = 1 << 22, 1 << 22
 REJECT = 6.0
 PIECE = 400_000
 
@@ -165,12 +172,29 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from passed_on()
 
 
+def _discount(once: float, twice: float) -> float:
+    return min(max(once / (once + 2 * twice) if once else 0.5, 0.05), 0.95)
+
+
+def _pairs(before: np.ndarray, earlier: np.ndarray) -> np.ndarray:
+    """The character before the last one, and the one before that, as one number."""
+    return before.astype(np.int64) << 21 | earlier.astype(np.int64)
+
+
 class KneserNey:
     """Interpolated Kneser-Ney models of several languages in sorted hash arrays."""
 
-    def __init__(self, counts: dict[str, tuple[np.ndarray, np.ndarray]], discounts: dict[str, float] | None = None):
-        """counts: for each language, the code matrix of its strings and their counts."""
-        self.langs = sorted(counts)
+    def __init__(
+        self,
+        counts: dict[str, tuple[np.ndarray, np.ndarray]],
+        discounts: dict[tuple[str, int], float] | None = None,
+        given: dict[tuple[str, int], tuple[np.ndarray, np.ndarray]] | None = None,
+        floor: float | None = None,
+        span: tuple[int, int] | None = None,
+    ):
+        """counts: for each language, the code matrix of its strings and their counts. For one block of a model: the
+        discounts, the strings of orders that reach beyond the block, the floor, and the block's range of `_pairs`."""
+        self.langs, self.span = sorted(counts), span
         own: list[list[tuple]] = []
         seen: list[list[np.ndarray]] = [[] for _ in range(ORDER + 1)]
         chars: set[int] = set()
@@ -179,13 +203,12 @@ class KneserNey:
             chars.update(np.unique(grams).tolist())
             levels = []
             for order in range(ORDER, 0, -1):
+                grams, n = (given or {}).get((lang, order), (grams, n))
                 keys = _gram_keys(grams)
                 context, at = np.unique(_gram_keys(grams[:, :-1]) if order > 1 else np.zeros(len(grams), np.uint64), return_inverse=True)
                 total = np.bincount(at, n)
                 once, twice = float((n == 1).sum()), float((n == 2).sum())
-                d = (discounts or {}).get(lang) if order == ORDER else None
-                d = d if d is not None else once / (once + 2 * twice) if once else 0.5
-                d = min(max(d, 0.05), 0.95)
+                d = _discount(once, twice) if discounts is None else discounts[lang, order]
                 weight = d * np.bincount(at) / total
                 levels.append((order, keys, grams, np.maximum(n - d, 0) / total[at], context, weight))
                 seen[order].append(grams)
@@ -196,7 +219,7 @@ class KneserNey:
                     pick[back] = np.arange(len(back))
                     grams, n = grams[pick, 1:], np.bincount(back).astype(np.float64)
             own.append(levels)
-        self.floor = float(np.log(1 / (len(chars) + 1)))
+        self.floor = float(np.log(1 / (len(chars) + 1))) if floor is None else floor
         self.keys: list[np.ndarray] = [np.zeros(0, np.uint64)] * (ORDER + 1)
         self.logp: list[np.ndarray] = [np.zeros((0, len(self.langs)), np.float32)] * (ORDER + 1)
         self.contexts: list[np.ndarray] = [np.zeros(0, np.uint64)] * (ORDER + 1)
@@ -253,8 +276,8 @@ class KneserNey:
             ORDER, _keys(out, pos, ORDER), lambda rows, n: _keys(out, pos[rows] - 1, n - 1) if n > 1 else np.zeros(len(rows), np.uint64), lambda rows, n: _keys(out, pos[rows], n)
         )
 
-    def entropies(self, values: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Cross-entropy per character of each text for each language, and the number of characters."""
+    def totals(self, values: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Log-probability of each text for each language, of the positions in this block, and the number of all characters."""
         total, n = np.zeros((len(values), len(self.langs))), np.zeros(len(values), np.int64)
         for rows, held in _batches_of(values):
             out, pos, of = _padded(held)
@@ -262,22 +285,123 @@ class KneserNey:
             np.add.at(n, index, [len(h) for h in held])
             for s in range(0, len(pos), 1 << 18):
                 p, o = pos[s : s + (1 << 18)], of[s : s + (1 << 18)]
+                if self.span is not None:
+                    pair = _pairs(out[p - 1], out[p - 2])
+                    mine = (pair >= self.span[0]) & (pair < self.span[1])
+                    p, o = p[mine], o[mine]
+                if not len(p):
+                    continue
                 logp = self.score(out, p)
                 cut = np.flatnonzero(np.append(True, o[1:] != o[:-1]))
                 np.add.at(total, index[o[cut]], np.add.reduceat(logp, cut, axis=0, dtype=np.float64))
+        return total, n
+
+    def entropies(self, values: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Cross-entropy per character of each text for each language, and the number of characters."""
+        total, n = self.totals(values)
+        return -total / np.maximum(n, 1)[:, None], n
+
+
+class Blocks:
+    """A model in blocks, each a broadcast KneserNey."""
+
+    def __init__(self, langs: list[str], parts: list):
+        self.langs, self.parts = langs, parts
+
+    def entropies(self, values: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        total, n = np.zeros((len(values), len(self.langs))), np.zeros(len(values), np.int64)
+        for part in self.parts:
+            more, n = part.value.totals(values)
+            total += more
+            if len(self.parts) > 1:
+                vars(part).pop("_value", None)  # the loaded value; the broadcast's file stays and is read again
         return -total / np.maximum(n, 1)[:, None], n
 
 
+def _matrix(grams, order: int) -> np.ndarray:
+    return np.frombuffer("".join(grams).encode("utf-32-le"), np.uint32).reshape(-1, order)
+
+
+def _build_block(langs: list[str], discounts: dict, ones: dict, floor: float, cuts: list[int]):
+    """Rows (block, lang, gram, n) of orders ORDER and 2 of one block -> its pickled KneserNey in slices."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        block = rows.column("block")[0].as_py()
+        lang, gram = (np.array(rows.column(c).to_pylist(), object) for c in ("lang", "gram"))
+        n, order = rows.column("n").to_numpy().astype(np.float64), np.fromiter(map(len, gram), np.int64, len(gram))
+        counts, given = {}, dict(ones)
+        for k in langs:
+            for size in (ORDER, 2):
+                use = (lang == k) & (order == size)
+                got = (_matrix(gram[use], size), n[use])
+                if size == ORDER:
+                    counts[k] = got
+                else:
+                    given[k, 2] = got
+        edges = [-1, *cuts, 1 << 62]
+        whole = pickle.dumps(KneserNey(counts, discounts, given, floor, (edges[block], edges[block + 1]) if cuts else None), 5)
+        data = [whole[s : s + SLICE] for s in range(0, len(whole), SLICE)]
+        return pa.table({"block": pa.array([block] * len(data), pa.int32()), "k": pa.array(range(len(data)), pa.int32()), "data": pa.array(data, pa.binary())})
+
+    return run
+
+
+def build(grams: DataFrame) -> Blocks:
+    """The model of all strings of grams (lang, gram, n)."""
+    spark = grams.sparkSession
+    levels = {ORDER: grams}
+    for order in range(ORDER - 1, 0, -1):  # continuation counts: how many different characters come before
+        levels[order] = levels[order + 1].groupBy("lang", F.substring("gram", 2, order).alias("gram")).agg(F.count(F.lit(1)).alias("n"))
+    levels[2] = stored(levels[2], "grams-2")
+    levels[1] = levels[2].groupBy("lang", F.substring("gram", 2, 1).alias("gram")).agg(F.count(F.lit(1)).alias("n"))
+    many = None
+    for order, level in levels.items():
+        part = level.groupBy("lang").agg(F.count_if(F.col("n") == 1).alias("once"), F.count_if(F.col("n") == 2).alias("twice"), F.count(F.lit(1)).alias("m")).withColumn("order", F.lit(order))
+        many = part if many is None else many.unionByName(part)
+    stats = many.collect()
+    discounts = {(r["lang"], r["order"]): _discount(r["once"], r["twice"]) for r in stats}
+    langs = sorted({r["lang"] for r in stats})
+    if not langs:
+        return Blocks([], [])
+    single = levels[1].toPandas()
+    ones = {}
+    for k in langs:
+        mine = single[single["lang"] == k]
+        ones[k, 1] = (_matrix(mine["gram"], 1), mine["n"].to_numpy(np.float64))
+    floor = float(np.log(1 / (len({*single["gram"], " "}) + 1)))
+    code = lambda at: F.ascii(F.substring("gram", at, 1)).cast("long")
+    pair = code(ORDER - 1) * (1 << 21) + code(ORDER - 2)
+    blocks = -(-sum(r["m"] for r in stats if r["order"] == ORDER) * (len(langs) + 2) // CELLS)
+    cuts: list[int] = []
+    if blocks > 1:
+        keyed = grams.select(pair.cast("double").alias("p"))
+        quantiles = keyed.approxQuantile("p", [k / blocks for k in range(blocks)], 0.1 / blocks)
+        least = keyed.agg(F.min("p").alias("p")).first()["p"]
+        cuts = sorted({int(q) for q in quantiles if q > least})
+    block_of = lambda p: F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= p)) if cuts else F.lit(0)
+    first = code(1) * (1 << 21)
+    twos = levels[2].withColumn("block", F.explode(F.sequence(block_of(first), block_of(first + ((1 << 21) - 1)))))
+    rows = grams.withColumn("block", block_of(pair)).unionByName(twos).select("block", "lang", "gram", "n")
+    made = stored(rows.groupBy("block").applyInArrow(_build_block(langs, discounts, ones, floor, cuts), "block int, k int, data binary"), "model")
+    parts = []
+    for b in range(len(cuts) + 1):
+        whole = b"".join(r["data"] for r in made.filter(F.col("block") == b).orderBy("k").collect())
+        parts.append(spark.sparkContext.broadcast(pickle.loads(whole)))
+    return Blocks(langs, parts)
+
+
 class Identifier:
     """The models with the calibration of scores and of rejection."""
 
-    def __init__(self, model: KneserNey, values: list[bytes] = (), langs: list[str] = ()):
+    def __init__(self, model: KneserNey | Blocks, h: np.ndarray | None = None, n: np.ndarray | None = None, langs: list[str] = ()):
+        """h, n, langs: cross-entropies by the model, characters and true languages of the texts to calibrate with."""
         self.model, self.slope, self.shift = model, 8.0, 0.0
         self.limit = np.full(len(model.langs), np.inf)
-        if not len(values) or not model.langs:
+        if not len(langs) or not model.langs:
             return
-        h, n = model.entropies(list(values))
         use = n > 0
+        if not use.any():
+            return
         h, n, truth = h[use], n[use], np.array(langs, object)[use]
         best = h.argmin(axis=1)
         right = np.array([model.langs[b] == t for b, t in zip(best, truth, strict=True)], float)
@@ -313,49 +437,49 @@ class Identifier:
         return langs, np.where(n > 0, score, 0.0), np.where(n > 0, least, 0.0), (n > 0) & (least > self.limit[best])
 
 
+def _grams(rows: DataFrame) -> DataFrame:
+    return rows.select("lang", "text").mapInArrow(_count, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Slices of a few MB of text, the last column, with their texts."""
+    for batch in batches:
+        texts = as_binary(batch.column(batch.num_columns - 1))
+        for i, j in chunks(byte_view(texts)[1], 1 << 22):
+            yield batch.slice(i, j - i), texts.slice(i, j - i).to_pylist()
+
+
+def _entropies(model: Blocks):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, values in _parts(batches):
+            h, n = model.entropies(values)
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(list(h), pa.list_(pa.float64())), pa.array(n)], names=["lang", "h", "n"])
+
+    return run
+
+
 def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id") -> Identifier:
     """Learn from all rows of docs that have a text and a language."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).filter("lang is not null and text is not null")
     apart = [r["id"] for r in rows.filter("crc32(cast(concat('calibrate', id) as binary)) % 20 = 0").select("id").orderBy(F.xxhash64("id"), "id").limit(CALIBRATION).collect()]
-    held = rows.filter(F.col("id").isin(apart)).select("lang", "text").collect() if apart else []
     counted = rows.filter(~F.coalesce(F.col("id").isin(apart), F.lit(False))) if apart else rows
-    grams = counted.select("lang", "text").mapInArrow(_count, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    grams = stored(grams, "grams")
-    sizes: dict[str, list[tuple[int, int]]] = {}
-    for r in grams.groupBy("lang", F.least("n", F.lit(10_000)).alias("n")).agg(F.count(F.lit(1)).alias("m")).collect():
-        sizes.setdefault(r["lang"], []).append((r["n"], r["m"]))
-    least, discounts = {}, {}
-    for lang, hist in sizes.items():
-        kept, at = 0, 1
-        for n, m in sorted(hist, reverse=True):
-            if kept + m > MAX_GRAMS:
-                at = n + 1
-                break
-            kept += m
-        least[lang] = at
-        of = dict(hist)
-        discounts[lang] = of.get(1, 0) / (of.get(1, 0) + 2 * of.get(2, 0)) if of.get(1) else 0.5
-    counts = {}
-    for lang in sorted(least):
-        part = grams.filter((F.col("lang") == lang) & (F.col("n") >= least[lang])).select("gram", "n").toPandas()
-        if len(part):
-            matrix = np.frombuffer("".join(part["gram"]).encode("utf-32-le"), np.uint32).reshape(-1, ORDER)
-            counts[lang] = (matrix, part["n"].to_numpy(np.float64))
-    return Identifier(KneserNey(counts, discounts), [r["text"].encode() for r in held], [r["lang"] for r in held])
+    grams = stored(_grams(counted), "grams")
+    model = build(grams)
+    if not apart or not model.langs:
+        return Identifier(model)
+    found = rows.filter(F.col("id").isin(apart)).select("lang", "text").mapInArrow(_entropies(model), "lang string, h array<double>, n long").collect()
+    return Identifier(model, np.array([r["h"] for r in found]).reshape(-1, len(model.langs)), np.array([r["n"] for r in found]), [r["lang"] for r in found])
 
 
 def identify(docs: DataFrame, known: Identifier, text_col: str = "text") -> DataFrame:
     """docs with lang_pred, score, entropy and rejected; own columns of those names are replaced."""
     new = ("lang_pred", "score", "entropy", "rejected")
-    shared = docs.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for s in range(0, batch.num_rows, 1000):
-                part = batch.slice(s, 1000)
-                langs, score, entropy, rejected = shared.value.predict(as_binary(part.column(part.num_columns - 1)).to_pylist())
-                cols = [*part.columns[:-1], pa.array(langs, pa.string()), pa.array(score), pa.array(entropy), pa.array(rejected)]
-                yield pa.RecordBatch.from_arrays(cols, names=[*part.schema.names[:-1], *new])
+        for part, values in _parts(batches):
+            langs, score, entropy, rejected = known.predict(values)
+            cols = [*part.columns[:-1], pa.array(langs, pa.string()), pa.array(score), pa.array(entropy), pa.array(rejected)]
+            yield pa.RecordBatch.from_arrays(cols, names=[*part.schema.names[:-1], *new])
 
     kept = docs.select(*[f"`{c}`" for c in docs.columns if c not in new], F.col(text_col).cast("string").alias("__read"))
     fields = T._parse_datatype_string("lang_pred string, score double, entropy double, rejected boolean").fields

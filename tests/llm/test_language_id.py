@@ -102,3 +102,17 @@ def test_held_out_accuracy(spark):
     truth = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang")
     rows = out.join(truth, "doc_id").filter("held_out").collect()
     assert sum(r["lang_pred"] == r["lang"] for r in rows) / len(rows) > 0.97
+
+
+def test_no_string_is_left_out_and_blocks_equal_the_whole(spark, monkeypatch):
+    monkeypatch.setattr(li, "MAX_GRAMS", 10, raising=False)
+    monkeypatch.setattr(li, "CELLS", 100, raising=False)
+    monkeypatch.setattr(li, "CALIBRATION", 0)
+    texts = {**TEXTS, "cc": ["日本語の文字列を数える", "文字の列 𠀀𠀁𠀂 語", "ß é ü"]}
+    rows = [(i, k, t) for k, v in texts.items() for i, t in enumerate(v, 100 * ord(k[0]))]
+    known = li.learn(spark.createDataFrame(rows, "doc_id long, lang string, text string"))
+    whole = li.KneserNey({k: counts_of(v) for k, v in texts.items()})
+    probes = [t.encode() for v in texts.values() for t in v] + [b"the hat zzz", "xyz qqq 列文 𠀂語".encode(), b"", b"a"]
+    assert len(known.model.parts) > 5
+    got, want = known.model.entropies(probes), whole.entropies(probes)
+    assert np.allclose(got[0], want[0], rtol=1e-4) and (got[1] == want[1]).all()
