@@ -102,3 +102,14 @@ def test_rules_match_brute_force(spark):
     want = brute_rules(rows, 5, 0.1)
     assert got == want
     assert len({x[-1] for x in want.values()}) == 2
+
+
+def test_production_limits_remove_lines(spark):
+    """The parameters of the query as they stand: more than 100 documents of a small host, more than 2 % of a large one."""
+    body = lambda i: " ".join(f"w{chr(97 + i // k % 26)}{i % 7}{'x' * (i % k % 9)}" for k in range(1, 61))
+    rows = [(i, "small", body(i) + ("\nterms of use" if i < 101 else "") + ("\nall rights kept" if i < 100 else "")) for i in range(150)]
+    rows += [(1000 + i, "large", body(i) + ("\nread on here" if i < 121 else "") + ("\nsee also there" if i < 120 else "")) for i in range(6000)]
+    got = {x["id"]: x["removed_words"] for x in lr.judge(spark.createDataFrame(rows, "doc_id long, source string, text string")).collect()}
+    want = brute_rules(rows, 100, 0.02)
+    assert got == {i: w[5] for i, w in want.items()}
+    assert got[0] == got[100] and got[100] >= 3 and got[1000] >= 3
