@@ -14,12 +14,13 @@
 
 Nulls and empty texts have fingerprint zero; rows with equal ids are rows of their own.
 
-`similar_groups` does the same for a similarity of shingle sets instead of a number of bits: shingles of SIMILAR_SHINGLE
-words, fingerprints of several 64-bit words, and a radius that stands for SIMILARITY (sets with Jaccard similarity J have
-the cosine 2J / (1 + J), and each bit differs with the probability acos(cosine) / pi; SLACK standard deviations are
-added). A radius so large leaves no blocks that must be equal, so buckets are bands of bits: width and number of words
-follow from the number of documents, so that buckets stay small and a pair at the similarity shares a band with
-probability RECALL or more.
+`similar_groups` groups by the similarity of the sets of SIMILAR_SHINGLE words instead, and no sketch decides:
+1. Equal sets are one class (128 bits of hash).
+2. Candidates share one of MIN_BANDS bands of MIN_ROWS minimum hashes: at SIMILARITY with a chance of 0.9993, whatever
+   the length of the texts and the number of documents. A bucket only links its members to its least one.
+3. In each component of candidates, every pair is a candidate of the exact check: the sets of its classes meet in cells
+   of tiles of at most SET_TILE bytes or so, and a cell returns a spanning forest of the pairs whose Jaccard similarity
+   (over 64-bit hashes of shingles) is SIMILARITY or more. Their components are the groups.
 """
 
 from __future__ import annotations
@@ -34,14 +35,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import as_binary, byte_view, partitions, stored, table, with_order
+from strandline.llm.common import as_binary, partitions, stored, table, with_order
 from strandline.llm.components import components
 
 SHINGLE, RADIUS = 3, 3
 #: Fingerprints a bucket should hold, and the most of one tile.
 BUCKET, TILE = 512, 2048
-#: For similar_groups: shingle size, similarity, standard deviations of slack, and the least chance to share a band.
-SIMILAR_SHINGLE, SIMILARITY, SLACK, RECALL = 5, 0.8, 1.0, 0.95
+#: For similar_groups: shingle size, similarity, bands of minimum hashes and their rows, and bytes of sets in one tile.
+SIMILAR_SHINGLE, SIMILARITY, MIN_BANDS, MIN_ROWS, SET_TILE = 5, 0.8, 24, 6, 1 << 22
+#: For band_scheme: the least chance to share a band.
+RECALL = 0.95
 
 _FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -204,14 +207,11 @@ def _forest(left: np.ndarray, right: np.ndarray, radius: int, same: bool) -> tup
     return u, v
 
 
-def _compare_cells(radius: int, wide: bool):
+def _compare_cells(radius: int):
     """Rows (bucket, a, b, tile, fp) sorted by cell; a cell can go over several batches."""
 
     def read(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
         cell = np.stack([batch.column(k).to_numpy().astype(np.int64) for k in range(4)], axis=1)
-        if wide:
-            data, _ = byte_view(as_binary(batch.column(4)))
-            return cell, data.view(np.uint64).reshape(batch.num_rows, -1) if data.ctypes.data % 8 == 0 else np.frombuffer(data.tobytes(), np.uint64).reshape(batch.num_rows, -1)
         return cell, batch.column(4).to_numpy().view(np.uint64).reshape(-1, 1)
 
     def solve(cell: np.ndarray, fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -225,7 +225,7 @@ def _compare_cells(radius: int, wide: bool):
 
     def column(rows: list[np.ndarray]) -> pa.Array:
         all_rows = np.ascontiguousarray(np.concatenate(rows))
-        return pa.array([r.tobytes() for r in all_rows], pa.binary()) if wide else pa.array(all_rows.ravel().view(np.int64))
+        return pa.array(all_rows.ravel().view(np.int64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: tuple[np.ndarray, np.ndarray] | None = None
@@ -256,7 +256,7 @@ def _compare_cells(radius: int, wide: bool):
     return run
 
 
-def _compared(rows: DataFrame, radius: int, tile: int, wide: bool) -> DataFrame:
+def _compared(rows: DataFrame, radius: int, tile: int) -> DataFrame:
     """Links of rows (bucket, fp) that share a bucket."""
     sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket", F.ceil(F.col("n") / tile).cast("int").alias("tiles"))
     cells = (
@@ -264,10 +264,9 @@ def _compared(rows: DataFrame, radius: int, tile: int, wide: bool) -> DataFrame:
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
         .select("bucket", F.least("tile", "other").alias("a"), F.greatest("tile", "other").alias("b"), "tile", "fp")
     )
-    kind = "binary" if wide else "long"
     return (
         cells.repartition(partitions(rows.sparkSession), "bucket", "a", "b").sortWithinPartitions("bucket", "a", "b")
-        .mapInArrow(_compare_cells(radius, wide), f"u {kind}, v {kind}").distinct()
+        .mapInArrow(_compare_cells(radius), "u long, v long").distinct()
     )
 
 
@@ -281,7 +280,7 @@ def links(classes: DataFrame, radius: int = RADIUS, bucket: int = BUCKET, tile:
             key = F.shiftleft(key, width).bitwiseOR(F.shiftrightunsigned("fp", at).bitwiseAND((1 << width) - 1))
         keys.append(F.struct(F.lit(t).alias("t"), key.alias("key")))
     rows = classes.select("fp", F.explode(F.array(*keys)).alias("k")).select(F.xxhash64("k.t", "k.key").alias("bucket"), "fp")
-    return _compared(rows, radius, tile, False)
+    return _compared(rows, radius, tile)
 
 
 def band_scheme(n: int, differ: float, bucket: int = BUCKET // 2, recall: float = RECALL) -> tuple[int, int, int]:
@@ -293,17 +292,106 @@ def band_scheme(n: int, differ: float, bucket: int = BUCKET // 2, recall: float
     return words, width, 64 * words // width
 
 
-def _bands(width: int, bands: int):
+def _min_bands(flat: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The band keys of each set of hashes, a column a band; sets are not empty."""
+    out = np.empty((len(starts), MIN_BANDS), np.uint64)
+    for b in range(MIN_BANDS):
+        key = np.full(len(starts), np.uint64(b))
+        for r in range(MIN_ROWS):
+            key = _remix(key ^ np.minimum.reduceat(_remix(flat, 1 + b * MIN_ROWS + r), starts), 1)
+        out[:, b] = key
+    return out.view(np.int64)
+
+
+def _set_batches(size: int):
+    """(id, text) -> (id, fp, bands, shingles): the hash of the set of shingles, its band keys (none if it is empty), and the sorted set."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = (1 << np.arange(width, dtype=np.int64))[None, :]
         for batch in batches:
-            if not batch.num_rows:
+            for s in range(0, batch.num_rows, 512):
+                part = batch.slice(s, 512)
+                sets, bands = [], []
+                for text in as_binary(part.column(1)).to_pylist():
+                    some = [np.array(x, np.uint64) for x in _shingle_hashes(text, size)]
+                    sets.append(np.unique(np.concatenate(some)) if some else np.zeros(0, np.uint64))
+                    bands.append(())
+                full = [k for k, x in enumerate(sets) if len(x)]
+                lens = np.cumsum([0] + [len(sets[k]) for k in full])
+                at = 0
+                while at < len(full):  # about 65,000 hashes at once
+                    e = max(at + 1, int(np.searchsorted(lens, lens[at] + (1 << 16), "right")) - 1)
+                    for k, row in zip(full[at:e], _min_bands(np.concatenate([sets[k] for k in full[at:e]]), lens[at:e] - lens[at]), strict=True):
+                        bands[k] = row
+                    at = e
+                raw = [x.tobytes() for x in sets]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array([xxhash.xxh3_128_digest(x) for x in raw], pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(raw, pa.binary())],
+                    names=["id", "fp", "bands", "shingles"],
+                )
+
+    return run
+
+
+def set_forest(sets: list[np.ndarray], left: int, similarity: float) -> tuple[list[int], list[int]]:
+    """A spanning forest of the pairs of sets with at least this Jaccard similarity: of all sets, or, if left is not 0,
+    of pairs of one of the first `left` sets with one of the others."""
+    n, size = len(sets), np.array([len(x) for x in sets])
+    starts = np.cumsum(size) - size
+    values, code = np.unique(np.concatenate(sets), return_inverse=True)
+    mark, label = np.zeros(len(values), bool), np.arange(n)
+    u: list[int] = []
+    v: list[int] = []
+    for i in range(left or n):
+        other = np.arange(left or i + 1, n)
+        lower, upper = np.minimum(size[other], size[i]), np.maximum(size[other], size[i])
+        other = other[(label[other] != label[i]) & (lower / upper >= similarity)]
+        if not len(other):
+            continue
+        own = code[starts[i] : starts[i] + size[i]]
+        mark[own] = True
+        if 2 * len(other) > n:
+            both = np.add.reduceat(mark[code], starts, dtype=np.int64)[other]
+        else:
+            begin = np.cumsum(size[other]) - size[other]
+            both = np.add.reduceat(mark[code[np.arange(size[other].sum()) + np.repeat(starts[other] - begin, size[other])]], begin, dtype=np.int64)
+        mark[own] = False
+        hits = other[both / (size[i] + size[other] - both) >= similarity]
+        labels, first = np.unique(label[hits], return_index=True)
+        u += [i] * len(first)
+        v += hits[first].tolist()
+        label[np.isin(label, labels)] = label[i]
+    return u, v
+
+
+def _verify_cells(similarity: float):
+    """Rows (bucket, a, b, tile, fp, shingles) sorted by cell -> links; a cell can go over several batches."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: pa.Table | None = None
+        for batch in itertools.chain(batches, [None]):
+            if batch is not None and not batch.num_rows:
                 continue
-            data, _ = byte_view(as_binary(batch.column(0)))
-            bits = np.unpackbits(data.reshape(batch.num_rows, -1), axis=1, bitorder="little")
-            for t in range(bands):
-                key = (bits[:, t * width : (t + 1) * width] * weights).sum(axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(key * 4096 + t), batch.column(0)], names=["bucket", "fp"])
+            if batch is None and rest is None:
+                return
+            rows = rest if batch is None else pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
+            cell = np.stack([rows.column(k).to_numpy().astype(np.int64) for k in range(4)], axis=1)
+            cut = np.append(np.flatnonzero(np.append(True, (cell[1:, :3] != cell[:-1, :3]).any(axis=1))), len(cell))
+            rest = None if batch is None else rows.slice(int(cut[-2]))
+            us, vs = [], []
+            for s, e in itertools.pairwise(cut if batch is None else cut[:-1]):
+                if e - s < 2:
+                    continue
+                tile = cell[s:e, 3]
+                order = np.argsort(tile, kind="stable") + s
+                fp, sets = (rows.column(k).take(pa.array(order)).to_pylist() for k in (4, 5))
+                left = int((tile == cell[s, 1]).sum()) if cell[s, 1] != cell[s, 2] else 0
+                if cell[s, 1] != cell[s, 2] and left in (0, e - s):
+                    continue
+                u, v = set_forest([np.frombuffer(x, np.uint64) for x in sets], left, similarity)
+                us += [fp[i] for i in u]
+                vs += [fp[i] for i in v]
+            if us:
+                yield pa.RecordBatch.from_arrays([pa.array(us, pa.binary()), pa.array(vs, pa.binary())], names=["u", "v"])
 
     return run
 
@@ -317,17 +405,28 @@ def _named(kept: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
 
 def similar_groups(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", similarity: float = SIMILARITY, size: int = SIMILAR_SHINGLE) -> DataFrame:
     """One row per row of docs: id, fp (binary) and component_id, the least id of its group of similar texts."""
-    differ = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    words, width, bands = band_scheme(docs.count(), differ)
-    bits = 64 * words
-    radius = round(bits * differ + SLACK * math.sqrt(bits * differ * (1 - differ)))
+    spark = docs.sparkSession
     kept = stored(
-        docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(_fingerprint_batches(size, words), f"id {docs.schema[id_col].dataType.simpleString()}, fp binary"),
-        "fingerprints",
+        docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
+            _set_batches(size), f"id {docs.schema[id_col].dataType.simpleString()}, fp binary, bands array<long>, shingles binary"
+        ),
+        "shingles",
     )
-    classes = stored(kept.groupBy("fp").agg(F.min("id").alias("least")), "classes")
-    rows = classes.select("fp").mapInArrow(_bands(width, bands), "bucket long, fp binary")
-    return _named(kept, classes, _compared(rows, radius, TILE, True))
+    classes = stored(kept.groupBy("fp").agg(F.min("id").alias("least"), F.first("bands").alias("bands"), F.first(F.octet_length("shingles")).alias("size")), "classes")
+    rows = classes.select(F.explode("bands").alias("bucket"), "fp")
+    heads = rows.groupBy("bucket").agg(F.min("fp").alias("v"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket", "v")
+    roots = components(rows.join(heads, "bucket").select(F.col("fp").alias("u"), "v").filter("u != v").distinct(), "candidates")
+    roots = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())  # a root is no node of its own
+    one = classes.join(roots.withColumnRenamed("node", "fp"), "fp").select("fp", F.col("least").alias("of"), F.xxhash64("root").alias("bucket"), "size")
+    tiles = one.groupBy("bucket").agg(F.ceil(F.sum("size") / SET_TILE).cast("int").alias("tiles"))
+    cells = (  # sets come in last, so that they are shuffled for this join and for the cells only
+        kept.select("id", "fp", "shingles").join(one.join(tiles, "bucket"), "fp").filter(F.col("id").eqNullSafe(F.col("of")))
+        .withColumn("tile", F.pmod(F.xxhash64("fp", F.lit(7)), F.col("tiles")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+        .select("bucket", F.least("tile", "other").alias("a"), F.greatest("tile", "other").alias("b"), "tile", "fp", "shingles")
+    )
+    found = cells.repartition(partitions(spark), "bucket", "a", "b").sortWithinPartitions("bucket", "a", "b").mapInArrow(_verify_cells(similarity), "u binary, v binary").distinct()
+    return _named(kept.select("id", "fp"), classes.select("fp", "least"), found)
 
 
 def near_groups(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", radius: int = RADIUS, size: int = SHINGLE) -> DataFrame:

@@ -149,3 +149,33 @@ def test_band_scheme_keeps_recall():
         words, width, bands = sh.band_scheme(n, 0.15)
         assert 1 - (1 - 0.85**width) ** bands >= sh.RECALL
         assert bands * width <= 64 * words and bands <= 4096 and n / 2**width <= 512
+
+
+def test_similar_groups_are_exact_at_the_threshold(spark, monkeypatch):
+    r = random.Random(5)
+    word = lambda: "".join(r.choice("abcdefghijkl") for _ in range(8))
+    rows = []
+
+    def add(*texts):
+        rows.extend([(len(rows) + k, " ".join(t)) for k, t in enumerate(texts)])
+
+    for n, extra in [(4, 1), (8, 2), (16, 4), (60, 15), (200, 50)] * 6:  # similarity 0.8 exactly, and the next one below
+        base = [word() for _ in range(n + 4)]
+        add(base, base + [word() for _ in range(extra)])
+        base = [word() for _ in range(n + 4)]
+        add(base, base + [word() for _ in range(extra + 1)])
+    for _ in range(8):  # many repeats: equal majorities, other sets
+        w = word()
+        add([w] * 200, [w] * 200 + [word() for _ in range(8)])
+    chain = [word() for _ in range(100)]  # a group only by its links
+    add(*[chain[k : k + 60] for k in range(0, 30, 3)])
+    want = list(range(len(rows)))
+    for a, x in rows:
+        for b, y in rows[:a]:
+            if want[a] != want[b] and jaccard(x, y) >= 0.8:
+                old, new = max(want[a], want[b]), min(want[a], want[b])
+                want = [new if c == old else c for c in want]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for tile in (1 << 22, 300):
+        monkeypatch.setattr(sh, "SET_TILE", tile, raising=False)
+        assert {r["id"]: r["component_id"] for r in sh.similar_groups(df).collect()} == dict(enumerate(want))
