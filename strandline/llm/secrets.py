@@ -1,8 +1,10 @@
 """Secret scan: fixed patterns and probabilistic automata inferred from labelled credentials.
 
 Base kinds (assign, access, hex) are fixed patterns. The method adds the kind `format`: every run of 16 or more
-credential characters is a candidate; it is added if the automaton of some format accepts it with a likelihood per
-character that beats the background model of ordinary tokens.
+credential characters outside base spans is a candidate; it is added if the automaton of some format accepts it with a
+likelihood per character that beats the background model of ordinary tokens. Where the whole run does not, all its
+sub-runs of 16 or more characters that begin and end at a sign (SPLIT) or at the run's ends are candidates; accepted
+ones that overlap are one span.
 
 Inference (ALERGIA): labelled examples of a format form a prefix tree with counts; states are merged in order of depth
 if the Hoeffding bound finds their end and transition frequencies compatible, and so are their successors; a merge
@@ -32,6 +34,8 @@ from strandline.llm.common import as_binary, byte_view, chunks, table
 KINDS = ("assign", "access", "hex", "format")
 #: Characters of a candidate, the least length, and literal characters at its start before classes take over.
 CANDIDATE, SHORTEST, LITERAL = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-", 16, 4
+#: Signs beside which a sub-run may begin or end.
+SPLIT = frozenset("+/_.=-")
 #: Least log-likelihood ratio per character against the background.
 THRESHOLD = 0.7
 ALPHA = 0.05
@@ -203,6 +207,56 @@ class FormatModel:
         return (best - spread - self.background(token)) / max(1, len(token)) if best > -math.inf else best
 
 
+    def find(self, token: str, threshold: float) -> list[tuple[int, int]]:
+        """The sub-runs that score at least the threshold, overlapping ones joined.
+
+        All starts are followed at once. Of those that meet in one state of an automaton, what follows is the same, so the
+        one with the best likelihood ratio so far and the earliest decide: where another is accepted, the best is too."""
+        n, coarse = len(token), self._coarse(token)
+        cut = [k in (0, n) or token[k - 1] in SPLIT or token[k] in SPLIT for k in range(n + 1)]
+        size, within = {"d": 10, "l": 26, "u": 26}, {"d": 10, "x": 6, "l": 20, "u": 26}
+        plain = lambda a, b: math.log((self.pairs[a, b] + 0.05) / (self.ones[a] + 0.5)) - math.log(size.get(b, 1))
+        live: dict[tuple[str, int, int], list[tuple[float, int]]] = {}  # (format, state, age) -> the best and the earliest (gain, start)
+        out: list[tuple[int, int]] = []
+        for k, c in enumerate(token):
+            if cut[k]:
+                live |= {(name, 0, 0): [(0.0, k)] for name in self.automata}
+            kind = symbols(" " * LITERAL + c)[-1]
+            moved: dict[tuple[str, int, int], list[tuple[float, int]]] = {}
+            for (name, at, age), held in live.items():
+                a = self.automata[name]
+                step = a.edges[at].get(kind if age == LITERAL else c)
+                if step is None:
+                    continue
+                gain = math.log(step[1] / a.counts[at]) - (math.log(within.get(kind, 1)) if age == LITERAL else 0) - plain(coarse[k - 1] if age else "^", coarse[k]) - threshold
+                moved.setdefault((name, step[0], min(age + 1, LITERAL)), []).extend((g + gain, s) for g, s in held)
+            live = {key: [max(held), min(held, key=lambda x: x[1])] if len(held) > 1 else held for key, held in moved.items()}
+            if cut[k + 1]:
+                for (name, at, _), held in live.items():
+                    a = self.automata[name]
+                    if a.ends[at]:
+                        last = math.log(a.ends[at] / a.counts[at]) - plain(coarse[k], "$")
+                        out += [(s, k + 1) for g, s in held if k + 1 - s >= SHORTEST and g + last >= 0]
+        joined: list[tuple[int, int]] = []
+        for s, e in sorted(out):
+            if joined and s < joined[-1][1]:
+                joined[-1] = (joined[-1][0], max(e, joined[-1][1]))
+            else:
+                joined.append((s, e))
+        return joined
+
+
+def uncovered(s: int, e: int, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """What the sorted spans leave of s ... e."""
+    for a, b in taken:
+        if b > s and a < e:
+            if a > s:
+                yield s, a
+            s = b
+    if s < e:
+        yield s, e
+
+
 def base_spans(text: bytes, runs: list[tuple[int, int]]) -> list[tuple[int, int, str]]:
     """The fixed kinds as byte spans; runs are the text's candidates, which hold all long hexadecimal runs."""
     out = []
@@ -243,10 +297,15 @@ def _scan(model: FormatModel, threshold: float):
                     text = part[cut[k] : cut[k + 1]].tobytes()
                     runs = by.get(k, [])
                     spans = base_spans(text, runs)
-                    taken = [(s, e) for s, e, _ in spans]
-                    for s, e in runs:
-                        if not any(s < b and a < e for a, b in taken) and model.score(text[s:e].decode("ascii")) >= threshold:
+                    taken = sorted((s, e) for s, e, _ in spans)
+                    for s, e in (part for run in runs for part in uncovered(*run, taken)):
+                        if e - s < SHORTEST:
+                            continue
+                        token = text[s:e].decode("ascii")
+                        if model.score(token) >= threshold:
                             spans.append((s, e, "format"))
+                        elif not SPLIT.isdisjoint(token):
+                            spans += [(s + a, s + b, "format") for a, b in model.find(token, threshold)]
                     if spans and not text.isascii():
                         wide = np.cumsum((np.frombuffer(text, np.uint8) & 0xC0) != 0x80)
                         point = lambda b, wide=wide: int(wide[b - 1]) if b else 0
