@@ -331,14 +331,14 @@ def scan_secrets(docs: DataFrame, text_col: str = "text", labelled: dict[str, li
 
 
 def redacted(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """docs with every found span replaced by [kind]; of overlapping spans, one that starts earlier (or is longer) counts."""
+    """docs with every found span replaced by [kind]; overlapping spans go as one, with the kind of the one that starts earlier (or is longer)."""
     spans = F.array_sort("found", lambda a, b: F.when(a.s != b.s, (a.s - b.s).cast("int")).otherwise((b.e - a.e).cast("int")))
     state = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
     text = F.col(f"`{text_col}`")
     cut = F.aggregate(
         spans,
         state,
-        lambda acc, x: F.when(x.s < acc.at, acc).otherwise(
+        lambda acc, x: F.when(x.s < acc.at, F.struct(acc.out.alias("out"), F.greatest(acc.at, x.e).alias("at"))).otherwise(
             F.struct(
                 F.concat(acc.out, F.substring(text, (acc.at + 1).cast("int"), (x.s - acc.at).cast("int")), F.lit("["), x.kind, F.lit("]")).alias("out"), x.e.alias("at")
             )

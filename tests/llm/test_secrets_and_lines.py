@@ -130,3 +130,9 @@ def test_formats_are_found_beside_other_signs(spark):
     plain = sc.labelled_credentials(60, seed=99)["plain"]
     assert sum(bool(model.find(t, sc.THRESHOLD)) for t in plain) <= 0.02 * len(plain)
     assert model.find("word/" * 20_000, sc.THRESHOLD) == []
+
+
+def test_redaction_takes_overlapping_spans_whole(spark):
+    texts = ["x " + "0123456789abcdef" * 2 + "api_key=SECRETVALUE1 end", "AKIA" + "ABCDEFGHIJKLMNOP" + "TOKEN=abcdefgh1 end", "token=password=abcdefgh1 end"]
+    got = {r["doc_id"]: r["text"] for r in sc.redacted(sc.scan_secrets(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))).collect()}
+    assert got == {0: "x [hex] end", 1: "[access] end", 2: "[assign] end"}
