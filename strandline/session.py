@@ -40,3 +40,15 @@ def ship(spark: SparkSession) -> None:
             out.write(p, p.relative_to(root.parent))
     context.addPyFile(str(bundle))
     _SHIPPED.add(context.applicationId)
+
+
+def scratch(spark: SparkSession) -> str:
+    """The shared folder of spark.checkpoint.dir. Only a local session may go without one: its driver and executors are one
+    machine, so a folder of our own serves; on a cluster the others could not see it."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        found = "file://" + tempfile.mkdtemp(prefix="strandline-")
+        spark.sparkContext.setCheckpointDir(found)
+    return found.rstrip("/")
