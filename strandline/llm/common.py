@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import atexit
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -11,6 +10,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from strandline.session import scratch as shared_dir
 
 _SCRATCH: list[tuple[SparkSession, str]] = []
 
@@ -23,15 +25,6 @@ def partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; where that is unset (tests), a folder of our own."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="strandline-")
-        spark.sparkContext.setCheckpointDir(found)
-    return found.rstrip("/")
-
-
 def stored(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
     """Write `df` as Parquet into the shared folder and read it again: lineage ends here and a lost executor costs no recomputation."""
     spark = df.sparkSession
@@ -64,19 +57,21 @@ def release(spark: SparkSession | None = None) -> None:
 def with_order(docs: DataFrame, id_col: str = "doc_id", out: str = "uid") -> DataFrame:
     """Add a bigint row handle `out` that is unique and sorts like the id.
 
-    Unique, non-null ids are their own handle. Otherwise rows are ranked by (id nulls last, hash of the row):
-    a range-partitioned sort gives each partition's rows consecutive numbers, and only partition sizes reach the driver.
-    """
+    Unique, non-null whole numbers are their own handle. Otherwise (repeats, nulls, ids of another type) rows are ranked by
+    (id nulls last, hash of the row): a range-partitioned sort gives each partition's rows consecutive numbers, and only
+    partition sizes reach the driver. Rows that are equal in all columns take any order among themselves."""
     spark = docs.sparkSession
-    ids = docs.select(F.col(id_col).cast("long").alias("i"))
-    repeated = ids.groupBy("i").count().filter(F.col("count").__gt__(1) | F.col("i").isNull()).limit(1)
-    if not repeated.take(1):
-        return docs.withColumn(out, F.col(id_col).cast("long"))
+    whole_number = isinstance(docs.schema[id_col].dataType, T.IntegralType)
+    if whole_number:
+        ids = docs.select(F.col(f"`{id_col}`").cast("long").alias("i"))
+        repeated = ids.groupBy("i").count().filter(F.col("count").__gt__(1) | F.col("i").isNull()).limit(1)
+        if not repeated.take(1):
+            return docs.withColumn(out, F.col(f"`{id_col}`").cast("long"))
     whole = F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in docs.columns])
     n = partitions(spark)
-    ranked = docs.withColumn("__h", whole).withColumn("__k", F.coalesce(F.col(id_col).cast("long"), F.lit(2**63 - 1)))
+    ranked = docs.withColumn("__h", whole).withColumn("__n", F.col(f"`{id_col}`").isNull()).withColumn("__k", F.col(f"`{id_col}`"))
     ranked = stored(
-        ranked.repartitionByRange(n, "__k", "__h").sortWithinPartitions("__k", "__h").withColumn("__m", F.monotonically_increasing_id()),
+        ranked.repartitionByRange(n, "__n", "__k", "__h").sortWithinPartitions("__n", "__k", "__h").withColumn("__m", F.monotonically_increasing_id()),
         "ordered",
     )
     part = F.shiftright("__m", 33)
@@ -86,7 +81,19 @@ def with_order(docs: DataFrame, id_col: str = "doc_id", out: str = "uid") -> Dat
         starts.append(total)
         total += sizes.get(p, 0)
     start = F.element_at(F.array(*[F.lit(s).cast("long") for s in starts] or [F.lit(0).cast("long")]), (part + 1).cast("int"))
-    return ranked.withColumn(out, start + F.col("__m").bitwiseAND(2**33 - 1)).drop("__h", "__k", "__m")
+    return ranked.withColumn(out, start + F.col("__m").bitwiseAND(2**33 - 1)).drop("__h", "__n", "__k", "__m")
+
+
+def bounded(rows: DataFrame, id_col: str, most: int) -> DataFrame:
+    """At most `most` of rows, whatever joins made of them: all if they are that few, else those with the least hashes.
+
+    The rows are read once to count them; the sort of the cut holds ids and hashes of texts, not texts."""
+    if rows.limit(most + 1).count() <= most:
+        return rows
+    h = F.xxhash64(id_col, *[F.col(f"`{c}`").cast("string") for c in rows.columns])
+    keyed = rows.withColumn("__h", h)
+    cut = keyed.select(F.col("__h")).orderBy("__h").limit(most).agg(F.max("__h").alias("h")).first()["h"]
+    return keyed.filter(F.col("__h") <= cut).drop("__h").limit(most)
 
 
 def as_binary(col: pa.Array) -> pa.LargeBinaryArray:

@@ -9,8 +9,9 @@ from strandline.llm.common import stored
 
 
 def _state(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").bitwiseAND(2**40 - 1)).alias("s")).first()
-    return row["n"], row["s"]
+    """Count and two exclusive ors of edge hashes: nothing that a large table could make overflow."""
+    row = edges.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("a"), F.bit_xor(F.xxhash64("v", "u", F.lit(1))).alias("b")).first()
+    return row["n"], row["a"], row["b"]
 
 
 def components(edges: DataFrame, label: str = "components") -> DataFrame:

@@ -1,13 +1,15 @@
 """Quality classifier: a sparse rule ensemble over document statistics, compiled to Spark columns.
 
 1. One pass over each whole text gives statistics (`STATISTICS`).
-2. Labelled rows (at most LABELLED, those with the least hashes of their ids) train shallow boosted trees; every path
+2. Labelled documents (at most LABELLED, those with the least hashes of their ids) train shallow boosted trees; every path
    from a root to a node is a conjunctive rule over the statistics.
 3. A lasso logistic regression over the rules (proximal gradient steps) keeps a few of them; its penalty is chosen on a
    fifth of the labelled rows.
 4. The rules are compiled to one Spark column expression, so scoring needs no Python beyond the statistics.
 
-Null and empty texts have all statistics zero and are scored by the rules like any other text.
+Null and empty texts have all statistics zero and are scored by the rules like any other text. A label counts for every
+document of its id, within LABELLED; rows with equal ids are scored alike only if their texts are. With too few labels,
+or labels of one kind, every score is their rate.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strandline.llm.common import as_binary, table
+from strandline.llm.common import as_binary, bounded, table
 
 #: The most labelled rows that train the model.
 LABELLED = 20_000
@@ -197,7 +199,7 @@ class RuleModel:
 def learn(docs: DataFrame, labelled: DataFrame, label: str = "quality", text_col: str = "text", id_col: str = "doc_id", most: int = LABELLED) -> RuleModel:
     """Fit on at most `most` labelled rows (id, label 0 or 1); rows without a label or an id are left out."""
     chosen = labelled.filter(F.col(label).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("__id"), F.col(label).cast("int").alias("__y")).distinct().orderBy(F.xxhash64("__id"), "__id", "__y").limit(most)
-    own = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "__id")
+    own = bounded(docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(chosen), "__id"), "__id", most)
     names = [f"q_{s}" for s in STATISTICS]
     got = with_statistics(own).select("__id", "__y", *names).toPandas().sort_values(["__id", "__y", *names])
     return RuleModel.fit(got[names].to_numpy(np.float64), got["__y"].to_numpy(np.float64))

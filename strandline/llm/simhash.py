@@ -15,12 +15,13 @@
 Nulls and empty texts have fingerprint zero; rows with equal ids are rows of their own.
 
 `similar_groups` groups by the similarity of the sets of SIMILAR_SHINGLE words instead, and no sketch decides:
-1. Equal sets are one class (128 bits of hash).
+1. Equal sets are one class (128 bits of hash). Only a sketch of each text is kept: its class and its band keys.
 2. Candidates share one of MIN_BANDS bands of MIN_ROWS minimum hashes: at SIMILARITY with a chance of 0.9993, whatever
    the length of the texts and the number of documents. A bucket only links its members to its least one.
-3. In each component of candidates, every pair is a candidate of the exact check: the sets of its classes meet in cells
-   of tiles of at most SET_TILE bytes or so, and a cell returns a spanning forest of the pairs whose Jaccard similarity
-   (over 64-bit hashes of shingles) is SIMILARITY or more. Their components are the groups.
+3. In each component of candidates, every pair is a candidate of the exact check: the texts of its classes meet in cells
+   of tiles of at most SET_TILE bytes of shingles or so, where their sets are made again and compared (Jaccard
+   similarity over 64-bit hashes of shingles). A component that fits one tile is settled there; of larger ones a cell
+   returns a spanning forest of its links, and their components are the groups.
 """
 
 from __future__ import annotations
@@ -43,8 +44,6 @@ SHINGLE, RADIUS = 3, 3
 BUCKET, TILE = 512, 2048
 #: For similar_groups: shingle size, similarity, bands of minimum hashes and their rows, and bytes of sets in one tile.
 SIMILAR_SHINGLE, SIMILARITY, MIN_BANDS, MIN_ROWS, SET_TILE = 5, 0.8, 24, 6, 1 << 22
-#: For band_scheme: the least chance to share a band.
-RECALL = 0.95
 
 _FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -283,38 +282,39 @@ def links(classes: DataFrame, radius: int = RADIUS, bucket: int = BUCKET, tile:
     return _compared(rows, radius, tile)
 
 
-def band_scheme(n: int, differ: float, bucket: int = BUCKET // 2, recall: float = RECALL) -> tuple[int, int, int]:
-    """(words, band width, bands) for n fingerprints whose bits differ with the given probability."""
-    width = max(6, math.ceil(math.log2(max(1, n) / bucket)))
-    words = 4
-    while 1 - (1 - (1 - differ) ** width) ** (64 * words // width) < recall:
-        words += 1
-    return words, width, 64 * words // width
+def _multipliers() -> np.ndarray:
+    """An odd multiplier and a shift for each minimum hash."""
+    z = _remix(np.arange(1, 2 * MIN_BANDS * MIN_ROWS + 1, dtype=np.uint64), 1).reshape(2, MIN_BANDS, MIN_ROWS)
+    z[0] |= np.uint64(1)
+    return z
 
 
 def _min_bands(flat: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """The band keys of each set of hashes, a column a band; sets are not empty."""
-    out = np.empty((len(starts), MIN_BANDS), np.uint64)
+    """The band keys of each set of hashes, a column a band; sets are not empty. The hashes are well mixed already, so
+    that multiply and add give the orders of which the minima are taken."""
+    out, (times, plus) = np.empty((len(starts), MIN_BANDS), np.uint64), _multipliers()
     for b in range(MIN_BANDS):
         key = np.full(len(starts), np.uint64(b))
         for r in range(MIN_ROWS):
-            key = _remix(key ^ np.minimum.reduceat(_remix(flat, 1 + b * MIN_ROWS + r), starts), 1)
+            key = _remix(key ^ np.minimum.reduceat(flat * times[b, r] + plus[b, r], starts), 1)
         out[:, b] = key
     return out.view(np.int64)
 
 
-def _set_batches(size: int):
-    """(id, text) -> (id, fp, bands, shingles): the hash of the set of shingles, its band keys (none if it is empty), and the sorted set."""
+def _shingle_set(text: bytes, size: int) -> np.ndarray:
+    some = [np.array(x, np.uint64) for x in _shingle_hashes(text, size)]
+    return np.unique(np.concatenate(some)) if some else np.zeros(0, np.uint64)
+
+
+def _sketches(size: int):
+    """(id, text) -> (id, f1, f2, n, bands): the hash of the set of shingles, its size, and its band keys (none if it is empty)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for s in range(0, batch.num_rows, 512):
                 part = batch.slice(s, 512)
-                sets, bands = [], []
-                for text in as_binary(part.column(1)).to_pylist():
-                    some = [np.array(x, np.uint64) for x in _shingle_hashes(text, size)]
-                    sets.append(np.unique(np.concatenate(some)) if some else np.zeros(0, np.uint64))
-                    bands.append(())
+                sets = [_shingle_set(text, size) for text in as_binary(part.column(1)).to_pylist()]
+                bands: list = [()] * len(sets)
                 full = [k for k, x in enumerate(sets) if len(x)]
                 lens = np.cumsum([0] + [len(sets[k]) for k in full])
                 at = 0
@@ -323,10 +323,10 @@ def _set_batches(size: int):
                     for k, row in zip(full[at:e], _min_bands(np.concatenate([sets[k] for k in full[at:e]]), lens[at:e] - lens[at]), strict=True):
                         bands[k] = row
                     at = e
-                raw = [x.tobytes() for x in sets]
+                name = np.frombuffer(b"".join(xxhash.xxh3_128_digest(x.tobytes()) for x in sets), np.int64).reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([xxhash.xxh3_128_digest(x) for x in raw], pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(raw, pa.binary())],
-                    names=["id", "fp", "bands", "shingles"],
+                    [part.column(0), pa.array(name[:, 0]), pa.array(name[:, 1]), pa.array([len(x) for x in sets], pa.int64()), pa.array(bands, pa.list_(pa.int64()))],
+                    names=["id", "f1", "f2", "n", "bands"],
                 )
 
     return run
@@ -363,8 +363,25 @@ def set_forest(sets: list[np.ndarray], left: int, similarity: float) -> tuple[li
     return u, v
 
 
-def _verify_cells(similarity: float):
-    """Rows (bucket, a, b, tile, fp, shingles) sorted by cell -> links; a cell can go over several batches."""
+def _verify_cells(similarity: float, size: int):
+    """Rows (bucket, a, b, tile, whole, c, text) sorted by cell -> links (whole, u, v) of classes; a cell can go over
+    several batches. In a cell that is a whole component, every class is linked to the least of its group."""
+
+    def solve(tile: np.ndarray, two: bool, whole: bool, c: np.ndarray, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        left = int((tile == tile.min()).sum()) if two else 0
+        order = np.argsort(tile, kind="stable")
+        c, sets = c[order], [_shingle_set(texts[k], size) for k in order]
+        if two and left == len(c):
+            return c[:0], c[:0]
+        u, v = set_forest(sets, left, similarity)
+        if not whole:
+            return c[u], c[v]
+        root = np.arange(len(c))
+        for a, b in zip(u, v, strict=True):
+            x, y = sorted((root[a], root[b]), key=lambda k: c[k])
+            root[root == y] = x
+        moved = np.flatnonzero(root != np.arange(len(c)))
+        return c[moved], c[root[moved]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: pa.Table | None = None
@@ -374,24 +391,16 @@ def _verify_cells(similarity: float):
             if batch is None and rest is None:
                 return
             rows = rest if batch is None else pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
-            cell = np.stack([rows.column(k).to_numpy().astype(np.int64) for k in range(4)], axis=1)
+            cell = np.stack([rows.column(k).to_numpy().astype(np.int64) for k in range(5)], axis=1)
             cut = np.append(np.flatnonzero(np.append(True, (cell[1:, :3] != cell[:-1, :3]).any(axis=1))), len(cell))
             rest = None if batch is None else rows.slice(int(cut[-2]))
-            us, vs = [], []
             for s, e in itertools.pairwise(cut if batch is None else cut[:-1]):
                 if e - s < 2:
                     continue
-                tile = cell[s:e, 3]
-                order = np.argsort(tile, kind="stable") + s
-                fp, sets = (rows.column(k).take(pa.array(order)).to_pylist() for k in (4, 5))
-                left = int((tile == cell[s, 1]).sum()) if cell[s, 1] != cell[s, 2] else 0
-                if cell[s, 1] != cell[s, 2] and left in (0, e - s):
-                    continue
-                u, v = set_forest([np.frombuffer(x, np.uint64) for x in sets], left, similarity)
-                us += [fp[i] for i in u]
-                vs += [fp[i] for i in v]
-            if us:
-                yield pa.RecordBatch.from_arrays([pa.array(us, pa.binary()), pa.array(vs, pa.binary())], names=["u", "v"])
+                texts = as_binary(rows.column("text").slice(s, e - s)).to_pylist()
+                u, v = solve(cell[s:e, 3], cell[s, 1] != cell[s, 2], bool(cell[s, 4]), rows.column("c").slice(s, e - s).to_numpy(), texts)
+                if len(u):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(u), bool(cell[s, 4]))), pa.array(u), pa.array(v)], names=["whole", "u", "v"])
 
     return run
 
@@ -403,30 +412,35 @@ def _named(kept: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
     return kept.join(rooted.join(ids, "root").select("fp", "component_id"), "fp").select("id", "fp", "component_id")
 
 
-def similar_groups(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", similarity: float = SIMILARITY, size: int = SIMILAR_SHINGLE) -> DataFrame:
-    """One row per row of docs: id, fp (binary) and component_id, the least id of its group of similar texts."""
+def _similar_classes(docs: DataFrame, text_col: str, id_col: str, similarity: float, size: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Sketches (id, f1, f2), classes (f1, f2, c), and (node, root) of the classes that are not the least of their group.
+    Ids are unique whole numbers, and a class goes by its least id."""
     spark = docs.sparkSession
-    kept = stored(
-        docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-            _set_batches(size), f"id {docs.schema[id_col].dataType.simpleString()}, fp binary, bands array<long>, shingles binary"
-        ),
-        "shingles",
-    )
-    classes = stored(kept.groupBy("fp").agg(F.min("id").alias("least"), F.first("bands").alias("bands"), F.first(F.octet_length("shingles")).alias("size")), "classes")
-    rows = classes.select(F.explode("bands").alias("bucket"), "fp")
-    heads = rows.groupBy("bucket").agg(F.min("fp").alias("v"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket", "v")
-    roots = components(rows.join(heads, "bucket").select(F.col("fp").alias("u"), "v").filter("u != v").distinct(), "candidates")
+    base = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    sketch = stored(base.mapInArrow(_sketches(size), "id long, f1 long, f2 long, n long, bands array<long>"), "sketches")
+    classes = stored(sketch.groupBy("f1", "f2").agg(F.min("id").alias("c"), F.first("n").alias("n"), F.first("bands").alias("bands")), "classes")
+    rows = classes.select(F.explode("bands").alias("bucket"), "c")
+    heads = rows.groupBy("bucket").agg(F.min("c").alias("v"), F.count(F.lit(1)).alias("k")).filter("k > 1").select("bucket", "v")
+    roots = components(rows.join(heads, "bucket").select(F.col("c").alias("u"), "v").filter("u != v").distinct(), "candidates")
     roots = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())  # a root is no node of its own
-    one = classes.join(roots.withColumnRenamed("node", "fp"), "fp").select("fp", F.col("least").alias("of"), F.xxhash64("root").alias("bucket"), "size")
-    tiles = one.groupBy("bucket").agg(F.ceil(F.sum("size") / SET_TILE).cast("int").alias("tiles"))
-    cells = (  # sets come in last, so that they are shuffled for this join and for the cells only
-        kept.select("id", "fp", "shingles").join(one.join(tiles, "bucket"), "fp").filter(F.col("id").eqNullSafe(F.col("of")))
-        .withColumn("tile", F.pmod(F.xxhash64("fp", F.lit(7)), F.col("tiles")).cast("int"))
+    one = classes.select("c", "n").join(roots.withColumnRenamed("node", "c"), "c")
+    tiles = one.groupBy("root").agg(F.ceil(F.sum("n") * 8 / SET_TILE).cast("int").alias("tiles"))
+    one = stored(one.join(tiles, "root").select("c", F.col("root").alias("bucket"), "tiles"), "members")
+    cells = (
+        base.join(one, base["id"] == one["c"]).withColumn("tile", F.pmod(F.xxhash64("c", F.lit(7)), F.col("tiles")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-        .select("bucket", F.least("tile", "other").alias("a"), F.greatest("tile", "other").alias("b"), "tile", "fp", "shingles")
+        .select("bucket", F.least("tile", "other").alias("a"), F.greatest("tile", "other").alias("b"), "tile", (F.col("tiles") == 1).cast("int").alias("whole"), "c", "text")
     )
-    found = cells.repartition(partitions(spark), "bucket", "a", "b").sortWithinPartitions("bucket", "a", "b").mapInArrow(_verify_cells(similarity), "u binary, v binary").distinct()
-    return _named(kept.select("id", "fp"), classes.select("fp", "least"), found)
+    found = stored(cells.repartition(partitions(spark), "bucket", "a", "b").sortWithinPartitions("bucket", "a", "b").mapInArrow(_verify_cells(similarity, size), "whole boolean, u long, v long"), "links")
+    settled = found.filter("whole").select(F.col("u").alias("node"), F.col("v").alias("root"))
+    return sketch.select("id", "f1", "f2"), classes.select("f1", "f2", "c"), settled.unionByName(components(found.filter("not whole").select("u", "v"), "similar"))
+
+
+def similar_groups(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", similarity: float = SIMILARITY, size: int = SIMILAR_SHINGLE) -> DataFrame:
+    """One row per row of docs: id and component_id, the least id of its group of similar texts. Ids are unique whole numbers."""
+    sketch, classes, moved = _similar_classes(docs, text_col, id_col, similarity, size)
+    named = classes.join(moved.withColumnRenamed("node", "c"), "c", "left").select("f1", "f2", F.coalesce("root", "c").alias("component_id"))
+    return sketch.join(named, ["f1", "f2"]).select("id", "component_id")
 
 
 def near_groups(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", radius: int = RADIUS, size: int = SHINGLE) -> DataFrame:
@@ -440,9 +454,12 @@ def near_groups(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
 
 
 def keep_one(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """The rows of docs that are the first of their group of similar texts, by id (nulls last) and, among equal ids, by content."""
+    """The rows of docs that are the first of their group of similar texts, by id (nulls last) and, among equal ids, by content.
+
+    Null and empty texts are one group. Rows keep all their columns, whatever their names."""
     base = with_order(docs, id_col, "__uid")
-    first = similar_groups(base, text_col, "__uid").filter("id = component_id").select(F.col("id").alias("__uid"))
+    _, classes, moved = _similar_classes(base, text_col, "__uid", SIMILARITY, SIMILAR_SHINGLE)
+    first = classes.select(F.col("c").alias("__uid")).join(moved.select(F.col("node").alias("__uid")), "__uid", "left_anti")
     return base.join(first, "__uid", "left_semi").select(*[f"`{c}`" for c in docs.columns])
 
 

@@ -6,13 +6,14 @@ that the labels carry; any list of 0/1 label columns can be given. Each is a lin
 earlier categories. In training, those probabilities come from models fitted on the other folds, so that a later model
 sees them as unsure as they will be on new documents.
 
-1. At most LABELLED labelled rows (least hashes of ids) train the chain. Features are counted for each fold and label
+1. At most LABELLED labelled documents (least hashes of ids) train the chain. Features are counted for each fold and label
    in the tasks, and summed by key; the strongest FEATURES of each category and fold complement are kept.
 2. The rows' kept features (a few numbers a row) go to the driver, where the models are fitted.
 3. Every document is scored by set intersections with the kept features.
 
 The threshold of a category is the one with the best F1 of the out-of-fold predictions. Null and empty texts have no
-features and are scored by the intercepts.
+features and are scored by the intercepts. Labels without an id or with a null category are left out; a label counts for
+every document of its id, within LABELLED. Without labelled documents every probability is 0.5 and nothing is toxic.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strandline.llm.common import as_binary, stored, table
+from strandline.llm.common import as_binary, bounded, byte_view, stored, table
 
 LABELLED, FEATURES, FOLDS = 20_000, 1500, 3
 LEAST_DOCS, RIDGE = 4, 1.0
@@ -80,15 +81,17 @@ def _count(n_labels: int):
 
 
 def _extract(known: list[dict[str, int]], n_labels: int):
+    """(id, fold, labels, text) -> the same with `has`, the kept features as packed 32-bit numbers, and the words."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = [set(k) for k in known]
         for batch in batches:
             out, size = [], []
             for text in as_binary(batch.column(batch.num_columns - 1)).to_pylist():
                 *sets, n = features(text)
-                out.append(sorted(known[k][w] for k in range(3) for w in sets[k] & keys[k]))
+                out.append(np.array(sorted(known[k][w] for k in range(3) for w in sets[k] & keys[k]), np.int32).tobytes())
                 size.append(n)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(out, pa.list_(pa.int32())), pa.array(size, pa.int64())], names=[*batch.schema.names[:-1], "has", "size"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(out, pa.binary()), pa.array(size, pa.int64())], names=[*batch.schema.names[:-1], "has", "size"])
 
     return run
 
@@ -228,7 +231,7 @@ def learn(docs: DataFrame, labelled: DataFrame, categories: tuple[str, ...] = CA
     for c in categories:
         full = full.filter(F.col(c).isNotNull())
     chosen = full.select(F.col(id_col).alias("__id"), *[F.col(c).cast("int").alias(c) for c in categories]).distinct().orderBy(F.xxhash64("__id"), "__id", *categories).limit(most)
-    own = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(chosen), "__id")
+    own = bounded(docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(chosen), "__id"), "__id", most)
     own = own.select("__id", F.pmod(F.xxhash64("__id", F.lit(3)), F.lit(FOLDS)).cast("int").alias("fold"), *categories, "text")
     width = FOLDS * (n + 1)
     counts = (
@@ -247,10 +250,12 @@ def learn(docs: DataFrame, labelled: DataFrame, categories: tuple[str, ...] = CA
     known: list[dict[str, int]] = [{}, {}, {}]
     for (kind, word), at in place.items():
         known[kind][word] = at
-    rows = own.mapInArrow(_extract(known, n), "__id long, fold int, " + "".join(f"`{c}` int, " for c in categories) + "has array<int>, size long").toPandas().sort_values(["__id", *categories, "size"], ignore_index=True)
-    ptr = np.concatenate([[0], np.cumsum(rows["has"].map(len).to_numpy(np.int64))]) if len(rows) else np.zeros(1, np.int64)
-    idx = np.concatenate(rows["has"].to_list()).astype(np.int32) if len(rows) and ptr[-1] else np.zeros(0, np.int32)
-    fold, dense = rows["fold"].to_numpy(), np.log1p(rows["size"].to_numpy(float))[:, None] / 10
+    schema = T.StructType([*own.drop("text").schema.fields, *T._parse_datatype_string("has binary, size long").fields])
+    rows = own.mapInArrow(_extract(known, n), schema).orderBy("__id", *categories, "size", "has").toArrow()
+    has = rows.column("has").combine_chunks().cast(pa.large_binary())
+    packed, ptr = byte_view(has.chunk(0) if isinstance(has, pa.ChunkedArray) else has)
+    idx, ptr = packed.view(np.int32), ptr // 4
+    fold, dense = rows.column("fold").to_numpy(), np.log1p(rows.column("size").to_numpy().astype(float))[:, None] / 10
 
     def part(mask):
         keep = np.repeat(mask, np.diff(ptr))
@@ -258,7 +263,7 @@ def learn(docs: DataFrame, labelled: DataFrame, categories: tuple[str, ...] = CA
 
     models, thresholds = [], []
     for k, c in enumerate(categories):
-        y = rows[c].to_numpy(float)
+        y = rows.column(c).to_numpy().astype(float)
         flags = []
         for keys in chosen_of[k]:
             m = np.zeros(len(used), bool)

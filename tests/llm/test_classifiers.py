@@ -36,6 +36,19 @@ def test_quality_odd_rows(spark):
     assert quality.with_statistics(docs.limit(0)).count() == 0
 
 
+def test_labels_are_bounded_after_the_join(spark, monkeypatch):
+    """One label may meet many documents of its id; what reaches the driver stays within the bound."""
+    docs = spark.createDataFrame([(1, f"text {k}") for k in range(500)] + [(2, "other")], "doc_id long, text string")
+    seen = []
+    fit = quality.RuleModel.fit.__func__
+    monkeypatch.setattr(quality.RuleModel, "fit", classmethod(lambda cls, x, y: seen.append(len(y)) or fit(cls, x, y)))
+    for most in (1, 7, 600):
+        quality.learn(docs, spark.createDataFrame([(1, 1)], "doc_id long, quality int"), most=most)
+    assert seen == [1, 7, 500]
+    chain = toxicity.learn(docs, spark.createDataFrame([(1, 1, 0), (2, 0, 1)], "doc_id long, junk int, toxic int"), most=5)
+    assert toxicity.classify(docs, chain).count() == 501
+
+
 def held_out_auc(spark):
     out = quality.op2_quality(spark, DATA)
     return out.join(spark.read.parquet(f"{DATA}/labels.parquet"), "doc_id").filter("held_out").select("quality", "score", "predicted").toPandas()

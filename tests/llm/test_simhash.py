@@ -144,11 +144,48 @@ def test_similar_groups(spark):
     assert {r["doc_id"] for r in sh.keep_one(df).collect()} == set(got.values())
 
 
-def test_band_scheme_keeps_recall():
-    for n in (1, 10**5, 10**7, 10**10):
-        words, width, bands = sh.band_scheme(n, 0.15)
-        assert 1 - (1 - 0.85**width) ** bands >= sh.RECALL
-        assert bands * width <= 64 * words and bands <= 4096 and n / 2**width <= 512
+def test_recall_of_candidates_at_the_threshold():
+    """Pairs of similarity 0.8 share a band with a chance of 1 - (1 - 0.8 ** 6) ** 24 = 0.9993, at every length."""
+    r = np.random.default_rng(2)
+    for n in (9, 90, 900):
+        found = 0
+        for _ in range(300):
+            h = r.integers(0, 2**64, n + 2 * n // 16 + 2, dtype=np.uint64)
+            extra = max(1, n // 9)
+            a, b = h[:n], np.concatenate([h[extra:n], h[n : n + extra]])  # (n - extra) / (n + extra), about 0.8
+            keys = sh._min_bands(np.concatenate([np.unique(a), np.unique(b)]), np.array([0, n]))
+            found += bool((keys[0] == keys[1]).any())
+        assert found >= 295
+
+
+def test_near_copies_equal_all_pairs_of_the_table(spark):
+    """Every pair of the table at 0.8 or more is joined, and nothing below it is, but by a chain of such pairs."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = {r["id"]: r["component_id"] for r in sh.similar_groups(docs).collect()}
+    rows = [(r["doc_id"], sh._shingle_set((r["text"] or "").encode(), 5)) for r in docs.select("doc_id", "text").collect()]
+    owner = np.concatenate([np.full(len(x), k) for k, (_, x) in enumerate(rows)])
+    values = np.concatenate([x for _, x in rows])
+    order = np.argsort(values, kind="stable")
+    values, owner = values[order], owner[order]
+    both = {}
+    cuts = np.flatnonzero(np.append(True, values[1:] != values[:-1]))
+    for s, e in zip(cuts, np.append(cuts[1:], len(values)), strict=True):
+        held = np.sort(owner[s:e]).tolist()
+        for i in range(len(held)):
+            for j in range(i):
+                both[held[j], held[i]] = both.get((held[j], held[i]), 0) + 1
+    label = list(range(len(rows)))
+    near = total = 0
+    for (i, j), n in both.items():
+        if n / (len(rows[i][1]) + len(rows[j][1]) - n) >= 0.8:
+            total += 1
+            near += got[rows[i][0]] == got[rows[j][0]]
+            old, new = max(label[i], label[j]), min(label[i], label[j])
+            label = [new if x == old else x for x in label]
+    assert total > 50 and near / total >= 0.99
+    for i, (d, x) in enumerate(rows):
+        if len(x):
+            assert got[d] == rows[label[i]][0] or near < total
 
 
 def test_similar_groups_are_exact_at_the_threshold(spark, monkeypatch):
