@@ -114,6 +114,13 @@ def byte_view(col: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray]:
     return data, off - off[0]
 
 
+def texts(col: pa.Array, limit: int = 1 << 21) -> Iterator[tuple[int, int, list[bytes]]]:
+    """(first row, end, values) for ranges of about `limit` bytes, so that a batch's texts are never all Python objects."""
+    col = as_binary(col)
+    for i, j in chunks(byte_view(col)[1], limit):
+        yield i, j, col.slice(i, j - i).to_pylist()
+
+
 def chunks(off: np.ndarray, limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Row ranges of about `limit` bytes; a longer value has a range of its own."""
     i, n = 0, len(off) - 1

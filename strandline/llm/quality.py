@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strandline.llm.common import as_binary, bounded, table
+from strandline.llm.common import bounded, table, texts
 
 #: The most labelled rows that train the model.
 LABELLED = 20_000
@@ -62,7 +62,7 @@ def statistics(text: bytes) -> tuple[float, ...]:
 
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = [statistics(t) for t in as_binary(batch.column(batch.num_columns - 1)).to_pylist()]
+        rows = [statistics(t) for _, _, values in texts(batch.column(batch.num_columns - 1)) for t in values]
         columns = np.array(rows, np.float64).reshape(len(rows), len(STATISTICS)).T
         yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *map(pa.array, columns)], names=[*batch.schema.names[:-1], *(f"q_{s}" for s in STATISTICS)])
 

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import as_binary, partitions, stored, table, with_order
+from strandline.llm.common import as_binary, partitions, stored, table, texts, with_order
 from strandline.llm.components import components
 
 SHINGLE, RADIUS = 3, 3
@@ -114,9 +114,8 @@ def _fingerprint_batches(size: int, words: int = 0):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for s in range(0, batch.num_rows, 512):
-                part = batch.slice(s, 512)
-                fp = fingerprints(as_binary(part.column(part.num_columns - 1)).to_pylist(), size, words or 1)
+            for i, j, values in texts(batch.column(batch.num_columns - 1), 1 << 20):
+                part, fp = batch.slice(i, j - i), fingerprints(values, size, words or 1)
                 col = pa.array([r.tobytes() for r in fp], pa.binary()) if words else pa.array(fp.ravel().view(np.int64))
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], col], names=[*part.schema.names[:-1], "fp"])
 
@@ -311,9 +310,8 @@ def _sketches(size: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for s in range(0, batch.num_rows, 512):
-                part = batch.slice(s, 512)
-                sets = [_shingle_set(text, size) for text in as_binary(part.column(1)).to_pylist()]
+            for i, j, values in texts(batch.column(1), 1 << 20):
+                part, sets = batch.slice(i, j - i), [_shingle_set(text, size) for text in values]
                 bands: list = [()] * len(sets)
                 full = [k for k, x in enumerate(sets) if len(x)]
                 lens = np.cumsum([0] + [len(sets[k]) for k in full])

@@ -26,12 +26,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strandline.llm.common import as_binary, bounded, byte_view, stored, table
+from strandline.llm.common import bounded, byte_view, stored, table, texts
 
 LABELLED, FEATURES, FOLDS = 20_000, 1500, 3
 LEAST_DOCS, RIDGE = 4, 1.0
 #: Distinct features that a task holds before it passes their counts on.
-HELD = 250_000
+HELD = 100_000
 CATEGORIES = ("junk", "toxic")
 
 _SPACES = bytes(32 if chr(c) in ".,;:!?\"'()[]{}<>|*#$%&/\\=+~^`_" or c < 33 else c for c in range(256))
@@ -46,35 +46,44 @@ def features(text: bytes) -> tuple[set[str], set[str], set[str], int]:
 
 def _count(n_labels: int):
     """(fold, label ..., text) -> how many documents have a feature, by fold and label."""
+    width = FOLDS * (n_labels + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[tuple[int, str], np.ndarray] = {}
+        known: list[dict[str, int]] = [{}, {}, {}]  # by kind: feature -> its row of sums
+        sums, n = np.zeros((1 << 14, width), np.int32), 0
 
         def passed_on():
-            items = list(sums.items())
-            sums.clear()
-            for s in range(0, len(items), 50_000):
-                part = items[s : s + 50_000]
-                flat = np.concatenate([v for _, v in part])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([k[0] for k, _ in part], pa.int32()), pa.array([k[1] for k, _ in part], pa.string()), pa.ListArray.from_arrays(np.arange(len(part) + 1, dtype=np.int32) * FOLDS * (n_labels + 1), pa.array(flat))],
-                    names=["kind", "word", "n"],
-                )
+            for kind, rows in enumerate(known):
+                words = list(rows)
+                for s in range(0, len(words), 20_000):
+                    part = words[s : s + 20_000]
+                    flat = sums[[rows[w] for w in part]].astype(np.int64).ravel()
+                    ends = np.arange(len(part) + 1, dtype=np.int32) * width
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), kind, np.int32)), pa.array(part, pa.string()), pa.ListArray.from_arrays(ends, pa.array(flat))], names=["kind", "word", "n"])
+                rows.clear()
 
         for batch in batches:
             fold = batch.column(0).to_numpy(zero_copy_only=False)
             y = np.stack([batch.column(1 + k).to_numpy(zero_copy_only=False) for k in range(n_labels)], axis=1)
-            for i, text in enumerate(as_binary(batch.column(1 + n_labels)).to_pylist()):
-                for kind, found in enumerate(features(text)[:3]):
-                    for w in found:
-                        n = sums.get((kind, w))
-                        if n is None:
-                            n = sums[kind, w] = np.zeros(FOLDS * (n_labels + 1), np.int64)
-                        at = fold[i] * (n_labels + 1)
-                        n[at] += 1
-                        n[at + 1 : at + 1 + n_labels] += y[i]
-                if len(sums) > HELD:
-                    yield from passed_on()
+            for i, _, values in texts(batch.column(1 + n_labels)):
+                for k, text in enumerate(values, i):
+                    rows = []
+                    for kind, found in zip(known, features(text)[:3], strict=True):
+                        for w in found:
+                            at = kind.get(w)
+                            if at is None:
+                                at = kind[w] = n
+                                n += 1
+                            rows.append(at)
+                    while n > len(sums):
+                        sums = np.concatenate([sums, np.zeros_like(sums)])
+                    at = fold[k] * (n_labels + 1)
+                    sums[rows, at] += 1
+                    for label in np.flatnonzero(y[k]):
+                        sums[rows, at + 1 + label] += y[k, label]
+                    if n > HELD:
+                        yield from passed_on()
+                        sums, n = np.zeros((1 << 14, width), np.int32), 0
         yield from passed_on()
 
     return run
@@ -87,10 +96,11 @@ def _extract(known: list[dict[str, int]], n_labels: int):
         keys = [set(k) for k in known]
         for batch in batches:
             out, size = [], []
-            for text in as_binary(batch.column(batch.num_columns - 1)).to_pylist():
-                *sets, n = features(text)
-                out.append(np.array(sorted(known[k][w] for k in range(3) for w in sets[k] & keys[k]), np.int32).tobytes())
-                size.append(n)
+            for _, _, values in texts(batch.column(batch.num_columns - 1)):
+                for text in values:
+                    *sets, n = features(text)
+                    out.append(np.array(sorted(known[k][w] for k in range(3) for w in sets[k] & keys[k]), np.int32).tobytes())
+                    size.append(n)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(out, pa.binary()), pa.array(size, pa.int64())], names=[*batch.schema.names[:-1], "has", "size"])
 
     return run
@@ -296,13 +306,16 @@ def classify(docs: DataFrame, chain: Chain, text_col: str = "text") -> DataFrame
         c = shared.value
         keys = [set(k) for k in c.known]
         for batch in batches:
-            has, size = [], []
-            for text in as_binary(batch.column(batch.num_columns - 1)).to_pylist():
-                *sets, n = features(text)
-                has.append([c.known[k][w] for k in range(3) for w in sets[k] & keys[k]])
-                size.append(n)
-            ptr = np.concatenate([[0], np.cumsum([len(x) for x in has])]).astype(np.int64)
-            p = c.probabilities(np.array([y for x in has for y in x], np.int64), ptr, np.array(size))
+            parts = [np.zeros((0, len(c.categories)))]
+            for _, _, values in texts(batch.column(batch.num_columns - 1)):
+                has, size = [], []
+                for text in values:
+                    *sets, n = features(text)
+                    has.append([c.known[k][w] for k in range(3) for w in sets[k] & keys[k]])
+                    size.append(n)
+                ptr = np.concatenate([[0], np.cumsum([len(x) for x in has])]).astype(np.int64)
+                parts.append(c.probabilities(np.array([y for x in has for y in x], np.int64), ptr, np.array(size)))
+            p = np.concatenate(parts)
             flags = p >= np.array(c.thresholds)[None, :] if len(c.thresholds) else p > 1
             cols = [*batch.columns[:-1], *[pa.array(x) for x in p.T.copy()], *[pa.array(x) for x in flags.T.copy()]]
             yield pa.RecordBatch.from_arrays(cols, names=[*batch.schema.names[:-1], *new])
