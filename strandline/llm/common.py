@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import atexit
+import typing
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -121,6 +122,19 @@ def texts(col: pa.Array, limit: int = 1 << 21) -> Iterator[tuple[int, int, list[
         yield i, j, col.slice(i, j - i).to_pylist()
 
 
+def text_column(work: Callable[[], Callable[[pa.Array], pa.Array]], returns: str):
+    """A column function of texts. Only the text goes to Python and only the result comes back; the other columns stay in
+    the JVM. `work` is called once a task and gives the function of one batch. Each text is read once, whatever filters
+    follow."""
+
+    def run(batches: typing.Iterator[pa.Array]) -> typing.Iterator[pa.Array]:
+        of = work()
+        for col in batches:
+            yield of(col)
+
+    return F.arrow_udf(run, returns).asNondeterministic()
+
+
 def chunks(off: np.ndarray, limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Row ranges of about `limit` bytes; a longer value has a range of its own."""
     i, n = 0, len(off) - 1

@@ -9,9 +9,12 @@ occurrence shares at least m - q + 1 - q * e q-grams with the item, and they lie
    one of them holds all the diagonals of an occurrence. Bands below the lemma's bound go.
 3. What is left is verified: the item against the band's region by dynamic programming inside the band.
 
-The benchmark is taken in blocks of at most BLOCK bytes; each block is one broadcast and one pass over the documents, so
-the broadcast has a fixed bound and every item meets every document. Items that are null or shorter than Q bytes are
-not searched. Null and empty texts have no leaks. Texts beyond PIECE bytes are searched in overlapping pieces.
+The benchmark is taken in blocks of about BLOCK bytes (an item is never split); each block is one broadcast and one pass
+over the documents, so a task holds one index at a time and every item meets every document. Of a pass only the rows with
+leaks are written, and they are joined to the documents at the end. Items shorter than Q bytes have no q-gram: they are
+looked up as whole words. Items that are null or white space are not searched. Null and empty texts have no leaks. Texts
+are folded as a whole; those beyond PIECE bytes are searched in pieces of the folded text that overlap by more than the
+longest item. Rows with equal ids are rows of their own; own columns named `leaks` are replaced, others stay.
 """
 
 from __future__ import annotations
@@ -22,12 +25,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from strandline.llm.common import as_binary, byte_view, chunks, table
+from strandline.llm.common import as_binary, byte_view, chunks, stored, table, text_column, with_order
 
 Q, RATE = 10, 0.08
-BLOCK, PIECE = 1 << 19, 1 << 23
+BLOCK, PIECE = 1 << 20, 1 << 23
 #: Hits that are expanded at once.
 SLICE = 1 << 20
 
@@ -36,6 +38,8 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _LOWER[9:14] = 32
 _SLOTS = 22
+#: Bytes that make words, for items shorter than Q: letters, digits and all beyond ASCII.
+_WORD = np.array([c >= 128 or chr(c).isalnum() for c in range(256)])
 
 
 def _grams(data: np.ndarray) -> np.ndarray:
@@ -106,6 +110,11 @@ class Items:
 
     def __init__(self, items: list[tuple[int, bytes]]):
         folded = [(i, fold(np.frombuffer(t, np.uint8))[0]) for i, t in items]
+        trimmed = ((i, t.tobytes().strip(b" ")) for i, t in folded)
+        self.short: dict[int, dict[bytes, list[int]]] = {}  # by length: text -> ids
+        for i, t in trimmed:
+            if 0 < len(t) < Q:
+                self.short.setdefault(len(t), {}).setdefault(t, []).append(i)
         folded = [(i, t) for i, t in folded if len(t) >= Q]
         self.ids = np.array([i for i, _ in folded], np.int64)
         self.texts = [t for _, t in folded]
@@ -166,8 +175,30 @@ class Items:
         cut = _starts(doc, item, band)
         return doc[cut], item[cut], band[cut], np.diff(np.append(cut, len(doc))), np.minimum.reduceat(pos, cut), np.maximum.reduceat(pos, cut)
 
+    def words(self, data: np.ndarray, off: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """(text, id, start, end) of the short items that stand as whole words; data is folded."""
+        if not self.short or not len(data):
+            return
+        word = _WORD[data]
+        opens, closes = np.append(True, ~word[:-1]) | ~word, np.append(~word, True)
+        closes[1:] |= ~word
+        opens[off[:-1][off[:-1] < len(data)]] = True
+        closes[off] = True
+        for length, items in self.short.items():
+            start = np.flatnonzero(opens[: max(0, len(data) - length + 1)])
+            start = start[closes[start + length]]
+            keys = np.zeros(len(start), np.uint64)
+            for k in range(min(8, length)):
+                keys = (keys << _U(8)) | data[start + k].astype(np.uint64)
+            start = start[np.isin(keys, np.array(sorted({int.from_bytes(t[:8], "big") for t in items}), np.uint64))]
+            doc = np.searchsorted(off, start, "right") - 1
+            for d, s in zip(doc.tolist(), start.tolist(), strict=True):
+                if s + length <= off[d + 1]:
+                    for i in items.get(data[s : s + length].tobytes(), ()):
+                        yield d, i, s - int(off[d]), s - int(off[d]) + length
+
     def leaks(self, data: np.ndarray, off: np.ndarray) -> dict[int, dict[int, tuple[int, int, int]]]:
-        """For each text, the verified items: edits and the range of their shared q-grams."""
+        """For each text, the verified items by id: edits and the range of their shared q-grams."""
         out: dict[int, dict[int, tuple[int, int, int]]] = {}
         for doc, item, diagonal, low, high in self.bands(data, off):
             e = int(self.edits[item])
@@ -180,50 +211,76 @@ class Items:
                 best = mine.get(item)
                 if best is None or (edits, low) < best[:2]:
                     mine[item] = (edits, low, high + Q)
-        return out
+        found: dict[int, dict[int, tuple[int, int, int]]] = {}
+        for doc, mine in out.items():
+            for item, x in mine.items():  # several items can have one id
+                i, own = int(self.ids[item]), found.setdefault(doc, {})
+                own[i] = min(x, own.get(i, x))
+        for doc, i, s, e in self.words(data, off):
+            found.setdefault(doc, {}).setdefault(i, (0, s, e))
+        return found
 
 
 LEAKS = "array<struct<item_id:long,edits:int,s:long,e:long>>"
 
 
+def _folded_pieces(raw: np.ndarray, overlap: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The folded text in pieces, each with the last `overlap` folded bytes before it, and where its bytes stand in raw."""
+    low, at, space_before = np.zeros(0, np.uint8), np.zeros(0, np.int64), False
+    for s in range(0, len(raw), PIECE):
+        part = _LOWER[raw[s : s + PIECE]]
+        space = part == 32
+        keep = ~space
+        keep[1:] |= ~space[:-1]
+        keep[0] |= not space_before
+        space_before = bool(space[-1])
+        low, at = np.concatenate([low[-overlap:], part[keep]]), np.concatenate([at[-overlap:], np.flatnonzero(keep) + s])
+        yield low, at
+
+
+def _points(raw: np.ndarray):
+    """A function from byte positions of raw to code points."""
+    steps = [0]
+    for s in range(0, len(raw), 1 << 16):
+        steps.append(steps[-1] + int(((raw[s : s + (1 << 16)] & 0xC0) != 0x80).sum()))
+    return lambda p: steps[p >> 16] + int(((raw[p >> 16 << 16 : p] & 0xC0) != 0x80).sum())
+
+
 def _search(shared):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items: Items = shared.value
-        overlap = int(max((len(t) for t in items.texts), default=0) * (1 + 2 * RATE)) + Q + 8
-        for batch in batches:
-            data, off = byte_view(as_binary(batch.column(batch.num_columns - 1)))
-            found: list[list[dict]] = [[] for _ in range(batch.num_rows)]
-
-            def take(first, raw, cuts, shift, found=found):
-                low, at = fold_rows(raw, cuts)
-                inner = np.searchsorted(at, cuts)
-                for doc, mine in items.leaks(low, inner).items():
-                    text = raw[cuts[doc] : cuts[doc + 1]]
-                    wide = np.concatenate([[0], np.cumsum((text & 0xC0) != 0x80)])
-                    for item, (edits, s, e) in mine.items():
-                        s0, e0 = at[inner[doc] + s] - cuts[doc], at[inner[doc] + e - 1] + 1 - cuts[doc]
-                        found[first + doc].append({"item_id": int(items.ids[item]), "edits": edits, "s": int(wide[s0]) + shift, "e": int(wide[e0]) + shift})
-
-            for i, j in chunks(off):
-                size = off[j] - off[i]
-                if size <= PIECE or j > i + 1:
-                    take(i, data[off[i] : off[j]], off[i : j + 1] - off[i], 0)
-                    continue
-                points = 0
-                for s in range(0, int(size), PIECE):
-                    raw = data[off[i] + s : off[i] + min(int(size), s + PIECE + overlap)]
-                    take(i, raw, np.array([0, len(raw)]), points)
-                    points += int(((data[off[i] + s : off[i] + s + PIECE] & 0xC0) != 0x80).sum())
-            for k, mine in enumerate(found):
-                best: dict[int, dict] = {}
-                for x in mine:
-                    if x["item_id"] not in best or (x["edits"], x["s"]) < (best[x["item_id"]]["edits"], best[x["item_id"]]["s"]):
-                        best[x["item_id"]] = x
-                found[k] = [best[i] for i in sorted(best)]
-            kind = pa.list_(pa.struct([("item_id", pa.int64()), ("edits", pa.int32()), ("s", pa.int64()), ("e", pa.int64())]))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, kind)], names=[*batch.schema.names, "__more"])
-
-    return run
+    """A function from texts to their leaks."""
+    items: Items = shared.value
+    overlap = int(max((len(t) for t in items.texts), default=0) * (1 + 2 * RATE)) + 2 * Q + 8
+    kind = pa.list_(pa.struct([("item_id", pa.int64()), ("edits", pa.int32()), ("s", pa.int64()), ("e", pa.int64())]))
+
+    def of(col: pa.Array) -> pa.Array:
+        data, off = byte_view(as_binary(col))
+        found: list[list[dict]] = [[] for _ in range(len(col))]
+
+        def take(row, mine, at, point):
+            for item, (edits, s, e) in mine.items():
+                found[row].append({"item_id": item, "edits": edits, "s": point(int(at[s])), "e": point(int(at[e - 1]) + 1)})
+
+        for i, j in chunks(off):
+            raw, cuts = data[off[i] : off[j]], off[i : j + 1] - off[i]
+            if j == i + 1 and len(raw) > PIECE:
+                point = _points(raw)
+                for low, at in _folded_pieces(raw, overlap):
+                    for mine in items.leaks(low, np.array([0, len(low)])).values():
+                        take(i, mine, at, point)
+                continue
+            low, at = fold_rows(raw, cuts)
+            inner = np.searchsorted(at, cuts)
+            for doc, mine in items.leaks(low, inner).items():
+                take(i + doc, mine, at[inner[doc] : inner[doc + 1]] - cuts[doc], _points(raw[cuts[doc] : cuts[doc + 1]]))
+        for k, mine in enumerate(found):
+            best: dict[int, dict] = {}
+            for x in mine:
+                if x["item_id"] not in best or (x["edits"], x["s"]) < (best[x["item_id"]]["edits"], best[x["item_id"]]["s"]):
+                    best[x["item_id"]] = x
+            found[k] = [best[i] for i in sorted(best)]
+        return pa.array(found, kind)
+
+    return of
 
 
 def fold_rows(raw: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -238,21 +295,32 @@ def fold_rows(raw: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return low[at], at
 
 
-def with_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", block: int = BLOCK) -> DataFrame:
-    """docs with `leaks`, the benchmark items (item_id, text) that each text holds; an own column of that name is replaced."""
+def with_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", id_col: str = "doc_id", block: int = BLOCK) -> DataFrame:
+    """docs with `leaks`, the benchmark items (item_id, text) that each text holds. The id is read only for a benchmark of
+    several blocks, where it makes the handle by which what the passes found is put together."""
     spark = docs.sparkSession
     items = benchmark.filter("item_id is not null and text is not null").select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     size = items.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     blocks = max(1, -(-size // block))
-    kept = [c for c in docs.columns if c != "leaks"]
-    out = docs.select(*[f"`{c}`" for c in kept]).withColumn("leaks", F.array().cast(LEAKS))
-    for b in range(blocks):
+    def index(b: int):
         part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).orderBy("item_id", "text").collect()
-        shared = spark.sparkContext.broadcast(Items([(r["item_id"], r["text"].encode()) for r in part]))
-        read = out.withColumn("__read", F.col(f"`{text_col}`").cast("string"))
-        found = read.mapInArrow(_search(shared), T.StructType([*read.schema.fields, T.StructField("__more", T._parse_datatype_string(LEAKS))]))
-        out = found.withColumn("leaks", F.concat("leaks", "__more")).drop("__more", "__read")
-    return out
+        return spark.sparkContext.broadcast(Items([(r["item_id"], r["text"].encode()) for r in part]))
+
+    def leaks_in(shared):
+        return text_column(lambda: _search(shared), LEAKS)(F.col(f"`{text_col}`").cast("string"))
+
+    own = docs.select(*[f"`{c}`" for c in docs.columns if c != "leaks"])
+    if blocks == 1:
+        return own.select(*[f"`{c}`" for c in own.columns], leaks_in(index(0)).alias("leaks"))
+    base = with_order(own, id_col, "__uid")
+    every = None
+    for b in range(blocks):
+        shared = index(b)
+        hits = stored(base.select("__uid", leaks_in(shared).alias("__found")).filter(F.size("__found") > 0), "leaks")
+        shared.destroy()
+        every = hits if every is None else every.unionByName(hits)
+    joined = every.groupBy("__uid").agg(F.array_sort(F.flatten(F.collect_list("__found"))).alias("leaks"))
+    return base.join(joined, "__uid", "left").withColumn("leaks", F.coalesce("leaks", F.array().cast(LEAKS))).select(*[f"`{c}`" for c in own.columns], "leaks")
 
 
 def op4_decontaminate(spark, sf_dir: str) -> DataFrame:

@@ -7,11 +7,12 @@ counts. The model is stored in sorted arrays of 64-bit hashes with one column of
 binary search a position serves all languages; strings that no language has seen back off through the context arrays.
 
 The language with the least cross-entropy per character wins. `score` is a logistic function of the margin to the
-second, fitted on a bounded set of documents that the counts leave out; `rejected` marks texts whose cross-entropy is
+second, fitted on a bounded set of documents that a first model leaves out; `rejected` marks texts whose cross-entropy is
 beyond what that set shows for the language (mean and REJECT standard deviations).
 
-Null texts and texts without a letter are `und` with score 0. Texts beyond PIECE characters are scored in pieces that
-each begin with spaces.
+Null texts and texts without a letter are `und` with score 0. A text of any length is read in pieces that carry the
+characters before them, which changes no count and no score. Rows with equal ids are rows of their own; an empty table
+or one without languages makes every prediction `und`.
 
 No string is left out. The model is cut into blocks by the two characters before the last one: a string, its contexts
 and what it backs off to lie in one block down to order 3, pairs of characters are in each block that needs them, and
@@ -29,9 +30,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from strandline.llm.common import as_binary, byte_view, chunks, stored, table
+from strandline.llm.common import stored, table, text_column, texts
 
 ORDER = 5
 #: Documents for calibration; distinct strings held in a task before they are passed on.
@@ -62,35 +62,58 @@ _FOLD = _fold_table()
 _LETTER = np.array([0 if 0xD800 <= c < 0xE000 else chr(c).isalpha() for c in range(65536)], bool)
 
 
-def codes(text: str) -> np.ndarray:
-    """The folded code points with single spaces; empty if the text has no letter."""
+_START = np.full(ORDER - 1, 32, np.uint32)
+
+
+def _folded(text: str) -> tuple[np.ndarray, bool]:
+    """The folded code points, and whether one of them is a letter."""
     raw = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
     wide = raw >= 65536
-    if wide.any():
-        raw = raw.copy()
-        far = np.array([c if chr(c).isalpha() else 32 for c in raw[wide].tolist()], np.uint32)
-        raw[wide] = 32
-        out, has = _FOLD[raw], bool(_LETTER[raw].any()) or bool((far != 32).any())
-        out[wide] = far
-    else:
-        out, has = _FOLD[raw], bool(_LETTER[raw].any())
-    if not has:
-        return np.zeros(0, np.uint32)
-    space = out == 32
-    keep = ~space
-    keep[1:] |= ~space[:-1]
-    return out[keep]
-
-
-def _padded(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All codes with ORDER - 1 spaces before each text, the positions of the texts' own characters, and their text."""
-    lens = np.array([len(t) for t in texts], np.int64)
-    at = np.cumsum(lens + ORDER - 1) - lens
-    out = np.full(int((lens + ORDER - 1).sum()), 32, np.uint32)
-    of = np.repeat(np.arange(len(texts)), lens)
-    pos = np.arange(int(lens.sum())) + (at - (np.cumsum(lens) - lens))[of]
-    if len(texts):
-        out[pos] = np.concatenate(texts)
+    if not wide.any():
+        return _FOLD[raw], bool(_LETTER[raw].any())
+    raw = raw.copy()
+    far = np.array([c if chr(c).isalpha() else 32 for c in raw[wide].tolist()], np.uint32)
+    raw[wide] = 32
+    out, has = _FOLD[raw], bool(_LETTER[raw].any()) or bool((far != 32).any())
+    out[wide] = far
+    return out, has
+
+
+def pieces(text: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(the ORDER - 1 codes before, codes with single spaces) for every piece of at most PIECE characters; none if the text
+    has no letter. A piece goes on where the last one ended, so where a text is cut changes no count and no score."""
+    starts = range(0, len(text), PIECE)
+    if len(starts) > 1 and not any(_folded(text[s : s + PIECE])[1] for s in starts):
+        return
+    before = _START
+    for s in starts:
+        out, has = _folded(text[s : s + PIECE])
+        if len(starts) == 1 and not has:
+            return
+        space = out == 32
+        keep = ~space
+        keep[1:] |= ~space[:-1]
+        if s and before[-1] != 32:
+            keep[0] = True
+        elif not s:
+            keep[0] = True
+        out = out[keep]
+        if len(out):
+            yield before, out
+            before = np.concatenate([before, out])[1 - ORDER :]
+
+
+def codes(text: str) -> np.ndarray:
+    """All codes of a text; empty if it has no letter."""
+    return np.concatenate([np.zeros(0, np.uint32), *[c for _, c in pieces(text)]])
+
+
+def _padded(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All codes, each piece after the codes before it, the positions of the pieces' own characters, and their piece."""
+    lens = np.array([len(c) for _, c in held], np.int64)
+    out = np.concatenate([np.zeros(0, np.uint32), *[x for piece in held for x in piece]])
+    of = np.repeat(np.arange(len(held), dtype=np.int32), lens)
+    pos = np.arange(int(lens.sum())) + (ORDER - 1) * (of + 1)
     return out, pos, of
 
 
@@ -117,18 +140,16 @@ def _gram_keys(grams: np.ndarray) -> np.ndarray:
     return _mixed(k)
 
 
-def _batches_of(values: list, limit: int = 1 << 19) -> Iterator[tuple[list[int], list[np.ndarray]]]:
-    """Groups of texts of about `limit` characters: their rows and codes; long texts come in pieces."""
+def _batches_of(values: list, limit: int = 1 << 19) -> Iterator[tuple[list[int], list[tuple[np.ndarray, np.ndarray]]]]:
+    """Groups of pieces of about `limit` characters: the rows they belong to, and the pieces."""
     rows: list[int] = []
-    held: list[np.ndarray] = []
+    held: list[tuple[np.ndarray, np.ndarray]] = []
     size = 0
     for i, raw in enumerate(values):
-        text = raw.decode("utf-8", "replace")
-        for s in range(0, max(1, len(text)), PIECE):
-            c = codes(text[s : s + PIECE])
+        for piece in pieces(raw.decode("utf-8", "replace")):
             rows.append(i)
-            held.append(c)
-            size += len(c)
+            held.append(piece)
+            size += len(piece[1])
             if size >= limit:
                 yield rows, held
                 rows, held, size = [], [], 0
@@ -152,13 +173,11 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums.clear()
 
     for batch in batches:
-        langs = np.array(batch.column(0).to_pylist(), object)
-        values = as_binary(batch.column(1)).to_pylist()
-        for lang in sorted(set(langs)):
-            for _, held in _batches_of([values[i] for i in np.flatnonzero(langs == lang)]):
+        every = np.array(batch.column(0).to_pylist(), object)
+        for i, j, values in texts(batch.column(1), 1 << 23):
+            langs = every[i:j]
+            for lang, held in ((lang, held) for lang in sorted(set(langs)) for _, held in _batches_of([values[k] for k in np.flatnonzero(langs == lang)])):
                 out, pos, _ = _padded(held)
-                if not len(pos):
-                    continue
                 keys, first, counts = np.unique(_keys(out, pos, ORDER), return_index=True, return_counts=True)
                 grams = out[pos[first][:, None] + np.arange(1 - ORDER, 1)]
                 if lang in sums:
@@ -190,11 +209,10 @@ class KneserNey:
         discounts: dict[tuple[str, int], float] | None = None,
         given: dict[tuple[str, int], tuple[np.ndarray, np.ndarray]] | None = None,
         floor: float | None = None,
-        span: tuple[int, int] | None = None,
     ):
         """counts: for each language, the code matrix of its strings and their counts. For one block of a model: the
-        discounts, the strings of orders that reach beyond the block, the floor, and the block's range of `_pairs`."""
-        self.langs, self.span = sorted(counts), span
+        discounts, the strings of orders that reach beyond the block, and the floor."""
+        self.langs = sorted(counts)
         own: list[list[tuple]] = []
         seen: list[list[np.ndarray]] = [[] for _ in range(ORDER + 1)]
         chars: set[int] = set()
@@ -276,53 +294,63 @@ class KneserNey:
             ORDER, _keys(out, pos, ORDER), lambda rows, n: _keys(out, pos[rows] - 1, n - 1) if n > 1 else np.zeros(len(rows), np.uint64), lambda rows, n: _keys(out, pos[rows], n)
         )
 
-    def totals(self, values: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Log-probability of each text for each language, of the positions in this block, and the number of all characters."""
-        total, n = np.zeros((len(values), len(self.langs))), np.zeros(len(values), np.int64)
-        for rows, held in _batches_of(values):
-            out, pos, of = _padded(held)
-            index = np.array(rows)
-            np.add.at(n, index, [len(h) for h in held])
-            for s in range(0, len(pos), 1 << 18):
-                p, o = pos[s : s + (1 << 18)], of[s : s + (1 << 18)]
-                if self.span is not None:
-                    pair = _pairs(out[p - 1], out[p - 2])
-                    mine = (pair >= self.span[0]) & (pair < self.span[1])
-                    p, o = p[mine], o[mine]
-                if not len(p):
-                    continue
-                logp = self.score(out, p)
-                cut = np.flatnonzero(np.append(True, o[1:] != o[:-1]))
-                np.add.at(total, index[o[cut]], np.add.reduceat(logp, cut, axis=0, dtype=np.float64))
-        return total, n
-
     def entropies(self, values: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Cross-entropy per character of each text for each language, and the number of characters."""
-        total, n = self.totals(values)
-        return -total / np.maximum(n, 1)[:, None], n
+        return _entropies_of(self.langs, [], lambda _: self, values)
+
+
+def _entropies_of(langs: list[str], cuts: list[int], part_of, values: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Texts are folded once; then one block of the model after the other scores the positions that lie in it."""
+    total, n = np.zeros((len(values), len(langs))), np.zeros(len(values), np.int64)
+    waiting: list[tuple] = []
+    for rows, held in _batches_of(values):
+        out, pos, of = _padded(held)
+        index = np.array(rows)
+        np.add.at(n, index, [len(c) for _, c in held])
+        block = np.searchsorted(np.array(cuts), _pairs(out[pos - 1], out[pos - 2]), "right").astype(np.int16) if cuts else None
+        waiting.append((out, pos.astype(np.int32), of, index, block))
+    for b in range(len(cuts) + 1):
+        if not waiting:
+            break
+        part = part_of(b)
+        for out, pos, of, index, block in waiting:
+            mine = np.arange(len(pos)) if block is None else np.flatnonzero(block == b)
+            for s in range(0, len(mine), 1 << 18):
+                use = mine[s : s + (1 << 18)]
+                logp, o = part.score(out, pos[use]), of[use]
+                cut = np.flatnonzero(np.append(True, o[1:] != o[:-1]))
+                np.add.at(total, index[o[cut]], np.add.reduceat(logp, cut, axis=0, dtype=np.float64))
+    return -total / np.maximum(n, 1)[:, None], n
 
 
 class Blocks:
-    """A model in blocks, each a broadcast KneserNey."""
+    """A model in blocks, each the broadcast bytes of a KneserNey; cuts are the first pairs of all blocks but the first."""
 
-    def __init__(self, langs: list[str], parts: list):
-        self.langs, self.parts = langs, parts
+    def __init__(self, langs: list[str], parts: list, cuts: list[int]):
+        self.langs, self.parts, self.cuts = langs, parts, cuts
+        self._loaded = None
+
+    def __getstate__(self):
+        return vars(self) | {"_loaded": None}
+
+    def _part(self, b: int) -> KneserNey:
+        if len(self.parts) > 1:
+            part = pickle.loads(self.parts[b].value)
+            vars(self.parts[b]).pop("_value", None)  # the loaded bytes; the broadcast's file stays and is read again
+            return part
+        if self._loaded is None:
+            self._loaded = pickle.loads(self.parts[b].value)
+        return self._loaded
 
     def entropies(self, values: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        total, n = np.zeros((len(values), len(self.langs))), np.zeros(len(values), np.int64)
-        for part in self.parts:
-            more, n = part.value.totals(values)
-            total += more
-            if len(self.parts) > 1:
-                vars(part).pop("_value", None)  # the loaded value; the broadcast's file stays and is read again
-        return -total / np.maximum(n, 1)[:, None], n
+        return _entropies_of(self.langs, self.cuts, self._part, values)
 
 
 def _matrix(grams, order: int) -> np.ndarray:
     return np.frombuffer("".join(grams).encode("utf-32-le"), np.uint32).reshape(-1, order)
 
 
-def _build_block(langs: list[str], discounts: dict, ones: dict, floor: float, cuts: list[int]):
+def _build_block(langs: list[str], discounts: dict, ones: dict, floor: float):
     """Rows (block, lang, gram, n) of orders ORDER and 2 of one block -> its pickled KneserNey in slices."""
 
     def run(rows: pa.Table) -> pa.Table:
@@ -338,8 +366,7 @@ def _build_block(langs: list[str], discounts: dict, ones: dict, floor: float, cu
                     counts[k] = got
                 else:
                     given[k, 2] = got
-        edges = [-1, *cuts, 1 << 62]
-        whole = pickle.dumps(KneserNey(counts, discounts, given, floor, (edges[block], edges[block + 1]) if cuts else None), 5)
+        whole = pickle.dumps(KneserNey(counts, discounts, given, floor), 5)
         data = [whole[s : s + SLICE] for s in range(0, len(whole), SLICE)]
         return pa.table({"block": pa.array([block] * len(data), pa.int32()), "k": pa.array(range(len(data)), pa.int32()), "data": pa.array(data, pa.binary())})
 
@@ -362,7 +389,7 @@ def build(grams: DataFrame) -> Blocks:
     discounts = {(r["lang"], r["order"]): _discount(r["once"], r["twice"]) for r in stats}
     langs = sorted({r["lang"] for r in stats})
     if not langs:
-        return Blocks([], [])
+        return Blocks([], [], [])
     single = levels[1].toPandas()
     ones = {}
     for k in langs:
@@ -382,12 +409,12 @@ def build(grams: DataFrame) -> Blocks:
     first = code(1) * (1 << 21)
     twos = levels[2].withColumn("block", F.explode(F.sequence(block_of(first), block_of(first + ((1 << 21) - 1)))))
     rows = grams.withColumn("block", block_of(pair)).unionByName(twos).select("block", "lang", "gram", "n")
-    made = stored(rows.groupBy("block").applyInArrow(_build_block(langs, discounts, ones, floor, cuts), "block int, k int, data binary"), "model")
+    made = stored(rows.groupBy("block").applyInArrow(_build_block(langs, discounts, ones, floor), "block int, k int, data binary"), "model")
     parts = []
     for b in range(len(cuts) + 1):
         whole = b"".join(r["data"] for r in made.filter(F.col("block") == b).orderBy("k").collect())
-        parts.append(spark.sparkContext.broadcast(pickle.loads(whole)))
-    return Blocks(langs, parts)
+        parts.append(spark.sparkContext.broadcast(whole))
+    return Blocks(langs, parts, cuts)
 
 
 class Identifier:
@@ -424,6 +451,14 @@ class Identifier:
         two = np.partition(h, 1, axis=1)[:, :2]
         return (two[:, 1] - two[:, 0]) * np.sqrt(np.minimum(n, 400) / 20)
 
+    def with_model(self, model: KneserNey | Blocks) -> Identifier:
+        """The same calibration for another model; a language that it did not know is never rejected."""
+        out = Identifier(model)
+        out.slope, out.shift = self.slope, self.shift
+        known = dict(zip(self.model.langs, self.limit, strict=True))
+        out.limit = np.array([known.get(k, np.inf) for k in model.langs])
+        return out
+
     def predict(self, values: list[bytes]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
         """Language, score, cross-entropy and rejection of each text."""
         if not self.model.langs:
@@ -444,9 +479,8 @@ def _grams(rows: DataFrame) -> DataFrame:
 def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Slices of a few MB of text, the last column, with their texts."""
     for batch in batches:
-        texts = as_binary(batch.column(batch.num_columns - 1))
-        for i, j in chunks(byte_view(texts)[1], 1 << 22):
-            yield batch.slice(i, j - i), texts.slice(i, j - i).to_pylist()
+        for i, j, values in texts(batch.column(batch.num_columns - 1), 1 << 22):
+            yield batch.slice(i, j - i), values
 
 
 def _entropies(model: Blocks):
@@ -459,31 +493,33 @@ def _entropies(model: Blocks):
 
 
 def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id") -> Identifier:
-    """Learn from all rows of docs that have a text and a language."""
+    """Learn from all rows of docs that have a text and a language. A bounded set of them is left out of a first model and
+    calibrates scores and rejection with it; the model that predicts has their counts too."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).filter("lang is not null and text is not null")
     apart = [r["id"] for r in rows.filter("crc32(cast(concat('calibrate', id) as binary)) % 20 = 0").select("id").orderBy(F.xxhash64("id"), "id").limit(CALIBRATION).collect()]
-    counted = rows.filter(~F.coalesce(F.col("id").isin(apart), F.lit(False))) if apart else rows
-    grams = stored(_grams(counted), "grams")
-    model = build(grams)
-    if not apart or not model.langs:
-        return Identifier(model)
-    found = rows.filter(F.col("id").isin(apart)).select("lang", "text").mapInArrow(_entropies(model), "lang string, h array<double>, n long").collect()
-    return Identifier(model, np.array([r["h"] for r in found]).reshape(-1, len(model.langs)), np.array([r["n"] for r in found]), [r["lang"] for r in found])
+    if not apart:
+        return Identifier(build(stored(_grams(rows), "grams")))
+    held = F.coalesce(F.col("id").isin(apart), F.lit(False))
+    first = stored(_grams(rows.filter(~held)), "grams")
+    model = build(first)
+    found = rows.filter(held).select("lang", "text").mapInArrow(_entropies(model), "lang string, h array<double>, n long").collect() if model.langs else []
+    calibrated = Identifier(model, np.array([r["h"] for r in found]).reshape(-1, len(model.langs)), np.array([r["n"] for r in found], np.int64), [r["lang"] for r in found])
+    every = first.unionByName(_grams(rows.filter(held))).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    return calibrated.with_model(build(stored(every, "grams")))
 
 
 def identify(docs: DataFrame, known: Identifier, text_col: str = "text") -> DataFrame:
     """docs with lang_pred, score, entropy and rejected; own columns of those names are replaced."""
     new = ("lang_pred", "score", "entropy", "rejected")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, values in _parts(batches):
-            langs, score, entropy, rejected = known.predict(values)
-            cols = [*part.columns[:-1], pa.array(langs, pa.string()), pa.array(score), pa.array(entropy), pa.array(rejected)]
-            yield pa.RecordBatch.from_arrays(cols, names=[*part.schema.names[:-1], *new])
+    def of(col: pa.Array) -> pa.Array:
+        got = [known.predict(values) for _, _, values in texts(col, 1 << 22)]
+        langs = pa.array([x for g in got for x in g[0]], pa.string())
+        return pa.StructArray.from_arrays([langs, *[pa.array(np.concatenate([np.zeros(0, kind), *[g[k] for g in got]])) for k, kind in ((1, float), (2, float), (3, bool))]], names=list(new))
 
-    kept = docs.select(*[f"`{c}`" for c in docs.columns if c not in new], F.col(text_col).cast("string").alias("__read"))
-    fields = T._parse_datatype_string("lang_pred string, score double, entropy double, rejected boolean").fields
-    return kept.mapInArrow(run, T.StructType([*kept.schema.fields[:-1], *fields]))
+    found = text_column(lambda: of, "struct<lang_pred:string,score:double,entropy:double,rejected:boolean>")(F.col(f"`{text_col}`").cast("string"))
+    kept = docs.select(*[f"`{c}`" for c in docs.columns if c not in new], found.alias("__found"))
+    return kept.select(*[f"`{c}`" for c in kept.columns[:-1]], *[F.col(f"__found.{c}").alias(c) for c in new])
 
 
 def op6_language_id(spark, sf_dir: str) -> DataFrame:

@@ -2,12 +2,14 @@
 
 1. One pass over each whole text counts words, symbols, repeated lines and words in repeated 3-word windows, and
    hashes every distinct normalised line (lower case, digits as 0, single spaces) with the words it holds.
-2. Documents are counted for each (host, line); a line is above its limit if more than max(MIN_DOCS, SHARE of the
-   host's documents) hold it. Counts are aggregated before the shuffle; only lines above the limit go on.
+2. Documents are counted for each (host, line); a line is above its limit if more than MOST_DOCS documents of the host
+   hold it, whatever the size of the host or of the table. Counts are aggregated before the shuffle; only lines above the
+   limit go on.
 3. A document loses those lines; it is depleted, and rejected, if it lost any and less than MIN_WORDS words or less
    than MIN_LEFT of its words are left.
 
-Null text: no words. A null host is a host of its own. Rows with equal ids are rows of their own.
+Null text: no words. A null host is the host ''. Rows with equal ids are rows of their own. An empty table gives no rows;
+other columns are not read.
 """
 
 from __future__ import annotations
@@ -22,9 +24,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import as_binary, stored, table, with_order
+from strandline.llm.common import stored, table, texts, with_order
 
-MIN_DOCS, SHARE = 100, 0.02
+#: The most documents of a host that may hold a line: six, as published for line deduplication of large web corpora.
+MOST_DOCS = 6
 MIN_WORDS, MIN_LEFT = 50, 0.5
 SYMBOLS = (b"#", b"*", b"$", b"%", b"&", b"|", b"<", b">")
 _DIGITS = re.compile(rb"[0-9]")
@@ -49,10 +52,10 @@ def line_hash(line: bytes) -> int:
 
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for s in range(0, batch.num_rows, 256):
-            part = batch.slice(s, 256)
+        for i, j, values in texts(batch.column(3), 1 << 20):
+            part = batch.slice(i, j - i)
             stats, hashes, held = [], [], []
-            for text in as_binary(part.column(3)).to_pylist():
+            for text in values:
                 words = text.split()  # bytes: only \x20 and \x09-\x0D
                 chars = sum(map(len, words))
                 if not text.isascii():
@@ -83,21 +86,19 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def judge(
-    docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", host_col: str = "source", min_docs: int = MIN_DOCS, share: float = SHARE
+    docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", host_col: str = "source", most_docs: int = MOST_DOCS
 ) -> DataFrame:
     """One row per row of docs: id, the statistics, base_failed, removed_words and kept."""
     base = with_order(docs.select(F.col(id_col).alias("id"), F.col(host_col).cast("string").alias("host"), F.col(text_col).cast("string").alias("text")), "id")
     kind = docs.schema[id_col].dataType.simpleString()
     measured = stored(
-        base.select("uid", "id", F.coalesce("host", F.lit("\u0000")).alias("host"), "text").mapInArrow(
+        base.select("uid", "id", F.coalesce("host", F.lit("")).alias("host"), "text").mapInArrow(
             _measure, f"uid long, id {kind}, host string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, lines array<long>, line_words array<int>"
         ),
         "lines",
     )
-    hosts = measured.groupBy("host").agg(F.count(F.lit(1)).alias("docs"))
     lines = measured.select("uid", "host", F.explode(F.arrays_zip("lines", "line_words")).alias("l")).select("uid", "host", F.col("l.lines").alias("line"), F.col("l.line_words").alias("words"))
-    counted = lines.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > min_docs)
-    above = counted.join(hosts, "host").filter(F.col("n") > F.greatest(F.lit(float(min_docs)), F.col("docs") * share)).select("host", "line")
+    above = lines.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > most_docs).select("host", "line")
     lost = lines.join(above, ["host", "line"]).groupBy("uid").agg(F.sum("words").alias("removed_words"))
     left = F.col("n_words") - F.col("removed_words")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
@@ -121,8 +122,8 @@ rep as (select doc_id, count(distinct i + o) as n_repeat_words from again, (sele
 l as (select doc_id, host, line from (select doc_id, host, unnest(string_split(t, chr(10))) as line from d) where regexp_matches(line, '[^\x20\x09-\x0D]')),
 dup as (select doc_id, count(*) - count(distinct line) as n_dup_lines from l group by doc_id),
 norm as (select doc_id, host, array_to_string(regexp_extract_all(regexp_replace(lower(line), '[0-9]', '0', 'g'), '[^\x20\x09-\x0D]+'), ' ') as x, sum(len(regexp_extract_all(line, '[^\x20\x09-\x0D]+'))) as words from l group by all),
-held as (select host, x, count(*) as n from norm group by host, x), hosts as (select host, count(*) as docs from d group by host),
-lost as (select doc_id, sum(words) as removed_words from norm join held using (host, x) join hosts using (host) where n > greatest(100, 0.02 * docs) group by doc_id),
+held as (select host, x, count(*) as n from norm group by host, x),
+lost as (select doc_id, sum(words) as removed_words from norm join held using (host, x) where n > 6 group by doc_id),
 s as (select k.doc_id, len(w)::bigint as n_words, length(array_to_string(w, ''))::bigint as word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::bigint as n_symbols, coalesce(n_dup_lines, 0)::bigint as n_dup_lines,
   coalesce(n_repeat_words, 0)::bigint as n_repeat_words, coalesce(removed_words, 0)::bigint as removed_words from k left join dup using (doc_id) left join rep using (doc_id) left join lost using (doc_id)),
 f as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from s)

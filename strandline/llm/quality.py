@@ -14,15 +14,12 @@ or labels of one kind, every score is their rate.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from strandline.llm.common import bounded, table, texts
+from strandline.llm.common import bounded, table, text_column, texts
 
 #: The most labelled rows that train the model.
 LABELLED = 20_000
@@ -60,18 +57,18 @@ def statistics(text: bytes) -> tuple[float, ...]:
     )
 
 
-def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = [statistics(t) for _, _, values in texts(batch.column(batch.num_columns - 1)) for t in values]
-        columns = np.array(rows, np.float64).reshape(len(rows), len(STATISTICS)).T
-        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *map(pa.array, columns)], names=[*batch.schema.names[:-1], *(f"q_{s}" for s in STATISTICS)])
+def _measured(col: pa.Array) -> pa.Array:
+    rows = [statistics(t) for _, _, values in texts(col) for t in values]
+    columns = np.array(rows, np.float64).reshape(len(rows), len(STATISTICS)).T
+    return pa.StructArray.from_arrays([pa.array(c.copy()) for c in columns], names=[f"q_{s}" for s in STATISTICS])
 
 
 def with_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """docs with a column q_<name> for each statistic; own columns of those names are replaced."""
     names = [f"q_{s}" for s in STATISTICS]
-    kept = docs.select(*[f"`{c}`" for c in docs.columns if c not in names], F.col(text_col).cast("string").alias("__read"))
-    return kept.mapInArrow(_measure, T.StructType([*kept.schema.fields[:-1], *[T.StructField(s, T.DoubleType()) for s in names]]))
+    measure = text_column(lambda: _measured, "struct<" + ",".join(f"{n}:double" for n in names) + ">")
+    kept = docs.select(*[f"`{c}`" for c in docs.columns if c not in names], measure(F.col(f"`{text_col}`").cast("string")).alias("__q"))
+    return kept.select(*[f"`{c}`" for c in kept.columns[:-1]], *[F.col(f"__q.{n}").alias(n) for n in names])
 
 
 Rule = tuple[tuple[int, bool, float], ...]  # (statistic, greater, threshold) ... all must hold

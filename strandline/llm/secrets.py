@@ -10,8 +10,9 @@ Inference (ALERGIA): labelled examples of a format form a prefix tree with count
 if the Hoeffding bound finds their end and transition frequencies compatible, and so are their successors; a merge
 folds the subtrees. The result is a deterministic automaton with probabilities.
 
-Nulls and empty texts have no spans. Spans are code points, end exclusive. A text is scanned whole, as bytes; only the
-candidates are looked at by Python code.
+Nulls and empty texts have no spans. Spans are code points, end exclusive. A text of any length is scanned whole, as
+bytes; only the candidates are looked at by Python code. Rows with equal ids are rows of their own, an own column `found`
+is replaced, other columns stay.
 """
 
 from __future__ import annotations
@@ -27,9 +28,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from strandline.llm.common import as_binary, byte_view, chunks, table
+from strandline.llm.common import as_binary, byte_view, chunks, table, text_column
 
 KINDS = ("assign", "access", "hex", "format")
 #: Characters of a candidate, the least length, and literal characters at its start before classes take over.
@@ -37,7 +37,7 @@ CANDIDATE, SHORTEST, LITERAL = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstu
 #: Signs beside which a sub-run may begin or end.
 SPLIT = frozenset("+/_.=-")
 #: Least log-likelihood ratio per character against the background.
-THRESHOLD = 0.7
+THRESHOLD = 0.6
 ALPHA = 0.05
 
 _ASSIGN = re.compile(rb"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I)
@@ -142,7 +142,7 @@ class Automaton:
         return total + math.log(self.ends[at] / self.counts[at]) if self.ends[at] else -math.inf
 
 
-def labelled_credentials(per_format: int = 150, seed: int = 11) -> dict[str, list[str]]:
+def labelled_credentials(per_format: int = 400, seed: int = 11) -> dict[str, list[str]]:
     """Labelled examples by format, made by the formats' public descriptions; `plain` has ordinary long tokens."""
     r = random.Random(seed)
     lower, upper, digit = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
@@ -272,50 +272,48 @@ def base_spans(text: bytes, runs: list[tuple[int, int]]) -> list[tuple[int, int,
 
 
 def _scan(model: FormatModel, threshold: float):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, off = byte_view(as_binary(batch.column(batch.num_columns - 1)))
-            rows: list[list[dict]] = []
-            for i, j in chunks(off):
-                part, cut = data[off[i] : off[j]], off[i : j + 1] - off[i]
-                flag = np.zeros(len(part) + 2, np.int8)
-                flag[1:-1] = _TABLE[part]
-                inner = cut[1:-1]
-                edge = np.diff(flag)
-                starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-                if len(inner):  # a run ends where a text ends
-                    split = inner[(flag[inner] == 1) & (flag[np.minimum(inner + 1, len(flag) - 1)] == 1)]
-                    split = np.unique(split)
-                    starts, ends = np.sort(np.concatenate([starts, split])), np.sort(np.concatenate([ends, split]))
-                long = ends - starts >= SHORTEST
-                starts, ends = starts[long], ends[long]
-                owner = np.searchsorted(cut, starts, "right") - 1
-                by: dict[int, list[tuple[int, int]]] = {}
-                for o, s, e in zip(owner.tolist(), starts.tolist(), ends.tolist(), strict=True):
-                    by.setdefault(o, []).append((s - int(cut[o]), e - int(cut[o])))
-                for k in range(j - i):
-                    text = part[cut[k] : cut[k + 1]].tobytes()
-                    runs = by.get(k, [])
-                    spans = base_spans(text, runs)
-                    taken = sorted((s, e) for s, e, _ in spans)
-                    for s, e in (part for run in runs for part in uncovered(*run, taken)):
-                        if e - s < SHORTEST:
-                            continue
-                        token = text[s:e].decode("ascii")
-                        if model.score(token) >= threshold:
-                            spans.append((s, e, "format"))
-                        elif not SPLIT.isdisjoint(token):
-                            spans += [(s + a, s + b, "format") for a, b in model.find(token, threshold)]
-                    if spans and not text.isascii():
-                        wide = np.cumsum((np.frombuffer(text, np.uint8) & 0xC0) != 0x80)
-                        point = lambda b, wide=wide: int(wide[b - 1]) if b else 0
-                        spans = [(point(s), point(e), kind) for s, e, kind in spans]
-                    spans.sort(key=lambda x: (x[0], KINDS.index(x[2])))
-                    rows.append([{"kind": kind, "s": s, "e": e} for s, e, kind in spans])
-            found = pa.array(rows, pa.list_(pa.struct([("kind", pa.string()), ("s", pa.int64()), ("e", pa.int64())])))
-            yield pa.RecordBatch.from_arrays([*batch.columns, found], names=[*batch.schema.names, "found"])
-
-    return run
+    def of(col: pa.Array) -> pa.Array:
+        data, off = byte_view(as_binary(col))
+        rows: list[list[dict]] = []
+        for i, j in chunks(off):
+            part, cut = data[off[i] : off[j]], off[i : j + 1] - off[i]
+            flag = np.zeros(len(part) + 2, np.int8)
+            flag[1:-1] = _TABLE[part]
+            inner = cut[1:-1]
+            edge = np.diff(flag)
+            starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+            if len(inner):  # a run ends where a text ends
+                split = inner[(flag[inner] == 1) & (flag[np.minimum(inner + 1, len(flag) - 1)] == 1)]
+                split = np.unique(split)
+                starts, ends = np.sort(np.concatenate([starts, split])), np.sort(np.concatenate([ends, split]))
+            long = ends - starts >= SHORTEST
+            starts, ends = starts[long], ends[long]
+            owner = np.searchsorted(cut, starts, "right") - 1
+            by: dict[int, list[tuple[int, int]]] = {}
+            for o, s, e in zip(owner.tolist(), starts.tolist(), ends.tolist(), strict=True):
+                by.setdefault(o, []).append((s - int(cut[o]), e - int(cut[o])))
+            for k in range(j - i):
+                text = part[cut[k] : cut[k + 1]].tobytes()
+                runs = by.get(k, [])
+                spans = base_spans(text, runs)
+                taken = sorted((s, e) for s, e, _ in spans)
+                for s, e in (part for run in runs for part in uncovered(*run, taken)):
+                    if e - s < SHORTEST:
+                        continue
+                    token = text[s:e].decode("ascii")
+                    if model.score(token) >= threshold:
+                        spans.append((s, e, "format"))
+                    elif not SPLIT.isdisjoint(token):
+                        spans += [(s + a, s + b, "format") for a, b in model.find(token, threshold)]
+                if spans and not text.isascii():
+                    wide = np.cumsum((np.frombuffer(text, np.uint8) & 0xC0) != 0x80)
+                    point = lambda b, wide=wide: int(wide[b - 1]) if b else 0
+                    spans = [(point(s), point(e), kind) for s, e, kind in spans]
+                spans.sort(key=lambda x: (x[0], KINDS.index(x[2])))
+                rows.append([{"kind": kind, "s": s, "e": e} for s, e, kind in spans])
+        return pa.array(rows, pa.list_(pa.struct([("kind", pa.string()), ("s", pa.int64()), ("e", pa.int64())])))
+
+    return of
 
 
 SPANS = "array<struct<kind:string,s:long,e:long>>"
@@ -324,10 +322,8 @@ SPANS = "array<struct<kind:string,s:long,e:long>>"
 def scan_secrets(docs: DataFrame, text_col: str = "text", labelled: dict[str, list[str]] | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """docs with a column `found` of spans; an own column of that name is replaced."""
     model = FormatModel(labelled_credentials() if labelled is None else labelled)
-    kept = [c for c in docs.columns if c != "found"]
-    base = docs.select(*[f"`{c}`" for c in kept], F.col(text_col).cast("string").alias("__scanned"))
-    schema = T.StructType([*base.schema.fields, T.StructField("found", T._parse_datatype_string(SPANS))])
-    return base.mapInArrow(_scan(model, threshold), schema).drop("__scanned")
+    kept = [f"`{c}`" for c in docs.columns if c != "found"]
+    return docs.select(*kept, text_column(lambda: _scan(model, threshold), SPANS)(F.col(f"`{text_col}`").cast("string")).alias("found"))
 
 
 def redacted(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -364,4 +360,5 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def op3_secrets(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return scan_secrets(docs).select("doc_id", "found").mapInArrow(_digest, "doc_id long, n_assign long, n_access long, n_hex long, n_format long, base_sha256 string, spans string")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return scan_secrets(docs).select("doc_id", "found").mapInArrow(_digest, f"doc_id {kind}, n_assign long, n_access long, n_hex long, n_format long, base_sha256 string, spans string")

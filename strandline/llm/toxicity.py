@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strandline.llm.common import bounded, byte_view, stored, table, texts
+from strandline.llm.common import bounded, byte_view, stored, table, text_column, texts
 
 LABELLED, FEATURES, FOLDS = 20_000, 1500, 3
 LEAST_DOCS, RIDGE = 4, 1.0
@@ -299,15 +299,16 @@ def learn(docs: DataFrame, labelled: DataFrame, categories: tuple[str, ...] = CA
 
 def classify(docs: DataFrame, chain: Chain, text_col: str = "text") -> DataFrame:
     """docs with p_<category> and is_<category> for each category; own columns of those names are replaced."""
-    new = [f"p_{c}" for c in chain.categories] + [f"is_{c}" for c in chain.categories]
+    new = {**{f"p_{c}": "double" for c in chain.categories}, **{f"is_{c}": "boolean" for c in chain.categories}}
     shared = docs.sparkSession.sparkContext.broadcast(chain)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def work():
         c = shared.value
         keys = [set(k) for k in c.known]
-        for batch in batches:
+
+        def of(col: pa.Array) -> pa.Array:
             parts = [np.zeros((0, len(c.categories)))]
-            for _, _, values in texts(batch.column(batch.num_columns - 1)):
+            for _, _, values in texts(col):
                 has, size = [], []
                 for text in values:
                     *sets, n = features(text)
@@ -316,14 +317,13 @@ def classify(docs: DataFrame, chain: Chain, text_col: str = "text") -> DataFrame
                 ptr = np.concatenate([[0], np.cumsum([len(x) for x in has])]).astype(np.int64)
                 parts.append(c.probabilities(np.array([y for x in has for y in x], np.int64), ptr, np.array(size)))
             p = np.concatenate(parts)
-            flags = p >= np.array(c.thresholds)[None, :] if len(c.thresholds) else p > 1
-            cols = [*batch.columns[:-1], *[pa.array(x) for x in p.T.copy()], *[pa.array(x) for x in flags.T.copy()]]
-            yield pa.RecordBatch.from_arrays(cols, names=[*batch.schema.names[:-1], *new])
-
-    kept = docs.select(*[f"`{c}`" for c in docs.columns if c not in new], F.col(text_col).cast("string").alias("__read"))
-    n = len(chain.categories)
-    extra = [T.StructField(c, T.DoubleType() if i < n else T.BooleanType()) for i, c in enumerate(new)]
-    return kept.mapInArrow(run, T.StructType([*kept.schema.fields[:-1], *extra]))
+            flags = p >= np.array(c.thresholds)[None, :]
+            return pa.StructArray.from_arrays([*map(pa.array, p.T.copy()), *map(pa.array, flags.T.copy())], names=list(new))
+
+        return of
+
+    kept = docs.select(*[f"`{c}`" for c in docs.columns if c not in new], text_column(work, "struct<" + ",".join(f"`{n}`:{t}" for n, t in new.items()) + ">")(F.col(f"`{text_col}`").cast("string")).alias("__p"))
+    return kept.select(*[f"`{c}`" for c in kept.columns[:-1]], *[F.col(f"__p.`{n}`").alias(n) for n in new])
 
 
 def labels_of(spark, sf_dir: str) -> DataFrame:

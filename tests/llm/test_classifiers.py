@@ -1,4 +1,5 @@
 import random
+import re
 
 import numpy as np
 import pytest
@@ -36,6 +37,51 @@ def test_quality_odd_rows(spark):
     assert quality.with_statistics(docs.limit(0)).count() == 0
 
 
+def plain_statistics(t):
+    words = re.findall(rb"[^ \t-\r]+", t)
+    n = len(words)
+    if not n:
+        return [0.0] * 16
+    lines = [x for x in t.split(b"\n") if re.search(rb"[^ \t-\r]", x)]
+    windows = [tuple(words[k : k + 3]) for k in range(n - 2)]
+    share = lambda pattern: len(re.findall(pattern, t)) / len(t)
+    return [
+        n, sum(map(len, words)) / n, sum(len(w) > 12 for w in words) / n, sum(len(w) < 4 for w in words) / n, len(set(words)) / n, share(rb"[A-Z]"), share(rb"[0-9]"), share(rb"[#*$%&|<>]"),
+        share(rb"[.,]"), share(rb"!"), share(rb"[-()\[\]{}'\"?:;@/\\^~`_+=]"), 1 - len(set(lines)) / len(lines), n / len(lines),
+        sum(x.rstrip()[-1:] in (b".", b"!", b"?") for x in lines) / len(lines), 1 - len(set(windows)) / len(windows) if windows else 0.0, max(words.count(w) for w in set(words)) / n,
+    ]
+
+
+def test_statistics_equal_plain_counts(spark):
+    r = random.Random(12)
+    chars = "ab cdE F1 2.,!?#*|\n\t é(\"'-_=/"
+    texts = [None, "", " \n\t ", "a", "same same same\nsame same same\n"] + ["".join(r.choices(chars, k=r.randint(1, 400))) for _ in range(60)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    names = [f"q_{s}" for s in quality.STATISTICS]
+    for x in quality.with_statistics(df).collect():
+        assert [x[c] for c in names] == pytest.approx(plain_statistics((texts[x["doc_id"]] or "").encode())), texts[x["doc_id"]]
+
+
+def test_feature_counts_equal_plain_counts(spark, monkeypatch):
+    rows = chain_rows()[:300]
+    df = spark.createDataFrame([(i % 3, j, t, x) for i, x, j, t in rows], "fold int, junk int, toxic int, text string").repartition(4)
+    want = {}
+    for i, text, junk, toxic in rows:
+        words = set(re.split(r"[^a-z]+", text.lower())) - {""}
+        for kind, found in enumerate((words, {w[:4] for w in words if len(w) > 4}, {w[:5] for w in words if len(w) > 5})):
+            for w in found:
+                n = want.setdefault((kind, w), [0] * 9)
+                for k, add in enumerate((1, junk, toxic)):
+                    n[i % 3 * 3 + k] += add
+    for held in (toxicity.HELD, 50):  # with and without passing counts on
+        monkeypatch.setattr(toxicity, "HELD", held)
+        got = {}
+        for batch in toxicity._count(2)(iter(df.toArrow().to_batches())):
+            for kind, w, n in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                got[kind, w] = [a + b for a, b in zip(got.get((kind, w), [0] * 9), n, strict=True)]
+        assert got == want
+
+
 def test_labels_are_bounded_after_the_join(spark, monkeypatch):
     """One label may meet many documents of its id; what reaches the driver stays within the bound."""
     docs = spark.createDataFrame([(1, f"text {k}") for k in range(500)] + [(2, "other")], "doc_id long, text string")
@@ -109,6 +155,20 @@ def test_chain_odd_rows(spark):
     assert toxicity.classify(docs.limit(0), chain).count() == 0
 
 
+def test_op9_over_a_table(spark, tmp_path):
+    """The query itself: one row per document, repeated ids, nulls, empty and very long texts included."""
+    rows = chain_rows()
+    docs = [(i, t) for i, t, _, _ in rows] + [(5, "zzyx again"), (None, None), (2000, ""), (2001, "word " * 200_000 + "zzyx")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(i, 1 - j, t) for i, _, j, t in rows[:600]] + [(None, 1, 1), (700, None, 1)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    got = toxicity.op9_toxicity(spark, str(tmp_path)).collect()
+    assert len(got) == len(docs) and all(0 <= r["p_toxic"] <= 1 for r in got)
+    by = {}
+    for r in got:
+        by.setdefault(r["doc_id"], []).append(r["toxic"])
+    assert all(by[i] == [bool(t)] for i, _, _, t in rows if i != 5) and sorted(by[5]) == [False, True] and by[2001] == [True] and by[2000] == by[None]
+
+
 def test_toxicity_held_out(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
     labels = toxicity.labels_of(spark, DATA)

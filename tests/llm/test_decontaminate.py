@@ -1,4 +1,5 @@
 import random
+import re
 
 import numpy as np
 
@@ -24,7 +25,11 @@ def brute(docs, items):
     out = set()
     for d, t in docs:
         for i, b in items:
-            if t is None or b is None or len(folded(b)) < dc.Q:
+            if t is None or not (b or "").strip():
+                continue
+            if len(folded(b)) < dc.Q:  # a whole word
+                if re.search(rb"(?<![0-9A-Za-z\x80-\xff])" + re.escape(folded(b)) + rb"(?![0-9A-Za-z\x80-\xff])", folded(t)):
+                    out.add((d, i, 0))
                 continue
             m = len(folded(b))
             e = min(int(dc.RATE * m), max((m - dc.Q) // dc.Q, 0))
@@ -53,7 +58,7 @@ def corpus():
         n = [0, 1, 3, 5, 8, 11, 30][i % 7]
         t = text(r.randint(0, 20)) + r.choice([" ", "\n", ""]) + edit(r, b, n) + r.choice([" ", "  "]) + text(r.randint(0, 20))
         docs.append((i, t.upper().replace("É", "é") if i % 5 == 0 else t.replace(" ", " \n ") if i % 5 == 1 else t))
-    docs += [(200, None), (201, ""), (202, items[3][1]), (203, items[3][1]), (204, items[4][1][:-3]), (205, items[4][1][3:]), (206, "xx abcde  ABCDE yy")]
+    docs += [(200, None), (201, ""), (202, items[3][1]), (203, items[3][1]), (204, items[4][1][:-3]), (205, items[4][1][3:]), (206, "xx abcde  ABCDE yy"), (207, "AB"), (208, "xab ab."), (209, "abx"), (203, "repeated id ab")]
     return docs, items
 
 
@@ -81,15 +86,32 @@ def test_pieces_find_the_same(spark, monkeypatch):
 
     import pyarrow as pa
 
-    batch = pa.RecordBatch.from_arrays([pa.array([t for _, t in long])], names=["text"])
-    whole = next(dc._search(Shared)([batch])).column(1).to_pylist()
+    batch = pa.array([t for _, t in long])
+    whole = dc._search(Shared)(batch).to_pylist()
     monkeypatch.setattr(dc, "PIECE", 700)
-    pieces = next(dc._search(Shared)([batch])).column(1).to_pylist()
+    pieces = dc._search(Shared)(batch).to_pylist()
     key = lambda rows: [(x["item_id"], x["edits"]) for x in rows[0]]
     assert key(whole) == key(pieces)
     assert [x["s"] for x in whole[0] if x["edits"] == 0] == [x["s"] for x in pieces[0] if x["edits"] == 0]
 
 
+def test_an_item_over_a_cut_with_long_white_space(monkeypatch):
+    """Cuts are made in the folded text, so white space of any length around a cut hides nothing."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(dc, "PIECE", 64)
+    item = b"the quick brown fox jumps over the lazy dog"
+    index = dc.Items([(1, item)])
+
+    class Shared:
+        value = index
+
+    for lead in range(0, 70, 3):
+        text = "z" * lead + " the quick" + " \n" * 400 + "brown fox jumps" + "\t" * 300 + "over the lazy dog " + "é" * 50
+        (found,) = dc._search(Shared)(pa.array([text])).to_pylist()
+        assert [(x["item_id"], x["edits"], x["s"], x["e"]) for x in found] == [(1, 0, lead + 1, len(text) - 51)]
+
+
 def test_positions_are_code_points(spark):
     d = spark.createDataFrame([(1, "éé  Hello there general", 1)], "doc_id long, text string, leaks int")
     b = spark.createDataFrame([(7, "hello there general")], "item_id long, text string")
@@ -111,4 +133,4 @@ def test_repetitive_texts_in_slices(monkeypatch):
     whole = items.leaks(text, off)
     monkeypatch.setattr(dc, "SLICE", 500)
     assert items.leaks(text, off) == whole
-    assert set(whole[0]) == {0, 1} and all(x[0] == 0 for x in whole[0].values())
+    assert set(whole[0]) == {1, 2} and all(x[0] == 0 for x in whole[0].values())
