@@ -2,21 +2,26 @@
 
 1. Payload digests (SHA-1) are taken of every page; of equal payloads of REVISIT_BYTES or more, the row with the largest
    page_id is the response and the others revisit it. Only (digest, id) is aggregated, payloads do not move for it.
-2. Each partition sorts its records by URL key and timestamp and writes one archive (gzip members, one a record) into
-   the shared folder, and returns its index: a locally sorted capture run. File names and contents depend on the
-   partition alone and are put in place by a rename, so a task that runs again replaces its file by the same one.
-3. The runs are range-partitioned by (URL key, timestamp, row); each partition merges its pieces of the k runs with a
-   loser tree. Partitions are in order, so the whole is a globally ordered capture history.
-4. Reading: archives come back through Spark's binary file reader, are parsed member by member, and are matched with the
+2. Spark sorts each partition by URL key and timestamp (spilling where it must); a task writes the records as they come
+   (gzip members, one a record) into archives of the shared folder, begins a new one beyond ARCHIVE_BYTES, and returns
+   their index: one locally sorted capture run an archive. File names and contents depend on the partition alone and are
+   put in place by a rename, so a task that runs again replaces its files by the same ones.
+3. The runs are range-partitioned by (URL key, timestamp, row) into ranges of about MERGE_ROWS rows or less. What a task
+   gets of a run is one or more sorted pieces, which a loser tree merges as they are. Partitions are in order, so the
+   whole is a globally ordered capture history.
+4. Reading: every archive is read as a stream in pieces of PIECE bytes, parsed member by member, and matched with the
    history by (archive, offset). Digests of responses are recomputed.
 
 Null html is an empty payload, a null url is no target (key ''). Rows with equal page_ids are rows of their own; of
-those, one is the response. A null page_id is a response only if no row with an id has the payload.
+those, one is the response. A null page_id is a response only if no row with an id has the payload. Any 64-bit page_id
+will do: the capture time is made from the id's remainder by SPAN seconds. An empty table gives no archive and no rows.
+Other columns of the input are not read.
 """
 
 from __future__ import annotations
 
 import hashlib
+import itertools
 import os
 import re
 import uuid
@@ -24,10 +29,11 @@ import zlib
 from collections.abc import Iterator
 from datetime import UTC, datetime, timedelta
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandline.llm.common import as_binary, partitions, shared_dir, stored, table, with_order
@@ -35,7 +41,11 @@ from strandline.llm.common import as_binary, partitions, shared_dir, stored, tab
 REVISIT_BYTES = 1000
 LEVEL = 3
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+#: Bytes after which the next archive begins, bytes read at once, and index rows of one range of the merge.
+ARCHIVE_BYTES, PIECE, MERGE_ROWS = 1 << 30, 1 << 15, 1 << 20
 _EPOCH = datetime(2024, 1, 1, tzinfo=UTC)
+#: Seconds over which capture times are spread.
+SPAN = 10 * 365 * 86_400
 
 
 class LoserTree:
@@ -79,15 +89,16 @@ class LoserTree:
             self.tree[0] = winner
 
 
-def url_key(url: str | None) -> str:
-    """Host parts in reverse, then path and query, in lower case: com,example)/a?b=1"""
-    if not url:
-        return ""
-    rest = re.sub(r"^[a-zA-Z][a-zA-Z0-9+.-]*://", "", url.strip())
-    host, slash, path = rest.partition("/")
-    host = re.sub(r"^www\d*\.", "", host.rpartition("@")[2].lower())
-    name, _, port = host.partition(":")
-    return ",".join(reversed(name.split("."))) + (f":{port}" if port not in ("", "80", "443") else "") + ")" + (slash + path).lower()
+def url_key(url: Column) -> Column:
+    """Host parts in reverse, then path and query, in lower case: com,example)/a?b=1; '' without a url."""
+    rest = F.regexp_replace(F.regexp_replace(url, r"^\s+|\s+$", ""), "^[a-zA-Z][a-zA-Z0-9+.-]*://", "")
+    place = F.substring_index(rest, "/", 1)
+    path = F.substring(rest, F.char_length(place) + 1, F.char_length(rest))
+    host = F.regexp_replace(F.lower(F.regexp_replace(place, "^.*@", "")), r"^www\d*\.", "")
+    name = F.substring_index(host, ":", 1)
+    port = F.substring(host, F.char_length(name) + 2, F.char_length(host))
+    key = F.concat(F.array_join(F.reverse(F.split(name, r"\.")), ","), F.when(port.isin("", "80", "443"), "").otherwise(F.concat(F.lit(":"), port)), F.lit(")"), F.lower(path))
+    return F.when(F.coalesce(url, F.lit("")) == "", "").otherwise(key)
 
 
 def _clean(value: str) -> str:
@@ -124,76 +135,109 @@ def parse(raw: bytes) -> tuple[dict[str, str], bytes, bytes]:
     return fields, http, payload
 
 
-def members(data: bytes) -> Iterator[tuple[int, bytes]]:
-    """(offset, content) of each gzip member."""
-    at = 0
-    while at < len(data):
-        d = zlib.decompressobj(31)
-        out = d.decompress(memoryview(data)[at:])
-        yield at, out
-        at = len(data) - len(d.unused_data)
-
-
-def _write(folder: str):
+def members(source, piece: int = PIECE) -> Iterator[tuple[int, bytes]]:
+    """(offset, content) of each gzip member of a stream. What a piece holds beyond a member is the start of the next,
+    so the work is linear in the stream's length; one member is held at a time."""
+    at = 0  # bytes of the stream before `data`
+    data = source.read(piece)
+    while data:
+        start, parts, d = at, [], zlib.decompressobj(31)
+        while True:
+            parts.append(d.decompress(data))
+            if d.eof:
+                at += len(data) - len(d.unused_data)
+                data = d.unused_data
+                break
+            at += len(data)
+            data = source.read(piece)
+            if not data:
+                raise ValueError("the archive ends within a member")
+        yield start, b"".join(parts)
+        data = data or source.read(piece)
+
+
+class _Archives:
+    """The archives of one partition; an archive takes its name once it is whole."""
+
+    def __init__(self, folder: str, partition: int, most: int):
+        self.fs, self.base = pyarrow.fs.FileSystem.from_uri(folder)
+        self.fs.create_dir(self.base, recursive=True)
+        self.partition, self.most, self.number, self.out = partition, most, -1, None
+
+    def add(self, member: bytes) -> tuple[str, int, int]:
+        """(archive, position in it, offset) of the new member."""
+        if self.out is None or self.at >= self.most:
+            self.close()
+            self.number, self.seq, self.at = self.number + 1, 0, 0
+            self.name = f"part-{self.partition:06d}-{self.number:05d}.warc.gz"
+            self.temp = f"{self.base}/.{self.name}-{uuid.uuid4().hex}"
+            self.out = self.fs.open_output_stream(self.temp, compression=None)
+        self.out.write(member)
+        place = self.name, self.seq, self.at
+        self.seq, self.at = self.seq + 1, self.at + len(member)
+        return place
+
+    def close(self) -> None:
+        if self.out is not None:
+            self.out.close()
+            self.fs.move(self.temp, f"{self.base}/{self.name}")
+            self.out = None
+
+
+def _write(folder: str, most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = []
+        archives = None
         for batch in batches:
+            archives = archives or _Archives(folder, TaskContext.get().partitionId(), most)
             *slim, html = batch.columns
-            payloads = as_binary(html)
-            for k, values in enumerate(zip(*[c.to_pylist() for c in slim], strict=True)):
-                rows.append((url_key(values[2]), values[1], values, payloads[k].as_py()))
-        if not rows:
-            return
-        rows.sort(key=lambda r: (r[0], r[2][3], r[1]))
-        fs, base = pyarrow.fs.FileSystem.from_uri(folder)
-        name = f"part-{TaskContext.get().partitionId():06d}.warc.gz"
-        fs.create_dir(base, recursive=True)
-        temp = f"{base}/.{name}-{uuid.uuid4().hex}"
-        index, at = [], 0
-        with fs.open_output_stream(temp) as out:
-            for seq, (key, uid, (page_id, _, url, captured, size, digest, refers, refers_uid), html) in enumerate(rows):
+            payloads, index = as_binary(html), []
+            for k, (key, page_id, uid, url, captured, size, digest, refers, refers_uid) in enumerate(zip(*[c.to_pylist() for c in slim], strict=True)):
                 stamp = (_EPOCH + timedelta(seconds=captured)).strftime("%Y-%m-%dT%H:%M:%SZ")
                 pack = zlib.compressobj(LEVEL, zlib.DEFLATED, 31)
-                raw = record(page_id, uid, url, stamp, html if refers_uid is None else None, size, digest, refers, refers_uid)
+                raw = record(page_id, uid, url, stamp, payloads[k].as_py() if refers_uid is None else None, size, digest, refers, refers_uid)
                 member = pack.compress(raw) + pack.flush()
-                out.write(member)
+                name, seq, at = archives.add(member)
                 index.append((name, seq, key, captured, uid, at, len(member)))
-                at += len(member)
-        fs.move(temp, f"{base}/{name}")
-        names = ["archive", "seq", "url_key", "captured", "uid", "offset", "length"]
-        for s in range(0, len(index), 10_000):
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*index[s : s + 10_000], strict=True)], names=names)
+            if index:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*index, strict=True)], names=["archive", "seq", "url_key", "captured", "uid", "offset", "length"])
+        if archives:
+            archives.close()
 
     return run
 
 
-def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of several runs, each sorted by seq; merged into one order."""
-    runs: dict[str, list[tuple]] = {}
-    for batch in batches:
-        cols = [c.to_pylist() for c in batch.columns]
-        for archive, seq, key, captured, uid, offset, length in zip(*cols, strict=True):
-            runs.setdefault(archive, []).append((seq, key, captured, uid, archive, offset, length))
-    for r in runs.values():
-        r.sort()  # rows of a run can come in any order of blocks; seq is the run's own order
-    part = TaskContext.get().partitionId()
-    tree = LoserTree([(row[1:] for row in runs[archive]) for archive in sorted(runs)])
-    held: list[tuple] = []
-    position = 0
+def sorted_pieces(rows: pa.Table) -> list[tuple[int, int]]:
+    """Row ranges that are in order as they stand: rows of one archive with rising places."""
+    if not rows.num_rows:
+        return []
+    archive, seq = rows.column("archive").combine_chunks().dictionary_encode(), rows.column("seq").to_numpy()
+    code = (archive.chunk(0) if isinstance(archive, pa.ChunkedArray) else archive).indices.to_numpy()
+    cuts = np.flatnonzero((code[1:] != code[:-1]) | (seq[1:] <= seq[:-1])) + 1
+    return list(itertools.pairwise([0, *cuts.tolist(), rows.num_rows]))
 
-    def batch_of(rows):
-        names = ["bucket", "position", "url_key", "captured", "uid", "archive", "offset", "length"]
-        types = [pa.int32(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
 
-    for item in tree:
-        held.append((part, position, *item))
-        position += 1
-        if len(held) >= 10_000:
-            yield batch_of(held)
-            held = []
-    if held:
-        yield batch_of(held)
+def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One range of the index: rows in sorted pieces -> rows in one order. Rows stay in Arrow; keys are made as they come."""
+    held = [b for b in batches if b.num_rows]
+    if not held:
+        return
+    rows = pa.Table.from_batches(held).combine_chunks()
+    key, captured, uid = (rows.column(c) for c in ("url_key", "captured", "uid"))
+
+    def piece(a: int, b: int) -> Iterator[tuple]:
+        for s in range(a, b, 1024):
+            n = min(1024, b - s)
+            yield from zip(*[c.slice(s, n).to_pylist() for c in (key, captured, uid)], range(s, s + n), strict=True)
+
+    part, position = TaskContext.get().partitionId(), 0
+    tree = iter(LoserTree([piece(a, b) for a, b in sorted_pieces(rows)]))
+    columns = ["url_key", "captured", "uid", "archive", "offset", "length"]
+    while order := [x[3] for x in itertools.islice(tree, 10_000)]:
+        some = rows.select(columns).take(pa.array(order)).combine_chunks()
+        n = len(order)
+        arrays = [pa.array(np.full(n, part, np.int32)), pa.array(np.arange(position, position + n)), *[c.chunk(0) for c in some.columns]]
+        yield pa.RecordBatch.from_arrays(arrays, names=["bucket", "position", *columns])
+        position += n
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,24 +248,26 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
 
     for batch in batches:
-        for path, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+        for path in batch.column(0).to_pylist():
+            fs, file = pyarrow.fs.FileSystem.from_uri(path)
             rows = []
-            for offset, raw in members(content.as_py()):
-                fields, http, payload = parse(raw)
-                kind, digest = fields["WARC-Type"], fields["WARC-Payload-Digest"].removeprefix("sha1:")
-                size = int(re.search(rb"Content-Length: (\d+)", http)[1])
-                if kind == "response" and (len(payload) != size or hashlib.sha1(payload).hexdigest() != digest):
-                    raise ValueError(f"{path}: the payload at {offset} is damaged")
-                as_id = lambda name, f=fields: int(f[name]) if name in f else None
-                rows.append((os.path.basename(path), offset, as_id("X-Page-Id"), size, digest, kind, as_id("X-Refers-To-Page")))
-                if len(rows) >= 5000:
-                    yield batch_of(rows)
-                    rows = []
+            with fs.open_input_stream(file, compression=None) as source:
+                for offset, raw in members(source):
+                    fields, http, payload = parse(raw)
+                    kind, digest = fields["WARC-Type"], fields["WARC-Payload-Digest"].removeprefix("sha1:")
+                    size = int(re.search(rb"Content-Length: (\d+)", http)[1])
+                    if kind == "response" and (len(payload) != size or hashlib.sha1(payload).hexdigest() != digest):
+                        raise ValueError(f"{path}: the payload at {offset} is damaged")
+                    as_id = lambda name, f=fields: int(f[name]) if name in f else None
+                    rows.append((os.path.basename(file), offset, as_id("X-Page-Id"), size, digest, kind, as_id("X-Refers-To-Page")))
+                    if len(rows) >= 5000:
+                        yield batch_of(rows)
+                        rows = []
             if rows:
                 yield batch_of(rows)
 
 
-def write_archives(pages: DataFrame, folder: str | None = None, least: int = REVISIT_BYTES) -> tuple[str, DataFrame]:
+def write_archives(pages: DataFrame, folder: str | None = None, least: int = REVISIT_BYTES, most: int = ARCHIVE_BYTES) -> tuple[str, DataFrame]:
     """Write pages (page_id, url, html) as archives; returns their folder and the index, a sorted run for each archive."""
     spark = pages.sparkSession
     folder = folder or f"{shared_dir(spark)}/strandline/warc-{uuid.uuid4().hex}"
@@ -232,22 +278,24 @@ def write_archives(pages: DataFrame, folder: str | None = None, least: int = REV
     again = slim.join(best.select("digest", "size", F.col("top.uid").alias("top_uid"), F.col("top.page_id").alias("top_id")), ["digest", "size"]).filter("uid != top_uid")
     revisits = again.select("uid", F.col("top_id").alias("refers"), F.col("top_uid").alias("refers_uid"))
     facts = slim.join(revisits, "uid", "left").select("uid", "digest", "size", "refers", "refers_uid")
+    captured = F.pmod(F.coalesce("page_id", F.lit(0).cast("long")), F.lit(SPAN).cast("long"))
     # a revisit's payload stays where it is
-    rows = base.join(facts, "uid").select("page_id", "uid", "url", F.coalesce("page_id", F.lit(0).cast("long")).alias("captured"), "size", "digest", "refers", "refers_uid", F.when(F.col("refers_uid").isNull(), F.col("html")).alias("html"))
-    index = stored(rows.repartition(partitions(spark), "uid").mapInArrow(_write(folder), "archive string, seq long, url_key string, captured long, uid long, offset long, length long"), "runs")
+    rows = base.join(facts, "uid").select(url_key(F.col("url")).alias("url_key"), "page_id", "uid", "url", captured.alias("captured"), "size", "digest", "refers", "refers_uid", F.when(F.col("refers_uid").isNull(), F.col("html")).alias("html"))
+    placed = rows.repartition(partitions(spark), "uid").sortWithinPartitions("url_key", "captured", "uid")
+    index = stored(placed.mapInArrow(_write(folder, most), "archive string, seq long, url_key string, captured long, uid long, offset long, length long"), "runs")
     return folder, index
 
 
 def merge_index(index: DataFrame) -> DataFrame:
     """The globally ordered history: bucket and position give the order by (url_key, captured, uid)."""
-    n = partitions(index.sparkSession)
+    n = max(partitions(index.sparkSession), -(-index.count() // MERGE_ROWS))
     return index.repartitionByRange(n, "url_key", "captured", "uid").mapInArrow(_merge, "bucket int, position long, url_key string, captured long, uid long, archive string, offset long, length long")
 
 
 def read_archives(spark, folder: str) -> DataFrame:
-    """One row per record of all archives of the folder."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").load(folder).select("path", "content")
-    return files.mapInArrow(_read, "archive string, offset long, page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
+    """One row per record of all archives of the folder. Only names go through Spark's listing; tasks stream the bytes."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").load(folder).select("path")
+    return files.repartition(partitions(spark), "path").mapInArrow(_read, "archive string, offset long, page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
 
 
 def captures(spark, folder: str, history: DataFrame) -> DataFrame:
