@@ -6,17 +6,22 @@ A window is a string of `WINDOW` bytes at one start; a window is a repeat if the
 1. Every window has one anchor: the position inside it of the 32-byte string with the least hash (leftmost of equals).
    The anchor depends on the window's bytes alone, so equal windows have equal anchors at equal offsets. Neighbouring
    windows share anchors, so a document of n bytes has about n / 35 runs (windows in a row with one anchor).
-2. Runs meet by anchor hash. Runs alone with their anchor hold no repeats. Equal runs (128 bits of hash over all their
+2. Runs meet by anchor hash. Runs alone with their anchor hold no repeats. Equal runs (128 bits of BLAKE2b over all their
    bytes) are collapsed to the earliest, first inside each batch of documents and then across them; the others are
    repeats whole and no longer travel to their anchor's partition, so a text in a third of all documents is a few rows
-   there. Earliest runs whose anchor has other variants are the suffixes that have to be sorted.
-3. Those suffixes are range-partitioned by their leading tokens (the first 8 bytes of the anchor) with sampled
-   splitters; a token sequence that fills several buckets is dealt over all of them.
+   there. Anchors that a sample shows to be frequent are dealt by the run's hash as well, so a common string with many
+   different surroundings is not one task's work. Earliest runs whose anchor has other variants are the suffixes that
+   have to be sorted.
+3. Those suffixes are range-partitioned by their leading tokens (the first 8 bytes of the anchor) with splitters sampled
+   from themselves, into buckets of about BUCKET_RUNS runs or less; a token sequence that fills several buckets is dealt
+   over all of them.
 4. Each bucket expands its runs into windows and sorts them by multikey quicksort: 8-byte words from the left, where
    only the groups that are still equal go on to the next word. Equal neighbours are repeats of the first.
 5. Windows of tokens that span buckets are compared across the bucket boundaries by a grouped minimum.
 
-Nulls and empty texts have no windows. Rows with equal or null ids are ordered by (id nulls last, hash of the row).
+Nulls and empty texts have no windows and lose nothing. Rows with equal or null ids, and ids that are not whole numbers,
+are ordered by (id nulls last, hash of the row). A text of any length is read in overlapping pieces. An empty table gives
+no rows, and other columns are not read.
 """
 
 from __future__ import annotations
@@ -34,8 +39,9 @@ from strandline.llm.common import as_binary, byte_view, chunks, partitions, stor
 
 WINDOW = 100
 GRAM = 32
-#: Documents whose anchors are sampled for the splitters.
-SPLITTER_DOCS = 2000
+#: Runs sampled for the splitters, the most runs that a bucket should hold, documents sampled for frequent anchors, and
+#: the share of them from which on an anchor is frequent.
+SPLITTER_RUNS, BUCKET_RUNS, ANCHOR_DOCS, FREQUENT = 20_000, 1 << 20, 2000, 0.005
 
 _U = np.uint64
 _C1, _C2, _C3 = _U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F), _U(0x165667B19E3779F9)
@@ -75,7 +81,7 @@ def _sliding_min(keys: np.ndarray, width: int) -> np.ndarray:
 
 
 def anchor_runs(data: np.ndarray, off: np.ndarray, window: int = WINDOW) -> dict[str, np.ndarray]:
-    """The runs of several values: document, first window, windows, anchor offset, anchor hash and hash of all bytes.
+    """The runs of several values: document, first window, windows, anchor offset and anchor hash.
 
     A value must be shorter than 2**28 bytes; longer ones come in overlapping pieces (see `_pieces`)."""
     lens = np.diff(off)
@@ -83,7 +89,7 @@ def anchor_runs(data: np.ndarray, off: np.ndarray, window: int = WINDOW) -> dict
     total = int(nwin.sum())
     if not total:
         none = np.zeros(0, np.int64)
-        return {"doc": none, "q0": none, "n": none, "ao": none, "h": none, "dig": none}
+        return {"doc": none, "q0": none, "n": none, "ao": none, "h": none}
     h = _gram_hash(data)
     best = _sliding_min((h & ~_POS) | np.arange(len(h), dtype=np.uint64), window - GRAM + 1)
     doc = np.repeat(np.arange(len(lens)), nwin)
@@ -94,15 +100,13 @@ def anchor_runs(data: np.ndarray, off: np.ndarray, window: int = WINDOW) -> dict
     first = np.flatnonzero(new)
     n = np.diff(np.append(first, total))
     q0, a, doc = q[first], a[first], doc[first]
-    length = n + window - 1
-    dig = _mix(length.astype(np.uint64) * _C3)
-    for step in range(0, 2 * window, GRAM):  # covers every byte of the run
-        dig = _mix(dig * _C2 + h[q0 + np.minimum(step, length - GRAM)])
-        if step >= length.max() - GRAM:
-            break
-    else:
-        raise AssertionError("a run is longer than two windows")
-    return {"doc": doc, "q0": q0 - off[doc], "n": n, "ao": a - q0, "h": h[a].view(np.int64), "dig": dig.view(np.int64)}
+    return {"doc": doc, "q0": q0 - off[doc], "n": n, "ao": a - q0, "h": h[a].view(np.int64)}
+
+
+def digests(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """128 bits of BLAKE2b of each stretch of bytes, as two numbers."""
+    view, blake = memoryview(np.ascontiguousarray(data)), hashlib.blake2b
+    return np.frombuffer(b"".join([blake(view[a:b], digest_size=16).digest() for a, b in zip(start.tolist(), (start + length).tolist(), strict=True)]), np.int64).reshape(-1, 2)
 
 
 def _pieces(col: pa.LargeBinaryArray, window: int, limit: int = 1 << 20, most: int = 1 << 26) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -118,15 +122,19 @@ def _pieces(col: pa.LargeBinaryArray, window: int, limit: int = 1 << 20, most: i
             yield i, s, data[off[i] + s : off[i] + e], np.array([0, e - s])
 
 
+#: How a run takes part: by its anchor, by its anchor and bytes (frequent anchors), or not (a copy in its batch).
+_PLAIN, _DEALT, _COPY = 0, 1, 2
+
+
 def _collapse(h: np.ndarray, dig: np.ndarray, uid: np.ndarray, loc: np.ndarray) -> np.ndarray:
     """True for rows that equal an earlier one (by uid and loc) in h and dig."""
-    order = np.lexsort((loc, uid, dig, h))
+    order = np.lexsort((loc, uid, dig[:, 1], dig[:, 0], h))
     again = np.zeros(len(h), bool)
-    again[order[1:]] = (h[order[1:]] == h[order[:-1]]) & (dig[order[1:]] == dig[order[:-1]])
+    again[order[1:]] = (h[order[1:]] == h[order[:-1]]) & (dig[order[1:]] == dig[order[:-1]]).all(axis=1)
     return again
 
 
-def _emit_runs(window: int):
+def _emit_runs(window: int, frequent: np.ndarray):
     """All runs of a batch of documents; copies within the batch are marked and spread evenly by their place."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,45 +144,47 @@ def _emit_runs(window: int):
             for i, start, data, off in _pieces(as_binary(batch.column(1)), window):
                 r = anchor_runs(data, off, window)
                 if len(r["doc"]):
-                    held.append((r["h"], r["dig"], uid[i + r["doc"]], ((r["q0"] + start) << 16) | (r["n"] << 8) | r["ao"]))
+                    held.append((r["h"], digests(data, off[r["doc"]] + r["q0"], r["n"] + window - 1), uid[i + r["doc"]], ((r["q0"] + start) << 16) | (r["n"] << 8) | r["ao"]))
             if held:
                 h, dig, u, loc = (np.concatenate(x) for x in zip(*held, strict=True))
-                copy = _collapse(h, dig, u, loc)
-                key = np.where(copy, _mix((u ^ (loc << 20)).view(np.uint64)).view(np.int64), h)
+                role = np.where(_collapse(h, dig, u, loc), _COPY, np.where(np.isin(h, frequent), _DEALT, _PLAIN)).astype(np.int8)
+                mixed = lambda x: _mix(x.view(np.uint64).copy()).view(np.int64)
+                key = np.where(role == _COPY, mixed(u ^ (loc << 20)), np.where(role == _DEALT, mixed(h ^ dig[:, 0]), h))
                 for s in range(0, len(h), 100_000):
                     e = s + 100_000
-                    yield pa.RecordBatch.from_arrays([pa.array(x[s:e]) for x in (key, dig, u, loc, copy.astype(np.int8))], names=["h", "dig", "uid", "loc", "copy"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(x[s:e])) for x in (key, dig[:, 0], dig[:, 1], u, loc, role)], names=["h", "d1", "d2", "uid", "loc", "role"])
 
     return run
 
 
 def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From runs sorted by (copy, h, dig, uid, loc): kind 0 for copies of an earlier equal run, 1 for suffixes to be sorted.
+    """From runs sorted by (role, h, d1, d2, uid, loc): kind 0 for copies of an earlier equal run, 1 for suffixes to be sorted.
 
-    The first variant of an anchor is held until a second one turns up, so one row is carried between batches."""
-    carry_h = carry_dig = None
+    The first variant of an anchor is held until a second one turns up, so one row is carried between batches. Variants of
+    a frequent anchor are in different places and are sorted whether they have others or not."""
+    carry: tuple | None = None  # role, h, d1, d2 of the last row
     held: tuple[int, int] | None = None  # the only variant so far of the last anchor
     for batch in batches:
         if not batch.num_rows:
             continue
-        h, dig, uid, loc, known = (batch.column(k).to_numpy() for k in range(5))
-        done = int(np.searchsorted(known, 1))  # known copies come last
+        h, d1, d2, uid, loc, role = (batch.column(k).to_numpy() for k in range(6))
+        done = int(np.searchsorted(role, _COPY))  # known copies come last
         if done < len(h):
             yield pa.RecordBatch.from_arrays([pa.array(uid[done:]), pa.array(loc[done:]), pa.array(np.zeros(len(h) - done, np.int8))], names=["uid", "loc", "kind"])
-            h, dig, uid, loc = h[:done], dig[:done], uid[:done], loc[:done]
+            h, d1, d2, uid, loc, role = (x[:done] for x in (h, d1, d2, uid, loc, role))
         n = len(h)
         if not n:
             continue
         same_h = np.zeros(n, bool)
-        same_h[1:] = h[1:] == h[:-1]
-        same_h[0] = carry_h is not None and h[0] == carry_h
+        same_h[1:] = (h[1:] == h[:-1]) & (role[1:] == role[:-1])
+        same_h[0] = carry is not None and (role[0], h[0]) == carry[:2]
         copy = np.zeros(n, bool)
-        copy[1:] = same_h[1:] & (dig[1:] == dig[:-1])
-        copy[0] = same_h[0] and dig[0] == carry_dig
+        copy[1:] = same_h[1:] & (d1[1:] == d1[:-1]) & (d2[1:] == d2[:-1])
+        copy[0] = same_h[0] and (d1[0], d2[0]) == carry[2:]
         group = np.cumsum(~same_h)  # 0: goes on from the batch before
         reps = np.flatnonzero(~copy)
         count = np.bincount(group[reps], minlength=int(group[-1]) + 1)
-        check = reps[(count[group[reps]] >= 2) | ((group[reps] == 0) & same_h[0])]
+        check = reps[(count[group[reps]] >= 2) | ((group[reps] == 0) & same_h[0]) | (role[reps] == _DEALT)]
         out_u, out_l = [uid[check]], [loc[check]]
         if same_h[0]:
             if held is not None and count[0]:
@@ -184,8 +194,8 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = int(group[-1])
         if last > 0 or not same_h[0]:  # another anchor is the last one now
             own = reps[group[reps] == last]
-            held = (int(uid[own[0]]), int(loc[own[0]])) if len(own) == 1 else None
-        carry_h, carry_dig = h[-1], dig[-1]
+            held = (int(uid[own[0]]), int(loc[own[0]])) if len(own) == 1 and role[own[0]] == _PLAIN else None
+        carry = (role[-1], h[-1], d1[-1], d2[-1])
         cu, cl = np.concatenate(out_u), np.concatenate(out_l)
         du, dl = uid[copy], loc[copy]
         kind = np.concatenate([np.ones(len(cu), np.int8), np.zeros(len(du), np.int8)])
@@ -284,7 +294,7 @@ def _sort_bucket(window: int):
             names=["kind", "uid", "s", "e", "d1", "d2"],
         )
 
-    def solve(spanning, uid, loc, anchors, data, off):
+    def solve(spanning, uid, loc, data, off):
         """One group of runs that share their anchors' leading tokens, or several such groups whole."""
         q0, n, ao = loc >> 16, (loc >> 8) & 255, loc & 255
         run, o, words = expand(data, off, n)
@@ -331,30 +341,48 @@ def _sort_bucket(window: int):
             length = off[rows + 1] - off[rows]
             stop = np.cumsum(length)
             flat = np.arange(stop[-1]) + (off[rows] - (stop - length)).repeat(length)
-            yield from solve(spanning[rows], uid[rows], loc[rows], None, data[flat], np.concatenate([[0], stop]))
+            yield from solve(spanning[rows], uid[rows], loc[rows], data[flat], np.concatenate([[0], stop]))
             i = j
 
     return run
 
 
-def _leads(window: int):
+def _frequent(docs: DataFrame, window: int) -> np.ndarray:
+    """Anchors that a bounded sample of documents shows with different runs in at least the share FREQUENT of them. It only
+    decides how runs are dealt, never which are compared."""
+    ids = [r["uid"] for r in docs.select("uid").orderBy(F.xxhash64("uid"), "uid").limit(ANCHOR_DOCS).collect()]
+    some = docs.filter(F.col("uid").isin(ids)).select("uid", "text")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, data, off in _pieces(as_binary(batch.column(0)), window):
+            for _, _, data, off in _pieces(as_binary(batch.column(1)), window):
                 r = anchor_runs(data, off, window)
-                at = off[r["doc"]] + r["q0"] + r["ao"] if len(r["doc"]) else np.zeros(0, np.int64)
-                if len(at):
-                    yield pa.RecordBatch.from_arrays([pa.array((_words8(data)[at] >> _U(1)).astype(np.int64))], names=["lead"])
+                if len(r["doc"]):
+                    yield pa.RecordBatch.from_arrays([pa.array(r["h"]), pa.array(digests(data, off[r["doc"]] + r["q0"], r["n"] + window - 1)[:, 0].copy())], names=["h", "d1"])
 
-    return run
+    found = some.mapInArrow(run, "h long, d1 long").groupBy("h").agg(F.count_distinct("d1").alias("n")).filter(F.col("n") >= max(8, int(ANCHOR_DOCS * FREQUENT)))
+    return np.array([r["h"] for r in found.orderBy(F.desc("n"), "h").limit(4096).collect()], np.int64)
 
 
-def _splitters(docs: DataFrame, n: int, window: int) -> np.ndarray:
-    """n - 1 quantiles of the leading tokens of a bounded sample of documents."""
-    ids = [r["uid"] for r in docs.select("uid").orderBy(F.xxhash64("uid")).limit(SPLITTER_DOCS).collect()]
-    if not ids or n < 2:
+def _leads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(text, locs) -> the leading tokens of the runs' anchors, without their last bit."""
+    for batch in batches:
+        data, off = byte_view(as_binary(batch.column(0)))
+        locs = batch.column(1)
+        loc, per = locs.flatten().to_numpy(zero_copy_only=False), np.diff(locs.offsets.to_numpy())
+        at = np.repeat(off[:-1], per) + (loc >> 16) + (loc & 255)
+        lead = np.zeros(len(at), np.uint64)
+        for k in range(8):
+            lead = (lead << _U(8)) | data[at + k].astype(np.uint64)
+        yield pa.RecordBatch.from_arrays([pa.array((lead >> _U(1)).astype(np.int64))], names=["lead"])
+
+
+def _splitters(docs: DataFrame, wanted: DataFrame, n: int) -> np.ndarray:
+    """n - 1 quantiles of the leading tokens of a bounded sample of the suffixes that are to be sorted."""
+    if n < 2:
         return np.zeros(0, np.uint64)
-    leads = docs.filter(F.col("uid").isin(ids)).select("text").mapInArrow(_leads(window), "lead long")
+    some = wanted.select("uid", "loc").orderBy(F.xxhash64("uid", "loc"), "uid", "loc").limit(SPLITTER_RUNS).groupBy("uid").agg(F.collect_list("loc").alias("locs"))
+    leads = docs.select("uid", "text").join(F.broadcast(some), "uid").select("text", "locs").mapInArrow(_leads, "lead long")
     found = leads.agg(F.percentile_approx("lead", [k / n for k in range(1, n)], 20000).alias("p")).first()["p"]
     return np.sort(np.array(found or [], np.int64)).astype(np.uint64) << _U(1)
 
@@ -399,11 +427,12 @@ def repeated_substrings(docs: DataFrame, text_col: str = "text", id_col: str = "
         raise ValueError("window must be from 64 to 120 bytes")
     spark, n = docs.sparkSession, partitions(docs.sparkSession)
     base = with_order(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")))
-    runs = base.select("uid", "text").mapInArrow(_emit_runs(window), "h long, dig long, uid long, loc long, copy byte")
-    settled = stored(runs.repartition(n, "h").sortWithinPartitions("copy", "h", "dig", "uid", "loc").mapInArrow(_settle, "uid long, loc long, kind byte"), "settled")
+    runs = base.select("uid", "text").mapInArrow(_emit_runs(window, _frequent(base, window)), "h long, d1 long, d2 long, uid long, loc long, role byte")
+    settled = stored(runs.repartition(n, "h").sortWithinPartitions("role", "h", "d1", "d2", "uid", "loc").mapInArrow(_settle, "uid long, loc long, kind byte"), "settled")
 
-    splitters = _splitters(base, n, window)
-    wanted = settled.filter("kind = 1").groupBy("uid").agg(F.collect_list("loc").alias("locs"))
+    suffixes_of = settled.filter("kind = 1")
+    splitters = _splitters(base, suffixes_of, max(n, -(-suffixes_of.count() // BUCKET_RUNS)))
+    wanted = suffixes_of.groupBy("uid").agg(F.collect_list("loc").alias("locs"))
     suffixes = (
         base.select("uid", "text").join(wanted, "uid").select("uid", "text", "locs")
         .mapInArrow(_emit_suffixes(splitters, window), "bucket int, spans boolean, uid long, loc long, ctx binary")

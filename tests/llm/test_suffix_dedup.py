@@ -75,6 +75,37 @@ def test_empty_table_and_odd_ids(spark):
     assert got == [(0, 150), (1, 0), (1, 150), (2, 0)]
 
 
+def test_frequent_anchors_are_dealt_by_their_runs(spark, monkeypatch):
+    """Every anchor counts as frequent, or only some do: how runs are dealt changes no result."""
+    rows = corpus()
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    raw = [np.frombuffer((t or "").encode(), np.uint8) for _, t in rows]
+    anchors = np.unique(np.concatenate([sd.anchor_runs(x, np.array([0, len(x)]))["h"] for x in raw]))
+    found = sd._frequent(df.withColumnRenamed("doc_id", "uid"), 100)
+    assert set(found.tolist()) <= set(anchors.tolist())
+    for some in (anchors, anchors[::3]):
+        monkeypatch.setattr(sd, "_frequent", lambda *a, some=some: some)
+        assert result(sd.repeated_substrings(df)) == brute(rows)
+
+
+def test_buckets_follow_the_number_of_suffixes(spark, monkeypatch):
+    rows = corpus()
+    monkeypatch.setattr(sd, "BUCKET_RUNS", 5)
+    asked = []
+    splitters = sd._splitters
+    monkeypatch.setattr(sd, "_splitters", lambda d, w, n: asked.append(n) or splitters(d, w, n))
+    assert result(sd.repeated_substrings(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))) == brute(rows)
+    assert asked[0] > 20
+
+
+def test_text_ids_and_very_long_texts(spark):
+    r = random.Random(8)
+    long_one = "".join(r.choices("abcdefgh ", k=1_500_000))
+    rows = [("a", long_one), ("b", "x" + long_one[700_000:701_000] + "y"), ("c", None)]
+    got = {x["doc_id"]: (x["n_removed"], x["n_spans"]) for x in sd.repeated_substrings(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
+    assert got == {"a": (0, 0), "b": (1000, 1), "c": (0, 0)}
+
+
 def test_multikey_order_sorts_like_bytes():
     r = np.random.default_rng(1)
     words = r.integers(0, 3, (500, 4)).astype(np.uint64)
