@@ -6,6 +6,7 @@ drawing are out of scope: their codecs are not part of the engine.
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
 
 import numpy as np
@@ -40,29 +41,25 @@ def mask_runs(mask: np.ndarray) -> np.ndarray:
 
 
 def band_pair(rgb: np.ndarray, p: BandParameters = BandParameters()) -> tuple[float, float, float] | None:
-    """(score, centre x, centre y) of the best pair of neighbouring bright bands, least tuple first; None if there is none."""
+    """(score, centre x, centre y) of the best pair of neighbouring bright bands, least tuple first; None if there is none.
+
+    All bands are measured at once: running column sums give each band's share of lit pixels in every column."""
     level = rgb[:, p.x0 : p.x1].astype(np.float32).mean(axis=2)
     lit = level > np.float32(np.percentile(level, p.percentile) * p.scale)
-    bands = mask_runs(lit.sum(axis=1) > p.row_pixels)
-    size = bands[:, 1] - bands[:, 0]
-    bands = bands[(size >= p.height_min) & (size <= p.height_max)]
-    extent: dict[int, tuple[float, float]] = {}
-
-    def span(k: int) -> tuple[float, float] | None:
-        """Centre and width of the columns that band k fills."""
-        if k not in extent:
-            a, b = bands[k]
-            filled = np.flatnonzero(lit[a:b].mean(axis=0) > p.fill)
-            extent[k] = ((filled[0] + filled[-1]) / 2 + p.x0, filled[-1] - filled[0] + 1) if len(filled) >= p.columns else None
-        return extent[k]
-
-    middle, found = bands.sum(axis=1) / 2, []
-    for k in np.flatnonzero(np.abs(np.diff(middle) - p.pitch) <= p.pitch_tolerance):
-        up, low = span(int(k)), span(int(k) + 1)
-        if up and low:
-            error = abs(middle[k + 1] - middle[k] - p.pitch)
-            found.append((float(error + 2 * abs(up[0] - low[0]) + 0.2 * abs((up[1] + low[1]) / 2 - p.width)), float((up[0] + low[0]) / 2), float((middle[k] + middle[k + 1]) / 2)))
-    return min(found, default=None)
+    runs = mask_runs(lit.sum(axis=1) > p.row_pixels)
+    height = runs[:, 1] - runs[:, 0]
+    runs, height = (x[(height >= p.height_min) & (height <= p.height_max)] for x in (runs, height))
+    if len(runs) < 2:
+        return None
+    sums = np.concatenate([np.zeros((1, lit.shape[1]), np.int64), np.cumsum(lit, axis=0)])
+    full = (sums[runs[:, 1]] - sums[runs[:, 0]]) / height[:, None] > p.fill
+    left, right = full.argmax(axis=1), full.shape[1] - full[:, ::-1].argmax(axis=1)
+    wide = full.sum(axis=1) >= p.columns
+    x, y, width = (left + right - 1) / 2 + p.x0, runs.sum(axis=1) / 2, right - left
+    off = np.abs(np.diff(y) - p.pitch)
+    score = off + 2 * np.abs(np.diff(x)) + 0.2 * np.abs((width[1:] + width[:-1]) / 2 - p.width)
+    table = np.stack([score, (x[1:] + x[:-1]) / 2, (y[1:] + y[:-1]) / 2], axis=1)[(off <= p.pitch_tolerance) & wide[1:] & wide[:-1]]
+    return tuple(map(float, table[np.lexsort(table.T[::-1])[0]])) if len(table) else None
 
 
 def picture_medians(rgb: np.ndarray, low: float = 0.03, high: float = 0.96, least: int = 100) -> tuple[float, float, float, float]:
@@ -78,28 +75,29 @@ def picture_medians(rgb: np.ndarray, low: float = 0.03, high: float = 0.96, leas
     return (float(np.median(luma[keep])), *map(float, np.median(part[keep], axis=0)))
 
 
+def colour_terms(x: np.ndarray) -> np.ndarray:
+    """The 13 polynomial features of `scalars.polynomial` for rows of three channels."""
+    r, g, b = x.T
+    return np.column_stack([np.ones(len(x)), x, np.sqrt(np.maximum(x, 0)), x * x, r * g, r * b, g * b])
+
+
 def match_colours(rgb: np.ndarray, coefficients: np.ndarray, luts: np.ndarray) -> np.ndarray:
     """13 polynomial features times coefficients (13 x 3), then one table of 256 values for each channel; floats in [0, 1]."""
-    x = rgb.reshape(-1, 3).astype(np.float64)
-    r, g, b = x.T
-    terms = [np.ones_like(r), r, g, b, *np.sqrt(np.maximum(x.T, 0)), r * r, g * g, b * b, r * g, r * b, g * b]
-    mixed = np.clip(np.stack(terms, axis=1) @ coefficients, 0, 1) * 255
+    mixed = np.clip(colour_terms(rgb.reshape(-1, 3).astype(np.float64)) @ coefficients, 0, 1) * 255
     out = [np.interp(mixed[:, k], np.arange(256), luts[k]) for k in range(3)]
     return np.clip(np.stack(out, axis=1), 0, 1).reshape(rgb.shape)
 
 
 def fit_match(source: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Coefficients by least squares (singular values below 1e-6 of the largest are dropped) and monotone median tables."""
-    x = source.reshape(-1, 3).astype(np.float64)
-    r, g, b = x.T
-    terms = np.stack([np.ones_like(r), r, g, b, *np.sqrt(np.maximum(x.T, 0)), r * r, g * g, b * b, r * g, r * b, g * b], axis=1)
-    coefficients = np.linalg.lstsq(terms, target.reshape(-1, 3), rcond=1e-6)[0]
+    terms, goal = colour_terms(source.reshape(-1, 3).astype(np.float64)), target.reshape(-1, 3)
+    coefficients = np.linalg.lstsq(terms, goal, rcond=1e-6)[0]
     mixed = np.clip(terms @ coefficients, 0, 1)
     luts = []
     for k in range(3):
         at = np.floor(mixed[:, k] * 256).astype(int)
         inside = at < 256  # the value 1.0 falls in no bin
-        frame = pd.Series(target.reshape(-1, 3)[inside, k]).groupby(at[inside]).median()
+        frame = pd.Series(goal[inside, k]).groupby(at[inside]).median()
         luts.append(np.maximum.accumulate(np.interp(np.arange(256), frame.index, frame.to_numpy())))
     return coefficients, np.array(luts)
 
@@ -128,35 +126,49 @@ def unpack12(data: bytes) -> np.ndarray:
     return np.stack([b[:, 0] << 4 | b[:, 2] & 15, b[:, 1] << 4 | b[:, 2] >> 4], axis=1).ravel()
 
 
-def quadratic_offset(profile: np.ndarray, limit: float = 0.75) -> float:
-    """Offset of the parabola through the peak and its neighbours; 0 at the ends, on a flat top, and beyond the limit."""
-    k = int(np.argmax(profile))
-    if k in (0, len(profile) - 1):
-        return 0.0
-    a, b, c = map(float, profile[k - 1 : k + 2])
-    curve = a - 2 * b + c
-    offset = 0.5 * (a - c) / curve if curve else 0.0
-    return offset if abs(offset) <= limit else 0.0
-
-
-def edge_consensus(gradient: np.ndarray, rows: np.ndarray, step: int = 2, peak: float = 20.0, prominence: float = 8.0, snr: float = 2.5, support: int = 24, share: float = 0.2) -> tuple[float | None, int]:
-    """(row of an edge, inlier columns): the steepest row of every column that stands out, and the median of those that agree."""
-    found = []
-    for column in gradient[rows][:, ::step].T:
-        k = int(column.argmax())
-        rest = np.delete(column, [j for j in (k - 1, k, k + 1) if 0 <= j < len(column)])
-        base = float(np.median(rest))
-        noise = max(1.4826 * float(np.median(np.abs(rest - base))), 2.0)
-        rise = float(column[k]) - base
-        if 0 < k < len(column) - 1 and column[k] >= peak and rise >= prominence and rise / noise >= snr:
-            found.append(float(rows[k]) + quadratic_offset(column))
-    if not found:
+@dataclass(frozen=True)
+class EdgeParameters:
+    """Fixed values of the column consensus of an edge."""
+
+    step: int = 2
+    peak: float = 20.0
+    prominence: float = 8.0
+    noise_floor: float = 2.0
+    snr: float = 2.5
+    curvature: float = 1.0
+    fraction: float = 0.75
+    support: int = 24
+    share: float = 0.2
+
+
+def edge_consensus(gradient: np.ndarray, rows: np.ndarray, p: EdgeParameters = EdgeParameters()) -> tuple[float | None, int]:
+    """(row of an edge, inlier columns): where the steepest rows of the columns that stand out agree.
+
+    One matrix holds all columns. The three cells around each column's maximum are blanked for its noise level, and one
+    validity mask decides which columns take part."""
+    cells = gradient[rows][:, :: p.step].astype(np.float64)
+    n, m = cells.shape
+    if n < 3 or not m:
+        return None, 0
+    top, column = cells.argmax(axis=0), np.arange(m)
+    quiet = np.where(np.abs(np.arange(n)[:, None] - top) <= 1, np.nan, cells)
+    with np.errstate(all="ignore"), warnings.catch_warnings():
+        warnings.simplefilter("ignore", RuntimeWarning)  # columns of three cells have no quiet part
+        level = np.nan_to_num(np.nanmedian(quiet, axis=0))
+        noise = np.fmax(1.4826 * np.nanmedian(np.abs(quiet - level), axis=0), p.noise_floor)
+    at = np.clip(top, 1, n - 2)
+    before, best, after = cells[at - 1, column], cells[at, column], cells[at + 1, column]
+    curve = before - 2 * best + after
+    sharp = curve < -p.curvature
+    shift = np.where(sharp, (before - after) / (2 * np.where(sharp, curve, 1)), 0.0)
+    place = rows[at] + np.where(np.abs(shift) <= p.fraction, shift, 0.0)
+    valid = (top == at) & (best >= p.peak) & (best - level >= np.maximum(p.prominence, p.snr * noise))
+    if not valid.any():
         return None, 0
-    at = np.array(found)
-    middle = np.median(at)
-    near = at[np.abs(at - middle) <= max(1.0, 3 * float(np.median(np.abs(at - middle))))]
-    total = -(-gradient.shape[1] // step)
-    return (float(np.median(near)) if len(near) >= support and len(near) >= share * total else None), len(near)
+    distance = np.abs(place - np.median(place[valid]))
+    near = valid & (distance <= max(1.0, 3 * float(np.median(distance[valid]))))
+    inliers = int(near.sum())
+    return (float(np.median(place[near])) if inliers >= max(p.support, p.share * m) else None), inliers
 
 
 def _doubles(*names: str) -> T.StructType:

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import json
+import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -50,12 +51,57 @@ def guard(ledger: DataFrame, config: dict, column: str = "config_sha256") -> Non
         raise ValueError("the ledger was written with another configuration")
 
 
+def _files(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    of = jvm.org.apache.hadoop.fs.Path
+    return of(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), of
+
+
+def recover(spark: SparkSession, path: str) -> bool:
+    """True if there is a ledger at `path`. One that a crash left aside in the middle of `replace` is put back first."""
+    fs, of = _files(spark, path)
+    if fs.exists(of(path)):
+        return True
+    return bool(fs.exists(of(f"{path}.old")) and fs.rename(of(f"{path}.old"), of(path)))
+
+
+def replace(df: DataFrame, path: str) -> DataFrame:
+    """Write `df`, check what was written, and put it in the place of `path`. At every moment one whole version exists:
+    the old one is renamed aside, the new one takes its name, and only then the old one goes."""
+    spark = df.sparkSession
+    fs, of = _files(spark, path)
+    temp = f"{path}.new-{uuid.uuid4().hex}"
+    write_verified(df, temp)
+    if fs.exists(of(path)):
+        fs.delete(of(f"{path}.old"), True)
+        if not fs.rename(of(path), of(f"{path}.old")):
+            raise OSError(f"{path} could not be set aside")
+    if not fs.rename(of(temp), of(path)):
+        recover(spark, path)
+        raise OSError(f"{path} could not be replaced")
+    fs.delete(of(f"{path}.old"), True)
+    return spark.read.parquet(path)
+
+
+def _rows_digest(df: DataFrame) -> tuple[int, int, int]:
+    """Row count, and exclusive or and sum of row hashes. The sum is a decimal, so it can't overflow."""
+    h = F.xxhash64(F.to_json(F.struct(*[f"`{c}`" for c in sorted(df.columns)])))
+    r = df.select(h.alias("h")).agg(F.count(F.lit(1)).alias("n"), F.bit_xor("h").alias("x"), F.sum(F.col("h").cast("decimal(20,0)")).alias("s")).first()
+    return r["n"], r["x"] or 0, int(r["s"] or 0)
+
+
 def write_verified(df: DataFrame, path: str) -> DataFrame:
-    """Write, read back, and compare row count and checksum; the committer makes the write atomic."""
+    """Write, read back, and compare with what was written; the committer makes the write atomic.
+
+    `df` is evaluated once: its count and checksum are observed while it is written."""
     spark: SparkSession = df.sparkSession
-    digest = lambda d: d.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(F.to_json(F.struct(*[f"`{c}`" for c in sorted(d.columns)]))).bitwiseAND(2**31 - 1)).alias("h")).first()
-    df.write.mode("overwrite").parquet(path)
+    columns = sorted(df.columns)
+    seen = Observation()
+    h = F.xxhash64(F.to_json(F.struct(*[f"`{c}`" for c in columns])))
+    watched = df.observe(seen, F.count(F.lit(1)).alias("n"), F.bit_xor(h).alias("x"), F.sum(h.cast("decimal(20,0)")).alias("s"))
+    watched.write.mode("overwrite").parquet(path)
     back = spark.read.parquet(path)
-    if digest(back) != digest(df):
+    got = seen.get
+    if _rows_digest(back) != (got["n"], got["x"] or 0, int(got["s"] or 0)):
         raise ValueError(f"{path} does not hold what was written")
     return back

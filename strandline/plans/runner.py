@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import json
-from dataclasses import dataclass
+import os
+import uuid
+from dataclasses import dataclass, fields, replace
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,12 +24,16 @@ class RunConfig:
     first: int | None = None
     last: int | None = None
     name: str = "run"
+    open: bool = False  # more observations will come: an unresolved last one waits for its successor
+    free_gib: float = 0.0
 
     def __post_init__(self):
         if isinstance(self.batch, bool) or not isinstance(self.batch, int) or self.batch < 1:
             raise ValueError("batch must be a positive whole number")
         if not self.limit > 0:
             raise ValueError("limit must be positive")
+        if not self.free_gib >= 0:
+            raise ValueError("free_gib can't be negative")
         if self.first is not None and self.last is not None and self.first > self.last:
             raise ValueError("first comes after last")
         if "/" in self.name or self.name in ("", ".", ".."):
@@ -35,6 +42,29 @@ class RunConfig:
     def settings(self) -> dict:
         return {"batch": self.batch, "limit": self.limit}
 
+    @classmethod
+    def load(cls, overrides: str | dict, defaults: RunConfig | None = None) -> RunConfig:
+        """Defaults with the overrides of a JSON object: {"run": {...}, "gate": {"limit": ...}} or the plain names. Unknown
+        keys are refused, and so is a setting that is given twice with different values."""
+        raw = json.loads(overrides) if isinstance(overrides, str) else overrides
+        if not isinstance(raw, dict):
+            raise ValueError("the settings must be a JSON object")
+        allowed = {"run": {f.name for f in fields(cls)} - {"limit"}, "gate": {"limit"}}
+        given: dict[str, list] = {}
+        for name, value in raw.items():
+            part = value if name in allowed else {name: value}
+            if not isinstance(part, dict):
+                raise ValueError(f"{name} must be a JSON object")
+            unknown = set(part) - (allowed[name] if name in allowed else set().union(*allowed.values()))
+            if unknown:
+                raise ValueError(f"unknown settings: {', '.join(sorted(unknown))}")
+            for key, v in part.items():
+                given.setdefault(key, []).append(v)
+        for key, values in given.items():
+            if any(v != values[0] or type(v) is not type(values[0]) for v in values):
+                raise ValueError(f"{key} is given twice with different values")
+        return replace(defaults or cls(), **{key: values[0] for key, values in given.items()})
+
 
 LEDGER = "series string, first_seq long, last_seq long, rows long, included long, counts map<string,long>, config_sha256 string, verified boolean, completed string"
 
@@ -60,6 +90,23 @@ def resolve(observations: DataFrame, config: RunConfig) -> DataFrame:
     return between.select("series", "seq", value.alias("value"), source.alias("source"), F.when(value.isNull(), "excluded").otherwise("included").alias("disposition"))
 
 
+def deferred(resolved: DataFrame) -> DataFrame:
+    """Keys of the last observation of each series, if it is unresolved: with its successor it may be bracketed yet."""
+    last = resolved.groupBy("series").agg(F.max_by("disposition", "seq").alias("d"), F.max("seq").alias("seq"))
+    return last.filter("d = 'excluded'").select("series", "seq")
+
+
+def audit(resolved: DataFrame, order: str = "seq", jump: float = 100.0) -> DataFrame:
+    """One row per series: observations by source, the included share, jumps between neighbours, and the last excluded key."""
+    step = F.abs(F.col("value") - F.lag("value").over(sequence.by("series", order)))
+    held = resolved.withColumn("__step", step)
+    by = {s: F.count_if(F.col("source") == s).alias(s) for s in ("measured", "bracketed", "excluded")}
+    return held.groupBy("series").agg(
+        F.count(F.lit(1)).alias("n"), *by.values(), (100.0 * F.count("value") / F.count(F.lit(1))).alias("included_pct"), F.count_if(F.col("__step") > jump).alias("jumps"), F.max("__step").alias("largest"),
+        F.max(F.when(F.col("source") == "excluded", F.col(order))).alias("last_excluded"),
+    )
+
+
 def segments(resolved: DataFrame, planned: DataFrame, config: RunConfig) -> DataFrame:
     """One ledger row per planned segment with counts by source."""
     keyed = planned.withColumn("seq", F.explode(F.sequence("first_seq", "last_seq")))
@@ -90,34 +137,87 @@ class Events:
         return [json.dumps(r, sort_keys=True) for r in self.rows]
 
 
+def json_lines(path: str):
+    """An event sink that appends one JSON line an event and flushes it, so that a crash loses none that was emitted."""
+
+    def write(row: dict) -> None:
+        with open(path, "a", encoding="utf-8") as out:
+            out.write(json.dumps(row, sort_keys=True) + "\n")
+            out.flush()
+            os.fsync(out.fileno())
+
+    return write
+
+
+def _fs(spark: SparkSession, path: str):
+    of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return of(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), of
+
+
+def atomic_json(spark: SparkSession, path: str, value: dict) -> None:
+    """Write a small JSON document so that readers see the old one or the new one, never a part."""
+    fs, of = _fs(spark, path)
+    temp = f"{path}.{uuid.uuid4().hex}"
+    out = fs.create(of(temp), True)
+    out.write(bytearray(json.dumps(value, sort_keys=True, allow_nan=False).encode()))
+    out.close()
+    mode = spark.sparkContext._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context = spark.sparkContext._jvm.org.apache.hadoop.fs.FileContext.getFileContext(of(path).toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    options = spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = mode
+    context.rename(of(temp), of(path), options)
+
+
+@contextlib.contextmanager
+def exclusive(spark: SparkSession, path: str):
+    """One run at a time for a ledger: the lock is a file that only one process can create."""
+    fs, of = _fs(spark, path)
+    lock = of(f"{path}.lock")
+    try:
+        fs.create(lock, False).close()
+    except Exception as error:
+        raise RuntimeError(f"another run holds {path}.lock") from error
+    try:
+        yield
+    finally:
+        fs.delete(lock, False)
+
+
+def enough_space(spark: SparkSession, path: str, gib: float) -> None:
+    fs, of = _fs(spark, path)
+    free = fs.getStatus(of(path).getParent()).getRemaining() / 2**30
+    if free < gib:
+        raise RuntimeError(f"{free:.1f} GiB are free where {gib:.1f} are wanted")
+
+
 def run(spark: SparkSession, observations: DataFrame, path: str, config: RunConfig = RunConfig(), sink=None) -> dict:
     """Process what the ledger at `path` lacks; returns status, counts and whether all keys are covered.
 
-    observations: (series string, seq, v). The ledger is written beside the old one and then put in its place."""
+    observations: (series string, seq, v). The ledger is written beside the old one, checked, and then put in its place."""
     events = Events(config.name, sink)
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    book = spark.read.schema(LEDGER).parquet(path) if fs.exists(target) else spark.createDataFrame([], LEDGER)
+    with exclusive(spark, path):
+        enough_space(spark, path, config.free_gib)
+        return _run(spark, observations, path, config, events)
+
+
+def _run(spark: SparkSession, observations: DataFrame, path: str, config: RunConfig, events: Events) -> dict:
+    book = spark.read.schema(LEDGER).parquet(path) if ledger.recover(spark, path) else spark.createDataFrame([], LEDGER)
     ledger.guard(book, config.settings())
     events.emit("job_started", settings=config.settings())
     try:
-        planned = plan(observations, book, config)
-        new = segments(resolve(observations, config), planned, config)
+        resolved = resolve(observations, config)
+        waiting = deferred(resolved) if config.open else spark.createDataFrame([], "series string, seq long")
+        new = segments(resolved, plan(observations.join(waiting, ["series", "seq"], "left_anti"), book, config), config)
         whole = ledger.upsert(book, new, ["series", "first_seq", "last_seq"])
-        temp = jvm.org.apache.hadoop.fs.Path(f"{path}-next")
-        fs.delete(temp, True)
-        ledger.write_verified(whole, temp.toString())
-        fs.delete(target, True)
-        fs.rename(temp, target)
+        ledger.replace(whole, path)
         book = spark.read.schema(LEDGER).parquet(path)
-        keys = observations.select(F.concat_ws("\u0000", "series", "seq").alias("k"))
-        spans = book.filter("verified").select("series", F.explode(F.sequence("first_seq", "last_seq")).alias("seq")).select(F.concat_ws("\u0000", "series", "seq").alias("k"))
-        missing = keys.join(spans, "k", "left_anti").count()
+        spans = book.filter("verified").select("series", F.explode(F.sequence("first_seq", "last_seq")).alias("seq"))
+        missing = observations.select("series", "seq").join(spans, ["series", "seq"], "left_anti").count()
         total = book.agg(F.sum("rows").alias("rows"), F.sum("included").alias("included"), F.count(F.lit(1)).alias("segments")).first()
         result = {"status": "complete" if not missing else "partial", "segments": total["segments"], "rows": total["rows"] or 0, "included": total["included"] or 0, "missing": missing}
         events.emit("job_completed", **result)
         return result | {"events": events.rows}
     except Exception as error:
         events.emit("job_failed", error=type(error).__name__, message=str(error)[:500])
+        atomic_json(spark, f"{path}.failure.json", {"error": type(error).__name__, "message": str(error)[:500], "at": datetime.now(UTC).isoformat(timespec="seconds")})
         raise

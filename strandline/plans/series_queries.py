@@ -277,6 +277,60 @@ def cascade_coalesce(spark, sf_dir):
     return e.withColumn("mean", mean).select("seq", "series", fixed(value, 3).alias("y_e3"), source.alias("source"))
 
 
+_STAGES = f"""with {EV}, {_FIVE}, t as (select *, quantile_cont(value, 0.5) over (partition by series order by seq rows between 25 preceding and 1 preceding) as tm,
+    lag(case when accepted then v end) over w as before, lead(case when accepted then v end) over w as after from acc window w as (partition by series order by seq)),
+    k as (select seq, series, case when accepted then v end as v1, case when before is not null and after is not null then (after + before) / 2 end as v2, case when abs(value - tm) <= 30 then tm end as v3, v is null as missing from t)"""
+
+
+def _stages() -> list[cascade.Stage]:
+    reason = lambda c, why: F.when(c.isNull(), F.array(F.lit(why)))
+    direct = F.when(F.col("accepted"), F.col("v"))
+    between = F.when(F.col("before").isNotNull() & F.col("after").isNotNull(), (F.col("after") + F.col("before")) / 2)
+    trailing = F.when(F.abs(F.col("value") - F.col("tm")) <= 30, F.col("tm"))
+    step = lambda c, why: lambda d: d.select("seq", c.alias("value"), reason(c, why).alias("reasons"))
+    return [
+        cascade.Stage("direct", lambda d: d.select("seq", direct.alias("value"), F.when(direct.isNull(), F.array(F.when(F.col("v").isNull(), "no measurement").otherwise("outlier"))).alias("reasons"))),
+        cascade.Stage("bracket", step(between, "a neighbour is not direct")),
+        cascade.Stage("trailing", step(trailing, "far from the model"), F.col("tm").isNotNull()),
+    ]
+
+
+def _observed(spark, sf_dir):
+    w = sequence.by("series", "seq")
+    gated = sequence.local_median_gate(events(spark, sf_dir), "series", "seq", "v", 45.0)
+    direct = F.when(F.col("accepted"), F.col("v"))
+    return sequence.trailing_median(gated, "series", "seq", "value", "tm").withColumn("before", F.lag(direct).over(w)).withColumn("after", F.lead(direct).over(w))
+
+
+@query("cascade_attempts", f"""{_STAGES} select seq, {fx('coalesce(v1, v2, v3)', 3)} as y_e3, case when v1 is not null then 'direct' when v2 is not null then 'bracket' when v3 is not null then 'trailing' else 'excluded' end as source,
+    array_to_string(list_filter([case when v1 is null then case when missing then 'direct: no measurement' else 'direct: outlier' end end, case when v1 is null and v2 is null then 'bracket: a neighbour is not direct' end,
+      case when v1 is null and v2 is null and v3 is null and seq in (select seq from t where tm is not null) then 'trailing: far from the model' end], lambda x: x is not null), '; ') as failed from k""")
+def cascade_attempts(spark, sf_dir):
+    """Lazy stages with provenance: what resolved each key, and why the stages before it did not."""
+    found, _ = cascade.resolve(_observed(spark, sf_dir), ["seq"], _stages())
+    failed = F.array_join(F.transform(F.filter("attempts", lambda a: F.size(a["reasons"]) > 0), lambda a: F.concat_ws(": ", a["stage"], F.array_join(a["reasons"], ","))), "; ")
+    return found.select("seq", fixed(F.col("value"), 3).alias("y_e3"), "source", failed.alias("failed"))
+
+
+@query("cascade_counts", f"""{_STAGES}, n as (select 'direct' as stage, count(*) as attempts, count(v1) as successes from k union all select 'bracket', count(*), count(v2) from k where v1 is null
+    union all select 'trailing', count(*), count(v3) from k where v1 is null and v2 is null and seq in (select seq from t where tm is not null)) select *, attempts - successes as failures from n""")
+def cascade_counts(spark, sf_dir):
+    return cascade.resolve(_observed(spark, sf_dir), ["seq"], _stages())[1]
+
+
+@query("registration_audit", f"""with {EV}, {_FIVE}, b as (select *, lag(accepted) over w and lead(accepted) over w as bracketed, (lag(v) over w + lead(v) over w) / 2 as mean from acc window w as (partition by series order by seq)),
+    r as (select series, seq, case when accepted then v when coalesce(bracketed, false) then mean end as y, case when accepted then 'measured' when coalesce(bracketed, false) then 'bracketed' else 'excluded' end as source from b),
+    d as (select *, abs(y - lag(y) over (partition by series order by seq)) as jump from r) select series, count(*) as n, count(*) filter (source = 'measured') as measured, count(*) filter (source = 'bracketed') as bracketed,
+    count(*) filter (source = 'excluded') as excluded, {fx('100.0 * count(y) / count(*)', 3)} as included_pct_e3, count(*) filter (jump > 100) as jumps, {fx('max(jump)', 2)} as largest_e2, max(seq) filter (source = 'excluded') as last_excluded from d group by series""")
+def registration_audit(spark, sf_dir):
+    from strandline.plans import runner
+
+    dense = events(spark, sf_dir).withColumn("i", F.row_number().over(W.partitionBy("series").orderBy("seq")).cast("long")).select("series", F.col("i").alias("seq"), "v", F.col("seq").alias("own"))
+    resolved = runner.resolve(dense, runner.RunConfig()).join(dense.select("series", "seq", "own"), ["series", "seq"])
+    a = runner.audit(resolved, "own")
+    return a.select("series", "n", "measured", "bracketed", "excluded", fixed(F.col("included_pct"), 3).alias("included_pct_e3"), "jumps", fixed(F.col("largest"), 2).alias("largest_e2"), "last_excluded")
+
+
 @query("duration_seconds", f"with {EV} select seq, series, {fx('(epoch_us(ts) - epoch_us(lag(ts) over (partition by series order by seq))) / 1000000.0', 3)} as d_e3 from e")
 def duration_seconds(spark, sf_dir):
     w = sequence.by("series", "seq")
@@ -353,7 +407,12 @@ def greedy_nms(spark, sf_dir):
     return candidates.suppress(e, "series", "seq", "place", "value", 300.0, 8).select("series", "seq", "rank")
 
 
-@query("greedy_cluster_1d")
+_JOINS = "len(s.held) > 0 and abs(c.value - (s.held[(len(s.held) + 1) // 2] + s.held[len(s.held) // 2 + 1]) / 2) <= 6"
+
+
+@query("greedy_cluster_1d", f"""with recursive {EV}, c as (select series, seq, value, row_number() over (partition by series order by value, seq) as rn from e), s as (select series, 0::bigint as done, null::bigint as seq, -1 as cluster, []::double[] as held from c group by series
+    union all select s.series, s.done + 1, c.seq, case when {_JOINS} then s.cluster else s.cluster + 1 end, case when {_JOINS} then list_append(s.held, c.value) else [c.value] end from s join c on c.series = s.series and c.rn = s.done + 1)
+    select series, seq, cluster from s where done > 0""")
 def greedy_cluster_1d(spark, sf_dir):
     return candidates.cluster(events(spark, sf_dir), "series", "seq", "value", 6.0).select("series", "seq", "cluster")
 
@@ -444,13 +503,13 @@ def guarded_mean(spark, sf_dir):
 
 @query("group_median", f"with {EV} select event_type, {fx('median(value)', 3)} as m_e3 from e group by event_type")
 def group_median(spark, sf_dir):
-    return events(spark, sf_dir).groupBy("event_type").agg(fixed(F.median("value"), 3).alias("m_e3"))
+    return stats.quantiles(events(spark, sf_dir), "event_type", "value", [0.5]).select("event_type", fixed(F.col("q")[0], 3).alias("m_e3"))
 
 
 @query("percentile_exact", f"with {EV} select event_type, {fx('quantile_cont(value, 0.05)', 3)} as p05_e3, {fx('quantile_cont(value, 0.9)', 3)} as p90_e3, {fx('quantile_cont(value, 0.995)', 3)} as p995_e3 from e group by event_type")
 def percentile_exact(spark, sf_dir):
-    p = F.percentile("value", F.array(F.lit(0.05), F.lit(0.9), F.lit(0.995)))
-    return events(spark, sf_dir).groupBy("event_type").agg(p.alias("p")).select("event_type", *[fixed(F.col("p")[k], 3).alias(n) for k, n in enumerate(("p05_e3", "p90_e3", "p995_e3"))])
+    q = stats.quantiles(events(spark, sf_dir), "event_type", "value", [0.05, 0.9, 0.995])
+    return q.select("event_type", *[fixed(F.col("q")[k], 3).alias(n) for k, n in enumerate(("p05_e3", "p90_e3", "p995_e3"))])
 
 
 @query("robust_stats", f"""with {EV}, c as (select event_type, median(value) as med from e group by event_type) select e.event_type, count(value) as n, {fx('min(value)', 2)} as low_e2, {fx('max(value)', 2)} as high_e2, {fx('avg(value)', 3)} as mean_e3, {fx('median(value)', 3)} as median_e3,
@@ -477,7 +536,9 @@ def error_metrics(spark, sf_dir):
 @query("threshold_fractions", f"with {EV} select event_type, {fx('median(value)', 3)} as median_e3, {fx('avg(case when value > 90 then 1.0 else 0 end)')} as high_e4, {fx('avg(case when value < 10 then 1.0 else 0 end)')} as low_e4 from e group by event_type")
 def threshold_fractions(spark, sf_dir):
     share = lambda c: fixed(F.avg(F.when(c, 1.0).otherwise(0.0)))
-    return events(spark, sf_dir).groupBy("event_type").agg(fixed(F.median("value"), 3).alias("median_e3"), share(F.col("value") > 90).alias("high_e4"), share(F.col("value") < 10).alias("low_e4"))
+    e = events(spark, sf_dir)
+    middle = stats.quantiles(e, "event_type", "value", [0.5]).select("event_type", fixed(F.col("q")[0], 3).alias("median_e3"))
+    return e.groupBy("event_type").agg(share(F.col("value") > 90).alias("high_e4"), share(F.col("value") < 10).alias("low_e4")).join(middle, "event_type")
 
 
 @query("adaptive_threshold", f"with {EV}, t as (select series, quantile_cont(value, 0.4) as p40, quantile_cont(value, 0.995) as p995 from e group by series) select series, {fx('least(250, greatest(80, p40 + 0.58 * (p995 - p40)))', 3)} as level_e3 from t")

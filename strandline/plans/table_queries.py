@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -10,6 +12,7 @@ from strandline.functions import scalars
 from strandline.operators import candidates, gates, ledger, stats
 from strandline.operators.stats import fixed
 from strandline.plans.registry import fx, query, table
+from strandline.session import scratch
 
 
 def _line(spark, sf_dir, *cols):
@@ -183,11 +186,7 @@ def nested_replace(spark, sf_dir):
 @query("sink_readback", "select count(*) as n, cast(sum(o_orderkey) as bigint) as keys, true as verified from orders")
 def sink_readback(spark, sf_dir):
     """Write, read back and compare; the figures are those of what was read back."""
-    import tempfile
-    import uuid
-
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="strandline-sink-")
-    back = ledger.write_verified(table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"), f"{base.rstrip('/')}/sink-{uuid.uuid4().hex}")
+    back = ledger.write_verified(table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"), f"{scratch(spark)}/sink-{uuid.uuid4().hex}")
     return back.agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("keys"), F.lit(True).alias("verified"))
 
 
@@ -407,13 +406,13 @@ _COS = "list_sum(list_transform(range(1, 65), lambda i: a.embedding[i]::double *
 @query("similarity_topk_margin", f"""with q as (select * from embeddings where vec_id % 50 = 0), s as (select a.vec_id, b.vec_id as other, a.label = b.label as agrees, {_COS} as c from q a join embeddings b on a.vec_id <> b.vec_id),
     r as (select *, row_number() over (partition by vec_id order by c desc, other) as rn from s) select vec_id, max(other) filter (rn = 1) as best, bool_or(agrees) filter (rn = 1) as agrees, {fx('max(c) filter (rn = 1) - max(c) filter (rn = 2)', 5)} as margin_e5 from r where rn <= 3 group by vec_id""")
 def similarity_topk_margin(spark, sf_dir):
-    """The query set is every vector whose id is divisible by 50; it meets all rows."""
-    e = table(spark, sf_dir, "embeddings").select("vec_id", "label", F.col("embedding").cast("array<double>").alias("x"))
-    e = e.withColumn("norm", scalars.dot(F.col("x"), F.col("x")))
-    q = e.filter("vec_id % 50 = 0").select(F.col("vec_id").alias("q"), F.col("label").alias("ql"), F.col("x").alias("qx"), F.col("norm").alias("qn"))
-    pairs = q.join(e, F.col("q") != F.col("vec_id")).select("q", "vec_id", (F.col("ql") == F.col("label")).alias("agrees"), (scalars.dot(F.col("qx"), F.col("x")) / F.sqrt(F.col("qn") * F.col("norm"))).alias("c"))
-    top = candidates.top_k(pairs, ["q"], [F.desc("c"), F.asc("vec_id")], 3).groupBy("q").agg(F.array_sort(F.collect_list(F.struct("rank", "vec_id", "agrees", "c"))).alias("t"))
-    return top.select(F.col("q").alias("vec_id"), F.col("t")[0]["vec_id"].alias("best"), F.col("t")[0]["agrees"].alias("agrees"), fixed(F.col("t")[0]["c"] - F.col("t")[1]["c"], 5).alias("margin_e5"))
+    """The query set is every vector whose id is divisible by 50; it meets all rows, in blocks."""
+    e = table(spark, sf_dir, "embeddings")
+    three = candidates.vector_top_k(e.filter("vec_id % 50 = 0"), e, "vec_id", "embedding", 3)
+    at = lambda k, c: F.max(F.when(F.col("rank") == k, F.col(c)))
+    best = three.groupBy(F.col("q").alias("vec_id")).agg(at(1, "id").alias("best"), (at(1, "c") - at(2, "c")).alias("margin"))
+    own, other = e.select("vec_id", F.col("label").alias("__own")), e.select(F.col("vec_id").alias("best"), F.col("label").alias("__other"))
+    return best.join(own, "vec_id").join(other, "best").select("vec_id", "best", (F.col("__own") == F.col("__other")).alias("agrees"), fixed(F.col("margin"), 5).alias("margin_e5"))
 
 
 @query("set_except", "select distinct c_nationkey as k from customer except select s_nationkey from supplier where s_acctbal > 5000")
@@ -447,14 +446,14 @@ def _cost(x: Column, y: Column) -> Column:
     f as (select p_partkey, p_size, p_retailprice, x + dx as x, y + dy as y from r, (select unnest(range(-4, 5)) as dx), (select unnest(range(-4, 5)) as dy) where rn <= 2),
     b as (select *, row_number() over (partition by p_partkey order by (x - p_size) * (x - p_size) + (y - p_retailprice / 100) * (y - p_retailprice / 100), x, y) as rn from f) select p_partkey, x::bigint as x, y::bigint as y from b where rn = 1""")
 def coarse_to_fine(spark, sf_dir):
-    """A coarse grid, its best two nodes, a fine grid around those, the best; the grids are arrays in the row."""
+    """A coarse grid, its best two nodes, a fine grid around those, the best. All nodes are expressions of the row, so
+    nothing is exploded or shuffled, and the grids are part of the generated code."""
     part = table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_retailprice")
     node = lambda x, y: F.struct(_cost(x, y).alias("c"), x.cast("long").alias("x"), y.cast("long").alias("y"))
-    coarse = F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: node(F.floor(i / 8) * 8, (i % 8) * 8))
-    held = part.withColumn("top", F.slice(F.sort_array(coarse), 1, 2)).withColumn("n", F.explode("top"))
-    steps = F.sequence(F.lit(0), F.lit(80))
-    fine = held.select("p_partkey", F.array_min(F.transform(steps, lambda s: node(F.col("n.x") + F.floor(s / 9) - 4, F.col("n.y") + s % 9 - 4))).alias("b"))
-    return fine.groupBy("p_partkey").agg(F.min("b").alias("b")).select("p_partkey", "b.x", "b.y")
+    grid = part.withColumn("grid", F.array(*[node(F.lit(8 * i), F.lit(8 * j)) for i in range(8) for j in range(8)])).withColumn("one", F.array_min("grid"))
+    two = grid.withColumn("two", F.array_min(F.array_remove("grid", F.col("one"))))
+    around = [node(F.col(f"{n}.x") + dx, F.col(f"{n}.y") + dy) for n in ("one", "two") for dx in range(-4, 5) for dy in range(-4, 5)]
+    return two.withColumn("b", F.array_min(F.array(*around))).select("p_partkey", "b.x", "b.y")
 
 
 @query("refine_1d", f"""with g as (select p_partkey, (k - 12) * 0.25 as shift, -abs((k - 12) * 0.25 - (p_size - 25) / 10.0) as score from part, (select unnest(range(0, 25)) as k)), b as (select *, row_number() over (partition by p_partkey order by score desc, abs(shift), shift) as rn from g),

@@ -1,7 +1,7 @@
-"""The order-dependent acceptance model: one step function for batch and for streaming.
+"""The order-dependent acceptance model: one step for batch and for streaming, with stored states.
 
 A row is accepted if its series has fewer than SEED accepted rows, or if it is within TOLERANCE of the upper median of
-the last WINDOW accepted rows. Only accepted rows change the state.
+the last WINDOW accepted rows. Only accepted rows change the state; a null is never accepted.
 """
 
 from __future__ import annotations
@@ -11,46 +11,90 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from strandline.operators.fold import fold_sorted
+from strandline.operators.ledger import config_hash, latest, recover, replace, upsert
+
 SEED, WINDOW, TOLERANCE = 5, 25, 40.0
 STATE_VERSION = 1
 
 
-def step(history: list[float], value: float | None) -> tuple[list[float], bool]:
-    """(new history, accepted); a null is never accepted."""
-    if value is None or value != value:
-        return history, False
-    if len(history) >= SEED and abs(value - sorted(history)[len(history) // 2]) > TOLERANCE:
-        return history, False
-    return [*history, value][-WINDOW:], True
+def identity() -> str:
+    """Hash of all that decides what a stored state means; a state of another identity can't be restored."""
+    return config_hash({"model": "rolling-model", "version": STATE_VERSION, "seed": SEED, "window": WINDOW, "tolerance": TOLERANCE})
+
+
+class RollingModel:
+    """The state of one series: the accepted values of the window, in order of arrival and in order of size."""
+
+    def __init__(self, history: list[float] = ()):
+        self.window, self.order = list(history), sorted(history)
+
+    def accept(self, value: float | None) -> bool:
+        if value is None or value != value:
+            return False
+        if len(self.window) >= SEED and abs(value - self.order[len(self.order) // 2]) > TOLERANCE:
+            return False
+        self.window.append(value)
+        bisect.insort(self.order, value)
+        if len(self.window) > WINDOW:
+            del self.order[bisect.bisect_left(self.order, self.window.pop(0))]
+        return True
+
+    def state(self) -> dict:
+        return {"identity": identity(), "history": list(self.window)}
+
+    @classmethod
+    def restore(cls, state: dict) -> RollingModel:
+        if state.get("identity") != identity():
+            raise ValueError("the stored state belongs to another model or version")
+        history = state["history"]
+        if len(history) > WINDOW or any(not isinstance(v, float) or v != v for v in history):
+            raise ValueError("the stored state is damaged")
+        return cls(history)
 
 
-def _fold(history: list[float], values: list) -> tuple[list[float], list[bool]]:
-    """The steps of many rows, with the sorted window kept up to date."""
-    window, order, flags = list(history), sorted(history), []
-    for v in values:
-        if v is None or v != v or (len(window) >= SEED and abs(v - order[len(order) // 2]) > TOLERANCE):
-            flags.append(False)
-            continue
-        window.append(v)
-        bisect.insort(order, v)
-        if len(window) > WINDOW:
-            del order[bisect.bisect_left(order, window.pop(0))]
-        flags.append(True)
-    return window, flags
+def _folded(rows: DataFrame, series: str, seq: str, value: str, values, added: str) -> DataFrame:
+    """Fold rows (series, seq, value, history); a row with a history sets the state and gives no result."""
+
+    def start() -> list:
+        return [RollingModel(), 0]
+
+    def step(state: list, row: tuple) -> tuple[list, tuple | None]:
+        if row[3] is not None:
+            return [RollingModel(row[3]), 0], None
+        state[1] += 1
+        return state, values(state[0].accept(row[2]), state)
+
+    return fold_sorted(rows, series, [F.asc(seq), F.asc_nulls_last("__history")], start, step, added).drop("__history")
 
 
 def rolling_model(df: DataFrame, series: str, seq: str, value: str) -> DataFrame:
-    """Batch form: (series, seq, value, accepted); a series is one group and is read in order of seq."""
-    kind = df.schema[series].dataType.simpleString()
+    """Batch form: (series, seq, value, accepted). Series are read in order of seq and may be of any length."""
+    rows = df.select(series, seq, value).withColumn("__history", F.lit(None).cast("array<double>"))
+    return _folded(rows, series, seq, value, lambda ok, state: (ok,), "accepted boolean")
+
+
+def checkpoints(df: DataFrame, series: str, seq: str, value: str, every: int = 1000) -> DataFrame:
+    """(series, seq, identity, history): the state after each `every`-th row of a series."""
+    rows = df.select(series, seq, value).withColumn("__history", F.lit(None).cast("array<double>"))
+    found = _folded(rows, series, seq, value, lambda ok, state: (list(state[0].window),) if state[1] % every == 0 else None, "history array<double>")
+    return found.select(series, seq, F.lit(identity()).alias("identity"), "history")
 
-    def run(batch: pd.DataFrame) -> pd.DataFrame:
-        batch = batch.sort_values(seq, kind="stable")
-        batch["accepted"] = _fold([], batch[value].tolist())[1]
-        return batch
 
-    return df.select(series, seq, value).groupBy(series).applyInPandas(run, f"{series} {kind}, {seq} long, {value} double, accepted boolean")
+def resumed(df: DataFrame, book: DataFrame, series: str, seq: str, value: str, first: int) -> DataFrame:
+    """`rolling_model` for the rows from `first` on, without reading a series from its start: each series goes on from its
+    last stored state before `first`, and only the rows after that state are read again. A series without one starts anew."""
+    other = book.filter(~F.col("identity").eqNullSafe(F.lit(identity()))).limit(1).count()
+    if other:
+        raise ValueError("the stored state belongs to another model or version")
+    last = book.filter(F.col(seq) < first).groupBy(series).agg(F.max_by(F.struct(seq, "history"), seq).alias("s")).select(series, F.col(f"s.{seq}").alias("__at"), F.col("s.history").alias("__history"))
+    rows = df.select(series, seq, value).join(last.select(series, "__at"), series, "left").filter(F.col("__at").isNull() | (F.col(seq) > F.col("__at"))).drop("__at")
+    rows = rows.withColumn("__history", F.lit(None).cast("array<double>"))
+    states = last.select(series, F.col("__at").alias(seq), F.lit(None).cast("double").alias(value), "__history")
+    return _folded(rows.unionByName(states), series, seq, value, lambda ok, state: (ok,), "accepted boolean").filter(F.col(seq) >= first)
 
 
 def rolling_model_stream(df: DataFrame, series: str, seq: str, value: str) -> DataFrame:
@@ -58,38 +102,33 @@ def rolling_model_stream(df: DataFrame, series: str, seq: str, value: str) -> Da
     kind = df.schema[series].dataType.simpleString()
 
     def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        history: list[float] = []
+        model = RollingModel()
         if state.exists:
-            version, history = state.get
-            if version != STATE_VERSION:
-                raise ValueError("the stored state has another version")
+            model = RollingModel.restore(dict(zip(("identity", "history"), state.get, strict=True)))
         rows = pd.concat(list(batches)).sort_values(seq, kind="stable")
-        history, rows["accepted"] = _fold(list(history), rows[value].tolist())
-        state.update((STATE_VERSION, history))
+        rows["accepted"] = [model.accept(v) for v in rows[value].tolist()]
+        state.update((identity(), model.window))
         yield rows[[series, seq, value, "accepted"]]
 
     return df.select(series, seq, value).groupBy(series).applyInPandasWithState(
-        run, f"{series} {kind}, {seq} long, {value} double, accepted boolean", "version int, history array<double>", "append", GroupStateTimeout.NoTimeout
+        run, f"{series} {kind}, {seq} long, {value} double, accepted boolean", "identity string, history array<double>", "append", GroupStateTimeout.NoTimeout
     )
 
 
 def to_ledger(path: str, key: list[str], newest):
-    """A foreachBatch function that upserts each micro-batch into a Parquet ledger: replaying a batch changes nothing."""
-    import uuid
+    """A foreachBatch function that upserts each micro-batch into a Parquet ledger, with the batch's number in `batch_id`.
 
-    from strandline.operators.ledger import latest, upsert
+    A batch that the ledger holds already, and any batch before it, is not applied again: replaying changes nothing."""
 
     def commit(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        jvm = spark.sparkContext._jvm
-        root = jvm.org.apache.hadoop.fs.Path(path)
-        fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        new = latest(batch, key, newest)
-        whole = upsert(spark.read.parquet(path), new, key) if fs.exists(root) else new
-        temp = jvm.org.apache.hadoop.fs.Path(f"{path}-{uuid.uuid4().hex}")
-        whole.write.parquet(temp.toString())
-        if fs.exists(root):
-            fs.delete(root, True)
-        fs.rename(temp, root)
+        new = latest(batch, key, newest).withColumn("batch_id", F.lit(batch_id).cast("long"))
+        if not recover(spark, path):
+            replace(new, path)
+            return
+        book = spark.read.parquet(path)
+        done = book.agg(F.max("batch_id").alias("b")).first()["b"]
+        if done is None or batch_id > done:
+            replace(upsert(book, new, key), path)
 
     return commit

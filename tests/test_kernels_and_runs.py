@@ -117,3 +117,46 @@ def test_run_resumes(spark, tmp_path):
     for bad in ({"batch": 0}, {"batch": True}, {"limit": 0.0}, {"first": 3, "last": 2}, {"name": "../x"}):
         with pytest.raises(ValueError):
             runner.RunConfig(**bad)
+
+
+def test_an_open_run_waits_for_the_next_observation(spark, tmp_path):
+    rows = [("a", k, None if k == 4 else 100.0) for k in range(1, 5)]
+    frame = lambda r: spark.createDataFrame(r, "series string, seq long, v double")
+    path = str(tmp_path / "book")
+    part = runner.run(spark, frame(rows), path, runner.RunConfig(batch=10, open=True))
+    assert part["status"] == "partial" and (part["rows"], part["included"], part["missing"]) == (3, 3, 1)
+    whole = runner.run(spark, frame(rows + [("a", 5, 102.0)]), path, runner.RunConfig(batch=10))
+    assert whole["status"] == "complete" and (whole["rows"], whole["included"]) == (5, 5)  # 4 is bracketed now
+    shut = runner.run(spark, frame(rows), str(tmp_path / "shut"), runner.RunConfig(batch=10))
+    assert (shut["rows"], shut["included"]) == (4, 3)
+
+
+def test_run_control(spark, tmp_path):
+    df = spark.createDataFrame([("a", k, 1.0) for k in range(3)], "series string, seq long, v double")
+    path, lines = str(tmp_path / "book"), tmp_path / "events.jsonl"
+    with runner.exclusive(spark, path):
+        with pytest.raises(RuntimeError, match="another run"):
+            runner.run(spark, df, path)
+    runner.run(spark, df, path, sink=runner.json_lines(str(lines)))
+    assert [json.loads(x)["event"] for x in lines.read_text().splitlines()] == ["job_started", "job_completed"]
+    with pytest.raises(RuntimeError, match="GiB"):
+        runner.run(spark, df, path, runner.RunConfig(free_gib=1e9))
+    broken = df.withColumn("v", F.raise_error(F.lit("no such frame")).cast("double"))
+    with pytest.raises(Exception, match="no such frame"):
+        runner.run(spark, broken, str(tmp_path / "other"), sink=runner.json_lines(str(lines)))
+    assert json.loads(lines.read_text().splitlines()[-1])["event"] == "job_failed"
+    assert "no such frame" in json.loads((tmp_path / "other.failure.json").read_text())["message"]
+    assert not (tmp_path / "book.lock").exists() and not (tmp_path / "other.lock").exists()
+    for value in ({"a": 1}, {"a": 2}):
+        runner.atomic_json(spark, str(tmp_path / "x.json"), value)
+        assert json.loads((tmp_path / "x.json").read_text()) == value
+
+
+def test_settings_from_json():
+    load = runner.RunConfig.load
+    assert load('{"run": {"batch": 7}, "gate": {"limit": 3.5}}') == runner.RunConfig(batch=7, limit=3.5)
+    assert load({"first": 2}, runner.RunConfig(batch=5)) == runner.RunConfig(batch=5, first=2)
+    assert load({"limit": 2.0, "gate": {"limit": 2.0}}).limit == 2.0
+    for bad in ("[]", {"speed": 1}, {"run": {"limit": 1.0}}, {"gate": 3}, {"limit": 2.0, "gate": {"limit": 3.0}}, {"batch": True, "run": {"batch": 1}}, {"batch": 0}):
+        with pytest.raises(ValueError):
+            load(bad)

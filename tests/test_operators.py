@@ -121,6 +121,23 @@ def test_cluster_joins_first_in_reach(spark):
     assert got == {0.0: 0, 5.0: 0, 10.0: 1, 12.0: 1, 30.0: 2}
 
 
+def test_cluster_equals_brute_force(spark):
+    r = random.Random(8)
+    rows = [(g, k, round(r.uniform(0, 60), 1)) for g in "ab" for k in range(120)] + [("a", 500, None)]
+    want = {}
+    for g in "ab":
+        clusters = []
+        for v, k in sorted((v, k) for x, k, v in rows if x == g and v is not None):
+            at = next((i for i, c in enumerate(clusters) if abs(v - np.median(c)) <= 6.0), None)
+            if at is None:
+                at = len(clusters)
+                clusters.append([])
+            clusters[at].append(v)
+            want[g, k] = at
+    df = spark.createDataFrame(rows, "g string, i long, v double").repartition(5)
+    assert {(x["g"], x["i"]): x["cluster"] for x in candidates.cluster(df, "g", "i", "v", 6.0).collect()} == want
+
+
 def test_ledger(spark, tmp_path):
     book = spark.createDataFrame([(1, 2, "x"), (3, 4, "y")], "a long, b long, v string")
     new = spark.createDataFrame([(3, 4, "z"), (5, 5, "w")], "a long, b long, v string")
@@ -138,12 +155,19 @@ def test_ledger(spark, tmp_path):
         ledger.config_hash({"a": float("nan")})
 
 
-def test_staged_cascade(spark):
-    df = spark.createDataFrame([(k,) for k in range(6)], "k long")
-    even = lambda d: d.withColumn("v", F.when(F.col("k") % 2 == 0, F.col("k").cast("double")))
-    three = lambda d: d.withColumn("v", F.when(F.col("k") % 3 == 0, F.lit(-1.0)))
-    got = sorted((r["k"], r["v"], r["source"]) for r in cascade.staged(df, [("even", even), ("three", three)], "v").collect())
-    assert got == [(0, 0.0, "even"), (1, None, "excluded"), (2, 2.0, "even"), (3, -1.0, "three"), (4, 4.0, "even"), (5, None, "excluded")]
+def test_lazy_cascade(spark):
+    df = spark.createDataFrame([(k, "x" * k) for k in range(7)], "k long, payload string")
+    even = F.when(F.col("k") % 2 == 0, F.col("k").cast("double"))
+    stages = [
+        cascade.Stage("even", lambda d: d.select("k", even.alias("value"), F.when(even.isNull(), F.array(F.lit("odd"))).alias("reasons"))),
+        cascade.Stage("three", lambda d: d.select("k", F.when(F.col("k") == 3, F.lit(-1.0)).alias("value"), F.lit(None).cast("array<string>").alias("reasons")), F.col("k") > 1),
+        cascade.Stage("never", lambda d: d.select("k", F.lit(None).cast("double").alias("value"), F.array(F.lit("a"), F.lit("b")).alias("reasons")), F.col("k") > 100),
+    ]
+    found, counts = cascade.resolve(df, ["k"], stages)
+    got = {r["k"]: (r["value"], r["source"], [(a["stage"], a["reasons"]) for a in r["attempts"]]) for r in found.collect()}
+    assert got[2] == (2.0, "even", [("even", [])]) and got[3] == (-1.0, "three", [("even", ["odd"]), ("three", [])])
+    assert got[1] == (None, "excluded", [("even", ["odd"])]) and got[5] == (None, "excluded", [("even", ["odd"]), ("three", [])])
+    assert sorted(map(tuple, counts.collect())) == [("even", 7, 4, 3), ("never", 0, 0, 0), ("three", 2, 1, 1)]
 
 
 def test_lut(spark):
@@ -180,14 +204,44 @@ def test_model_shapes(spark, tmp_path):
         scan.checked_model(spark, str(tmp_path / "m.json"))
 
 
-def test_step_equals_fold():
-    r = random.Random(4)
-    values = [None if r.random() < 0.1 else r.uniform(0, 200) for _ in range(300)]
+def plain_model(values):
     history, flags = [], []
     for v in values:
-        history, ok = stateful.step(history, v)
+        ok = v is not None and v == v and (len(history) < 5 or abs(v - sorted(history)[len(history) // 2]) <= 40.0)
         flags.append(ok)
-    assert stateful._fold([], values) == (history, flags)
+        if ok:
+            history = [*history, v][-25:]
+    return history, flags
+
+
+def test_model_equals_plain_steps():
+    r = random.Random(4)
+    values = [None if r.random() < 0.1 else r.uniform(0, 200) for _ in range(300)]
+    model = stateful.RollingModel()
+    flags = [model.accept(v) for v in values]
+    assert (model.window, flags) == plain_model(values)
+    again = stateful.RollingModel.restore(model.state())
+    assert [again.accept(v) for v in values] == [model.accept(v) for v in values]
+    for bad in ({"identity": "other", "history": []}, model.state() | {"history": [1.0] * 26}, model.state() | {"history": [float("nan")]}):
+        with pytest.raises(ValueError):
+            stateful.RollingModel.restore(bad)
+
+
+def test_resume_from_a_stored_state_equals_the_whole_run(spark):
+    df = frame(spark, series(90, seed=3))
+    whole = sorted((r["series"], r["seq"], r["accepted"]) for r in stateful.rolling_model(df, "series", "seq", "v").collect())
+    by = {}
+    for r in df.orderBy("series", "seq").collect():
+        by.setdefault(r["series"], []).append(r)
+    assert whole == sorted((s, r["seq"], ok) for s, rows in by.items() for r, ok in zip(rows, plain_model([r["v"] for r in rows])[1], strict=True))
+    book = stateful.checkpoints(df, "series", "seq", "v", every=20)
+    first = 50
+    got = sorted((r["series"], r["seq"], r["accepted"]) for r in stateful.resumed(df, book, "series", "seq", "v", first).collect())
+    assert got == [x for x in whole if x[1] >= first]
+    read = stateful.resumed(df, book.limit(0), "series", "seq", "v", first)
+    assert sorted(map(tuple, read.select("series", "seq", "accepted").collect())) == got
+    with pytest.raises(ValueError):
+        stateful.resumed(df, book.withColumn("identity", F.lit("other")), "series", "seq", "v", first)
 
 
 def test_stream_equals_batch(spark, tmp_path):
@@ -214,4 +268,46 @@ def test_ledger_sink_is_idempotent(spark, tmp_path):
     commit(a, 0)
     commit(a, 0)
     commit(spark.createDataFrame([(2, 9)], "k long, n long"), 1)
-    assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "book")).collect())) == [(1, 2), (2, 9)]
+    commit(a, 0)  # an older batch that is replayed does not come back over newer rows
+    assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "book")).collect())) == [(1, 2, 0), (2, 9, 1)]
+
+
+def test_replace_survives_a_crash_between_its_steps(spark, tmp_path):
+    path = tmp_path / "book"
+    one, two = spark.range(3), spark.range(5)
+    ledger.replace(one, str(path))
+    path.rename(f"{path}.old")  # as if the process had ended after the old version was set aside
+    assert ledger.recover(spark, str(path)) and spark.read.parquet(str(path)).count() == 3
+    assert ledger.replace(two, str(path)).count() == 5 and [p.name for p in tmp_path.iterdir()] == ["book"]
+    assert not ledger.recover(spark, str(tmp_path / "none"))
+
+
+def test_row_digest_does_not_overflow(spark):
+    big = spark.range(1 << 22)  # sums of whole 64-bit hashes leave the range of a long after a few rows
+    n, _, total = ledger._rows_digest(big)
+    assert n == 1 << 22 and isinstance(total, int)
+
+
+def test_quantiles_of_few_large_groups(spark):
+    r = np.random.default_rng(5)
+    rows = [("a", float(v)) for v in r.normal(size=3000)] + [("b", float(v)) for v in r.integers(0, 3, 2000)] + [("c", 7.0), ("d", None)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    at = [0.0, 0.05, 0.5, 0.995, 1.0]
+    got = {x["g"]: (x["n"], x["q"]) for x in stats.quantiles(df, "g", "v", at).collect()}
+    assert set(got) == {"a", "b", "c"} and got["c"] == (1, [7.0] * 5)
+    for g in "ab":
+        values = [v for k, v in rows if k == g]
+        assert got[g][0] == len(values) and np.allclose(got[g][1], np.quantile(values, at), rtol=0, atol=1e-12)
+
+
+def test_vectors_in_blocks(spark):
+    r = np.random.default_rng(1)
+    x = r.normal(size=(60, 4))
+    x[7] = x[3]
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)] + [(None, [1.0] * 4), (99, None)], "i long, x array<double>")
+    got = candidates.vector_top_k(df.filter("i % 5 = 0"), df, "i", "x", 3, block=5).collect()
+    c = (x @ x.T) / np.sqrt((x * x).sum(1)[:, None] * (x * x).sum(1)[None, :])
+    np.fill_diagonal(c, -9)
+    for q in range(0, 60, 5):
+        mine = sorted((y["rank"], y["id"]) for y in got if y["q"] == q)
+        assert [i for _, i in mine] == sorted(range(60), key=lambda i: (-round(c[q, i], 12), i))[:3]
