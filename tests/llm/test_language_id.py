@@ -89,10 +89,31 @@ def test_learn_and_identify(spark):
     assert {r["lang_pred"] for r in li.identify(df, li.learn(none)).collect()} == {"und"}
 
 
-def test_pieces(monkeypatch):
-    monkeypatch.setattr(li, "PIECE", 7)
-    rows, held = zip(*li._batches_of([b"abcdefghijklmnop", b"", b"x"]), strict=True)
-    assert [i for r in rows for i in r] == [0, 0, 0, 1, 2]
+def test_pieces_change_nothing(monkeypatch):
+    texts = ["abcdefghijklmnop", "", "x", "the  cat, 123 !!! sat on -- the mat é" * 5, "      a", "... 12 3 !!", "12345678901234567 ab", "word       " * 4]
+    want = [li.codes(t).tolist() for t in texts]
+    model = li.KneserNey({k: counts_of(v) for k, v in TEXTS.items()})
+    scores = model.entropies([t.encode() for t in texts])
+    for size in (1, 2, 7, 16):
+        monkeypatch.setattr(li, "PIECE", size)
+        assert [li.codes(t).tolist() for t in texts] == want
+        got = model.entropies([t.encode() for t in texts])
+        assert np.allclose(got[0], scores[0], rtol=1e-6) and (got[1] == scores[1]).all()
+        for t in texts:
+            grams = [tuple(np.concatenate([before, c])[i : i + 5].tolist()) for before, c in li.pieces(t) for i in range(len(c))]
+            whole = np.concatenate([np.full(4, 32, np.uint32), np.array(li.codes(t), np.uint32)])
+            assert grams == [tuple(whole[i - 4 : i + 1].tolist()) for i in range(4, len(whole))]
+
+
+def test_calibration_documents_are_learned_too(spark, monkeypatch):
+    """A language whose only documents are left out for calibration is still predicted."""
+    import zlib
+
+    apart = [i for i in range(4000) if zlib.crc32(f"calibrate{i}".encode()) % 20 == 0]
+    rows = [(i, "aa", TEXTS["aa"][i % 3]) for i in range(1, 200) if i not in apart] + [(i, "bb", TEXTS["bb"][k % 3]) for k, i in enumerate(apart[:6])]
+    df = spark.createDataFrame(rows + rows[:3], "doc_id long, lang string, text string")
+    got = {(r["lang"], r["lang_pred"]) for r in li.identify(df, li.learn(df)).collect()}
+    assert got == {("aa", "aa"), ("bb", "bb")}
 
 
 def test_held_out_accuracy(spark):
@@ -113,6 +134,6 @@ def test_no_string_is_left_out_and_blocks_equal_the_whole(spark, monkeypatch):
     known = li.learn(spark.createDataFrame(rows, "doc_id long, lang string, text string"))
     whole = li.KneserNey({k: counts_of(v) for k, v in texts.items()})
     probes = [t.encode() for v in texts.values() for t in v] + [b"the hat zzz", "xyz qqq 列文 𠀂語".encode(), b"", b"a"]
-    assert len(known.model.parts) > 5
+    assert len(known.model.parts) > 5 and len(known.model.cuts) == len(known.model.parts) - 1
     got, want = known.model.entropies(probes), whole.entropies(probes)
     assert np.allclose(got[0], want[0], rtol=1e-4) and (got[1] == want[1]).all()
