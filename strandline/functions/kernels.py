@@ -171,6 +171,54 @@ def edge_consensus(gradient: np.ndarray, rows: np.ndarray, p: EdgeParameters = E
     return (float(np.median(place[near])) if inliers >= max(p.support, p.share * m) else None), inliers
 
 
+def rise(rgb: np.ndarray) -> np.ndarray:
+    """The vertical gradient of the smoothed brightness; borders are mirrored. The Rec. 601 weights and the
+    binomial and Sobel masks."""
+    gray = np.rint(rgb.astype(np.float64) @ np.array([0.299, 0.587, 0.114]))
+    down, across = np.pad(gray, ((2, 2), (0, 0)), "reflect"), len(gray)
+    smooth = sum(k * down[i : i + across] for i, k in enumerate((1, 4, 6, 4, 1))) / 16
+    p = np.pad(smooth, 1, "reflect")
+    wide = p[:, :-2] + 2 * p[:, 1:-1] + p[:, 2:]
+    return wide[2:] - wide[:-2]
+
+
+def lower_edge(rgb: np.ndarray, x: float, expected: float, width: float, radius: int = 8, half: float = 0.3, p: EdgeParameters = EdgeParameters()) -> tuple[float | None, int]:
+    """(row, inlier columns) of a rising edge near row `expected`, in columns within half * width of x."""
+    left, right = max(0, int(x - width * half)), min(rgb.shape[1], int(x + width * half))
+    top, bottom = max(0, int(expected - radius - 5)), min(rgb.shape[0], int(expected + radius + 6))
+    if right - left < 3 or bottom - top < 3:
+        return None, 0
+    rows = np.arange(np.floor(expected - top - radius), np.ceil(expected - top + radius) + 1).astype(int)
+    at, n = edge_consensus(rise(rgb[top:bottom, left:right]), rows[(rows >= 0) & (rows < bottom - top)], p)
+    return (None if at is None else at + top), n
+
+
+def coarse_to_fine(cost, n: int, top: int = 2, size: int = 64, step: int = 8, reach: int = 4) -> np.ndarray:
+    """(x, y) of the least cost for each of n rows: all nodes of a coarse grid, then all within `reach` of the best `top`.
+
+    cost takes two arrays of nodes, a row of nodes for each row; ties go to the least x, then the least y."""
+    axis = np.arange(0, size, step)
+    x, y = (np.broadcast_to(g.ravel(), (n, len(axis) ** 2)) for g in np.meshgrid(axis, axis, indexing="ij"))
+    best = np.argsort(cost(x, y), axis=1, kind="stable")[:, :top]
+    near = np.arange(-reach, reach + 1)
+    dx, dy = (g.ravel() for g in np.meshgrid(near, near, indexing="ij"))
+    x, y = ((np.take_along_axis(g, best, axis=1)[:, :, None] + d).reshape(n, -1) for g, d in ((x, dx), (y, dy)))
+    c = cost(x, y)
+    place = np.where(c == c.min(axis=1, keepdims=True), (x + size) * 4 * size + y + size, np.iinfo(np.int64).max).min(axis=1)
+    return np.stack([place // (4 * size) - size, place % (4 * size) - size], axis=1)
+
+
+def nearest_node(x: Column, y: Column) -> Column:
+    """`coarse_to_fine` for the squared distance to (x, y), batch by batch: a struct of x and y."""
+    return _nearest_node(x.cast("double"), y.cast("double"))
+
+
+@F.pandas_udf(T.StructType([T.StructField("x", T.LongType()), T.StructField("y", T.LongType())]))
+def _nearest_node(x: pd.Series, y: pd.Series) -> pd.DataFrame:
+    a, b = x.to_numpy()[:, None], y.to_numpy()[:, None]
+    return pd.DataFrame(coarse_to_fine(lambda u, v: (u - a) * (u - a) + (v - b) * (v - b), len(x)), columns=["x", "y"])
+
+
 def _doubles(*names: str) -> T.StructType:
     return T.StructType([T.StructField(n, T.DoubleType()) for n in names])
 
@@ -191,6 +239,12 @@ def picture_medians_column(data: pd.Series, height: pd.Series, width: pd.Series)
     return pd.DataFrame([(None,) * 4 if r is None else picture_medians(r) for r in _rasters(data, height, width)], columns=["luma", "r", "g", "b"], dtype=float)
 
 
+@F.pandas_udf(_doubles("y", "inliers"))
+def lower_edge_column(data: pd.Series, height: pd.Series, width: pd.Series, x: pd.Series, expected: pd.Series, wide: pd.Series) -> pd.DataFrame:
+    found = [(None, 0) if r is None or not np.isfinite([a, e, w]).all() else lower_edge(r, a, e, w) for r, a, e, w in zip(_rasters(data, height, width), x, expected, wide, strict=True)]
+    return pd.DataFrame(found, columns=["y", "inliers"], dtype=float)
+
+
 def detected(data: Column, height: Column, width: Column) -> Column:
     """The band pair of a raster; null fields if the raster is missing, damaged or has no pair."""
     return band_pair_column(data, height, width)

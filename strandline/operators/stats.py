@@ -17,17 +17,18 @@ ACCURACY = 10_000
 
 
 def quantiles(df: DataFrame, group: str, value: str | Column, at: list[float]) -> DataFrame:
-    """Exact quantiles (linear between ranks) of few large groups: (group, n, q), q an array in the order of `at`.
+    """Exact quantiles (linear between ranks) of few large groups: (group, n, low, high, mean, q), q an array in the order of
+    `at`.
 
     A sketch of each group brackets every wanted rank; a second pass counts what lies below a bracket and keeps only the
     distinct values inside it with their counts. No task ever holds the values of a group. Nulls are left out."""
     rows = df.select(group, (F.col(value) if isinstance(value, str) else value).cast("double").alias("__v")).filter("__v is not null")
     edge = lambda p, side: min(1.0, max(0.0, p + side * 6 / ACCURACY))
     sketch = F.percentile_approx("__v", [edge(p, side) for p in at for side in (-1, 1)], ACCURACY)
-    known = rows.groupBy(group).agg(F.count(F.lit(1)).alias("n"), sketch.alias("__s"), F.min("__v").alias("__min"), F.max("__v").alias("__max"))
+    known = rows.groupBy(group).agg(F.count(F.lit(1)).alias("n"), sketch.alias("__s"), F.min("__v").alias("low"), F.max("__v").alias("high"), F.avg("__v").alias("mean"))
     few = F.col("n") <= ACCURACY  # ranks lie too far apart for the margin; the values are few
-    low = lambda k: F.when(few | F.lit(edge(at[k], -1) == 0), F.col("__min")).otherwise(F.col("__s")[2 * k])
-    high = lambda k: F.when(few | F.lit(edge(at[k], 1) == 1), F.col("__max")).otherwise(F.col("__s")[2 * k + 1])
+    low = lambda k: F.when(few | F.lit(edge(at[k], -1) == 0), F.col("low")).otherwise(F.col("__s")[2 * k])
+    high = lambda k: F.when(few | F.lit(edge(at[k], 1) == 1), F.col("high")).otherwise(F.col("__s")[2 * k + 1])
     marks = F.array(*[F.struct(F.lit(k).alias("k"), F.when(F.col("__v") >= low(k), F.col("__v")).alias("v"), (F.col("__v") <= high(k)).alias("near")) for k in range(len(at))])
     held = rows.join(known, group).select(group, "n", F.explode(marks).alias("m")).filter("m.near")
     counted = held.groupBy(group, F.col("m.k").alias("k"), F.col("m.v").alias("v")).agg(F.count(F.lit(1)).alias("c"), F.first("n").alias("n"))
@@ -36,18 +37,18 @@ def quantiles(df: DataFrame, group: str, value: str | Column, at: list[float]) -
     ranked = counted.withColumn("upto", upto).withColumn("place", place).filter("v is not null")
     holds = lambda rank: (rank < F.col("upto")) & (rank >= F.col("upto") - F.col("c"))
     pick = lambda rank: F.max(F.when(holds(rank), F.col("v")))
-    ends = ranked.groupBy(group, "k").agg(F.first("n").alias("n"), F.first("place").alias("place"), pick(F.floor("place")).alias("a"), pick(F.ceil("place")).alias("b"))
-    exact = F.col("a") + (F.col("b") - F.col("a")) * (F.col("place") - F.floor("place"))
-    return ends.groupBy(group).agg(F.first("n").alias("n"), F.transform(F.array_sort(F.collect_list(F.struct("k", exact.alias("q")))), lambda x: x["q"]).alias("q"))
+    ends = ranked.groupBy(group, "k").agg(F.first("place").alias("place"), pick(F.floor("place")).alias("a"), pick(F.ceil("place")).alias("b"))
+    part = F.col("place") - F.floor("place")
+    exact = F.when(F.col("a") == F.col("b"), F.col("a")).otherwise(F.col("a") * (1 - part) + F.col("b") * part)
+    found = ends.groupBy(group).agg(F.transform(F.array_sort(F.collect_list(F.struct("k", exact.alias("q")))), lambda x: x["q"]).alias("q"))
+    return known.drop("__s").join(found, group)
 
 
 def robust(df: DataFrame, group: str, value: str) -> DataFrame:
     """count, min, max, mean, median, MAD, p05, p95 of each group; nulls are left out. Groups of any size."""
-    some = df.filter(F.col(value).isNotNull())
-    plain = some.groupBy(group).agg(F.count(value).alias("n"), F.min(value).alias("low"), F.max(value).alias("high"), F.avg(value).alias("mean"))
-    q = quantiles(some, group, value, [0.05, 0.5, 0.95]).select(group, F.col("q")[0].alias("p05"), F.col("q")[1].alias("median"), F.col("q")[2].alias("p95"))
-    mad = quantiles(some.join(q, group), group, F.abs(F.col(value) - F.col("median")), [0.5]).select(group, F.col("q")[0].alias("mad"))
-    return plain.join(q, group).join(mad, group)
+    q = quantiles(df, group, value, [0.05, 0.5, 0.95]).select(group, "n", "low", "high", "mean", F.col("q")[0].alias("p05"), F.col("q")[1].alias("median"), F.col("q")[2].alias("p95"))
+    mad = quantiles(df.select(group, value).join(q.select(group, "median"), group), group, F.abs(F.col(value) - F.col("median")), [0.5]).select(group, F.col("q")[0].alias("mad"))
+    return q.join(mad, group)
 
 
 def trimmed_median(df: DataFrame, group: str, value: str, floor: float, support: int, share: float) -> DataFrame:

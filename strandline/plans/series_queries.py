@@ -577,3 +577,13 @@ def rolling_model_stateful(spark, sf_dir):
     from strandline.streaming.stateful import rolling_model
 
     return rolling_model(events(spark, sf_dir).select("series", "seq", "value"), "series", "seq", "value").select("series", "seq", "accepted")
+
+
+@query("rolling_model_resumed", _T1.format(EV) + " and seq >= 6000")
+def rolling_model_resumed(spark, sf_dir):
+    """The second part of every series from its last stored state before it; equal to a run over the whole."""
+    from strandline.streaming import stateful
+
+    e = events(spark, sf_dir).select("series", "seq", "value")
+    book = stateful.checkpoints(e.filter("seq < 6000"), "series", "seq", "value", every=10)
+    return stateful.resumed(e, book, "series", "seq", "value", 6000).select("series", "seq", "accepted")

@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from strandline.functions import scalars
+from strandline.functions import kernels, scalars
 from strandline.operators import candidates, gates, ledger, stats
 from strandline.operators.stats import fixed
 from strandline.plans.registry import fx, query, table
@@ -437,23 +437,14 @@ def grid_union(spark, sf_dir):
     return cell(line.filter("l_discount < 0.03")).unionByName(cell(line.filter("l_tax > 0.06"))).dropDuplicates(["gx", "gy"])
 
 
-def _cost(x: Column, y: Column) -> Column:
-    return (x - F.col("p_size")) * (x - F.col("p_size")) + (y - F.col("p_retailprice") / 100) * (y - F.col("p_retailprice") / 100)
-
-
 @query("coarse_to_fine", """with c as (select p_partkey, p_size, p_retailprice, x * 8 as x, y * 8 as y from part, (select unnest(range(0, 8)) as x), (select unnest(range(0, 8)) as y)),
     r as (select *, row_number() over (partition by p_partkey order by (x - p_size) * (x - p_size) + (y - p_retailprice / 100) * (y - p_retailprice / 100), x, y) as rn from c),
     f as (select p_partkey, p_size, p_retailprice, x + dx as x, y + dy as y from r, (select unnest(range(-4, 5)) as dx), (select unnest(range(-4, 5)) as dy) where rn <= 2),
     b as (select *, row_number() over (partition by p_partkey order by (x - p_size) * (x - p_size) + (y - p_retailprice / 100) * (y - p_retailprice / 100), x, y) as rn from f) select p_partkey, x::bigint as x, y::bigint as y from b where rn = 1""")
 def coarse_to_fine(spark, sf_dir):
-    """A coarse grid, its best two nodes, a fine grid around those, the best. All nodes are expressions of the row, so
-    nothing is exploded or shuffled, and the grids are part of the generated code."""
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_retailprice")
-    node = lambda x, y: F.struct(_cost(x, y).alias("c"), x.cast("long").alias("x"), y.cast("long").alias("y"))
-    grid = part.withColumn("grid", F.array(*[node(F.lit(8 * i), F.lit(8 * j)) for i in range(8) for j in range(8)])).withColumn("one", F.array_min("grid"))
-    two = grid.withColumn("two", F.array_min(F.array_remove("grid", F.col("one"))))
-    around = [node(F.col(f"{n}.x") + dx, F.col(f"{n}.y") + dy) for n in ("one", "two") for dx in range(-4, 5) for dy in range(-4, 5)]
-    return two.withColumn("b", F.array_min(F.array(*around))).select("p_partkey", "b.x", "b.y")
+    """A coarse grid, its best two nodes, a fine grid around those, the best: array code over batches, no shuffle."""
+    part = table(spark, sf_dir, "part").select("p_partkey", kernels.nearest_node(F.col("p_size"), F.col("p_retailprice") / 100).alias("b"))
+    return part.select("p_partkey", "b.x", "b.y")
 
 
 @query("refine_1d", f"""with g as (select p_partkey, (k - 12) * 0.25 as shift, -abs((k - 12) * 0.25 - (p_size - 25) / 10.0) as score from part, (select unnest(range(0, 25)) as k)), b as (select *, row_number() over (partition by p_partkey order by score desc, abs(shift), shift) as rn from g),

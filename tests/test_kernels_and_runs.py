@@ -160,3 +160,25 @@ def test_settings_from_json():
     for bad in ("[]", {"speed": 1}, {"run": {"limit": 1.0}}, {"gate": 3}, {"limit": 2.0, "gate": {"limit": 3.0}}, {"batch": True, "run": {"batch": 1}}, {"batch": 0}):
         with pytest.raises(ValueError):
             load(bad)
+
+
+def test_coarse_to_fine_equals_loops():
+    r = np.random.default_rng(3)
+    px, py = r.uniform(-3, 70, 40), np.round(r.uniform(-3, 70, 40))
+    got = kernels.coarse_to_fine(lambda u, v: (u - px[:, None]) ** 2 + (v - py[:, None]) ** 2, 40)
+    for k in range(40):
+        cost = lambda n: ((n[0] - px[k]) ** 2 + (n[1] - py[k]) ** 2, n)
+        two = sorted(((x, y) for x in range(0, 64, 8) for y in range(0, 64, 8)), key=cost)[:2]
+        assert tuple(got[k]) == min(((x + a, y + b) for x, y in two for a in range(-4, 5) for b in range(-4, 5)), key=cost)
+
+
+def test_lower_edge(spark):
+    x = np.zeros((120, 300, 3), np.uint8)
+    x[60:] = 200
+    y, n = kernels.lower_edge(x, 150.0, 57.0, 300.0)
+    assert y == pytest.approx(59.5, abs=0.6) and n == 90
+    assert kernels.lower_edge(x[::-1], 150.0, 57.0, 300.0) == (None, 0)  # a falling edge is none
+    assert kernels.lower_edge(x, 150.0, 20.0, 300.0)[0] is None and kernels.lower_edge(x, 900.0, 57.0, 300.0) == (None, 0)
+    df = spark.createDataFrame([(x.tobytes(), 120, 300, 150.0, 57.0, 300.0), (b"x", 120, 300, 1.0, 1.0, 1.0), (x.tobytes(), 120, 300, None, 57.0, 300.0)], "d binary, h int, w int, x double, e double, s double")
+    got = [r["o"] for r in df.select(kernels.lower_edge_column("d", "h", "w", "x", "e", "s").alias("o")).collect()]
+    assert got[0]["y"] == y and got[0]["inliers"] == 90 and got[1]["y"] is None and got[2]["y"] is None
