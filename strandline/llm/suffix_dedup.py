@@ -227,7 +227,8 @@ def _emit_suffixes(splitters: np.ndarray, window: int):
                     lead = (lead << _U(8)) | data[start + ao + k].astype(np.uint64)
                 lo, hi = lo_of(lead), hi_of(lead)
                 span = hi - lo + 1
-                bucket = lo + ((uids[r].astype(np.uint64) * _C1) >> _U(33)).astype(np.int64) % span
+                place = uids[r].astype(np.uint64) * _C1 + at.astype(np.uint64) * _C2  # one document can hold many of them
+                bucket = lo + (_mix(place) >> _U(33)).astype(np.int64) % span
                 raw = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(np.concatenate([[0], ends]).astype(np.int64)), pa.py_buffer(data[flat])])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(bucket.astype(np.int32)), pa.array(span > 1), pa.array(uids[r]), pa.array(at), raw.cast(pa.binary())], names=["bucket", "spans", "uid", "loc", "ctx"]

@@ -1,3 +1,4 @@
+import functools
 import random
 import re
 
@@ -128,9 +129,14 @@ def similar_corpus():
     return rows
 
 
+@functools.cache
+def shingles(t):
+    w = t.split()
+    return frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4)))
+
+
 def jaccard(a, b):
-    s = lambda t: {tuple(t.split()[i : i + 5]) for i in range(max(1, len(t.split()) - 4))}
-    return len(s(a) & s(b)) / len(s(a) | s(b))
+    return len(shingles(a) & shingles(b)) / len(shingles(a) | shingles(b))
 
 
 def test_similar_groups(spark):
