@@ -4,7 +4,7 @@ Text is read as lower-case letters; everything else is one space between words,
 of all 5-character strings are gathered over all learnable documents (aggregated in each task, then by key). From
 those, each language gets discounted, interpolated probabilities of order 5 down to 1; lower orders use continuation
 counts. The model is stored in sorted arrays of 64-bit hashes with one column of log-probabilities a language, so one
-binary search a position serves all languages; strings that no language has seen back off through the context arrays.
+look-up a position serves all languages; strings that no language has seen back off through the context arrays.
 
 The language with the least cross-entropy per character wins. `score` is a logistic function of the margin to the
 second, fitted on a bounded set of documents that a first model leaves out; `rejected` marks texts whose cross-entropy is
@@ -157,6 +157,23 @@ def _batches_of(values: list, limit: int = 1 << 19) -> Iterator[tuple[list[int],
         yield rows, held
 
 
+def _add(held: list[np.ndarray], out: np.ndarray, pos: np.ndarray) -> None:
+    """Add the strings that end at `pos` to sorted hashes, their strings and counts; only new strings are looked at."""
+    keys = _keys(out, pos, ORDER)
+    found, n = np.unique(keys, return_counts=True)
+    at = np.searchsorted(held[0], found)
+    known = held[0][np.minimum(at, len(held[0]) - 1)] == found if len(held[0]) else np.zeros(len(found), bool)
+    held[2][at[known]] += n[known]
+    new = found[~known]
+    if len(new):
+        place = np.minimum(np.searchsorted(new, keys), len(new) - 1)
+        rows = np.flatnonzero(new[place] == keys)
+        some = np.empty(len(new), np.int64)
+        some[place[rows]] = pos[rows]
+        for k, values in enumerate((new, out[some[:, None] + np.arange(1 - ORDER, 1)], n[~known])):
+            held[k] = np.insert(held[k], at[~known], values, axis=0)
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, text) -> (lang, gram, n), summed within the task."""
     sums: dict[str, list[np.ndarray]] = {}
@@ -178,14 +195,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             langs = every[i:j]
             for lang, held in ((lang, held) for lang in sorted(set(langs)) for _, held in _batches_of([values[k] for k in np.flatnonzero(langs == lang)])):
                 out, pos, _ = _padded(held)
-                keys, first, counts = np.unique(_keys(out, pos, ORDER), return_index=True, return_counts=True)
-                grams = out[pos[first][:, None] + np.arange(1 - ORDER, 1)]
-                if lang in sums:
-                    k0, g0, c0 = sums[lang]
-                    keys, first, back = np.unique(np.concatenate([k0, keys]), return_index=True, return_inverse=True)
-                    counts = np.bincount(back, np.concatenate([c0, counts])).astype(np.int64)
-                    grams = np.concatenate([g0, grams])[first]
-                sums[lang] = [keys, grams, counts]
+                _add(sums.setdefault(lang, [np.zeros(0, np.uint64), np.zeros((0, ORDER), np.uint32), np.zeros(0, np.int64)]), out, pos)
         if sum(len(s[0]) for s in sums.values()) > HELD:
             yield from passed_on()
     yield from passed_on()
@@ -213,6 +223,7 @@ class KneserNey:
         """counts: for each language, the code matrix of its strings and their counts. For one block of a model: the
         discounts, the strings of orders that reach beyond the block, and the floor."""
         self.langs = sorted(counts)
+        self._starts: dict[tuple[str, int], tuple[np.uint64, np.ndarray]] = {}
         own: list[list[tuple]] = []
         seen: list[list[np.ndarray]] = [[] for _ in range(ORDER + 1)]
         chars: set[int] = set()
@@ -261,6 +272,28 @@ class KneserNey:
             self.keys[order], self.logp[order] = keys, np.log(prob).astype(np.float32)
             self.contexts[order], self.backoff[order] = contexts, backoff.astype(np.float32)
 
+    def __getstate__(self):
+        return vars(self) | {"_starts": {}}
+
+    def _find(self, kind: str, n: int, k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of hashes in a sorted array, and whether they are there. Hashes are spread evenly, so their first bits
+        give a place from which it is a step or two; a binary search would touch far more memory."""
+        table = getattr(self, kind)[n]
+        if not len(table):
+            return np.zeros(len(k), np.int64), np.zeros(len(k), bool)
+        if (kind, n) not in self._starts:
+            bits = len(table).bit_length() + 1
+            shift = np.uint64(64 - bits)
+            self._starts[kind, n] = shift, np.minimum(np.searchsorted(table, np.arange(1 << bits, dtype=np.uint64) << shift), len(table) - 1)
+        shift, starts = self._starts[kind, n]
+        at = starts[k >> shift]
+        rows = np.flatnonzero(table[at] < k)
+        while len(rows):
+            rows = rows[at[rows] < len(table) - 1]
+            at[rows] += 1
+            rows = rows[table[at[rows]] < k[rows]]
+        return at, table[at] == k
+
     def _below(self, order: int, grams: np.ndarray) -> np.ndarray:
         """Log-probabilities of the last character of each row by the model of this order."""
         if order == 0:
@@ -268,22 +301,18 @@ class KneserNey:
         return self._look(order, _gram_keys(grams), lambda rows, n: _gram_keys(grams[rows][:, :-1]) if n > 1 else np.zeros(len(rows), np.uint64), lambda rows, n: _gram_keys(grams[rows][:, order - n :]))
 
     def _look(self, order, keys, context_of, key_of) -> np.ndarray:
-        found = np.zeros((len(keys), len(self.langs)), np.float32)
-        rows = np.arange(len(keys))
-        for n in range(order, 0, -1):
-            k = keys if n == order else key_of(rows, n)
-            table = self.keys[n]
-            at = np.searchsorted(table, k)
-            at[at == len(table)] = 0
-            hit = table[at] == k if len(table) else np.zeros(len(k), bool)
-            found[rows[hit]] += self.logp[n][at[hit]]
-            rows = rows[~hit]
+        at, hit = self._find("keys", order, keys)
+        found = self.logp[order].take(at, axis=0) if len(self.logp[order]) else np.zeros((len(keys), len(self.langs)), np.float32)
+        rows = np.flatnonzero(~hit)
+        found[rows] = 0
+        for n in range(order, 0, -1):  # what is not there backs off: its context's weight, and the next order
+            if n < order:
+                at, hit = self._find("keys", n, key_of(rows, n))
+                found[rows[hit]] += self.logp[n][at[hit]]
+                rows = rows[~hit]
             if not len(rows):
                 return found
-            c, cont = self.contexts[n], context_of(rows, n)
-            at = np.searchsorted(c, cont)
-            at[at == len(c)] = 0
-            known = c[at] == cont if len(c) else np.zeros(len(cont), bool)
+            at, known = self._find("contexts", n, context_of(rows, n))
             found[rows[known]] += self.backoff[n][at[known]]
         found[rows] += self.floor
         return found
