@@ -222,3 +222,24 @@ def test_similar_groups_are_exact_at_the_threshold(spark, monkeypatch):
     for tile in (1 << 22, 300):
         monkeypatch.setattr(sh, "SET_TILE", tile, raising=False)
         assert {r["id"]: r["component_id"] for r in sh.similar_groups(df).collect()} == dict(enumerate(want))
+
+
+def test_link_counts_of_any_number(spark):
+    """The state of the component search is made of counts and exclusive ors, which no number of links makes overflow."""
+    from strandline.llm import components
+
+    edges = spark.range(1 << 24).selectExpr("id as u", "-id as v")
+    n, a, b = components._state(edges)
+    assert n == 1 << 24 and (n, a, b) == components._state(edges.repartition(3)) and (a, b) != components._state(edges.filter("u > 0"))[1:]
+
+
+def test_long_texts_and_clashing_columns(spark):
+    """A text of a million words, and columns with the names that the operator uses inside."""
+    long_one = " ".join(f"w{k % 977}x{k % 31}" for k in range(1_000_000))
+    rows = [(1, long_one, 5), (2, long_one + " end", 6), (3, "", 7), (4, None, 8), (5, "a b", 9), (6, "A  b", 9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, id long")
+    df = df.withColumn("fp", df["id"]).withColumn("least", df["id"]).withColumn("component_id", df["id"]).withColumn("c", df["id"]).withColumn("bucket", df["id"])
+    got = {r["id"]: r["component_id"] for r in sh.near_groups(df).collect()}
+    assert got[1] == got[2] == 1 and got[3] == got[4] == 3 and got[5] == got[6] == 5
+    kept = sh.keep_one(df)
+    assert kept.columns == df.columns and sorted((r["doc_id"], r["c"]) for r in kept.collect()) == [(1, 5), (3, 7), (5, 9)]
