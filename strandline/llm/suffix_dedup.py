@@ -39,9 +39,9 @@ from strandline.llm.common import as_binary, byte_view, chunks, partitions, stor
 
 WINDOW = 100
 GRAM = 32
-#: Runs sampled for the splitters, the most runs that a bucket should hold, documents sampled for frequent anchors, and
-#: the share of them from which on an anchor is frequent.
-SPLITTER_RUNS, BUCKET_RUNS, ANCHOR_DOCS, FREQUENT = 20_000, 1 << 20, 2000, 0.005
+#: Runs sampled for the splitters and documents sampled for frequent anchors (both up to twice as many), the most runs
+#: that a bucket should hold, and the share of sampled documents from which on an anchor is frequent.
+SPLITTER_RUNS, ANCHOR_DOCS, BUCKET_RUNS, FREQUENT = 20_000, 2000, 1 << 20, 0.005
 
 _U = np.uint64
 _C1, _C2, _C3 = _U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F), _U(0x165667B19E3779F9)
@@ -351,8 +351,7 @@ def _sort_bucket(window: int):
 def _frequent(docs: DataFrame, window: int) -> np.ndarray:
     """Anchors that a bounded sample of documents shows with different runs in at least the share FREQUENT of them. It only
     decides how runs are dealt, never which are compared."""
-    ids = [r["uid"] for r in docs.select("uid").orderBy(F.xxhash64("uid"), "uid").limit(ANCHOR_DOCS).collect()]
-    some = docs.filter(F.col("uid").isin(ids)).select("uid", "text")
+    some = docs.filter(F.pmod(F.xxhash64("uid"), F.lit(max(1, docs.count() // ANCHOR_DOCS))) == 0).select("uid", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -378,11 +377,11 @@ def _leads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array((lead >> _U(1)).astype(np.int64))], names=["lead"])
 
 
-def _splitters(docs: DataFrame, wanted: DataFrame, n: int) -> np.ndarray:
-    """n - 1 quantiles of the leading tokens of a bounded sample of the suffixes that are to be sorted."""
+def _splitters(docs: DataFrame, wanted: DataFrame, total: int, n: int) -> np.ndarray:
+    """n - 1 quantiles of the leading tokens of a bounded sample (by hash) of the `total` suffixes that are to be sorted."""
     if n < 2:
         return np.zeros(0, np.uint64)
-    some = wanted.select("uid", "loc").orderBy(F.xxhash64("uid", "loc"), "uid", "loc").limit(SPLITTER_RUNS).groupBy("uid").agg(F.collect_list("loc").alias("locs"))
+    some = wanted.filter(F.pmod(F.xxhash64("uid", "loc"), F.lit(max(1, total // SPLITTER_RUNS))) == 0).groupBy("uid").agg(F.collect_list("loc").alias("locs"))
     leads = docs.select("uid", "text").join(F.broadcast(some), "uid").select("text", "locs").mapInArrow(_leads, "lead long")
     found = leads.agg(F.percentile_approx("lead", [k / n for k in range(1, n)], 20000).alias("p")).first()["p"]
     return np.sort(np.array(found or [], np.int64)).astype(np.uint64) << _U(1)
@@ -432,7 +431,8 @@ def repeated_substrings(docs: DataFrame, text_col: str = "text", id_col: str = "
     settled = stored(runs.repartition(n, "h").sortWithinPartitions("role", "h", "d1", "d2", "uid", "loc").mapInArrow(_settle, "uid long, loc long, kind byte"), "settled")
 
     suffixes_of = settled.filter("kind = 1")
-    splitters = _splitters(base, suffixes_of, max(n, -(-suffixes_of.count() // BUCKET_RUNS)))
+    total = suffixes_of.count()
+    splitters = _splitters(base, suffixes_of, total, max(n, -(-total // BUCKET_RUNS)))
     wanted = suffixes_of.groupBy("uid").agg(F.collect_list("loc").alias("locs"))
     suffixes = (
         base.select("uid", "text").join(wanted, "uid").select("uid", "text", "locs")

@@ -93,7 +93,7 @@ def test_buckets_follow_the_number_of_suffixes(spark, monkeypatch):
     monkeypatch.setattr(sd, "BUCKET_RUNS", 5)
     asked = []
     splitters = sd._splitters
-    monkeypatch.setattr(sd, "_splitters", lambda d, w, n: asked.append(n) or splitters(d, w, n))
+    monkeypatch.setattr(sd, "_splitters", lambda d, w, total, n: asked.append(n) or splitters(d, w, total, n))
     assert result(sd.repeated_substrings(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))) == brute(rows)
     assert asked[0] > 20
 
