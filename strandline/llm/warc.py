@@ -299,8 +299,9 @@ def read_archives(spark, folder: str) -> DataFrame:
 
 
 def captures(spark, folder: str, history: DataFrame) -> DataFrame:
-    """The records that the history points to, with their place in it."""
-    return read_archives(spark, folder).join(history, ["archive", "offset"])
+    """The records that the history points to, with their place in it. Both sides grow with the pages, so neither is sent
+    to all executors."""
+    return read_archives(spark, folder).join(history.hint("merge"), ["archive", "offset"])
 
 
 def op5_warc(spark, sf_dir: str) -> DataFrame:
