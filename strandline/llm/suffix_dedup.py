@@ -12,7 +12,7 @@ A window is a string of `WINDOW` bytes at one start; a window is a repeat if the
    there. Anchors that a sample shows to be frequent are dealt by the run's hash as well, so a common string with many
    different surroundings is not one task's work. Earliest runs whose anchor has other variants are the suffixes that
    have to be sorted.
-3. Those suffixes are range-partitioned by their leading tokens (the first 8 bytes of the anchor) with splitters sampled
+3. Those suffixes are range-partitioned by their leading tokens (the first 6 bytes of the anchor) with splitters sampled
    from themselves, into buckets of about BUCKET_RUNS runs or less; a token sequence that fills several buckets is dealt
    over all of them.
 4. Each bucket expands its runs into windows and sorts them by multikey quicksort: 8-byte words from the left, where
@@ -225,6 +225,7 @@ def _emit_suffixes(splitters: np.ndarray, window: int):
                 lead = np.zeros(len(at), np.uint64)
                 for k in range(8):
                     lead = (lead << _U(8)) | data[start + ao + k].astype(np.uint64)
+                lead &= ~_U(0xFFFF)  # as in the splitters
                 lo, hi = lo_of(lead), hi_of(lead)
                 span = hi - lo + 1
                 place = uids[r].astype(np.uint64) * _C1 + at.astype(np.uint64) * _C2  # one document can hold many of them
@@ -365,7 +366,7 @@ def _frequent(docs: DataFrame, window: int) -> np.ndarray:
 
 
 def _leads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(text, locs) -> the leading tokens of the runs' anchors, without their last bit."""
+    """(text, locs) -> the leading tokens of the runs' anchors: 6 bytes, so that quantiles, which are doubles, are exact."""
     for batch in batches:
         data, off = byte_view(as_binary(batch.column(0)))
         locs = batch.column(1)
@@ -374,7 +375,7 @@ def _leads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lead = np.zeros(len(at), np.uint64)
         for k in range(8):
             lead = (lead << _U(8)) | data[at + k].astype(np.uint64)
-        yield pa.RecordBatch.from_arrays([pa.array((lead >> _U(1)).astype(np.int64))], names=["lead"])
+        yield pa.RecordBatch.from_arrays([pa.array((lead >> _U(16)).astype(np.int64))], names=["lead"])
 
 
 def _splitters(docs: DataFrame, wanted: DataFrame, total: int, n: int) -> np.ndarray:
@@ -384,7 +385,7 @@ def _splitters(docs: DataFrame, wanted: DataFrame, total: int, n: int) -> np.nda
     some = wanted.filter(F.pmod(F.xxhash64("uid", "loc"), F.lit(max(1, total // SPLITTER_RUNS))) == 0).groupBy("uid").agg(F.collect_list("loc").alias("locs"))
     leads = docs.select("uid", "text").join(F.broadcast(some), "uid").select("text", "locs").mapInArrow(_leads, "lead long")
     found = leads.agg(F.percentile_approx("lead", [k / n for k in range(1, n)], 20000).alias("p")).first()["p"]
-    return np.sort(np.array(found or [], np.int64)).astype(np.uint64) << _U(1)
+    return np.sort(np.array(found or [], np.int64)).astype(np.uint64) << _U(16)
 
 
 def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

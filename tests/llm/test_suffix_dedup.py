@@ -60,12 +60,31 @@ def test_matches_brute_force(spark):
 def test_hot_tokens_span_buckets(spark, monkeypatch):
     """Splitters that all equal one token sequence force the comparison across buckets."""
     rows = corpus()
-    hot = int.from_bytes(b"abababab", "big")
+    hot = int.from_bytes(b"ababab\0\0", "big")
     monkeypatch.setattr(sd, "_splitters", lambda *a: np.sort(np.array([hot] * 3 + [2**62, 2**62 + 2**59], np.uint64)))
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     assert result(sd.repeated_substrings(df)) == brute(rows)
 
 
+def test_sampled_splitters_spread_a_frequent_token(spark, monkeypatch):
+    """A token sequence that most suffixes share fills several buckets, and they are dealt over all of them."""
+    r = random.Random(4)
+    word = lambda: "".join(r.choices("abcdefgh", k=12))
+    for _ in range(2):
+        shared = "".join(r.choices("xyz", k=60))
+        rows = [(i, word() * 3 + word() + shared + word() + word() * 3) for i in range(300)]
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+        asked = []
+        emit = sd._emit_suffixes
+        monkeypatch.setattr(sd, "BUCKET_RUNS", 20)
+        monkeypatch.setattr(sd, "_emit_suffixes", lambda s, w: asked.append(s) or emit(s, w))
+        assert result(sd.repeated_substrings(df)) == brute(rows)
+        monkeypatch.setattr(sd, "_emit_suffixes", emit)
+        (splitters,) = asked
+        repeated = len(splitters) - len(set(splitters.tolist()))
+        assert repeated > 3  # so that searchsorted from both sides gives a span of buckets
+
+
 def test_empty_table_and_odd_ids(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert sd.repeated_substrings(none).count() == 0
