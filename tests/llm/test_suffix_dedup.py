@@ -71,7 +71,7 @@ def test_sampled_splitters_spread_a_frequent_token(spark, monkeypatch):
     r = random.Random(4)
     word = lambda: "".join(r.choices("abcdefgh", k=12))
     for _ in range(2):
-        shared = "".join(r.choices("xyz", k=60))
+        shared = "".join(r.choices("xyz", k=90))
         rows = [(i, word() * 3 + word() + shared + word() + word() * 3) for i in range(300)]
         df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
         asked = []
