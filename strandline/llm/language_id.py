@@ -533,6 +533,7 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_co
     model = build(first)
     found = rows.filter(held).select("lang", "text").mapInArrow(_entropies(model), "lang string, h array<double>, n long").collect() if model.langs else []
     calibrated = Identifier(model, np.array([r["h"] for r in found]).reshape(-1, len(model.langs)), np.array([r["n"] for r in found], np.int64), [r["lang"] for r in found])
+    model.parts = []  # the driver's copies of the first model's blocks can go
     every = first.unionByName(_grams(rows.filter(held))).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     return calibrated.with_model(build(stored(every, "grams")))
 
