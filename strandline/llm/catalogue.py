@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from strandline.llm import decontaminate, language_id, line_rules, mixing, quality, secrets, simhash, suffix_dedup, toxicity, warc
+from strandline.llm import decontaminate, divergence, language_id, line_rules, mixing, quality, secrets, simhash, suffix_dedup, toxicity, warc
 
 
 def queries() -> dict:
@@ -17,8 +17,9 @@ def queries() -> dict:
         "op8_mixing": mixing.op8_mixing,
         "op9_toxicity": toxicity.op9_toxicity,
         "op10_simhash": simhash.op10_simhash,
+        "op13_divergence": divergence.op13_divergence,
     }
 
 
 def oracle_sql() -> dict:
-    return {"op1_suffix_dedup": suffix_dedup.OP1_SQL, "op5_warc": warc.OP5_SQL, "op7_line_rules": line_rules.OP7_SQL, "op8_mixing": mixing.OP8_SQL}
+    return {"op1_suffix_dedup": suffix_dedup.OP1_SQL, "op5_warc": warc.OP5_SQL, "op7_line_rules": line_rules.OP7_SQL, "op8_mixing": mixing.OP8_SQL, "op13_divergence": divergence.OP13_SQL}
