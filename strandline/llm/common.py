@@ -56,7 +56,11 @@ def release(spark: SparkSession | None = None) -> None:
 
 
 def with_order(docs: DataFrame, id_col: str = "doc_id", out: str = "uid") -> DataFrame:
-    """Add a bigint row handle `out` that is unique and sorts like the id.
+    return handles(docs, id_col, out)[0]
+
+
+def handles(docs: DataFrame, id_col: str = "doc_id", out: str = "uid") -> tuple[DataFrame, bool]:
+    """Docs with a bigint row handle `out` that is unique and sorts like the id; and whether it is the id.
 
     Unique, non-null whole numbers are their own handle. Otherwise (repeats, nulls, ids of another type) rows are ranked by
     (id nulls last, hash of the row): a range-partitioned sort gives each partition's rows consecutive numbers, and only
@@ -67,7 +71,7 @@ def with_order(docs: DataFrame, id_col: str = "doc_id", out: str = "uid") -> Dat
         ids = docs.select(F.col(f"`{id_col}`").cast("long").alias("i"))
         repeated = ids.groupBy("i").count().filter(F.col("count").__gt__(1) | F.col("i").isNull()).limit(1)
         if not repeated.take(1):
-            return docs.withColumn(out, F.col(f"`{id_col}`").cast("long"))
+            return docs.withColumn(out, F.col(f"`{id_col}`").cast("long")), True
     whole = F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in docs.columns])
     n = partitions(spark)
     ranked = docs.withColumn("__h", whole).withColumn("__n", F.col(f"`{id_col}`").isNull()).withColumn("__k", F.col(f"`{id_col}`"))
@@ -82,7 +86,7 @@ def with_order(docs: DataFrame, id_col: str = "doc_id", out: str = "uid") -> Dat
         starts.append(total)
         total += sizes.get(p, 0)
     start = F.element_at(F.array(*[F.lit(s).cast("long") for s in starts] or [F.lit(0).cast("long")]), (part + 1).cast("int"))
-    return ranked.withColumn(out, start + F.col("__m").bitwiseAND(2**33 - 1)).drop("__h", "__n", "__k", "__m")
+    return ranked.withColumn(out, start + F.col("__m").bitwiseAND(2**33 - 1)).drop("__h", "__n", "__k", "__m"), False
 
 
 def bounded(rows: DataFrame, id_col: str, most: int) -> DataFrame:
