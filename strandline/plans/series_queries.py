@@ -33,9 +33,11 @@ filled as (select *, case when k is not null then k when v0 is null then v1 when
 )
 def sequence_quality(spark, sf_dir):
     """Reject, gate by the local median, interpolate, smooth, and summarise every series: one shuffle."""
-    gated = sequence.local_median_gate(events(spark, sf_dir).select("seq", "series", "v"), "series", "seq", "v", 45.0)
-    filled = sequence.interpolate(gated, "series", "seq", "v", F.col("accepted"))
-    smooth = sequence.rolling_median(filled, "series", "seq", "filled", "smooth")
+    e = events(spark, sf_dir).select("seq", "series", "v")
+    cuts = sequence.measure(e, "series", "seq")
+    gated = sequence.local_median_gate(e, "series", "seq", "v", 45.0, cuts=cuts)
+    filled = sequence.interpolate(gated, "series", "seq", "v", F.col("accepted"), cuts=cuts)
+    smooth = sequence.rolling_median(filled, "series", "seq", "filled", "smooth", cuts=cuts)
     return smooth.groupBy("series").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("source") == "measured").alias("n_measured"), F.count_if(F.col("source") == "interpolated").alias("n_interpolated"),
         F.count_if(F.col("source") == "fallback").alias("n_fallback"), F.min("seq").alias("first_seq"), F.max("seq").alias("last_seq"),
@@ -69,7 +71,7 @@ _ORD = f"{EV}, o as (select *, row_number() over (partition by series order by s
 
 
 def _ordinal(spark, sf_dir):
-    return events(spark, sf_dir).withColumn("i", F.row_number().over(W.partitionBy("series").orderBy("seq")))
+    return sequence.numbered(events(spark, sf_dir), "series", "seq")
 
 
 @query(
@@ -100,6 +102,54 @@ def chunk_batches(spark, sf_dir):
     return sequence.chunks(_ordinal(spark, sf_dir).filter(~F.col("rejected")), "series", "i", 3).withColumnsRenamed({"first_seq": "first_i", "last_seq": "last_i"})
 
 
+#: Rows of a chunk in the queries that take all events as one series.
+LONG_CHUNK = 150
+
+
+def _one_series(spark, sf_dir):
+    e = events(spark, sf_dir).withColumn("all", F.lit(0))
+    return e, sequence.measure(e, "all", "seq", LONG_CHUNK)
+
+
+@query("long_series_windows", f"""with {EV}, a as (select *, quantile_cont(value, 0.5) over (order by seq rows between 4 preceding and 4 following) as m, quantile_cont(value, 0.5) over (order by seq rows between 25 preceding and 1 preceding) as t, max(value) over (order by seq) as top,
+    case when not rejected then sum(case when rejected then 0 else 1 end) over (order by seq)::bigint end as output_no, lag(seq) over (order by seq) as p, lag(value) over (order by seq) as pv from e)
+    select seq, {fx('m', 3)} as m_e3, {fx('t', 3)} as t_e3, {fx('top', 2)} as top_e2, output_no, {fx('case when p = seq - 1 then value - pv end', 3)} as delta_e3 from a""")
+def long_series_windows(spark, sf_dir):
+    """All events as one series, cut into chunks: bounded windows by halos, running ones by scanned summaries."""
+    e, cuts = _one_series(spark, sf_dir)
+    e = sequence.rolling_median(e, "all", "seq", "value", "m", cuts=cuts)
+    e = sequence.trailing_median(e, "all", "seq", "value", "t", cuts=cuts)
+    e = sequence.cumulative_max(e, "all", "seq", "value", "top", cuts=cuts)
+    e = sequence.output_numbers(e, "all", "seq", ~F.col("rejected"), cuts=cuts)
+    e = sequence.adjacent_delta(e, "all", "seq", "value", cuts=cuts)
+    return e.select("seq", *[fixed(F.col(c), d).alias(f"{c}_e{d}") for c, d in (("m", 3), ("t", 3), ("top", 2), ("delta", 3))], "output_no")
+
+
+@query("long_series_fill", f"""with {EV}, e0 as (select seq, 0 as series, v from e), md as (select median(v) as md from e), g as (select *, coalesce(v, md) as f from e0, md), h as (select *, list_sort([coalesce(lag(f, 2) over w, first_value(f) over w), coalesce(lag(f) over w, first_value(f) over w), f,
+    coalesce(lead(f) over w, last_value(f) over a), coalesce(lead(f, 2) over w, last_value(f) over a)])[3] as local from g window w as (order by seq), a as (order by seq rows between unbounded preceding and unbounded following)), acc as (select *, v is not null and abs(v - local) < 45 as accepted from h),
+    {_LERP.format(knot='accepted', value='v', src='acc')} select seq, {fx('local', 3)} as local_e3, accepted, {fx('filled')} as filled_e4, source from filled""")
+def long_series_fill(spark, sf_dir):
+    """The gate and the interpolation over one cut series; gaps may go over any number of chunks."""
+    e, cuts = _one_series(spark, sf_dir)
+    gated = sequence.local_median_gate(e, "all", "seq", "v", 45.0, cuts=cuts)
+    found = sequence.interpolate(gated, "all", "seq", "v", F.col("accepted"), cuts=cuts)
+    return found.select("seq", fixed(F.col("local"), 3).alias("local_e3"), "accepted", fixed(F.col("filled")).alias("filled_e4"), "source")
+
+
+@query("long_series_runs", f"""with {EV}, o as (select *, row_number() over (order by seq) as i from e), r as (select *, i - row_number() over (order by i) as g from o where value > 20), k as (select *, seq - row_number() over (order by seq) as g from e where value > 20),
+    c as (select *, (row_number() over (partition by g order by seq) - 1) // 3 as c from k), n as (select seq, max(seq) filter (value <= 20) over (order by seq rows between unbounded preceding and 1 preceding) as p, min(seq) filter (value <= 20) over (order by seq rows between 1 following and unbounded following) as q, value from e)
+    select 'island' as kind, min(seq) as first_seq, max(seq) as last_seq, count(*) as n from r group by g union all select 'batch', min(seq), max(seq), count(*) from c group by g, c union all select 'neighbours', p, q, seq from n where not value <= 20""")
+def long_series_runs(spark, sf_dir):
+    """Islands, batches and nearest neighbours over one cut series."""
+    e, cuts = _one_series(spark, sf_dir)
+    high = F.col("value") > 20
+    runs = sequence.islands(e, "all", "seq", high, cuts).select(F.lit("island").alias("kind"), "first_seq", "last_seq", F.col("length").alias("n"))
+    kept = e.filter(high)
+    batches = sequence.chunks(kept, "all", "seq", 3, sequence.measure(kept, "all", "seq", LONG_CHUNK)).select(F.lit("batch").alias("kind"), "first_seq", "last_seq", F.col("rows").alias("n"))
+    near = sequence.neighbours_of_islands(e, "all", "seq", F.col("value") <= 20, cuts).select(F.lit("neighbours").alias("kind"), F.col("prev_seq").alias("first_seq"), F.col("next_seq").alias("last_seq"), F.col("seq").alias("n"))
+    return runs.unionByName(batches).unionByName(near)
+
+
 @query("output_numbering", f"with {EV} select seq, series, case when not rejected then sum(case when rejected then 0 else 1 end) over (partition by series order by seq)::bigint end as output_no from e")
 def output_numbering(spark, sf_dir):
     return sequence.output_numbers(events(spark, sf_dir), "series", "seq", ~F.col("rejected")).select("seq", "series", "output_no")
