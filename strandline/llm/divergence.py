@@ -1,18 +1,19 @@
 """Audit of how the sources of a language differ in their words, by chunk factorization.
 
-1. Each whole text is cut at white space, and its distinct chunks are counted. The counts of up to BLOCK_DOCS documents of
-   one (lang, source) become one row a chunk: the chunk, its occurrences, and a bit for each document that holds it.
-2. Every chunk that occurs anywhere is cut into terms once, in a table of distinct chunks. Terms never hold white space,
-   so a document's terms are those of its chunks.
-3. The terms are joined back to the rows. Chunks of one block that share a term unite their documents by the bits'
-   "or", so that a document counts once for a term; then documents and occurrences are summed for (lang, source, term).
+1. Each whole text is cut at white space, and its chunks are counted. A task takes documents in blocks and gives a row for
+   each distinct chunk of a block: the documents' numbers in the block, one for each occurrence; and one row with the
+   (lang, source) of the documents.
+2. Every chunk that occurs anywhere is cut into terms once, in a table of distinct chunks with their occurrences. Terms
+   never hold white space, so a document's terms are those of its chunks. A term that does not occur `least` times cannot be
+   in so many documents, and is left out from here on.
+3. The terms are joined back to the rows. Where chunks of one block share a term their documents unite, so that a
+   document counts once for a term; documents and occurrences are summed for (lang, source, term), first over SPAN blocks.
 4. A language keeps the terms of at least `least` of its documents. Shares of a million millionths with a little added to
    every count are whole numbers, and so are all sums.
 5. Distances of sources: the terms meet in cells of two tiles of at most TILE sources. A task adds up the matrix of a cell
    over the terms it has, and the matrices are summed. Terms that no source of a cell holds are added as a product.
 
-No text and no list of a term's documents travels, a frequent term has a row a block of documents, and its sources meet
-in tiles. The number of pairs of sources is the size of the result.
+No text travels, a frequent chunk or term has a row a block of documents, and its sources meet in tiles. The number of pairs of sources is the size of the result.
 
 Null text, lang and source are ''. Texts without terms and empty texts count as documents of their group, which then has
 shares like any other. Repeated rows are documents of their own. Other columns are not read, whatever their names. An
@@ -22,20 +23,23 @@ empty table gives no rows. Ties rank by the item.
 from __future__ import annotations
 
 import itertools
-from collections import Counter
+import json
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from strandline.llm.common import stored, table, texts
+from strandline.llm.common import partitions, stored, table, texts
 
-#: Documents of a block (a multiple of 64), chunks that a task holds before it lets go of its blocks, sources of a tile.
-BLOCK_DOCS, HELD, TILE = 256, 400_000, 128
+#: The most documents (16 bits), occurrences and distinct chunks of a block; blocks whose terms are united together, in so
+#: many parts; live terms that are broadcast; sources of a tile.
+BLOCK_DOCS, BLOCK_TOKENS, BLOCK_CHUNKS, SPAN, PARTS, LIVE, TILE = 1 << 16, 8_000_000, 800_000, 64, 64, 500_000, 128
 #: Documents of a language that keep a term, occurrences added to every term, and the ranks of part `term`.
 LEAST_DOCS, ADDED, RANKS = 30, 5, 50
 #: Fixed by the definition of a term: what is neither an ASCII letter nor beyond ASCII parts terms.
@@ -43,64 +47,125 @@ TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def _blocks(docs: int, held: int):
-    """(lang, source, text) -> (block, lang, source, chunk, n, w0, w1, ...): bit d of the words is set if the block's document d has the chunk."""
-    words = docs // 64
-    names = ["block", "lang", "source", "chunk", "n", *[f"w{k}" for k in range(words)]]
+def _blocks(most_docs: int):
+    """(lang, source, text) -> (block, chunk, held): held has the numbers of the block's documents, 16 bits each, that hold
+    the chunk, repeated as it occurs. Documents are numbered group by group. A row without chunk describes the block: its
+    groups (lang, source) and their numbers of documents, as JSON."""
+    names = ["block", "chunk", "held"]
 
-    def rows(number: int, group: tuple, found: dict) -> pa.RecordBatch:
-        bits = np.frombuffer(b"".join(m.to_bytes(8 * words, "little") for m, _ in found.values()), np.int64).reshape(-1, words)
-        same = lambda x, kind: pa.array([x], kind).take(pa.array(np.zeros(len(found), np.int64)))
-        return pa.RecordBatch.from_arrays(
-            [same(number, pa.int64()), same(group[0], pa.string()), same(group[1], pa.string()), pa.array(list(found), pa.binary()).cast(pa.string()), pa.array([n for _, n in found.values()], pa.int64()), *[pa.array(bits[:, k]) for k in range(words)]],
-            names=names,
-        )
+    def rows(block: int, known: dict, ids: list[np.ndarray], sizes: list[int], of: list[int], groups: dict) -> Iterator[pa.RecordBatch]:
+        about = json.dumps({"groups": list(groups), "docs": np.bincount(of, minlength=len(groups)).tolist()}).encode()
+        yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([None], pa.string()), pa.array([about], pa.binary())], names=names)
+        if not known:
+            return
+        number = np.empty(len(of), np.uint16)
+        number[np.argsort(of, kind="stable")] = np.arange(len(of))
+        chunk = np.concatenate(ids)
+        held = np.repeat(number, sizes)[np.argsort(chunk, kind="stable")]
+        ends = np.append(0, np.cumsum(2 * np.bincount(chunk, minlength=len(known)))).astype(np.int32)
+        held = pa.BinaryArray.from_buffers(pa.binary(), len(known), [None, pa.py_buffer(ends), pa.py_buffer(held)])
+        words = pa.array(list(known), pa.binary())
+        order = pc.sort_indices(words)  # neighbours begin alike, which packs well
+        for k in range(0, len(known), 1 << 15):
+            some = order.slice(k, 1 << 15)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), block)), words.take(some).cast(pa.string()), held.take(some)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = itertools.count(TaskContext.get().partitionId() << 36)
-        blocks: dict[tuple, list] = {}  # group -> [documents so far, chunk -> [bits, occurrences]]
-        total = 0
+        count = itertools.count(TaskContext.get().partitionId() << 36)
+
+        def fresh() -> tuple:
+            return defaultdict(itertools.count().__next__), [], [], [], {}
+
+        known, ids, sizes, of, groups = block = fresh()
+        tokens = 0
         for batch in batches:
             langs, sources = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for i, _, values in texts(batch.column(2)):
                 for k, text in enumerate(values, i):
-                    group = langs[k], sources[k]
-                    block = blocks.setdefault(group, [0, {}])
-                    found, bit, before = block[1], 1 << block[0], len(block[1])
-                    for chunk, n in Counter(text.split()).items():  # bytes: only \x20 and \x09-\x0D
-                        if (seen := found.get(chunk)) is None:
-                            found[chunk] = [bit, n]
-                        else:
-                            seen[0] |= bit
-                            seen[1] += n
-                    block[0] += 1
-                    total += len(found) - before
-                    if block[0] == docs:
-                        total -= len(found)
-                        del blocks[group]
-                        if found:
-                            yield rows(next(number), group, found)
-                    if total >= held:
-                        yield from (rows(next(number), g, b[1]) for g, b in blocks.items() if b[1])
-                        blocks.clear()
-                        total = 0
-        yield from (rows(next(number), g, b[1]) for g, b in blocks.items() if b[1])
-
-    kinds = [f"w{k} long" for k in range(words)]
-    return run, ", ".join(["block long, lang string, source string, chunk string, n long", *kinds])
-
-
-def term_counts(docs: DataFrame, block_docs: int = BLOCK_DOCS, held: int = HELD) -> DataFrame:
-    """(lang, source, term, docs, n): how many documents of the group hold the term, and how often it occurs there."""
+                    words = text.split()  # bytes: only \x20 and \x09-\x0D
+                    ids.append(np.fromiter(map(known.__getitem__, words), np.int32, len(words)))
+                    sizes.append(len(words))
+                    of.append(groups.setdefault((langs[k], sources[k]), len(groups)))
+                    tokens += len(words)
+                    if len(of) >= most_docs or tokens >= BLOCK_TOKENS or len(known) >= BLOCK_CHUNKS:
+                        yield from rows(next(count), *block)
+                        known, ids, sizes, of, groups = block = fresh()
+                        tokens = 0
+        if of:
+            yield from rows(next(count), *block)
+
+    return run
+
+
+def _united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (span, part, block, term, held), sorted by span and part -> (lang, source, term, docs, n) for each term of a
+    part. A part's rows can go over several batches; its size is bounded by that of SPAN blocks."""
+
+    def counted(rows: pa.Table) -> pa.RecordBatch | None:
+        lead = rows.column("term").combine_chunks().is_null().to_numpy(zero_copy_only=False)
+        abouts, rows = rows.filter(pa.array(lead)), rows.filter(pa.array(~lead)).combine_chunks()
+        if not rows.num_rows:
+            return None
+        groups: dict[tuple, int] = {}
+        base: dict[int, int] = {}
+        of: list[np.ndarray] = []
+        total = 0
+        for block, about in zip(abouts.column("block").to_pylist(), abouts.column("held").to_pylist(), strict=True):
+            known = json.loads(about)
+            of.append(np.repeat([groups.setdefault(tuple(g), len(groups)) for g in known["groups"]], known["docs"]))
+            base[block], total = total, total + len(of[-1])
+        held, words = rows.column("held").combine_chunks(), rows.column("term").combine_chunks().dictionary_encode()
+        ends = np.frombuffer(held.buffers()[1], np.int32)[held.offset : held.offset + len(held) + 1]
+        docs = np.frombuffer(held.buffers()[2], np.uint8)[ends[0] : ends[-1]].view(np.uint16).astype(np.int64)
+        blocks, at = np.unique(rows.column("block").to_numpy(), return_inverse=True)
+        first_doc = np.array([base[b] for b in blocks.tolist()])[at]  # a document of the span goes by its place among all
+        reps = np.diff(ends) // 2
+        each, n = np.unique(np.repeat(words.indices.to_numpy().astype(np.int64), reps) * total + docs + np.repeat(first_doc, reps), return_counts=True)
+        key = (each // total) * len(groups) + np.concatenate(of)[each % total]
+        order = np.argsort(key, kind="stable")
+        first = np.flatnonzero(np.append(True, np.diff(key[order]) != 0))
+        key, n, d = key[order][first], np.add.reduceat(n[order], first), np.diff(np.append(first, len(order)))
+        lang, source = (pa.array([g[k] for g in groups], pa.string()).take(pa.array(key % len(groups))) for k in (0, 1))
+        return pa.RecordBatch.from_arrays([lang, source, words.dictionary.take(pa.array(key // len(groups))), pa.array(d.astype(np.int64)), pa.array(n.astype(np.int64))], names=["lang", "source", "term", "docs", "n"])
+
+    rest: list[pa.RecordBatch] = []
+    now = None
+    for batch in batches:
+        key = np.stack([batch.column(k).to_numpy().astype(np.int64) for k in (0, 1)], axis=1)
+        cuts = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1).tolist(), len(key)]
+        for s, e in itertools.pairwise(cuts):
+            if s == e:
+                continue
+            if rest and tuple(key[s]) != now:
+                if (out := counted(pa.Table.from_batches(rest))) is not None:
+                    yield out
+                rest = []
+            rest.append(batch.slice(s, e - s))
+            now = tuple(key[s])
+    if rest and (out := counted(pa.Table.from_batches(rest))) is not None:
+        yield out
+
+
+def term_counts(docs: DataFrame, least: int, block_docs: int = BLOCK_DOCS) -> DataFrame:
+    """(lang, source, term, docs, n): how many documents of the group hold the term, and how often it occurs there; several
+    rows to be added up. Terms that occur less than `least` times in all are left out."""
+    spark = docs.sparkSession
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
-    run, schema = _blocks(block_docs, held)
-    rows = stored(docs.select(text("lang"), text("source"), text("text")).mapInArrow(run, schema), "chunks")
+    rows = stored(docs.select(text("lang"), text("source"), text("text")).mapInArrow(_blocks(block_docs), "block long, chunk string, held binary"), "chunks")
+    chunks, leads = rows.filter("chunk is not null"), rows.filter("chunk is null")
     terms = F.regexp_extract_all(F.translate("chunk", _UPPER, _LOWER), F.lit(TERM), F.lit(0))
-    known = rows.select("chunk").distinct().withColumn("terms", terms).filter(F.size("terms") > 0)
-    masks = [f"w{k}" for k in range(block_docs // 64)]
-    united = rows.join(known, "chunk").withColumn("term", F.explode("terms")).groupBy("block", "lang", "source", "term").agg(F.sum("n").alias("n"), *[F.bit_or(m).alias(m) for m in masks])
-    held_by = sum((F.bit_count(m) for m in masks), F.lit(0)).cast("long")
-    return united.groupBy("lang", "source", "term").agg(F.sum(held_by).alias("docs"), F.sum("n").alias("n"))
+    once = chunks.groupBy("chunk").agg(F.sum(F.octet_length("held") / 2).cast("long").alias("n"))
+    known = stored(once.withColumn("terms", terms).filter(F.size("terms") > 0), "distinct")
+    live = known.select(F.explode("terms").alias("term"), "n").groupBy("term").agg(F.sum("n").alias("n")).filter(F.col("n") >= least).select("term")
+    live = stored(live, "live")
+    few = live.limit(LIVE + 1).count() <= LIVE
+    pairs = known.select("chunk", F.explode("terms").alias("term")).join(F.broadcast(live) if few else live, "term")
+    span = F.pmod(F.xxhash64("block"), F.lit(leads.count() // SPAN + 1)).cast("int").alias("span")
+    # a part of the distinct chunks is small whatever the rows of a frequent one, and hashing it saves the sort of both
+    found = chunks.join(pairs.hint("shuffle_hash"), "chunk").select(span, F.pmod(F.xxhash64("term"), F.lit(PARTS)).cast("int").alias("part"), "block", "term", "held")
+    about = leads.select(span, F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("part"), "block", F.col("chunk").alias("term"), "held")
+    dealt = about.unionByName(found).repartition(partitions(spark), "span", "part").sortWithinPartitions("span", "part")
+    return dealt.mapInArrow(_united, "lang string, source string, term string, docs long, n long")
 
 
 def _share(n: Column, total: Column, terms: Column) -> Column:
@@ -153,13 +218,13 @@ def _distances(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield close(cell, total, terms, width)
 
 
-def divergence(docs: DataFrame, least: int = LEAST_DOCS, ranks: int = RANKS, block_docs: int = BLOCK_DOCS, held: int = HELD) -> DataFrame:
+def divergence(docs: DataFrame, least: int = LEAST_DOCS, ranks: int = RANKS, block_docs: int = BLOCK_DOCS) -> DataFrame:
     """(lang, source, part, item, value, rank): part `pair` gives the distances of a source to the other sources of its
     language, part `term` the terms that it has more of than its language."""
-    counts = stored(term_counts(docs, block_docs, held), "terms")
+    counts = stored(term_counts(docs, least, block_docs), "terms")
     kept = stored(counts.groupBy("lang", "term").agg(F.sum("docs").alias("d"), F.sum("n").alias("all_n")).filter(F.col("d") >= least).drop("d"), "kept")
     langs = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("all_n").alias("lang_n"))
-    of = counts.select("lang", "source", "term", "n").join(kept, ["lang", "term"])
+    of = stored(counts.join(kept, ["lang", "term"]).groupBy("lang", "source", "term", "all_n").agg(F.sum("n").alias("n")), "kept-terms")
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
     sized = docs.select(text("lang"), text("source")).distinct().join(of.groupBy("lang", "source").agg(F.sum("n").alias("group_n")), ["lang", "source"], "left").join(langs, "lang", "left")
     zero = lambda c: F.coalesce(c, F.lit(0).cast("long")).alias(c)
