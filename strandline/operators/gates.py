@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from strandline.operators.quantile import largest, quantiles
+
 
 def predicates(named: dict[str, Column]) -> Column:
     """A struct of booleans; unknown counts as false."""
@@ -34,11 +36,13 @@ def all_failures(named: dict[str, Column]) -> Column:
 
 
 def mad_band(df: DataFrame, group: str, value: str, floor: float, times: float = 4.0) -> DataFrame:
-    """Adds centre, mad and in_band: within max(floor, times * MAD) of the group's median. Two grouped aggregations."""
-    centre = df.groupBy(group).agg(F.percentile(value, F.lit(0.5)).alias("centre"))
-    held = df.join(centre, group)
-    mad = held.groupBy(group).agg(F.percentile(F.abs(F.col(value) - F.col("centre")), F.lit(0.5)).alias("mad"))
-    return held.join(mad, group).withColumn("in_band", F.abs(F.col(value) - F.col("centre")) <= F.greatest(F.lit(floor), times * F.col("mad")))
+    """Adds centre, mad and in_band: within max(floor, times * MAD) of the group's median. Groups of any size; in one
+    without values nothing is in the band."""
+    size = largest(df, [group], F.col(value))
+    centre = quantiles(df, group, value, [0.5], size=size).select(group, F.col("q")[0].alias("centre"))
+    mad = quantiles(df.select(group, value).join(centre, group), group, F.abs(F.col(value) - F.col("centre")), [0.5], size=size).select(group, F.col("q")[0].alias("mad"))
+    held = df.join(centre.join(mad, group), group, "left")
+    return held.withColumn("in_band", F.abs(F.col(value) - F.col("centre")) <= F.greatest(F.lit(floor), times * F.col("mad")))
 
 
 def with_fallback(df: DataFrame, group: str, usable: Column, least: int) -> DataFrame:

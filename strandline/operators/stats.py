@@ -6,60 +6,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from strandline.operators.quantile import largest, quantiles
+
 
 def fixed(x: Column, digits: int = 4) -> Column:
     """A double as a whole number of 10 ** -digits: stable against the order of sums."""
     return F.floor(x * float(10**digits) + 0.5).cast("long")
 
 
-#: Rank error of the sketch that brackets a quantile: about 12 / ACCURACY of a large group's rows are looked at one by one.
-ACCURACY = 10_000
-
-
-def quantiles(df: DataFrame, group: str, value: str | Column, at: list[float]) -> DataFrame:
-    """Exact quantiles (linear between ranks) of few large groups: (group, n, low, high, mean, q), q an array in the order of
-    `at`.
-
-    A sketch of each group brackets every wanted rank; a second pass counts what lies below a bracket and keeps only the
-    distinct values inside it with their counts. No task ever holds the values of a group. Nulls are left out."""
-    rows = df.select(group, (F.col(value) if isinstance(value, str) else value).cast("double").alias("__v")).filter("__v is not null")
-    edge = lambda p, side: min(1.0, max(0.0, p + side * 6 / ACCURACY))
-    sketch = F.percentile_approx("__v", [edge(p, side) for p in at for side in (-1, 1)], ACCURACY)
-    known = rows.groupBy(group).agg(F.count(F.lit(1)).alias("n"), sketch.alias("__s"), F.min("__v").alias("low"), F.max("__v").alias("high"), F.avg("__v").alias("mean"))
-    few = F.col("n") <= ACCURACY  # ranks lie too far apart for the margin; the values are few
-    low = lambda k: F.when(few | F.lit(edge(at[k], -1) == 0), F.col("low")).otherwise(F.col("__s")[2 * k])
-    high = lambda k: F.when(few | F.lit(edge(at[k], 1) == 1), F.col("high")).otherwise(F.col("__s")[2 * k + 1])
-    marks = F.array(*[F.struct(F.lit(k).alias("k"), F.when(F.col("__v") >= low(k), F.col("__v")).alias("v"), (F.col("__v") <= high(k)).alias("near")) for k in range(len(at))])
-    held = rows.join(known, group).select(group, "n", F.explode(marks).alias("m")).filter("m.near")
-    counted = held.groupBy(group, F.col("m.k").alias("k"), F.col("m.v").alias("v")).agg(F.count(F.lit(1)).alias("c"), F.first("n").alias("n"))
-    upto = F.sum("c").over(W.partitionBy(group, "k").orderBy(F.asc_nulls_first("v")).rowsBetween(W.unboundedPreceding, 0))
-    place = F.element_at(F.array(*[F.lit(float(p)) for p in at]), F.col("k") + 1) * (F.col("n") - 1)
-    ranked = counted.withColumn("upto", upto).withColumn("place", place).filter("v is not null")
-    holds = lambda rank: (rank < F.col("upto")) & (rank >= F.col("upto") - F.col("c"))
-    pick = lambda rank: F.max(F.when(holds(rank), F.col("v")))
-    ends = ranked.groupBy(group, "k").agg(F.first("place").alias("place"), pick(F.floor("place")).alias("a"), pick(F.ceil("place")).alias("b"))
-    part = F.col("place") - F.floor("place")
-    exact = F.when(F.col("a") == F.col("b"), F.col("a")).otherwise(F.col("a") * (1 - part) + F.col("b") * part)
-    found = ends.groupBy(group).agg(F.transform(F.array_sort(F.collect_list(F.struct("k", exact.alias("q")))), lambda x: x["q"]).alias("q"))
-    return known.drop("__s").join(found, group)
-
-
 def robust(df: DataFrame, group: str, value: str) -> DataFrame:
     """count, min, max, mean, median, MAD, p05, p95 of each group; nulls are left out. Groups of any size."""
-    q = quantiles(df, group, value, [0.05, 0.5, 0.95]).select(group, "n", "low", "high", "mean", F.col("q")[0].alias("p05"), F.col("q")[1].alias("median"), F.col("q")[2].alias("p95"))
-    mad = quantiles(df.select(group, value).join(q.select(group, "median"), group), group, F.abs(F.col(value) - F.col("median")), [0.5]).select(group, F.col("q")[0].alias("mad"))
+    size = largest(df, [group], F.col(value))
+    q = quantiles(df, group, value, [0.05, 0.5, 0.95], size=size).select(group, "n", "low", "high", "mean", F.col("q")[0].alias("p05"), F.col("q")[1].alias("median"), F.col("q")[2].alias("p95"))
+    mad = quantiles(df.select(group, value).join(q.select(group, "median"), group), group, F.abs(F.col(value) - F.col("median")), [0.5], size=size).select(group, F.col("q")[0].alias("mad"))
     return q.join(mad, group)
 
 
 def trimmed_median(df: DataFrame, group: str, value: str, floor: float, support: int, share: float) -> DataFrame:
-    """Median of the values within max(floor, 3 * MAD) of the median; null without enough support. For many groups of
-    bounded size (series); `quantiles` serves few large ones."""
-    some = df.filter(F.col(value).isNotNull())
-    centre = some.groupBy(group).agg(F.count(value).alias("n"), F.percentile(value, F.lit(0.5)).alias("median"))
-    mad = some.join(centre, group).groupBy(group).agg(F.percentile(F.abs(F.col(value) - F.col("median")), F.lit(0.5)).alias("mad"))
-    stats = centre.join(mad, group)
-    kept = df.join(stats, group).filter(F.abs(F.col(value) - F.col("median")) <= F.greatest(F.lit(floor), 3 * F.col("mad")))
-    found = kept.groupBy(group).agg(F.count(value).alias("inliers"), F.percentile(value, F.lit(0.5)).alias("m"), F.first("n").alias("n"))
+    """Median of the values within max(floor, 3 * MAD) of the median; null without enough support. Groups of any size."""
+    size = largest(df, [group], F.col(value))
+    centre = quantiles(df, group, value, [0.5], size=size).select(group, "n", F.col("q")[0].alias("median"))
+    near = df.select(group, value).join(centre, group)
+    mad = quantiles(near, group, F.abs(F.col(value) - F.col("median")), [0.5], size=size).select(group, F.col("q")[0].alias("mad"))
+    kept = near.join(mad, group).filter(F.abs(F.col(value) - F.col("median")) <= F.greatest(F.lit(floor), 3 * F.col("mad")))
+    found = quantiles(kept, group, value, [0.5], size=size).select(group, F.col("n").alias("inliers"), F.col("q")[0].alias("m")).join(centre.select(group, "n"), group)
     good = (F.col("inliers") >= support) & (F.col("inliers") >= share * F.col("n"))
     return found.select(group, "n", "inliers", F.when(good, F.col("m")).alias("consensus"))
 
@@ -75,7 +45,8 @@ def binned_lut(df: DataFrame, x: str, y: str, bins: int = 256) -> DataFrame:
     """Median of y in `bins` half-open bins of x in [0, 1); empty bins by interpolation; then the running maximum.
 
     The table has one row a bin whatever the input, so its window is bounded."""
-    found = df.filter((F.col(x) >= 0) & (F.col(x) < 1)).groupBy(F.floor(F.col(x) * bins).cast("long").alias("bin")).agg(F.percentile(y, F.lit(0.5)).alias("m"))
+    inside = df.filter((F.col(x) >= 0) & (F.col(x) < 1)).select(F.floor(F.col(x) * bins).cast("long").alias("bin"), y)
+    found = quantiles(inside, "bin", y, [0.5]).select("bin", F.col("q")[0].alias("m"))
     grid = df.sparkSession.range(bins).withColumnRenamed("id", "bin").join(found, "bin", "left")
     w = W.partitionBy(F.lit(1)).orderBy("bin")
     back, ahead = w.rowsBetween(W.unboundedPreceding, 0), w.rowsBetween(0, W.unboundedFollowing)

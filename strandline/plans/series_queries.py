@@ -562,6 +562,16 @@ def percentile_exact(spark, sf_dir):
     return q.select("event_type", *[fixed(F.col("q")[k], 3).alias(n) for k, n in enumerate(("p05_e3", "p90_e3", "p995_e3"))])
 
 
+@query("selected_quantiles", f"""with {EV} select event_type, count(value) as n, {fx('quantile_cont(value, 0.01)', 3)} as p01_e3, {fx('quantile_cont(value, 0.5)', 3)} as p50_e3, {fx('quantile_cont(value, 0.999)', 3)} as p999_e3 from e group by event_type
+    union all select 'all', count(value), {fx('quantile_cont(value, 0.01)', 3)}, {fx('quantile_cont(value, 0.5)', 3)}, {fx('quantile_cont(value, 0.999)', 3)} from e""")
+def selected_quantiles(spark, sf_dir):
+    """Quantiles by repeated narrowing, with a bound of 100 values a task and sketches of 20 marks, so that every group takes rounds."""
+    e = events(spark, sf_dir).select("event_type", "value")
+    both = e.unionByName(e.withColumn("event_type", F.lit("all")))
+    q = stats.quantiles(both, "event_type", "value", [0.01, 0.5, 0.999], bound=100, marks=20)
+    return q.select("event_type", "n", *[fixed(F.col("q")[k], 3).alias(n) for k, n in enumerate(("p01_e3", "p50_e3", "p999_e3"))])
+
+
 @query("robust_stats", f"""with {EV}, c as (select event_type, median(value) as med from e group by event_type) select e.event_type, count(value) as n, {fx('min(value)', 2)} as low_e2, {fx('max(value)', 2)} as high_e2, {fx('avg(value)', 3)} as mean_e3, {fx('median(value)', 3)} as median_e3,
     {fx('median(abs(value - med))', 3)} as mad_e3, {fx('quantile_cont(value, 0.05)', 3)} as p05_e3, {fx('quantile_cont(value, 0.95)', 3)} as p95_e3 from e join c on e.event_type = c.event_type group by e.event_type""")
 def robust_stats(spark, sf_dir):
@@ -593,8 +603,8 @@ def threshold_fractions(spark, sf_dir):
 
 @query("adaptive_threshold", f"with {EV}, t as (select series, quantile_cont(value, 0.4) as p40, quantile_cont(value, 0.995) as p995 from e group by series) select series, {fx('least(250, greatest(80, p40 + 0.58 * (p995 - p40)))', 3)} as level_e3 from t")
 def adaptive_threshold(spark, sf_dir):
-    t = events(spark, sf_dir).groupBy("series").agg(F.percentile("value", F.array(F.lit(0.4), F.lit(0.995))).alias("p"))
-    level = F.least(F.lit(250.0), F.greatest(F.lit(80.0), F.col("p")[0] + 0.58 * (F.col("p")[1] - F.col("p")[0])))
+    t = stats.quantiles(events(spark, sf_dir), "series", "value", [0.4, 0.995])
+    level = F.least(F.lit(250.0), F.greatest(F.lit(80.0), F.col("q")[0] + 0.58 * (F.col("q")[1] - F.col("q")[0])))
     return t.select("series", fixed(level, 3).alias("level_e3"))
 
 

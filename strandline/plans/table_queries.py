@@ -236,8 +236,8 @@ def contrast_about_mean(spark, sf_dir):
 @query("minmax_percentile", f"with p as (select quantile_cont(p_retailprice, 0.01) as a, quantile_cont(p_retailprice, 0.99) as b from part) select p_partkey, {fx('greatest(0, least(1, (p_retailprice - a) / nullif(b - a, 0)))')} as x_e4 from part, p")
 def minmax_percentile(spark, sf_dir):
     part = table(spark, sf_dir, "part")
-    p = part.agg(F.percentile("p_retailprice", F.array(F.lit(0.01), F.lit(0.99))).alias("p"))
-    x = F.try_divide(F.col("p_retailprice") - F.col("p")[0], F.col("p")[1] - F.col("p")[0])
+    p = stats.quantiles(part.withColumn("all", F.lit(0)), "all", "p_retailprice", [0.01, 0.99]).select("q")  # one row
+    x = F.try_divide(F.col("p_retailprice") - F.col("q")[0], F.col("q")[1] - F.col("q")[0])
     return part.join(F.broadcast(p)).select("p_partkey", fixed(F.greatest(F.lit(0.0), F.least(F.lit(1.0), x))).alias("x_e4"))
 
 
@@ -298,9 +298,10 @@ def two_source_agreement(spark, sf_dir):
 @query("filtered_vs_total", f"select l_returnflag, count(*) filter (l_discount < 0.05) as n, {fx('median(l_quantity) filter (l_discount < 0.05)', 3)} as median_e3, {fx('avg(case when l_quantity >= 48 then 1.0 else 0 end)')} as clipped_e4 from lineitem group by l_returnflag")
 def filtered_vs_total(spark, sf_dir):
     kept = F.col("l_discount") < 0.05
-    return table(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(
-        F.count_if(kept).alias("n"), fixed(F.percentile(F.when(kept, F.col("l_quantity")), F.lit(0.5)), 3).alias("median_e3"), fixed(F.avg(F.when(F.col("l_quantity") >= 48, 1.0).otherwise(0.0))).alias("clipped_e4")
-    )
+    line = table(spark, sf_dir, "lineitem")
+    middle = stats.quantiles(line.filter(kept), "l_returnflag", "l_quantity", [0.5]).select("l_returnflag", fixed(F.col("q")[0], 3).alias("median_e3"))
+    all_rows = line.groupBy("l_returnflag").agg(F.count_if(kept).alias("n"), fixed(F.avg(F.when(F.col("l_quantity") >= 48, 1.0).otherwise(0.0))).alias("clipped_e4"))
+    return all_rows.join(middle, "l_returnflag", "left")
 
 
 @query("stddev_pop", f"select l_returnflag, {fx('stddev_pop(l_quantity)')} as spread_e4 from lineitem group by l_returnflag")
@@ -378,7 +379,8 @@ def composite_score(spark, sf_dir):
 @query("l1_rank", "with m as (select p_brand, median(p_size) as ms, median(p_retailprice) as mp from part group by p_brand) select p_brand, p_partkey from (select p.*, row_number() over (partition by p.p_brand order by abs(p_size - coalesce(ms, 25)) + abs(p_retailprice - coalesce(mp, 1000)) / 100, p_partkey) as rn from part p join m on p.p_brand = m.p_brand) where rn = 1")
 def l1_rank(spark, sf_dir):
     part = table(spark, sf_dir, "part").select("p_brand", "p_partkey", "p_size", "p_retailprice")
-    model = part.groupBy("p_brand").agg(F.median("p_size").alias("ms"), F.median("p_retailprice").alias("mp"))
+    median = lambda value, name: stats.quantiles(part, "p_brand", value, [0.5]).select("p_brand", F.col("q")[0].alias(name))
+    model = median("p_size", "ms").join(median("p_retailprice", "mp"), "p_brand", "full")
     cost = F.abs(F.col("p_size") - F.coalesce("ms", F.lit(25.0))) + F.abs(F.col("p_retailprice") - F.coalesce("mp", F.lit(1000.0))) / 100
     return part.join(model, "p_brand").groupBy("p_brand").agg(F.min(F.struct(cost.alias("c"), "p_partkey")).alias("b")).select("p_brand", "b.p_partkey")
 
@@ -387,10 +389,11 @@ def l1_rank(spark, sf_dir):
 def cluster_summary(spark, sf_dir):
     """Of each strip the row nearest its centre, then medians and spread of clusters with support."""
     part = table(spark, sf_dir, "part").select("p_brand", "p_type", "p_partkey", "p_size")
-    centre = part.groupBy("p_brand", "p_type").agg(F.median("p_size").alias("m"))
+    centre = stats.quantiles(part, ["p_brand", "p_type"], "p_size", [0.5]).select("p_brand", "p_type", F.col("q")[0].alias("m"))
     near = part.join(centre, ["p_brand", "p_type"]).groupBy("p_brand", "p_type").agg(F.min(F.struct(F.abs(F.col("p_size") - F.col("m")).alias("d"), "p_partkey", "p_size")).alias("b"))
-    found = near.groupBy("p_brand").agg(F.count(F.lit(1)).alias("strips"), fixed(F.median("b.p_size"), 2).alias("centre_e2"), fixed(F.stddev_pop("b.p_size"), 3).alias("spread_e3"))
-    return found.filter("strips >= 3")
+    middle = stats.quantiles(near.select("p_brand", "b.p_size"), "p_brand", "p_size", [0.5]).select("p_brand", fixed(F.col("q")[0], 2).alias("centre_e2"))
+    found = near.groupBy("p_brand").agg(F.count(F.lit(1)).alias("strips"), fixed(F.stddev_pop("b.p_size"), 3).alias("spread_e3"))
+    return found.filter("strips >= 3").join(middle, "p_brand").select("p_brand", "strips", "centre_e2", "spread_e3")
 
 
 @query("nearest_prior", f"select p_partkey, {fx('0.02 * least(min(abs(p_retailprice - s_acctbal / 4)), 200) / 200', 6)} as penalty_e6 from part join supplier on true group by p_partkey")

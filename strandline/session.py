@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "strandline", master: str | None = None, **conf: str) -> SparkSession:
@@ -52,3 +55,27 @@ def scratch(spark: SparkSession) -> str:
         found = "file://" + tempfile.mkdtemp(prefix="strandline-")
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
+
+
+_KEPT: list[tuple[SparkSession, str]] = []
+
+
+def kept(df: DataFrame, label: str) -> DataFrame:
+    """Write `df` into the shared folder and read it again: lineage ends here, and later steps don't compute it anew."""
+    spark = df.sparkSession
+    path = f"{scratch(spark)}/strandline/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    if not _KEPT:
+        atexit.register(release)
+    _KEPT.append((spark, path))
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession | None = None) -> None:
+    """Delete what `kept` wrote for a session, or for all at exit. Results that still read it must be written first."""
+    for item in [x for x in _KEPT if spark is None or x[0] is spark]:
+        _KEPT.remove(item)
+        with contextlib.suppress(Exception):  # the session may be gone at exit
+            owner, path = item
+            target = owner.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(owner.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
