@@ -120,12 +120,16 @@ WEIGHTS = {"domain": DOMAIN_WEIGHTS, "lang": LANG_WEIGHTS}
 
 
 def mixed(docs: DataFrame, weights: dict[str, dict[str, int]] | None = None, share: float = SHARE, max_epochs: int = MAX_EPOCHS, seed: int = SEED) -> DataFrame:
-    """The documents (own columns) that the mix takes, with `copies`; the text is not shuffled."""
+    """The documents (own columns) that the mix takes, with `copies` (led by underscores where the documents have such a column); the text is
+    not shuffled."""
     weights = WEIGHTS if weights is None else weights
     leaf = stored(plan(stored(slim(docs), "slim"), weights, share, max_epochs, seed), "plan")
     own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")
     keys = docs.select(F.col("doc_id").cast("long").alias("id"), domain_of(F.col("source")).alias("domain"), F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"), own)
-    return copies(keys, leaf, seed).select("__row.*", F.col("copies").alias("copies" if "copies" not in docs.columns else "__copies"))
+    name = "copies"
+    while name in docs.columns:
+        name = f"__{name}"
+    return copies(keys, leaf, seed).select("__row.*", F.col("copies").alias(name))
 
 
 def op8_mixing(spark, sf_dir: str) -> DataFrame:

@@ -18,10 +18,8 @@ Nulls and empty texts have fingerprint zero; rows with equal ids are rows of the
 1. Equal sets are one class (128 bits of hash). Only a sketch of each text is kept: its class and its band keys.
 2. Candidates share one of MIN_BANDS bands of MIN_ROWS minimum hashes: at SIMILARITY with a chance of 0.9993, whatever
    the length of the texts and the number of documents. A bucket only links its members to its least one.
-3. In each component of candidates, every pair is a candidate of the exact check: the texts of its classes meet in cells
-   of tiles of at most SET_TILE bytes of shingles or so, where their sets are made again and compared (Jaccard
-   similarity over 64-bit hashes of shingles). A component that fits one tile is settled there; of larger ones a cell
-   returns a spanning forest of its links, and their components are the groups.
+3. `set_links.verified` compares the full sets of candidates: whole components of candidates that are small, and what
+   share a bucket of larger ones.
 """
 
 from __future__ import annotations
@@ -32,18 +30,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import as_binary, partitions, stored, table, texts, with_order
+from strandline.llm.common import partitions, stored, table, texts, with_order
 from strandline.llm.components import components
+from strandline.llm.set_links import SET_TILE, min_keys, remix, shingle_hashes, sketches, verified
 
 SHINGLE, RADIUS = 3, 3
 #: Fingerprints a bucket should hold, and the most of one tile.
 BUCKET, TILE = 512, 2048
-#: For similar_groups: shingle size, similarity, bands of minimum hashes and their rows, and bytes of sets in one tile.
-SIMILAR_SHINGLE, SIMILARITY, MIN_BANDS, MIN_ROWS, SET_TILE = 5, 0.8, 24, 6, 1 << 22
+#: For similar_groups: shingle size, similarity, bands of minimum hashes and their rows.
+SIMILAR_SHINGLE, SIMILARITY, MIN_BANDS, MIN_ROWS = 5, 0.8, 24, 6
 
 _FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -54,31 +52,6 @@ def _count_bits(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.add.reduceat(bits, starts, axis=0, dtype=np.int32)
 
 
-def _shingle_hashes(text: bytes, size: int, block: int = 1 << 17) -> Iterator[list[int]]:
-    words = text.lower().split()  # bytes: only A-Z, only \x20 and \x09-\x0D
-    if not words:
-        return
-    joined, h = b" ".join(words), xxhash.xxh64_intdigest
-    if len(words) <= size:
-        yield [h(joined, 42)]
-        return
-    ends = np.cumsum([len(w) + 1 for w in words])
-    starts = np.append(0, ends[:-1])[: len(words) - size + 1].tolist()
-    stops = (ends[size - 1 :] - 1).tolist()
-    for k in range(0, len(starts), block):
-        yield [h(joined[a:b], 42) for a, b in zip(starts[k : k + block], stops[k : k + block], strict=False)]
-
-
-def _remix(h: np.ndarray, k: int) -> np.ndarray:
-    """The k-th hash of a shingle, made from its first."""
-    if not k:
-        return h
-    z = h + np.uint64(k * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
-    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return z ^ (z >> np.uint64(31))
-
-
 def fingerprints(texts: list[bytes], size: int = SHINGLE, words: int = 1) -> np.ndarray:
     """A row of 64-bit words for each text."""
     counts, total = np.zeros((len(texts), 64 * words), np.int64), np.zeros(len(texts), np.int64)
@@ -90,13 +63,13 @@ def fingerprints(texts: list[bytes], size: int = SHINGLE, words: int = 1) -> np.
             starts = np.cumsum([0] + [len(x) for x in held[:-1]])
             hashes, rows = np.array([y for x in held for y in x], np.uint64), np.array(of)
             for k in range(words):
-                np.add.at(counts, (rows[:, None], np.arange(64 * k, 64 * k + 64)[None, :]), _count_bits(_remix(hashes, k), starts))
+                np.add.at(counts, (rows[:, None], np.arange(64 * k, 64 * k + 64)[None, :]), _count_bits(remix(hashes, k), starts))
             held.clear()
             of.clear()
 
     waiting = 0
     for i, text in enumerate(texts):
-        for some in _shingle_hashes(text, size):
+        for some in shingle_hashes(text, size):
             held.append(some)
             of.append(i)
             total[i] += len(some)
@@ -281,126 +254,9 @@ def links(classes: DataFrame, radius: int = RADIUS, bucket: int = BUCKET, tile:
     return _compared(rows, radius, tile)
 
 
-def _multipliers() -> np.ndarray:
-    """An odd multiplier and a shift for each minimum hash."""
-    z = _remix(np.arange(1, 2 * MIN_BANDS * MIN_ROWS + 1, dtype=np.uint64), 1).reshape(2, MIN_BANDS, MIN_ROWS)
-    z[0] |= np.uint64(1)
-    return z
-
-
 def _min_bands(flat: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """The band keys of each set of hashes, a column a band; sets are not empty. The hashes are well mixed already, so
-    that multiply and add give the orders of which the minima are taken."""
-    out, (times, plus) = np.empty((len(starts), MIN_BANDS), np.uint64), _multipliers()
-    for b in range(MIN_BANDS):
-        key = np.full(len(starts), np.uint64(b))
-        for r in range(MIN_ROWS):
-            key = _remix(key ^ np.minimum.reduceat(flat * times[b, r] + plus[b, r], starts), 1)
-        out[:, b] = key
-    return out.view(np.int64)
-
-
-def _shingle_set(text: bytes, size: int) -> np.ndarray:
-    some = [np.array(x, np.uint64) for x in _shingle_hashes(text, size)]
-    return np.unique(np.concatenate(some)) if some else np.zeros(0, np.uint64)
-
-
-def _sketches(size: int):
-    """(id, text) -> (id, f1, f2, n, bands): the hash of the set of shingles, its size, and its band keys (none if it is empty)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i, j, values in texts(batch.column(1), 1 << 20):
-                part, sets = batch.slice(i, j - i), [_shingle_set(text, size) for text in values]
-                bands: list = [()] * len(sets)
-                full = [k for k, x in enumerate(sets) if len(x)]
-                lens = np.cumsum([0] + [len(sets[k]) for k in full])
-                at = 0
-                while at < len(full):  # about 65,000 hashes at once
-                    e = max(at + 1, int(np.searchsorted(lens, lens[at] + (1 << 16), "right")) - 1)
-                    for k, row in zip(full[at:e], _min_bands(np.concatenate([sets[k] for k in full[at:e]]), lens[at:e] - lens[at]), strict=True):
-                        bands[k] = row
-                    at = e
-                name = np.frombuffer(b"".join(xxhash.xxh3_128_digest(x.tobytes()) for x in sets), np.int64).reshape(-1, 2)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(name[:, 0]), pa.array(name[:, 1]), pa.array([len(x) for x in sets], pa.int64()), pa.array(bands, pa.list_(pa.int64()))],
-                    names=["id", "f1", "f2", "n", "bands"],
-                )
-
-    return run
-
-
-def set_forest(sets: list[np.ndarray], left: int, similarity: float) -> tuple[list[int], list[int]]:
-    """A spanning forest of the pairs of sets with at least this Jaccard similarity: of all sets, or, if left is not 0,
-    of pairs of one of the first `left` sets with one of the others."""
-    n, size = len(sets), np.array([len(x) for x in sets])
-    starts = np.cumsum(size) - size
-    values, code = np.unique(np.concatenate(sets), return_inverse=True)
-    mark, label = np.zeros(len(values), bool), np.arange(n)
-    u: list[int] = []
-    v: list[int] = []
-    for i in range(left or n):
-        other = np.arange(left or i + 1, n)
-        lower, upper = np.minimum(size[other], size[i]), np.maximum(size[other], size[i])
-        other = other[(label[other] != label[i]) & (lower / upper >= similarity)]
-        if not len(other):
-            continue
-        own = code[starts[i] : starts[i] + size[i]]
-        mark[own] = True
-        if 2 * len(other) > n:
-            both = np.add.reduceat(mark[code], starts, dtype=np.int64)[other]
-        else:
-            begin = np.cumsum(size[other]) - size[other]
-            both = np.add.reduceat(mark[code[np.arange(size[other].sum()) + np.repeat(starts[other] - begin, size[other])]], begin, dtype=np.int64)
-        mark[own] = False
-        hits = other[both / (size[i] + size[other] - both) >= similarity]
-        labels, first = np.unique(label[hits], return_index=True)
-        u += [i] * len(first)
-        v += hits[first].tolist()
-        label[np.isin(label, labels)] = label[i]
-    return u, v
-
-
-def _verify_cells(similarity: float, size: int):
-    """Rows (bucket, a, b, tile, whole, c, text) sorted by cell -> links (whole, u, v) of classes; a cell can go over
-    several batches. In a cell that is a whole component, every class is linked to the least of its group."""
-
-    def solve(tile: np.ndarray, two: bool, whole: bool, c: np.ndarray, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        left = int((tile == tile.min()).sum()) if two else 0
-        order = np.argsort(tile, kind="stable")
-        c, sets = c[order], [_shingle_set(texts[k], size) for k in order]
-        if two and left == len(c):
-            return c[:0], c[:0]
-        u, v = set_forest(sets, left, similarity)
-        if not whole:
-            return c[u], c[v]
-        root = np.arange(len(c))
-        for a, b in zip(u, v, strict=True):
-            x, y = sorted((root[a], root[b]), key=lambda k: c[k])
-            root[root == y] = x
-        moved = np.flatnonzero(root != np.arange(len(c)))
-        return c[moved], c[root[moved]]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: pa.Table | None = None
-        for batch in itertools.chain(batches, [None]):
-            if batch is not None and not batch.num_rows:
-                continue
-            if batch is None and rest is None:
-                return
-            rows = rest if batch is None else pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
-            cell = np.stack([rows.column(k).to_numpy().astype(np.int64) for k in range(5)], axis=1)
-            cut = np.append(np.flatnonzero(np.append(True, (cell[1:, :3] != cell[:-1, :3]).any(axis=1))), len(cell))
-            rest = None if batch is None else rows.slice(int(cut[-2]))
-            for s, e in itertools.pairwise(cut if batch is None else cut[:-1]):
-                if e - s < 2:
-                    continue
-                texts = as_binary(rows.column("text").slice(s, e - s)).to_pylist()
-                u, v = solve(cell[s:e, 3], cell[s, 1] != cell[s, 2], bool(cell[s, 4]), rows.column("c").slice(s, e - s).to_numpy(), texts)
-                if len(u):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(u), bool(cell[s, 4]))), pa.array(u), pa.array(v)], names=["whole", "u", "v"])
-
-    return run
+    """The band keys of each set of hashes, a column a band; sets are not empty."""
+    return min_keys(flat, starts, MIN_BANDS, MIN_ROWS)
 
 
 def _named(kept: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
@@ -413,25 +269,11 @@ def _named(kept: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
 def _similar_classes(docs: DataFrame, text_col: str, id_col: str, similarity: float, size: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Sketches (id, f1, f2), classes (f1, f2, c), and (node, root) of the classes that are not the least of their group.
     Ids are unique whole numbers, and a class goes by its least id."""
-    spark = docs.sparkSession
     base = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    sketch = stored(base.mapInArrow(_sketches(size), "id long, f1 long, f2 long, n long, bands array<long>"), "sketches")
+    sketch = stored(base.mapInArrow(sketches(size, _min_bands), "id long, f1 long, f2 long, n long, bands array<long>"), "sketches")
     classes = stored(sketch.groupBy("f1", "f2").agg(F.min("id").alias("c"), F.first("n").alias("n"), F.first("bands").alias("bands")), "classes")
-    rows = classes.select(F.explode("bands").alias("bucket"), "c")
-    heads = rows.groupBy("bucket").agg(F.min("c").alias("v"), F.count(F.lit(1)).alias("k")).filter("k > 1").select("bucket", "v")
-    roots = components(rows.join(heads, "bucket").select(F.col("c").alias("u"), "v").filter("u != v").distinct(), "candidates")
-    roots = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())  # a root is no node of its own
-    one = classes.select("c", "n").join(roots.withColumnRenamed("node", "c"), "c")
-    tiles = one.groupBy("root").agg(F.ceil(F.sum("n") * 8 / SET_TILE).cast("int").alias("tiles"))
-    one = stored(one.join(tiles, "root").select("c", F.col("root").alias("bucket"), "tiles"), "members")
-    cells = (
-        base.join(one, base["id"] == one["c"]).withColumn("tile", F.pmod(F.xxhash64("c", F.lit(7)), F.col("tiles")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-        .select("bucket", F.least("tile", "other").alias("a"), F.greatest("tile", "other").alias("b"), "tile", (F.col("tiles") == 1).cast("int").alias("whole"), "c", "text")
-    )
-    found = stored(cells.repartition(partitions(spark), "bucket", "a", "b").sortWithinPartitions("bucket", "a", "b").mapInArrow(_verify_cells(similarity, size), "whole boolean, u long, v long"), "links")
-    settled = found.filter("whole").select(F.col("u").alias("node"), F.col("v").alias("root"))
-    return sketch.select("id", "f1", "f2"), classes.select("f1", "f2", "c"), settled.unionByName(components(found.filter("not whole").select("u", "v"), "similar"))
+    found = verified(base, classes.select("c", "n"), classes.select(F.explode("bands").alias("bucket"), "c"), similarity, size, SET_TILE)
+    return sketch.select("id", "f1", "f2"), classes.select("f1", "f2", "c"), components(found, "similar")
 
 
 def similar_groups(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", similarity: float = SIMILARITY, size: int = SIMILAR_SHINGLE) -> DataFrame:
@@ -455,10 +297,11 @@ def keep_one(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") ->
     """The rows of docs that are the first of their group of similar texts, by id (nulls last) and, among equal ids, by content.
 
     Null and empty texts are one group. Rows keep all their columns, whatever their names."""
-    base = with_order(docs, id_col, "__uid")
-    _, classes, moved = _similar_classes(base, text_col, "__uid", SIMILARITY, SIMILAR_SHINGLE)
-    first = classes.select(F.col("c").alias("__uid")).join(moved.select(F.col("node").alias("__uid")), "__uid", "left_anti")
-    return base.join(first, "__uid", "left_semi").select(*[f"`{c}`" for c in docs.columns])
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")  # so that no column can clash with the handle
+    base = with_order(docs.select(row, F.col(f"`{id_col}`").alias("own"), F.col(f"`{text_col}`").cast("string").alias("text")), "own")
+    _, classes, moved = _similar_classes(base, "text", "uid", SIMILARITY, SIMILAR_SHINGLE)
+    first = classes.select(F.col("c").alias("uid")).join(moved.select(F.col("node").alias("uid")), "uid", "left_anti")
+    return base.join(first, "uid", "left_semi").select("row.*")
 
 
 def op10_simhash(spark, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ import numpy as np
 import xxhash
 
 from strandline.llm import simhash as sh
+from strandline.llm.set_links import shingle_set
 
 
 def brute_fp(text):
@@ -168,7 +169,7 @@ def test_near_copies_equal_all_pairs_of_the_table(spark):
     """Every pair of the table at 0.8 or more is joined, and nothing below it is, but by a chain of such pairs."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = {r["id"]: r["component_id"] for r in sh.similar_groups(docs).collect()}
-    rows = [(r["doc_id"], sh._shingle_set((r["text"] or "").encode(), 5)) for r in docs.select("doc_id", "text").collect()]
+    rows = [(r["doc_id"], shingle_set((r["text"] or "").encode(), 5)) for r in docs.select("doc_id", "text").collect()]
     owner = np.concatenate([np.full(len(x), k) for k, (_, x) in enumerate(rows)])
     values = np.concatenate([x for _, x in rows])
     order = np.argsort(values, kind="stable")
