@@ -5,6 +5,8 @@ from __future__ import annotations
 import contextlib
 import json
 import os
+import threading
+import time
 import uuid
 from dataclasses import dataclass, fields, replace
 from datetime import UTC, datetime
@@ -13,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.operators import cascade, ledger, sequence
+from strandline.operators.versioned import Ledger
 
 
 @dataclass(frozen=True)
@@ -168,19 +171,68 @@ def atomic_json(spark: SparkSession, path: str, value: dict) -> None:
     context.rename(of(temp), of(path), options)
 
 
+#: Seconds between heartbeats of a lock, and without one after which its owner counts as gone.
+BEAT, STALE = 10.0, 120.0
+
+
 @contextlib.contextmanager
-def exclusive(spark: SparkSession, path: str):
-    """One run at a time for a ledger: the lock is a file that only one process can create."""
+def exclusive(spark: SparkSession, path: str, beat: float = BEAT, stale: float = STALE):
+    """One run at a time for a ledger: the lock is a file that only one process can create, and that its owner touches every
+    `beat` seconds. A lock without a heartbeat for `stale` seconds was left by a process that ended, and is taken over: of
+    several that try, one can rename it away. A run that only paused so long finds out at its commit, which another version
+    refuses to overwrite."""
     fs, of = _fs(spark, path)
-    lock = of(f"{path}.lock")
-    try:
-        fs.create(lock, False).close()
-    except Exception as error:
-        raise RuntimeError(f"another run holds {path}.lock") from error
+    lock, mine = of(f"{path}.lock"), uuid.uuid4().hex
+
+    def owner() -> str | None:
+        try:
+            stream = fs.open(lock)
+            try:
+                return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            finally:
+                stream.close()
+        except Exception:  # noqa: BLE001 - gone or being written: not ours
+            return None
+
+    def create() -> bool:
+        try:
+            out = fs.create(lock, False)
+        except Exception:  # noqa: BLE001 - it exists
+            return False
+        out.write(bytearray(mine.encode()))
+        out.close()
+        return True
+
+    if not create():
+        try:
+            silent = time.time() - fs.getFileStatus(lock).getModificationTime() / 1000
+        except Exception:  # noqa: BLE001 - given up just now
+            silent = stale
+        if silent >= stale:
+            aside = of(f"{path}.lock.{mine}")
+            with contextlib.suppress(Exception):
+                if fs.rename(lock, aside):
+                    fs.delete(aside, False)
+        if silent < stale or not create():
+            raise RuntimeError(f"another run holds {path}.lock")
+    done = threading.Event()
+
+    def keep_alive() -> None:
+        while not done.wait(beat):
+            with contextlib.suppress(Exception):
+                if owner() == mine:
+                    now = int(time.time() * 1000)
+                    fs.setTimes(lock, now, now)
+
+    beats = threading.Thread(target=keep_alive, daemon=True)
+    beats.start()
     try:
         yield
     finally:
-        fs.delete(lock, False)
+        done.set()
+        beats.join()
+        if owner() == mine:
+            fs.delete(lock, False)
 
 
 def enough_space(spark: SparkSession, path: str, gib: float) -> None:
@@ -193,7 +245,8 @@ def enough_space(spark: SparkSession, path: str, gib: float) -> None:
 def run(spark: SparkSession, observations: DataFrame, path: str, config: RunConfig = RunConfig(), sink=None) -> dict:
     """Process what the ledger at `path` lacks; returns status, counts and whether all keys are covered.
 
-    observations: (series string, seq, v). The ledger is written beside the old one, checked, and then put in its place."""
+    observations: (series string, seq, v). The new segments are one commit to the ledger (`versioned.Ledger`), which is
+    checked before it counts."""
     events = Events(config.name, sink)
     with exclusive(spark, path):
         enough_space(spark, path, config.free_gib)
@@ -201,16 +254,15 @@ def run(spark: SparkSession, observations: DataFrame, path: str, config: RunConf
 
 
 def _run(spark: SparkSession, observations: DataFrame, path: str, config: RunConfig, events: Events) -> dict:
-    book = spark.read.schema(LEDGER).parquet(path) if ledger.recover(spark, path) else spark.createDataFrame([], LEDGER)
+    log = Ledger(spark, path, LEDGER, ["series", "first_seq", "last_seq"])
+    book = log.read()
     ledger.guard(book, config.settings())
     events.emit("job_started", settings=config.settings())
     try:
         resolved = resolve(observations, config)
         waiting = deferred(resolved) if config.open else spark.createDataFrame([], "series string, seq long")
         new = segments(resolved, plan(observations.join(waiting, ["series", "seq"], "left_anti"), book, config), config)
-        whole = ledger.upsert(book, new, ["series", "first_seq", "last_seq"])
-        ledger.replace(whole, path)
-        book = spark.read.schema(LEDGER).parquet(path)
+        book = log.read(log.commit(new, properties={"config_sha256": ledger.config_hash(config.settings())}))
         spans = book.filter("verified").select("series", F.explode(F.sequence("first_seq", "last_seq")).alias("seq"))
         missing = observations.select("series", "seq").join(spans, ["series", "seq"], "left_anti").count()
         total = book.agg(F.sum("rows").alias("rows"), F.sum("included").alias("included"), F.count(F.lit(1)).alias("segments")).first()

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from strandline.functions import kernels, scalars
 from strandline.operators import candidates, gates, ledger, stats
 from strandline.operators.stats import fixed
+from strandline.operators.versioned import Ledger
 from strandline.plans.registry import fx, query, table
 from strandline.session import scratch
 
@@ -154,12 +155,31 @@ def canonical_hash(spark, sf_dir):
     return b.select("item_id", F.sha2(F.to_json(F.struct("item_id", F.char_length("text").alias("length"))), 256).alias("digest"))
 
 
-@query("config_hash_guard", "select sha256('{\"limit\":45,\"radius\":4}') as digest, true as may_resume")
+@query("config_hash_guard", """select n_regionkey, sha256('{"limit":45,"radius":' || n_regionkey || '}') as digest, n_regionkey = 2 as may_resume, count(*) as n from nation group by n_regionkey""")
 def config_hash_guard(spark, sf_dir):
-    digest = ledger.config_hash({"radius": 4, "limit": 45})
-    book = spark.range(1).select(F.lit(digest).alias("config_sha256"))
-    ledger.guard(book, {"limit": 45, "radius": 4})
-    return book.select(F.col("config_sha256").alias("digest"), F.lit(True).alias("may_resume"))
+    """A ledger with a segment for each nation, written under the settings of its region; which segments a run with radius 2
+    may resume."""
+    digest = F.sha2(F.to_json(F.struct(F.lit(45).alias("limit"), F.col("n_regionkey").cast("long").alias("radius"))), 256)
+    rows = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("long").alias("segment"), F.col("n_regionkey").cast("long").alias("n_regionkey"), digest.alias("config_sha256"))
+    log = Ledger(spark, f"{scratch(spark)}/ledger-{uuid.uuid4().hex}", rows.schema, ["segment"])
+    book = log.read(log.commit(rows))
+    config = {"radius": 2, "limit": 45}
+    ledger.guard(book.filter("n_regionkey = 2"), config)  # raises if these were written with other settings
+    found = book.groupBy("n_regionkey", F.col("config_sha256").alias("digest")).agg(F.count(F.lit(1)).alias("n"))
+    return found.withColumn("may_resume", F.col("digest") == ledger.config_hash(config))
+
+
+_VERSION = "select {0} as version, l_orderkey, l_linenumber, q from (select *, row_number() over (partition by l_orderkey order by l_linenumber desc) as rn from s where l_linenumber <= {0}) where rn = 1"
+
+
+@query("ledger_versions", f"with s as (select l_orderkey, l_linenumber, sum(l_quantity) as q from lineitem where l_linenumber <= 3 group by all) {_VERSION.format(2)} union all {_VERSION.format(3)}")
+def ledger_versions(spark, sf_dir):
+    """Three commits that replace an order's row by that of its next line, one of them replayed, then versions 2 and 3."""
+    line = table(spark, sf_dir, "lineitem").filter("l_linenumber <= 3").groupBy("l_orderkey", "l_linenumber").agg(F.sum("l_quantity").alias("q"))
+    log = Ledger(spark, f"{scratch(spark)}/ledger-{uuid.uuid4().hex}", line.schema, ["l_orderkey"])
+    for batch in (1, 2, 2, 1, 3):
+        log.commit(line.filter(F.col("l_linenumber") == batch), "lines", batch)
+    return log.read(2).withColumn("version", F.lit(2)).unionByName(log.read(3).withColumn("version", F.lit(3)))
 
 
 @query("bit_unpack", "select l_orderkey, l_linenumber, l_partkey, (l_partkey & 4095)::bigint as low12, ((l_orderkey >> 4) & 4095)::bigint as high12, (((l_partkey & 15) << 8) | (l_suppkey & 255))::bigint as packed from lineitem")

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from strandline.operators.fold import fold_sorted
-from strandline.operators.ledger import config_hash, latest, recover, replace, upsert
+from strandline.operators.ledger import config_hash, latest
+from strandline.operators.versioned import Ledger
 
 SEED, WINDOW, TOLERANCE = 5, 25, 40.0
 STATE_VERSION = 1
@@ -116,19 +117,13 @@ def rolling_model_stream(df: DataFrame, series: str, seq: str, value: str) -> Da
 
 
 def to_ledger(path: str, key: list[str], newest):
-    """A foreachBatch function that upserts each micro-batch into a Parquet ledger, with the batch's number in `batch_id`.
+    """A foreachBatch function that commits each micro-batch to the ledger at `path` (`versioned.Ledger`), with the batch's
+    number in `batch_id`. A commit writes the batch's rows and a manifest, whatever the size of the ledger.
 
     A batch that the ledger holds already, and any batch before it, is not applied again: replaying changes nothing."""
 
     def commit(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         new = latest(batch, key, newest).withColumn("batch_id", F.lit(batch_id).cast("long"))
-        if not recover(spark, path):
-            replace(new, path)
-            return
-        book = spark.read.parquet(path)
-        done = book.agg(F.max("batch_id").alias("b")).first()["b"]
-        if done is None or batch_id > done:
-            replace(upsert(book, new, key), path)
+        Ledger(batch.sparkSession, path, new.schema, key).commit(new, "stream", batch_id)
 
     return commit

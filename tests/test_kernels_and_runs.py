@@ -1,5 +1,7 @@
 import hashlib
 import json
+import os
+import time
 
 import numpy as np
 import pytest
@@ -152,6 +154,22 @@ def test_run_control(spark, tmp_path):
         assert json.loads((tmp_path / "x.json").read_text()) == value
 
 
+def test_a_lock_left_by_a_killed_run_is_taken_over(spark, tmp_path):
+    path, lock = str(tmp_path / "book"), tmp_path / "book.lock"
+    lock.write_text("some process that was killed")
+    os.utime(lock, (1, 1))
+    with runner.exclusive(spark, path, beat=0.1, stale=5):
+        assert lock.read_text() != "some process that was killed"
+        os.utime(lock, (1, 1))
+        time.sleep(1)  # heartbeats
+        assert time.time() - lock.stat().st_mtime < 5
+        with pytest.raises(RuntimeError, match="another run"), runner.exclusive(spark, path, stale=5):
+            pass
+        lock.write_text("another process")  # as if this one had paused and lost it
+    assert lock.read_text() == "another process"
+    lock.unlink()
+
+
 def test_settings_from_json():
     load = runner.RunConfig.load
     assert load('{"run": {"batch": 7}, "gate": {"limit": 3.5}}') == runner.RunConfig(batch=7, limit=3.5)
