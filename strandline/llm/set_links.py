@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from strandline.llm.common import as_binary, partitions, stored, texts
 from strandline.llm.components import components
 
-#: Bytes of sets in one tile.
-SET_TILE = 1 << 22
+#: Bytes of sets in one tile, and the most classes with candidates whose ids (8 bytes each) are broadcast to pick their texts.
+SET_TILE, IDS = 1 << 22, 1_000_000
 
 
 def shingle_hashes(text: bytes, size: int, block: int = 1 << 17) -> Iterator[list[int]]:
@@ -197,7 +197,10 @@ def verified(base: DataFrame, classes: DataFrame, buckets: DataFrame, similarity
     members = stored(members.join(sizes, "root"), "members")
     tiles = lambda b: F.ceil(b / F.lit(tile)).cast("int")
     dealt = lambda by: F.pmod(F.xxhash64("c", F.lit(7)), F.greatest(by, F.lit(1))).cast("int")
-    with_text = lambda rows: base.withColumnRenamed("id", "c").join(rows, "c")
+    few = members.limit(IDS + 1).count() <= IDS
+    ids = members.select(F.col("c").alias("id"))
+    texts_of = stored(base.join(F.broadcast(ids) if few else ids, "id").select(F.col("id").alias("c"), "text"), "texts")
+    with_text = lambda rows: texts_of.join(rows, "c")
 
     large = members.filter(F.col("bytes") > tile)
     spokes = large.filter("c != root").select(F.col("root").alias("g"), dealt(tiles(F.col("bytes"))).alias("tile"), F.lit(1).alias("lead"), "c")
