@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -16,13 +16,57 @@ def merge(df: DataFrame, key: str, start: str, end: str) -> DataFrame:
     return held.groupBy(key, "__g").agg(F.min(start).alias(start), F.max(end).alias(end)).drop("__g")
 
 
+def _shift(x: Column, k: Column) -> Column:
+    return F.call_function("shiftright", x, k.cast("int"))
+
+
+def cover(first: Column, last: Column) -> Column:
+    """The dyadic nodes (level, node) that make up the cells first ... last: at most two of a level. Node n of level k is the
+    cells n * 2 ** k up to the next such number."""
+    levels = F.sequence(F.lit(0), F.ceil(F.log2((last - first + 1).cast("double"))).cast("int"))
+
+    def of(k: Column) -> Column:
+        low = _shift(first + F.call_function("shiftleft", F.lit(1).cast("long"), k) - 1, k)  # rounded up
+        high = _shift(last + 1, k)
+        left = F.when((low % 2 != 0) & (low < high), F.struct(k.alias("level"), low.alias("node")))
+        right = F.when((high % 2 != 0) & (low + F.abs(low % 2) < high), F.struct(k.alias("level"), (high - 1).alias("node")))
+        return F.array(left, right)
+
+    return F.array_compact(F.flatten(F.transform(levels, of)))
+
+
+def meetings(left: DataFrame, right: DataFrame, key: str, start: str, end: str, width: float) -> DataFrame:
+    """Pairs of overlapping intervals [start, end) of two tables with a key: (key, a_start, a_end, b_start, b_end), once each.
+
+    Two intervals overlap if one's start lies in the other. An interval is cut into the dyadic nodes that cover it in cells
+    of `width`, at most 2 log2(length / width) of them, and a start meets the nodes above its cell, so lengths may differ
+    by any factor. Empty intervals meet nothing."""
+    cell = lambda c: F.floor(c / width).cast("long")
+
+    def cut(df: DataFrame, name: str) -> DataFrame:
+        own = df.select(key, F.col(start).alias(f"{name}_start"), F.col(end).alias(f"{name}_end")).filter(F.col(f"{name}_start") < F.col(f"{name}_end"))
+        return own.withColumn("__a", cell(F.col(f"{name}_start"))).withColumn("__z", cell(F.col(f"{name}_end")))
+
+    a, b = cut(left, "a"), cut(right, "b")
+    longest = lambda df: df.agg(F.max(F.col("__z") - F.col("__a"))).first()[0] or 0
+    above = max(longest(a), longest(b)).bit_length()  # no node of a higher level is used
+
+    def nodes(df: DataFrame, covers: int) -> DataFrame:
+        points = F.transform(F.sequence(F.lit(0), F.lit(above)), lambda k: F.struct(k.alias("level"), _shift(F.col("__a"), k).alias("node")))
+        role = lambda r, x: F.transform(x, lambda n: F.struct(F.lit(r).alias("role"), n["level"].alias("level"), n["node"].alias("node")))
+        both = F.concat(role(covers, cover(F.col("__a"), F.col("__z"))), role(1 - covers, points))
+        return df.withColumn("__n", F.explode(both)).select("*", "__n.role", "__n.level", "__n.node").drop("__a", "__z", "__n")
+
+    met = nodes(a, 0).join(nodes(b, 1), [key, "role", "level", "node"])
+    inside = (F.col("role") == 0) & (F.col("a_start") <= F.col("b_start")) & (F.col("b_start") < F.col("a_end"))
+    other = (F.col("role") == 1) & (F.col("b_start") < F.col("a_start")) & (F.col("a_start") < F.col("b_end"))
+    return met.filter(inside | other).drop("role", "level", "node")
+
+
 def overlap(left: DataFrame, right: DataFrame, key: str, start: str, end: str, width: float) -> DataFrame:
-    """Total overlap of two interval tables per key. Both are cut into cells of `width`, and pairs meet in the cell
-    where the later start lies, so no pair is compared twice and no key is compared as a whole."""
-    cell = lambda c: F.floor(F.col(c) / width).cast("long")
-    spread = lambda df, s: df.select(key, F.col(start).alias(f"{s}s"), F.col(end).alias(f"{s}e")).withColumn("cell", F.explode(F.sequence(cell(f"{s}s"), F.greatest(cell(f"{s}s"), cell(f"{s}e")))))
-    pairs = spread(left, "a").join(spread(right, "b"), [key, "cell"]).filter("as < be and bs < ae")
-    return pairs.filter(F.col("cell") == F.greatest(cell("as"), cell("bs"))).groupBy(key).agg(F.sum(F.least("ae", "be") - F.greatest("as", "bs")).alias("overlap"))
+    """Total overlap of two interval tables per key, over all pairs (`meetings`)."""
+    length = F.least("a_end", "b_end") - F.greatest("a_start", "b_start")
+    return meetings(left, right, key, start, end, width).groupBy(key).agg(F.sum(length).alias("overlap"))
 
 
 def outside_ranges(df: DataFrame, seq: str, ranges: list[tuple[int, int]]) -> DataFrame:
