@@ -191,6 +191,17 @@ def bit_unpack(spark, sf_dir):
     )
 
 
+@query("packed_round_trip", "select (l_partkey & 4095)::int as value, count(*) as n from lineitem group by 1")
+def packed_round_trip(spark, sf_dir):
+    """Low 12 bits written as packed files by the data source's writer, and read back in ranges."""
+    from strandline.sources import packed
+
+    packed.register(spark)
+    path = f"{scratch(spark)}/packed-{uuid.uuid4().hex}"
+    _line(spark, sf_dir, "l_partkey").select(F.col("l_partkey").bitwiseAND(4095).cast("int").alias("value")).write.format("packed12").mode("append").save(path)
+    return spark.read.format("packed12").option("range", 1 << 16).load(path).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("to_json_row", "select n_nationkey, '{\"key\":' || n_nationkey || ',\"name\":\"' || n_name || '\"}' as row from nation")
 def to_json_row(spark, sf_dir):
     return table(spark, sf_dir, "nation").select("n_nationkey", F.to_json(F.struct(F.col("n_nationkey").alias("key"), F.col("n_name").alias("name"))).alias("row"))
