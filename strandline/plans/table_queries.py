@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from strandline.functions import kernels, scalars
-from strandline.operators import candidates, gates, ledger, stats
+from strandline.operators import candidates, cells, fit, gates, ledger, stats
 from strandline.operators.stats import fixed
 from strandline.operators.versioned import Ledger
 from strandline.plans.registry import fx, query, table
@@ -449,6 +449,44 @@ def similarity_topk_margin(spark, sf_dir):
     return best.join(own, "vec_id").join(other, "best").select("vec_id", "best", (F.col("__own") == F.col("__other")).alias("agrees"), fixed(F.col("margin"), 5).alias("margin_e5"))
 
 
+_TERMS = ("r", "g", "b", "sqrt_r", "sqrt_g", "sqrt_b", "rr", "gg", "bb", "rg", "rb", "gb")
+
+
+@query("least_squares_multi", f"""with t as (select unnest([{', '.join(repr(t) for t in ('1', *_TERMS))}]) as term), y as (select unnest(['a', 'b', 'c']) as target),
+    n as (select label, count(*) as n, sum(abs(embedding[4]::double)) + sum(abs(embedding[5]::double)) + sum(abs(embedding[6]::double)) as size from embeddings group by label)
+    select label, target, term, n, 12 as rank, 0::bigint as left_e6, {fx('size', 3)} as size_e3 from n, y, t""")
+def least_squares_multi(spark, sf_dir):
+    """Three targets on 12 polynomial terms and a constant, by label. Of a fit that is right nothing is left: in every group the
+    residuals of a target add up to zero, and so do their products with each term."""
+    e = table(spark, sf_dir, "embeddings").withColumn("v", F.transform("embedding", lambda x: x.cast("double")))
+    e = e.withColumn("x", scalars.polynomial(*[F.abs(F.col("v")[k]) for k in range(3)])).select("label", "v", "x")
+    terms = {t: F.col("x")[k + 1] for k, t in enumerate(_TERMS)}
+    targets = {t: F.col("v")[k + 3] for k, t in enumerate("abc")}
+    model = fit.fit(e, "label", terms, targets)
+    left = fit.residuals(e, "label", terms, targets, model)
+    whole = {"1": F.lit(1.0), **terms}
+    sums = F.array(*[F.struct(F.lit(t).alias("target"), F.lit(n).alias("term"), F.sum(F.col("residuals")[k] * x).alias("s")) for k, t in enumerate(targets) for n, x in whole.items()])
+    size = sum((F.sum(F.abs(y)) for y in targets.values()), F.lit(0.0))
+    found = left.groupBy("label").agg(sums.alias("sums"), fixed(size, 3).alias("size_e3")).select("label", "size_e3", F.explode("sums").alias("p"))
+    return found.join(model.select("label", "target", "n", "rank"), (found["label"] == model["label"]) & (F.col("p.target") == F.col("target"))).select(
+        found["label"], "target", F.col("p.term").alias("term"), "n", "rank", fixed(F.abs(F.col("p.s")), 6).alias("left_e6"), "size_e3"
+    )
+
+
+_LIT = "lit as (select distinct l_suppkey % 3 as grid, (l_partkey // 40) % 60 as y, l_partkey % 40 as x from lineitem where l_partkey < 2400 and (l_partkey * 7919) % 11 < 5)"
+
+
+@query("cell_components", f"""with recursive {_LIT}, n as (select a.grid, a.y, a.x, b.y as v, b.x as u from lit a join lit b on a.grid = b.grid and abs(a.y - b.y) <= 1 and abs(a.x - b.x) <= 1),
+    r as (select grid, y, x, y as ry, x as rx from lit union select n.grid, n.v, n.u, r.ry, r.rx from r join n on n.grid = r.grid and n.y = r.y and n.x = r.x where (r.ry, r.rx) < (n.v, n.u)),
+    m as (select grid, y, x, min((ry, rx)) as root from (select grid, y, x, ry, rx from r) group by all) select grid, root[1] as first_line, root[2] as first_at, count(*) as area, min(y) as top, max(y) as bottom, min(x) as left_x, max(x) as right_x, {fx('avg(y)', 3)} as y_e3, {fx('avg(x)', 3)} as x_e3 from m group by grid, root""")
+def cell_components(spark, sf_dir):
+    """Connected components, corners included, of the lit cells of three grids."""
+    p = F.col("l_partkey")
+    lit = table(spark, sf_dir, "lineitem").filter((p < 2400) & ((p * 7919) % 11 < 5)).select((F.col("l_suppkey") % 3).alias("grid"), F.expr("(l_partkey div 40) % 60").alias("y"), (p % 40).alias("x")).distinct()
+    found = cells.components(lit, "grid", "y", "x")
+    return found.select("grid", "first_line", "first_at", "area", "top", "bottom", F.col("left").alias("left_x"), F.col("right").alias("right_x"), fixed(F.col("y"), 3).alias("y_e3"), fixed(F.col("x"), 3).alias("x_e3"))
+
+
 @query("set_except", "select distinct c_nationkey as k from customer except select s_nationkey from supplier where s_acctbal > 5000")
 def set_except(spark, sf_dir):
     return table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("k")).distinct().subtract(table(spark, sf_dir, "supplier").filter("s_acctbal > 5000").select("s_nationkey"))
