@@ -522,16 +522,19 @@ def _entropies(model: Blocks):
 
 
 def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id") -> Identifier:
-    """Learn from all rows of docs that have a text and a language. A bounded set of them is left out of a first model and
-    calibrates scores and rejection with it; the model that predicts has their counts too."""
+    """Learn from all rows of docs that have a text and a language. At most CALIBRATION different ones, chosen by the hashes of
+    whole rows, are left out of a first model and calibrate scores and rejection with it; the model that predicts has
+    their counts too. Ids may repeat: equal rows count once for the calibration."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).filter("lang is not null and text is not null")
-    apart = [r["id"] for r in rows.filter("crc32(cast(concat('calibrate', id) as binary)) % 20 = 0").select("id").orderBy(F.xxhash64("id"), "id").limit(CALIBRATION).collect()]
-    if not apart:
+    rows = rows.withColumn("h", F.xxhash64("id", "lang", "text"))
+    drawn = F.expr("crc32(cast(concat('calibrate', id) as binary)) % 20 = 0")
+    last = rows.filter(drawn).select("h").distinct().orderBy("h").limit(CALIBRATION).agg(F.max("h").alias("h")).first()["h"]
+    if last is None:
         return Identifier(build(stored(_grams(rows), "grams")))
-    held = F.coalesce(F.col("id").isin(apart), F.lit(False))
+    held = F.coalesce(drawn & (F.col("h") <= last), F.lit(False))
     first = stored(_grams(rows.filter(~held)), "grams")
     model = build(first)
-    found = rows.filter(held).select("lang", "text").mapInArrow(_entropies(model), "lang string, h array<double>, n long").collect() if model.langs else []
+    found = rows.filter(held).dropDuplicates(["h"]).select("lang", "text").mapInArrow(_entropies(model), "lang string, h array<double>, n long").collect() if model.langs else []
     calibrated = Identifier(model, np.array([r["h"] for r in found]).reshape(-1, len(model.langs)), np.array([r["n"] for r in found], np.int64), [r["lang"] for r in found])
     model.parts = []  # the driver's copies of the first model's blocks can go
     every = first.unionByName(_grams(rows.filter(held))).groupBy("lang", "gram").agg(F.sum("n").alias("n"))

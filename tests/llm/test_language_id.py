@@ -137,3 +137,22 @@ def test_no_string_is_left_out_and_blocks_equal_the_whole(spark, monkeypatch):
     assert len(known.model.parts) > 5 and len(known.model.cuts) == len(known.model.parts) - 1
     got, want = known.model.entropies(probes), whole.entropies(probes)
     assert np.allclose(got[0], want[0], rtol=1e-4) and (got[1] == want[1]).all()
+
+
+def test_calibration_is_bounded_when_an_id_repeats(spark, monkeypatch):
+    """One id on 3,000 different rows: no more than CALIBRATION rows come to the driver, and repeats of a row count once."""
+    monkeypatch.setattr(li, "CALIBRATION", 10)
+    got = []
+    real = li.Identifier.__init__
+
+    def watched(self, *args, **kw):
+        if len(args) > 1:
+            got.append(len(args[3]))
+        real(self, *args, **kw)
+
+    monkeypatch.setattr(li.Identifier, "__init__", watched)
+    rows = [(1 if k % 3 else None, f"the words of line {k % 1000} are these", "en") for k in range(3000)] + [(k, f"les mots de la ligne {k} sont ici", "fr") for k in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    known = li.learn(df)
+    assert got and max(got) <= 10
+    assert {r["lang_pred"] for r in li.identify(df.filter("lang = 'fr'"), known).collect()} == {"fr"}
