@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from strandline.operators import candidates, cascade, intervals, ledger, sequence, stats
+from strandline.operators import candidates, cascade, intervals, ledger, match, sequence, stats
 from strandline.operators.stats import fixed
 from strandline.plans.registry import EV, SQL, events, fx, query
 from strandline.session import scratch
@@ -470,6 +470,33 @@ def greedy_cluster_1d(spark, sf_dir):
     return candidates.cluster(events(spark, sf_dir), "series", "seq", "value", 6.0).select("series", "seq", "cluster")
 
 
+_TEMPLATE = [0.0, 1.0, 3.0, 1.0, 0.0, -2.0]
+
+
+@query("template_scores", f"""with {_ORD}, t as (select unnest(range({len(_TEMPLATE)})) as k, unnest({_TEMPLATE}) as y), p as (select a.seq, a.series, b.value as x, t.y from o a join t on true left join o b on b.series = a.series and b.i = a.i + t.k)
+    select seq, series, {fx("case when count(x) = 6 and max(x) > min(x) then corr(x, y) end", 5)} as score_e5 from p group by seq, series""")
+def template_scores(spark, sf_dir):
+    """Correlation of a template of six values with every window of every series."""
+    scored = match.correlate(events(spark, sf_dir), "series", "seq", "value", _TEMPLATE)
+    return scored.select("seq", "series", fixed(F.col("score"), 5).alias("score_e5"))
+
+
+_FEATURES = (("near", 4.0, "click", 1.0), ("far", 11.0, "purchase", 2.0), ("below", -6.0, "signup", 1.0))
+
+
+@query("feature_evidence", f"""with {EV}, f as (select * from (values {', '.join(f"({k}, '{n}', {o}, '{d}', {w})" for k, (n, o, d, w) in enumerate(_FEATURES))}) t(k, name, off, kind, weight)),
+    c as (select series, seq, value from e where event_type = 'view'), m as (select c.series, c.seq, f.k, min((round(abs(o.value - (c.value + f.off)), 9), o.event_type <> f.kind)) as b from c join f on true join e o on o.series = c.series and o.event_type <> 'view' and abs(o.value - (c.value + f.off)) <= 1.5 group by all),
+    s as (select c.series, c.seq, f.*, b is null as absent, coalesce(b[2], false) as wrong from c join f on true left join m on m.seq = c.seq and m.series = c.series and m.k = f.k),
+    j as (select series, seq, count(*) filter (not wrong and not absent) as supported, count(*) filter (wrong) as contradicted, count(*) filter (absent) as missing, sum(case when not wrong and not absent then weight else 0 end) - sum(case when wrong then weight else 0 end) as score, min((k, name)) filter (wrong) as w, min((k, name)) filter (absent) as m from s group by series, seq)
+    select series, seq, supported, contradicted, missing, {fx('score', 2)} as score_e2, case when score >= 1 then null when w is not null then 'contradicted: ' || w[2] when m is not null then 'missing: ' || m[2] else 'weak' end as reason from j""")
+def feature_evidence(spark, sf_dir):
+    """Views as candidates, judged by what lies at three offsets from them: supported, contradicted or missing."""
+    e = events(spark, sf_dir).select("series", "seq", "value", "event_type")
+    features = [match.Feature(*f) for f in _FEATURES]
+    judged = match.evidence(e.filter("event_type = 'view'"), e.filter("event_type <> 'view'"), "series", "seq", "value", "event_type", features, 1.5, 1.0, 1.0)
+    return judged.select("series", "seq", "supported", "contradicted", "missing", fixed(F.col("score"), 2).alias("score_e2"), "reason")
+
+
 @query("scan_contiguity", f"with {EV} select min(seq) as first_seq, max(seq) as last_seq, count(*) as n, count(distinct seq) as n_distinct, count(*) = max(seq) - min(seq) + 1 and count(distinct seq) = count(*) as contiguous from e")
 def scan_contiguity(spark, sf_dir):
     from strandline.sources.scan import contiguity
