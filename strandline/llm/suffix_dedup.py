@@ -16,7 +16,8 @@ A window is a string of `WINDOW` bytes at one start; a window is a repeat if the
    from themselves, into buckets of about BUCKET_RUNS runs or less; a token sequence that fills several buckets is dealt
    over all of them.
 4. Each bucket expands its runs into windows and sorts them by multikey quicksort: 8-byte words from the left, where
-   only the groups that are still equal go on to the next word. Equal neighbours are repeats of the first.
+   only the groups that are still equal go on to the next word. Equal neighbours are repeats of the first. Runs of one
+   anchor with more than LARGE windows are sorted one place of the anchor after the other, a window a run at a time.
 5. Windows of tokens that span buckets are compared across the bucket boundaries by a grouped minimum.
 
 Nulls and empty texts have no windows and lose nothing. Rows with equal or null ids, and ids that are not whole numbers,
@@ -41,7 +42,7 @@ WINDOW = 100
 GRAM = 32
 #: Runs sampled for the splitters and documents sampled for frequent anchors (both up to twice as many), the most runs
 #: that a bucket should hold, and the share of sampled documents from which on an anchor is frequent.
-SPLITTER_RUNS, ANCHOR_DOCS, BUCKET_RUNS, FREQUENT = 20_000, 2000, 1 << 20, 0.005
+SPLITTER_RUNS, ANCHOR_DOCS, BUCKET_RUNS, FREQUENT = 20_000, 2000, 1 << 18, 0.005
 
 _U = np.uint64
 _C1, _C2, _C3 = _U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F), _U(0x165667B19E3779F9)
@@ -203,6 +204,10 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([cu, du])), pa.array(np.concatenate([cl, dl])), pa.array(kind)], names=["uid", "loc", "kind"])
 
 
+#: Windows of one anchor's runs beyond which they are sorted place by place.
+LARGE = 400_000
+
+
 def _emit_suffixes(splitters: np.ndarray, window: int):
     """From (uid, text, locs): each run with its bytes, its leading tokens and its bucket."""
     lo_of, hi_of = (lambda x: np.searchsorted(splitters, x, "left")), (lambda x: np.searchsorted(splitters, x, "right"))
@@ -238,6 +243,14 @@ def _emit_suffixes(splitters: np.ndarray, window: int):
     return run
 
 
+def _gathered(data: np.ndarray, at: np.ndarray, n: int = 8) -> np.ndarray:
+    """The n bytes from each position on as a big-endian word: `_words8` for few positions of much data."""
+    word = np.zeros(len(at), np.uint64)
+    for k in range(n):
+        word = (word << _U(8)) | data[at + k].astype(np.uint64)
+    return word
+
+
 def multikey_order(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Order the rows of a matrix of big-endian words; also the class of each ordered row (equal rows share one).
 
@@ -296,6 +309,12 @@ def _sort_bucket(window: int):
             names=["kind", "uid", "s", "e", "d1", "d2"],
         )
 
+    def digest(words):
+        d1, d2 = np.full(len(words), _C1), np.full(len(words), _C3)
+        for d in range(width):
+            d1, d2 = _mix(d1 * _C2 + words[:, d]), _mix((d2 ^ words[:, d]) * _C2 + _C1)
+        return d1.view(np.int64), d2.view(np.int64)
+
     def solve(spanning, uid, loc, data, off):
         """One group of runs that share their anchors' leading tokens, or several such groups whole."""
         q0, n, ao = loc >> 16, (loc >> 8) & 255, loc & 255
@@ -313,11 +332,40 @@ def _sort_bucket(window: int):
         far = order[first]
         far = far[spanning[run[far]]]
         if len(far):
-            d1, d2 = np.full(len(far), _C1), np.full(len(far), _C3)
-            for d in range(width):
-                d1, d2 = _mix(d1 * _C2 + words[far, d]), _mix((d2 ^ words[far, d]) * _C2 + _C1)
             q = q0[run[far]] + o[far]
-            yield emit(1, uid[run[far]], q, q + window, (d1.view(np.int64), d2.view(np.int64)))
+            yield emit(1, uid[run[far]], q, q + window, digest(words[far]))
+
+    def solve_large(spanning, uid, loc, data, off, rows):
+        """One group with very many runs: equal windows have the anchor at the same place, so one place after another is
+        sorted, with one window a run. What repeats is kept as (run, offset) and joined to byte ranges at the end."""
+        rows = rows[np.lexsort((loc[rows] >> 16, uid[rows]))]  # by document and start
+        q0, n, ao = loc[rows] >> 16, (loc[rows] >> 8) & 255, loc[rows] & 255
+        again: list[np.ndarray] = []
+        for place in range(int((ao - n + 1).min()), int(ao.max()) + 1):
+            o = ao - place
+            own = np.flatnonzero((o >= 0) & (o < n))
+            if not len(own):
+                continue
+            start = off[rows[own]] + o[own]
+            words = np.stack([_gathered(data, start + 8 * d, min(8, window - 8 * d)) for d in range(width)], axis=1)
+            order, group = multikey_order(words)
+            first = np.append(True, group[1:] != group[:-1])
+            repeat = own[order[~first]]
+            again.append(repeat << 8 | o[repeat])
+            far = order[first]
+            far = far[spanning[rows[own[far]]]]
+            if len(far):
+                at = own[far]
+                yield emit(1, uid[rows[at]], q0[at] + o[at], q0[at] + o[at] + window, digest(words[far]))
+        found = np.sort(np.concatenate(again)) if again else np.zeros(0, np.int64)
+        cut, owner = 0, uid[rows]  # ascending
+        while cut < len(found):  # whole documents of some 1,000,000 windows
+            at = int(found[min(len(found), cut + 1_000_000) - 1] >> 8)
+            end = int(np.searchsorted(found, int(np.searchsorted(owner, owner[at], "right")) << 8, "left"))
+            part = found[cut:end]
+            at = part >> 8
+            yield emit(0, *spans(uid[rows[at]], q0[at] + (part & 255)))
+            cut = end
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = [b for b in batches if b.num_rows]
@@ -329,8 +377,7 @@ def _sort_bucket(window: int):
         data, off = byte_view(as_binary(whole["ctx"]))
         ao = loc & 255
         # the suffixes of the anchors, by their first 32 bytes; runs with different ones cannot hold equal windows
-        x = _words8(np.concatenate([data, np.zeros(8, np.uint8)]))
-        words = np.stack([x[off[:-1] + ao + 8 * k] for k in range(GRAM // 8)], axis=1)
+        words = np.stack([_gathered(data, off[:-1] + ao + 8 * k) for k in range(GRAM // 8)], axis=1)
         order, group = multikey_order(words)
         cuts = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
         ends = np.append(cuts[1:], len(order))
@@ -340,6 +387,10 @@ def _sort_bucket(window: int):
             base = wins[cuts[i]]
             j = max(i + 1, int(np.searchsorted(wins[ends - 1], base + 200_000, "right")))
             rows = order[cuts[i] : ends[j - 1]]
+            if wins[ends[j - 1] - 1] - base > LARGE:
+                yield from solve_large(spanning, uid, loc, data, off, rows)
+                i = j
+                continue
             length = off[rows + 1] - off[rows]
             stop = np.cumsum(length)
             flat = np.arange(stop[-1]) + (off[rows] - (stop - length)).repeat(length)

@@ -152,3 +152,68 @@ def test_long_values_come_in_pieces():
 def test_window_bounds(spark, window):
     with pytest.raises(ValueError):
         sd.repeated_substrings(spark.createDataFrame([(1, "a")], "doc_id long, text string"), window=window)
+
+
+def _hot_bucket(n, r, docs=None):
+    """Runs of one anchor: the same 32 bytes in n surroundings, of which some repeat in part."""
+    import pyarrow as pa
+
+    anchor = bytes(range(97, 97 + 26)) + b"ANCHOR"
+    sides = [bytes(r.integers(97, 101, 68, dtype=np.uint8)) for _ in range(max(4, n // 50))]
+    uid, loc, ctx, spans = [], [], [], []
+    for k in range(n):
+        left, right = sides[r.integers(len(sides))], sides[r.integers(len(sides))]
+        if r.random() < 0.5:
+            left = bytes(r.integers(97, 123, 68, dtype=np.uint8))
+        windows = int(r.integers(1, 70))
+        text = left[: int(r.integers(0, 69))] + anchor + right
+        windows = min(windows, len(text) - 99) if len(text) >= 100 else 0
+        if windows < 1:
+            continue
+        at = len(text) - len(right) - 32
+        windows = min(windows, at + 1)
+        uid.append(k // 3 if docs is None else int(r.integers(docs)))
+        loc.append((1000 * k) << 16 | windows << 8 | at)
+        ctx.append(text[: windows + 99])
+        spans.append(bool(k % 2))
+    cols = [pa.array([0] * len(uid), pa.int32()), pa.array(spans), pa.array(uid, pa.int64()), pa.array(loc, pa.int64()), pa.array(ctx, pa.binary())]
+    return pa.RecordBatch.from_arrays(cols, names=["bucket", "spans", "uid", "loc", "ctx"])
+
+
+def test_a_hot_anchor_is_sorted_place_by_place(monkeypatch):
+    """The same repeats and digests whether an anchor's windows are expanded at once or place by place."""
+    import pyarrow as pa
+
+    batch = _hot_bucket(900, np.random.default_rng(1))
+
+    def covered(large):
+        monkeypatch.setattr(sd, "LARGE", large)
+        rows = pa.Table.from_batches(list(sd._sort_bucket(100)(iter([batch])))).to_pylist()
+        bytes_of = {(x["uid"], b) for x in rows if x["kind"] == 0 for b in range(x["s"], x["e"])}
+        return bytes_of, sorted((x["uid"], x["s"], x["d1"], x["d2"]) for x in rows if x["kind"] == 1)
+
+    whole, place = covered(10**9), covered(10)
+    assert whole == place and len(whole[0]) > 1000 and len(whole[1]) > 1000
+
+
+def test_a_hot_anchor_of_200000_runs_stays_small():
+    """200,000 runs of one anchor in one bucket take less than 1 GB."""
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    code = """
+import resource, sys
+sys.path.insert(0, "tests/llm")
+import numpy as np
+import test_suffix_dedup as t
+batch = t._hot_bucket(240_000, np.random.default_rng(2))
+assert batch.num_rows > 150_000
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+found = sum(x.num_rows for x in t.sd._sort_bucket(100)(iter([batch])))
+print(found, (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) / 1024, before / 1024)
+"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=600, cwd=Path(__file__).resolve().parents[2])
+    assert out.returncode == 0, out.stderr[-800:]
+    found, more, _ = map(float, out.stdout.split())
+    assert found > 10_000 and more < 1024, out.stdout
