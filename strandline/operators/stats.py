@@ -14,6 +14,12 @@ def fixed(x: Column, digits: int = 4) -> Column:
     return F.floor(x * float(10**digits) + 0.5).cast("long")
 
 
+def with_quantile(df: DataFrame, group: str, value: str, at: float, out: str) -> DataFrame:
+    """df with the exact quantile of its group; null in a group without values."""
+    own = quantiles(df, group, value, [at]).select(F.col(group).alias("__own"), F.col("q")[0].alias(out))
+    return df.join(own, F.col(group).eqNullSafe(F.col("__own")), "left").drop("__own")
+
+
 def robust(df: DataFrame, group: str, value: str) -> DataFrame:
     """count, min, max, mean, median, MAD, p05, p95 of each group; nulls are left out. Groups of any size."""
     size = largest(df, [group], F.col(value))

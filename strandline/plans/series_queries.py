@@ -229,13 +229,18 @@ _C5 = "(coalesce(lag(t,2) over w,0)*1 + coalesce(lag(t,1) over w,0)*2 + t*3 + co
     r as (select *, row_number() over (partition by series order by g desc, seq) as rn from g where g is not null) select series, seq as edge_seq, {fx('g')} as strength_e4 from r where rn = 1""")
 def edge_pipeline(spark, sf_dir):
     """Threshold by an adaptive level, smooth, differentiate, and take the steepest rise of each series."""
-    e = events(spark, sf_dir)
-    level = F.greatest(F.lit(20.0), 0.88 * F.percentile("value", F.lit(0.9)).over(sequence.everything("series")))
-    t = e.withColumn("lim", level).withColumn("t", F.when(F.col("value") > F.col("lim"), 1.0).otherwise(0.0))
-    c = sequence.convolve(t, "series", "seq", "t", [1, 2, 3, 2, 1], "c")
-    w = sequence.by("series", "seq")
-    g = c.withColumn("g", (F.lead("c").over(w) - F.lag("c").over(w)) / 2).filter("g is not null")
-    return candidates.top_k(g, ["series"], [F.desc("g"), F.asc("seq")], 1).select("series", F.col("seq").alias("edge_seq"), fixed(F.col("g")).alias("strength_e4"))
+    e = stats.with_quantile(events(spark, sf_dir), "series", "value", 0.9, "p90")
+    cuts = sequence.measure(e, "series", "seq")
+    t = e.withColumn("t", F.when(F.col("value") > F.greatest(F.lit(20.0), 0.88 * F.col("p90")), 1.0).otherwise(0.0))
+    c = sequence.convolve(t, "series", "seq", "t", [1, 2, 3, 2, 1], "c", cuts)
+
+    def rise(rows, keys):
+        w = sequence.by(keys, "seq")
+        return rows.withColumn("g", (F.lead("c").over(w) - F.lag("c").over(w)) / 2)
+
+    g = sequence.halo(c, "series", "seq", 1, 1, rise, cuts).filter("g is not null")
+    best = g.groupBy("series").agg(F.min(F.struct((-F.col("g")).alias("x"), "seq")).alias("b"))
+    return best.select("series", F.col("b.seq").alias("edge_seq"), fixed(-F.col("b.x")).alias("strength_e4"))
 
 
 @query("windowed_argmax", f"with {_ORD}, r as (select *, row_number() over (partition by series order by value desc, seq) as rn from o where i between 10 and 40) select series, seq as best_seq, {fx('value', 2)} as best_e2 from r where rn = 1")
@@ -303,7 +308,7 @@ def incremental_anti_range(spark, sf_dir):
 @query("normalize_sequence", f"""with {EV}, t as (select *, median(value) over (partition by series) as target from e), g as (select *, greatest(power(2.0, -0.65), least(power(2.0, 0.65), target / value)) as gain from t),
     m as (select *, quantile_cont(gain, 0.5) over (partition by series order by seq rows between 4 preceding and 4 following) as sg from g) select seq, series, {fx('value * sg / (1 + 0.12 * (value * sg))')} as n_e4 from m""")
 def normalize_sequence(spark, sf_dir):
-    e = events(spark, sf_dir).withColumn("target", F.percentile("value", F.lit(0.5)).over(sequence.everything("series")))
+    e = stats.with_quantile(events(spark, sf_dir), "series", "value", 0.5, "target")
     return sequence.normalize(e, "series", "seq", "value", F.col("target")).select("seq", "series", fixed(F.col("normal")).alias("n_e4"))
 
 
