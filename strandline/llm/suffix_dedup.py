@@ -13,12 +13,16 @@ A window is a string of `WINDOW` bytes at one start; a window is a repeat if the
    different surroundings is not one task's work. Earliest runs whose anchor has other variants are the suffixes that
    have to be sorted.
 3. Those suffixes are range-partitioned by their leading tokens (the first 6 bytes of the anchor) with splitters sampled
-   from themselves, into buckets of about BUCKET_RUNS runs or less; a token sequence that fills several buckets is dealt
-   over all of them.
+   from themselves, into buckets of about BUCKET_RUNS runs or less. A token sequence that fills several buckets is dealt
+   over all of them by longer tokens: first the whole anchor. Runs of one that is still more than a bucket's share are
+   cut by the place of the anchor in the window, twice (CUTS), and dealt by all bytes that the windows of such a piece have
+   in common. Equal windows have equal ones, so they meet in one bucket, and the pieces are a few a run. Equal pieces of
+   a text that is more than a bucket's share are repeats of the earliest whole.
 4. Each bucket expands its runs into windows and sorts them by multikey quicksort: 8-byte words from the left, where
    only the groups that are still equal go on to the next word. Equal neighbours are repeats of the first. Runs of one
    anchor with more than LARGE windows are sorted one place of the anchor after the other, a window a run at a time.
-5. Windows of tokens that span buckets are compared across the bucket boundaries by a grouped minimum.
+5. What is more than a bucket's share after both cuts is dealt by its place; its windows, up to 6 a piece, are compared
+   across the bucket boundaries by a grouped minimum.
 
 Nulls and empty texts have no windows and lose nothing. Rows with equal or null ids, and ids that are not whole numbers,
 are ordered by (id nulls last, hash of the row). A text of any length is read in overlapping pieces. An empty table gives
@@ -27,6 +31,7 @@ no rows, and other columns are not read.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Iterator
 
@@ -43,6 +48,9 @@ GRAM = 32
 #: Runs sampled for the splitters and documents sampled for frequent anchors (both up to twice as many), the most runs
 #: that a bucket should hold, and the share of sampled documents from which on an anchor is frequent.
 SPLITTER_RUNS, ANCHOR_DOCS, BUCKET_RUNS, FREQUENT = 20_000, 2000, 1 << 18, 0.005
+#: Places of the anchor in a window that a piece of a frequent anchor's run covers, cut by cut, and the fewest runs or
+#: pieces with one key that are cut further or dealt by their place.
+CUTS, SHARE = (24, 6), 100
 
 _U = np.uint64
 _C1, _C2, _C3 = _U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F), _U(0x165667B19E3779F9)
@@ -209,7 +217,7 @@ LARGE = 400_000
 
 
 def _emit_suffixes(splitters: np.ndarray, window: int):
-    """From (uid, text, locs): each run with its bytes, its leading tokens and its bucket."""
+    """From (uid, text, locs): each run with its bytes, its bucket, whether its leading tokens span several, and its anchor's hash."""
     lo_of, hi_of = (lambda x: np.searchsorted(splitters, x, "left")), (lambda x: np.searchsorted(splitters, x, "right"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,17 +240,68 @@ def _emit_suffixes(splitters: np.ndarray, window: int):
                     lead = (lead << _U(8)) | data[start + ao + k].astype(np.uint64)
                 lead &= ~_U(0xFFFF)  # as in the splitters
                 lo, hi = lo_of(lead), hi_of(lead)
-                span = hi - lo + 1
-                place = uids[r].astype(np.uint64) * _C1 + at.astype(np.uint64) * _C2  # one document can hold many of them
-                bucket = lo + (_mix(place) >> _U(33)).astype(np.int64) % span
+                key = _mix(_mix(np.stack([_gathered(data, start + ao + 8 * k) for k in range(GRAM // 8)]) * _C2).sum(axis=0) + lead).view(np.int64)
                 raw = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(np.concatenate([[0], ends]).astype(np.int64)), pa.py_buffer(data[flat])])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(bucket.astype(np.int32)), pa.array(span > 1), pa.array(uids[r]), pa.array(at), raw.cast(pa.binary())], names=["bucket", "spans", "uid", "loc", "ctx"]
+                    [pa.array(lo.astype(np.int32)), pa.array(hi > lo), pa.array(key), pa.array(uids[r]), pa.array(at), raw.cast(pa.binary())], names=["bucket", "spans", "key", "uid", "loc", "ctx"]
                 )
 
     return run
 
 
+def _cut(width: int, window: int):
+    """From (uid, loc, ctx): runs cut into pieces of `width` places of the anchor. Their key is a hash of the bytes that all
+    windows of those places have in common, d1 and d2 are a digest of all bytes of the piece."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            uid, loc = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(2))
+            data, off = byte_view(as_binary(batch.column(2)))
+            q0, n, ao = loc >> 16, (loc >> 8) & 255, loc & 255
+            per = ao // width - (ao - n + 1) // width + 1
+            row = np.repeat(np.arange(len(loc)), per)
+            least = (ao[row] // width - (np.arange(len(row)) - np.repeat(np.cumsum(per) - per, per))) * width
+            most = np.minimum(least + width - 1, window - GRAM)
+            first, last = np.minimum(ao[row], most), np.maximum(ao[row] - n[row] + 1, least)
+            skip, some = ao[row] - first, first - last + 1
+            start, length = off[row] + skip, some + window - 1
+            common = digests(data, off[row] + ao[row] - least, window - (most - least))[:, 0]
+            dig = digests(data, start, length)
+            key = _mix((common ^ (least << 32)).view(np.uint64)).view(np.int64)
+            ends = np.cumsum(length)
+            flat = np.arange(ends[-1] if len(ends) else 0) + (start - (ends - length)).repeat(length)
+            raw = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(row), [None, pa.py_buffer(np.concatenate([[0], ends]).astype(np.int64)), pa.py_buffer(data[flat])])
+            at = (q0[row] + skip) << 16 | some << 8 | first
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(dig[:, 0].copy()), pa.array(dig[:, 1].copy()), pa.array(uid[row]), pa.array(at), raw.cast(pa.binary())], names=["key", "d1", "d2", "uid", "loc", "ctx"])
+
+    return run
+
+
+def _dealt(spread: DataFrame, share: int, buckets: int, window: int) -> tuple[DataFrame, DataFrame | None]:
+    """Runs (key, uid, loc, ctx) whose leading tokens span buckets -> rows (bucket, spans, uid, loc, ctx), and (uid, loc) of pieces
+    that are repeats whole. Keys with more than `share` rows are cut further; they are fewer than rows / share, and broadcast."""
+    place, key = F.xxhash64("uid", "loc"), F.xxhash64("key")
+    row = lambda by, spans: [F.pmod(by, F.lit(buckets)).cast("int").alias("bucket"), F.lit(spans).alias("spans"), "uid", "loc", "ctx"]
+    out, copies, now = [], None, spread
+    for width in (*CUTS, None):
+        hot = stored(now.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > share).select("key"), "hot")
+        if hot.isEmpty():
+            out.append(now.select(*row(key, False)))
+            break
+        out.append(now.join(F.broadcast(hot), "key", "left_anti").select(*row(key, False)))
+        rest = now.join(F.broadcast(hot), "key", "left_semi")
+        if "d1" in now.columns:
+            same = rest.groupBy("key", "d1", "d2").agg(F.min(F.struct("uid", "loc")).alias("first"), F.count(F.lit(1)).alias("n")).filter(F.col("n") > share).drop("n")
+            known = rest.join(F.broadcast(stored(same, "same")), ["key", "d1", "d2"], "left").withColumn("copy", F.coalesce(F.struct("uid", "loc") != F.col("first"), F.lit(False)))
+            found = known.filter("copy").select("uid", "loc")
+            copies, rest = found if copies is None else copies.unionByName(found), known.filter("not copy")
+        if width is None:
+            out.append(rest.select(*row(place, True)))
+        else:
+            now = stored(rest.select("uid", "loc", "ctx").mapInArrow(_cut(width, window), "key long, d1 long, d2 long, uid long, loc long, ctx binary"), "pieces")
+    return functools.reduce(DataFrame.unionByName, out), copies
+
+
 def _gathered(data: np.ndarray, at: np.ndarray, n: int = 8) -> np.ndarray:
     """The n bytes from each position on as a big-endian word: `_words8` for few positions of much data."""
     word = np.zeros(len(at), np.uint64)
@@ -488,14 +547,22 @@ def repeated_substrings(docs: DataFrame, text_col: str = "text", id_col: str = "
     wanted = suffixes_of.groupBy("uid").agg(F.collect_list("loc").alias("locs"))
     suffixes = (
         base.select("uid", "text").join(wanted, "uid").select("uid", "text", "locs")
-        .mapInArrow(_emit_suffixes(splitters, window), "bucket int, spans boolean, uid long, loc long, ctx binary")
+        .mapInArrow(_emit_suffixes(splitters, window), "bucket int, spans boolean, key long, uid long, loc long, ctx binary")
     )
-    sorted_ = stored(suffixes.repartitionById(len(splitters) + 1, F.col("bucket")).mapInArrow(_sort_bucket(window), "kind byte, uid long, s long, e long, d1 long, d2 long"), "sorted")
+    buckets, pieces = len(splitters) + 1, None
+    if len(np.unique(splitters)) < len(splitters):
+        suffixes = stored(suffixes, "suffixes")
+        spread, pieces = _dealt(suffixes.filter("spans").select("key", "uid", "loc", "ctx"), max(SHARE, total // (2 * buckets)), buckets, window)
+        suffixes = suffixes.filter("not spans").drop("key").unionByName(spread)
+    else:
+        suffixes = suffixes.drop("key")
+    sorted_ = stored(suffixes.repartitionById(buckets, F.col("bucket")).mapInArrow(_sort_bucket(window), "kind byte, uid long, s long, e long, d1 long, d2 long"), "sorted")
 
     far = sorted_.filter("kind = 1").select("uid", "s", "e", "d1", "d2")
     least = far.groupBy("d1", "d2").agg(F.min(F.struct("uid", "s")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("d1", "d2", "first")
     across = far.join(least, ["d1", "d2"]).filter("uid != first.uid or s != first.s").select("uid", "s", "e")
-    copies = settled.filter("kind = 0").select("uid", F.shiftright("loc", 16).alias("s"), (F.shiftright("loc", 16) + F.shiftright("loc", 8).bitwiseAND(255) + (window - 1)).alias("e"))
+    copies = settled.filter("kind = 0").select("uid", "loc")
+    copies = (copies if pieces is None else copies.unionByName(pieces)).select("uid", F.shiftright("loc", 16).alias("s"), (F.shiftright("loc", 16) + F.shiftright("loc", 8).bitwiseAND(255) + (window - 1)).alias("e"))
     spans = copies.unionByName(sorted_.filter("kind = 0").select("uid", "s", "e")).unionByName(across)
     packed = spans.groupBy("uid").agg(F.collect_list(F.shiftleft("s", 32).bitwiseOR(F.col("e"))).alias("spans"))
     return base.join(packed, "uid", "left").select("doc_id", "text", "spans").mapInArrow(

@@ -85,6 +85,25 @@ def test_sampled_splitters_spread_a_frequent_token(spark, monkeypatch):
         assert repeated > 3  # so that searchsorted from both sides gives a span of buckets
 
 
+@pytest.mark.parametrize("share", [2, 30])
+def test_a_frequent_passage_makes_few_rows_a_run(spark, monkeypatch, share):
+    """Runs of an anchor with very many surroundings meet by longer and longer tokens: the rows that go across buckets are
+    at most six a run (before: one for each of its windows that is new in its bucket, up to 69)."""
+    r = random.Random(6)
+    text = lambda n: "".join(r.choices("abcdefgh", k=n))
+    shared, sides = text(120), [text(90) for _ in range(6)]
+    side = lambda: r.choice(sides) if r.random() < 0.2 else text(90)
+    rows = [(i, side() + shared + side()) for i in range(400)]
+    found, keep = {}, sd.stored
+    monkeypatch.setattr(sd, "BUCKET_RUNS", 20)
+    monkeypatch.setattr(sd, "SHARE", share, raising=False)
+    monkeypatch.setattr(sd, "stored", lambda df, label: found.setdefault(label, []).append(keep(df, label)) or found[label][-1])
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert result(sd.repeated_substrings(df)) == brute(rows)
+    runs, across = found["settled"][0].filter("kind = 1").count(), found["sorted"][0].filter("kind = 1").count()
+    assert runs > 800 and across <= 6 * runs
+
+
 def test_empty_table_and_odd_ids(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert sd.repeated_substrings(none).count() == 0
