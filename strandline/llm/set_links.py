@@ -70,26 +70,31 @@ def min_keys(flat: np.ndarray, starts: np.ndarray, keys: int, rows: int) -> np.n
     return out.view(np.int64)
 
 
-def sketches(size: int, keys: Callable[[np.ndarray, np.ndarray], np.ndarray]):
-    """(id, text) -> (id, f1, f2, n, bands): the hash of the set of shingles, its size, and its keys (none if it is empty)."""
+def sketches(size: int, keys: Callable[[np.ndarray, np.ndarray], np.ndarray], prints: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None):
+    """(id, text) -> (id, f1, f2, n, bands): the hash of the set of shingles, its size, and its keys (none if it is empty).
+    With `prints`, a column fp follows: the bytes of the set's row of words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, values in texts(batch.column(1), 1 << 20):
                 part, sets = batch.slice(i, j - i), [shingle_set(text, size) for text in values]
                 bands: list = [()] * len(sets)
+                fps: list = [b""] * len(sets)
                 full = [k for k, x in enumerate(sets) if len(x)]
                 lens = np.cumsum([0] + [len(sets[k]) for k in full])
                 at = 0
                 while at < len(full):  # about 65,000 hashes at once
                     e = max(at + 1, int(np.searchsorted(lens, lens[at] + (1 << 16), "right")) - 1)
-                    for k, row in zip(full[at:e], keys(np.concatenate([sets[k] for k in full[at:e]]), lens[at:e] - lens[at]), strict=True):
+                    flat = np.concatenate([sets[k] for k in full[at:e]])
+                    for k, row in zip(full[at:e], keys(flat, lens[at:e] - lens[at]), strict=True):
                         bands[k] = row
+                    for k, row in zip(full[at:e], prints(flat, lens[at:e] - lens[at]), strict=True) if prints else ():
+                        fps[k] = row.tobytes()
                     at = e
                 name = np.frombuffer(b"".join(xxhash.xxh3_128_digest(x.tobytes()) for x in sets), np.int64).reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(name[:, 0]), pa.array(name[:, 1]), pa.array([len(x) for x in sets], pa.int64()), pa.array(bands, pa.list_(pa.int64()))],
-                    names=["id", "f1", "f2", "n", "bands"],
+                    [part.column(0), pa.array(name[:, 0]), pa.array(name[:, 1]), pa.array([len(x) for x in sets], pa.int64()), pa.array(bands, pa.list_(pa.int64())), *([pa.array(fps, pa.binary())] if prints else [])],
+                    names=["id", "f1", "f2", "n", "bands", *(["fp"] if prints else [])],
                 )
 
     return run

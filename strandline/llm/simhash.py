@@ -14,12 +14,17 @@
 
 Nulls and empty texts have fingerprint zero; rows with equal ids are rows of their own.
 
-`similar_groups` groups by the similarity of the sets of SIMILAR_SHINGLE words instead, and no sketch decides:
-1. Equal sets are one class (128 bits of hash). Only a sketch of each text is kept: its class and its band keys.
-2. Candidates share one of MIN_BANDS bands of MIN_ROWS minimum hashes: at SIMILARITY with a chance of 0.9993, whatever
-   the length of the texts and the number of documents. A bucket only links its members to its least one.
-3. `set_links.verified` compares the full sets of candidates: whole components of candidates that are small, and what
-   share a bucket of larger ones.
+`similar_groups` groups by the similarity of the sets of SIMILAR_SHINGLE words instead:
+1. Equal sets are one class (128 bits of hash). Only a sketch of each text is kept: its class, its band keys, and its
+   fingerprint of PRINT_WORDS words, made as above but of distinct shingles.
+2. Sets at SIMILARITY differ in 15 % of the bits, so no block of bits must be equal and no choice of blocks finds them all.
+   The buckets are MIN_BANDS bands of MIN_ROWS minimum hashes instead, which a pair at SIMILARITY shares with a chance of
+   0.9993, whatever the length of the texts and the number of documents.
+3. The fingerprints of a bucket are compared as above, in cells of at most two tiles, by bit planes and carry-save counters,
+   and abandoned beyond NEAR_RADIUS. Many small cells are one block of lanes. Only classes with another one of their
+   bucket within the radius are candidates; of pairs at SIMILARITY, fewer than 1 in 100,000 are farther apart.
+4. `set_links.verified` compares the full sets of candidates, so that no fingerprint alone decides: whole components of
+   candidates that are small, and what shares a bucket of larger ones.
 """
 
 from __future__ import annotations
@@ -33,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import partitions, stored, table, texts, with_order
+from strandline.llm.common import as_binary, byte_view, partitions, stored, table, texts, with_order
 from strandline.llm.components import components
 from strandline.llm.set_links import SET_TILE, min_keys, remix, shingle_hashes, sketches, verified
 
@@ -42,6 +47,9 @@ SHINGLE, RADIUS = 3, 3
 BUCKET, TILE = 512, 2048
 #: For similar_groups: shingle size, similarity, bands of minimum hashes and their rows.
 SIMILAR_SHINGLE, SIMILARITY, MIN_BANDS, MIN_ROWS = 5, 0.8, 24, 6
+#: For similar_groups: words of a fingerprint, the bits in which candidates may differ (sets of 4 and 5 shingles at the
+#: similarity differ in 48 of 256 on average, larger ones in 40), and rows of small cells that are compared at once.
+PRINT_WORDS, NEAR_RADIUS, BLOCK = 4, 76, 256
 
 _FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -259,6 +267,73 @@ def _min_bands(flat: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return min_keys(flat, starts, MIN_BANDS, MIN_ROWS)
 
 
+def _set_prints(flat: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The fingerprint of each set of hashes, PRINT_WORDS words a row; sets are not empty."""
+    total = np.diff(np.append(starts, len(flat)))[:, None]
+    words = [np.packbits(2 * _count_bits(remix(flat, k), starts) > total, axis=1, bitorder="little").view(np.uint64) for k in range(PRINT_WORDS)]
+    return np.concatenate(words, axis=1)
+
+
+def _near_cells(radius: int):
+    """Rows (bucket, a, b, tile, c, fp) sorted by cell, its first three -> (bucket, c) of all classes that have another one of
+    their cell within the radius; a cell can go over several batches, and small cells are compared many at once."""
+
+    def read(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        rows = np.stack([batch.column(k).to_numpy().astype(np.int64) for k in range(5)], axis=1)
+        return rows, np.ascontiguousarray(byte_view(as_binary(batch.column(5)))[0]).view(np.uint64).reshape(len(rows), -1)
+
+    def solve(rows: np.ndarray, fp: np.ndarray, cell: np.ndarray) -> pa.RecordBatch:
+        """One cell, or several of one tile each; `cell` numbers them."""
+        near = np.zeros(len(rows), bool)
+        if rows[0, 1] != rows[0, 2]:
+            left, right = np.flatnonzero(rows[:, 3] == rows[:, 1]), np.flatnonzero(rows[:, 3] == rows[:, 2])
+            found = ((left[i], right[hits]) for i, hits in close_pairs(fp[left], fp[right], radius, False)) if len(left) and len(right) else ()
+        else:
+            found = close_pairs(fp, fp, radius, True)
+        for i, hits in found:
+            hits = hits[cell[hits] == cell[i]]
+            near[hits] = True
+            near[i] |= len(hits) > 0
+        return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(rows[near, k])) for k in (0, 4)], names=["bucket", "c"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: tuple[np.ndarray, np.ndarray] | None = None
+        for batch in itertools.chain(batches, [None]):
+            if batch is not None and not batch.num_rows or batch is None and rest is None:
+                continue
+            rows, fp = rest if batch is None else read(batch)
+            if batch is not None and rest is not None:
+                rows, fp = np.concatenate([rest[0], rows]), np.concatenate([rest[1], fp])
+            new = np.append(True, (rows[1:, :3] != rows[:-1, :3]).any(axis=1))
+            cut, cell = np.append(np.flatnonzero(new), len(rows)), np.cumsum(new)
+            rest, most = (None, len(cut) - 1) if batch is None else ((rows[cut[-2] :], fp[cut[-2] :]), len(cut) - 2)
+            k = 0
+            while k < most:
+                e = k + 1
+                if rows[cut[k], 1] == rows[cut[k], 2]:
+                    while e < most and cut[e + 1] - cut[k] <= BLOCK and rows[cut[e], 1] == rows[cut[e], 2]:
+                        e += 1
+                at = slice(cut[k], cut[e])
+                if cut[e] - cut[k] > 1:
+                    yield solve(rows[at], fp[at], cell[at])
+                k = e
+
+    return run
+
+
+def _near_buckets(classes: DataFrame, radius: int, tile: int) -> DataFrame:
+    """(bucket, c) of the classes (c, bands, fp) that are within the radius of another one of the bucket."""
+    rows = classes.select(F.explode("bands").alias("bucket"), "c")
+    sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket", F.ceil(F.col("n") / tile).cast("int").alias("tiles"))
+    cells = (
+        rows.join(sizes, "bucket").withColumn("tile", F.pmod(F.xxhash64("c", F.lit(7)), F.col("tiles")).cast("int")).join(classes.select("c", "fp"), "c")
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+        .select("bucket", F.least("tile", "other").alias("a"), F.greatest("tile", "other").alias("b"), "tile", "c", "fp")
+    )
+    found = cells.repartition(partitions(classes.sparkSession), "bucket", "a", "b").sortWithinPartitions("bucket", "a", "b").mapInArrow(_near_cells(radius), "bucket long, c long")
+    return stored(found.distinct(), "near")
+
+
 def _named(kept: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
     roots = components(found, "simhash").withColumnRenamed("node", "fp")
     rooted = classes.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
@@ -270,9 +345,9 @@ def _similar_classes(docs: DataFrame, text_col: str, id_col: str, similarity: fl
     """Sketches (id, f1, f2), classes (f1, f2, c), and (node, root) of the classes that are not the least of their group.
     Ids are unique whole numbers, and a class goes by its least id."""
     base = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    sketch = stored(base.mapInArrow(sketches(size, _min_bands), "id long, f1 long, f2 long, n long, bands array<long>"), "sketches")
-    classes = stored(sketch.groupBy("f1", "f2").agg(F.min("id").alias("c"), F.first("n").alias("n"), F.first("bands").alias("bands")), "classes")
-    found = verified(base, classes.select("c", "n"), classes.select(F.explode("bands").alias("bucket"), "c"), similarity, size, SET_TILE)
+    sketch = stored(base.mapInArrow(sketches(size, _min_bands, _set_prints), "id long, f1 long, f2 long, n long, bands array<long>, fp binary"), "sketches")
+    classes = stored(sketch.groupBy("f1", "f2").agg(F.min("id").alias("c"), *[F.first(x).alias(x) for x in ("n", "bands", "fp")]), "classes")
+    found = verified(base, classes.select("c", "n"), _near_buckets(classes, NEAR_RADIUS, TILE), similarity, size, SET_TILE)
     return sketch.select("id", "f1", "f2"), classes.select("f1", "f2", "c"), components(found, "similar")
 
 

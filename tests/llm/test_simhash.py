@@ -244,3 +244,38 @@ def test_long_texts_and_clashing_columns(spark):
     assert got[1] == got[2] == 1 and got[3] == got[4] == 3 and got[5] == got[6] == 5
     kept = sh.keep_one(df)
     assert kept.columns == df.columns and sorted((r["doc_id"], r["c"]) for r in kept.collect()) == [(1, 5), (3, 7), (5, 9)]
+
+
+def test_near_copies_go_through_fingerprints(spark, monkeypatch):
+    """Only classes within the radius of another one of their bucket are compared by their sets, tiles or not."""
+    rows = similar_corpus()
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    asked, check = [], sh.verified
+    monkeypatch.setattr(sh, "verified", lambda base, classes, buckets, *a: asked.append({tuple(r) for r in buckets.select("bucket", "c").collect()}) or check(base, classes, buckets, *a))
+    sets = [shingle_set(t.encode(), 5) for _, t in rows]
+    prints = [sh._set_prints(x, np.array([0])).ravel() for x in sets]
+    members = {}
+    for (d, _), x in zip(rows, sets, strict=True):
+        for key in sh._min_bands(x, np.array([0]))[0].tolist():
+            members.setdefault(key, []).append(d)
+    for radius, tile in ((76, 2048), (20, 2048), (20, 2), (-1, 2048)):
+        monkeypatch.setattr(sh, "NEAR_RADIUS", max(radius, 0))
+        monkeypatch.setattr(sh, "TILE", tile)
+        if radius < 0:  # fingerprints that are all far apart: nothing is a candidate
+            monkeypatch.setattr(sh, "_set_prints", lambda flat, starts: np.stack([sh.remix(np.add.reduceat(flat, starts), k + 1) for k in range(4)], axis=1))
+        groups = {r["id"]: r["component_id"] for r in sh.similar_groups(df).collect()}
+        apart = lambda a, b: int(np.bitwise_count(prints[a] ^ prints[b]).sum())
+        distinct = lambda a, b: not np.array_equal(sets[a], sets[b])
+        want = {(k, a) for k, own in members.items() for a in own if any(distinct(a, b) and apart(a, b) <= radius for b in own)}
+        least = {x.tobytes(): d for (d, _), x in reversed(list(zip(rows, sets, strict=True)))}
+        assert asked.pop() == {(k, a) for k, a in want if least[sets[a].tobytes()] == a}
+        assert radius >= 0 or groups == {d: least[x.tobytes()] for (d, _), x in zip(rows, sets, strict=True)}
+
+
+def test_sets_at_the_similarity_are_within_the_radius():
+    r = np.random.default_rng(3)
+    for n, m, both in [(4, 5, 4), (9, 9, 8), (8, 10, 8), (16, 20, 16), (45, 45, 40), (80, 100, 80), (450, 450, 400)]:
+        for _ in range(300):
+            h = r.integers(0, 2**64, n + m - both, dtype=np.uint64)
+            x, y = sh._set_prints(np.concatenate([h[:n], h[n - both :]]), np.array([0, n]))
+            assert np.bitwise_count(x ^ y).sum() <= sh.NEAR_RADIUS
