@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from strandline.operators import sequence
 from strandline.plans import series_queries
-from strandline.streaming import processors
+from strandline.streaming import processors, stateful
 
 
 def batches(state):
@@ -33,3 +33,18 @@ def test_bracket_stream_takes_a_slice_at_a_time(spark):
         assert rows_of(found, "series", "i", "bracketed", "source") == rows_of(sequence.bracket(data, "series", "i", "v", known), "series", "i", "bracketed", "source")
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_rolling_stream_takes_a_slice_at_a_time(spark):
+    """From the last of several initial states of a series, in unsorted rows."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        data = split(spark)
+        book = stateful.checkpoints(data.filter("seq < 200"), "series", "seq", "v", every=1).orderBy(F.desc("seq"))
+        stream, out, state, *_ = series_queries._arriving(data.filter("seq >= 200"), 2)
+        processors.run_available(processors.rolling_stream(stream, "series", "seq", "v", book), out, state)
+        assert batches(state) == 2
+        want = rows_of(stateful.rolling_model(data, "series", "seq", "v"), "series", "seq", "accepted")
+        assert rows_of(spark.read.parquet(out), "series", "seq", "accepted") == [x for x in want if x[1] >= 200]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
