@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import functools
 import operator
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -59,6 +60,35 @@ def _narrowed(k: int, first: Column, last: Column, bound: int, marks: int) -> Co
     return F.struct(lo.alias("lo"), lt.alias("lt"), eq.alias("eq"), hi.alias("hi"), below.alias("below"), on.alias("on"), nl.alias("nl"), nh.alias("nh"), m.alias("m"), misses.alias("misses"))
 
 
+def _fused(a: Column, b: Column, c: Column) -> Column:
+    """a * b + c, rounded once: the product's rounding error is found exactly (Dekker) and added to that of the sum (Knuth)."""
+
+    def halves(x: Column) -> tuple[Column, Column]:
+        t = x * F.lit(134217729.0)  # 2 ** 27 + 1
+        return t - (t - x), x - (t - (t - x))
+
+    (a1, a2), (b1, b2), p = halves(a), halves(b), a * b
+    s = p + c
+    z = s - p
+    return s + ((p - (s - z)) + (c - z) + (((a1 * b1 - p) + a1 * b2 + a2 * b1) + a2 * b2))
+
+
+def _between(found: DataFrame, at: list[float], group: list[str], nth: Callable[[int, Column], Column]) -> DataFrame:
+    """Adds q, the quantiles between the values of neighbouring ranks. The sum of the two shares is rounded once for its first
+    product and sum together, as the SQL does it: otherwise a result that lies on a tie of decimals differs in its last digit."""
+    place = [F.lit(float(p)) * (F.col("n") - 1) for p in at]
+    ends = {}
+    for k, p in enumerate(place):
+        ends |= {f"x{k}": nth(k, F.floor(p).cast("long")), f"y{k}": nth(k, F.ceil(p).cast("long")), f"d{k}": p - F.floor(p)}
+    held = found.withColumns(ends).withColumns({f"r{k}": F.lit(1.0) - F.col(f"d{k}") for k in range(len(at))} | {f"h{k}": F.col(f"y{k}") * F.col(f"d{k}") for k in range(len(at))})
+    exact = []
+    for k in range(len(at)):
+        x, r, h = F.col(f"x{k}"), F.col(f"r{k}"), F.col(f"h{k}")
+        once = _fused(x, r, h)
+        exact.append(F.when(F.col(f"d{k}") == 0, x).when(F.isnan(once), x * r + h).otherwise(once))  # infinite values have no halves
+    return held.select(*group, "n", "low", "high", "mean", F.array(*exact).alias("q"))
+
+
 def quantiles(df: DataFrame, group: str | list[str], value: str | Column, at: list[float], bound: int | None = None, marks: int = MARKS, size: int | None = None) -> DataFrame:
     """(group, n, low, high, mean, q), q the quantiles `at`, linear between ranks. Nulls are left out, and so are groups
     without values. `size`: the largest group, if it is known."""
@@ -67,7 +97,7 @@ def quantiles(df: DataFrame, group: str | list[str], value: str | Column, at: li
     rows = df.select(*group, value.alias("__v")).filter("__v is not null")
     whole = [F.count(F.lit(1)).alias("n"), F.min("__v").alias("low"), F.max("__v").alias("high"), F.avg("__v").alias("mean")]
     if (largest(rows, group, F.col("__v")) if size is None else size) <= bound:
-        return rows.groupBy(*group).agg(*whole, F.percentile("__v", F.array(*[F.lit(float(p)) for p in at])).alias("q"))
+        return _between(rows.groupBy(*group).agg(*whole, F.sort_array(F.collect_list("__v")).alias("__l")), at, group, lambda k, rank: F.get("__l", rank.cast("int")))
     none, zero = F.lit(None).cast("double"), F.lit(0).cast("long")
     start = F.struct(none.alias("lo"), zero.alias("lt"), zero.alias("eq"), none.alias("hi"), F.col("n").alias("below"), zero.alias("on"), none.alias("nl"), none.alias("nh"), F.col("n").alias("m"), F.lit(0).alias("misses"))
     state = kept(rows.groupBy(*group).agg(*whole).withColumns({f"b{k}": start for k in range(len(at))}), "brackets")
@@ -103,8 +133,4 @@ def quantiles(df: DataFrame, group: str | list[str], value: str | Column, at: li
         done = F.when(b["lo"].isNull(), 0).otherwise(b["lt"] + b["eq"])
         return F.when(rank < done, b["lo"]).when(rank >= b["below"], b["hi"]).otherwise(F.get(f"l{k}", (rank - done).cast("int")))
 
-    exact = []
-    for k, (p, (first, after)) in enumerate(zip(place, ranks, strict=True)):
-        x, y, part = nth(k, first), nth(k, after), p - F.floor(p)
-        exact.append(F.when(x == y, x).otherwise(x * (1 - part) + y * part))
-    return joined.select(*group, "n", "low", "high", "mean", F.array(*exact).alias("q"))
+    return _between(joined, at, group, nth)
