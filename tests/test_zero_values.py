@@ -64,3 +64,15 @@ def test_a_fused_sum_is_rounded_once(spark):
     rows = [(round(r.expovariate(1 / 50), 2), r.random(), round(r.expovariate(1 / 50), 2) * r.random()) for _ in range(2000)]
     got = spark.createDataFrame(rows, "a double, b double, c double").select("a", "b", "c", quantile._fused(F.col("a"), F.col("b"), F.col("c")).alias("f")).collect()
     assert all(x["f"] == math.fma(x["a"], x["b"], x["c"]) for x in got) and any(x["f"] != x["a"] * x["b"] + x["c"] for x in got)
+
+
+def some_means(kind, low, sizes):
+    """Series whose mean often lies on a tie of the third digit, over several files: the sum's last digit decides."""
+    r = random.Random(4)
+    rows = [(u, kind, round(low + r.expovariate(1 / 50), 2)) for u in range(400) for _ in range(r.choice(sizes))]
+    r.shuffle(rows)
+    return rows
+
+
+def test_means_add_up_in_order(events):
+    assert len(events("conditional_summary", some_means("view", 0, (16, 40, 48, 80)), files=6)) == 400
