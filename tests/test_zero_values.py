@@ -76,3 +76,7 @@ def some_means(kind, low, sizes):
 
 def test_means_add_up_in_order(events):
     assert len(events("conditional_summary", some_means("view", 0, (16, 40, 48, 80)), files=6)) == 400
+
+
+def test_guarded_means_add_up_in_order(events):
+    assert len(events("guarded_mean", some_means("purchase", 151, (16, 40, 48, 80)), files=6)) == 400
