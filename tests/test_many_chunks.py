@@ -25,3 +25,13 @@ def test_rows_keep_their_chunk_through_operators(spark):
     for work in (lambda d: sequence.rolling_median(d, "series", "seq", "v", "m", cuts=cut), lambda d: sequence.cumulative_max(d, "series", "seq", "v", "m", cuts=cut)):
         assert "__c" not in work(df).columns
         assert sorted(work(once).collect()) == sorted(once.join(work(df).select("seq", "m"), "seq").select(*once.columns, "m").collect())
+
+
+def test_no_frame_runs_to_the_end_of_a_series(spark):
+    """Spark goes through a frame up to the end again for every row, so that its time grows with the square of the rows."""
+    df = spark.range(300).selectExpr("0 as series", "id as seq", "if(id % 9 = 0, id, null) as v")
+    cut = chunked.measure(df, "series", "seq", 20)
+    found = chunked.running(df, "series", "seq", {"n": chunked.Running("next", F.col("v")), "m": chunked.Running("next", F.col("v"), others=True)}, cut)
+    assert "unboundedfollowing" not in found._jdf.queryExecution().optimizedPlan().toString().lower()
+    ahead = lambda k: next((x for x in range(k, 300) if x % 9 == 0), None)
+    assert sorted((r["seq"], r["n"], r["m"]) for r in found.collect()) == [(k, ahead(k), ahead(k + 1)) for k in range(300)]
